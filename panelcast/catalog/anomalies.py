@@ -65,7 +65,7 @@ def _(spark, sf):
 
 @query("outliers_model")
 def _(spark, sf):
-    return anomaly.outliers_model(v.hourly(spark, sf), HOUR)
+    return anomaly.outliers_model(v.hourly(spark, sf))
 
 
 AR1 = """x AS (SELECT *, lag(value) OVER (PARTITION BY series_id ORDER BY ts) AS p FROM t),
@@ -78,7 +78,7 @@ s AS (SELECT *, avg(resid) OVER (PARTITION BY series_id) AS mu, stddev_pop(resid
 SELECT series_id, ts, value, 'model' AS method, round((resid - mu) / sd, 6) AS score,
   round(value - resid + mu - 3 * sd, 6) AS lower, round(value - resid + mu + 3 * sd, 6) AS upper FROM s WHERE abs((resid - mu) / sd) > 3""")
 def _(spark, sf):
-    return anomaly.outliers_model(v.hourly(spark, sf), HOUR, order=(1, 0, 0))
+    return anomaly.outliers_model(v.hourly(spark, sf), order=(1, 0, 0))
 
 
 BAND = f"""ma AS (SELECT *, {strict_sql(24, 'ma')} FROM t),

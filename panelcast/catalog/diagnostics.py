@@ -134,7 +134,7 @@ def _(spark, sf):
 
 @query("residual_histogram", v.with_(v.T) + """,
 z AS (SELECT series_id, (value - avg(value) OVER s) / stddev_pop(value) OVER s AS z FROM t WINDOW s AS (PARTITION BY series_id))
-SELECT series_id, bin, count(*) AS n_rows, round(bin * 0.4 - 4.0, 6) AS bin_start FROM (
+SELECT series_id, bin, count(*) AS n_rows, round(bin * 0.4::DOUBLE - 4.0, 6) AS bin_start FROM (
   SELECT series_id, CAST(least(greatest(floor((z + 4) / 8 * 20), 0), 19) AS BIGINT) AS bin FROM z) GROUP BY 1, 2""".replace("\n,", ",", 1))
 def _(spark, sf):
     return stats.residual_histogram(v.hourly(spark, sf))
@@ -156,7 +156,7 @@ x AS (SELECT series_id, value - lag(value) OVER w AS dy, lag(value) OVER w AS lv
 f AS (SELECT series_id, count(dy) AS n, regr_slope(dy, lv) AS g, regr_sxx(dy, lv) AS sxx, regr_syy(dy, lv) AS syy, regr_sxy(dy, lv) AS sxy FROM x GROUP BY 1),
 a AS (SELECT series_id, n, g, g / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS t FROM f)
 SELECT series_id, n, round(g, 6) AS gamma, round(t, 6) AS adf,
-  round(CASE WHEN t < -18.83 THEN 0.0 END, 6) AS p_value,
+  CAST(CASE WHEN t < -18.83 THEN 0.0 END AS DOUBLE) AS p_value,
   {', '.join(f"round({_poly(c, '(1.0 / n)')}, 6) AS {name}" for name, c in stats.ADF_CRITICAL.items())} FROM a""".replace("\n,", ",", 1))
 def _(spark, sf):
     return stats.adf_lag0(v.daily_orders(spark, sf), DAY)

@@ -109,3 +109,7 @@ d AS (SELECT dg.series_id, dg.ts, coalesce(dy.value, 0.0) AS value,
 
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+def with_recursive(*parts: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n"

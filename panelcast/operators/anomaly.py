@@ -55,10 +55,10 @@ def outliers_decompose(df: DataFrame, step: Step, *, period: int = 50) -> DataFr
 
 
 def outliers_model(
-    df: DataFrame, step: Step, *, order: tuple[int, int, int] = (1, 1, 1), threshold: float = 3.0
+    df: DataFrame, *, order: tuple[int, int, int] = (1, 1, 1), threshold: float = 3.0
 ) -> DataFrame:
     """One-step model residuals with a population z-score beyond ``threshold``."""
-    resid = arima_residuals(coerce_numeric(df), order, step).where(F.col("resid").isNotNull())
+    resid = arima_residuals(coerce_numeric(df), order).where(F.col("resid").isNotNull())
     v, mean, sd = F.col("resid"), F.col("_mean"), F.col("_pop")
     score = F.try_divide(v - mean, sd)
     rows = join_series(resid, series_moments(resid, "resid")).where(F.abs(score) > threshold)
@@ -101,7 +101,7 @@ DETECTORS = {
     "iqr": lambda df, step, period: outliers_iqr(df),
     "zscore": lambda df, step, period: outliers_zscore(df),
     "decompose": lambda df, step, period: outliers_decompose(df, step, period=period),
-    "model": lambda df, step, period: outliers_model(df, step),
+    "model": lambda df, step, period: outliers_model(df),
     "band": lambda df, step, period: outliers_band(df, period, step),
 }
 

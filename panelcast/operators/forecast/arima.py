@@ -1,9 +1,8 @@
-"""ARIMA and seasonal ARIMA by regression (Hannan-Rissanen), for whole panels.
+"""ARIMA and seasonal ARIMA by regression (Hannan-Rissanen), one series per unit of work.
 
-Difference, lag and regress are DataFrame steps: tiled windows and one aggregate
-of product sums per regression.  Moving-average terms take the residuals of a
-long autoregression as regressors.  Per series only the last few rows and the
-coefficients are gathered, to run the forecast recursion.
+A regular series is bounded by its number of grid steps, so one shuffle brings
+each series together and small least-squares problems run inside the tasks.
+Moving-average terms take the residuals of a long autoregression as regressors.
 """
 
 from __future__ import annotations
@@ -13,13 +12,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from panelcast.operators.forecast.baseline import level_probs, shape_forecast
-from panelcast.operators.ols import linear_predictor, ols_fit
 from panelcast.plans.grid import Step, grid_index, grid_time
-from panelcast.plans.quantiles import bounded_quantiles
-from panelcast.plans.tiles import join_series, over_tiles
 
 Order = tuple[int, int, int]
 Seasonal = tuple[int, int, int, int]
@@ -48,91 +44,104 @@ class Terms:
             weights = np.convolve(weights, [1.0, *[0.0] * (s - 1), -1.0])
         return cls(tuple(ar), tuple(ma), tuple(weights), d == 0 and sd == 0)
 
-    @property
-    def reach(self) -> int:
-        return max([len(self.weights) - 1, *self.ar, *self.ma, 1])
-
     @property
     def long_order(self) -> int:
         return max([*self.ar, *self.ma, 0]) + 5
 
 
-def _lag_columns(source: str, prefix: str, lags: Sequence[int]):
-    def columns(w: WindowSpec) -> dict[str, Column]:
-        return {f"{prefix}{k}": F.lag(source, k).over(w) for k in lags}
+@dataclass
+class Fit:
+    """Coefficients, differenced series, innovations used as regressors, and one-step residuals."""
 
-    return columns
+    beta: np.ndarray
+    w: np.ndarray
+    shocks: np.ndarray
+    resid: np.ndarray
 
 
-def _with_residual(df: DataFrame, xs: Sequence[str], constant: bool, out: str) -> DataFrame:
-    """Regress ``_w`` on ``xs`` per series; add the residual as ``out`` and keep ``_beta``."""
-    fit = ols_fit(df, xs, "_w", intercept=constant).select("series_id", F.col("beta").alias("_beta"))
-    joined = join_series(df, fit)
-    return joined.withColumn(out, F.col("_w") - linear_predictor(F.col("_beta"), xs, constant))
+def _lagged(x: np.ndarray, lags: Sequence[int]) -> np.ndarray:
+    out = np.full((len(x), len(lags)), np.nan)
+    for j, k in enumerate(lags):
+        out[k:, j] = x[: max(len(x) - k, 0)]
+    return out
 
 
-def arima_design(df: DataFrame, terms: Terms, step: Step) -> tuple[DataFrame, list[str]]:
-    """Rows with the differenced value ``_w``, its lags, and (for MA terms) lagged innovations."""
-    v = F.col("value")
-    reach = len(terms.weights) - 1
+def _regress(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Least squares on the complete rows; (coefficients, residuals with NaN elsewhere)."""
+    rows = ~np.isnan(y) & ~np.isnan(x).any(axis=1)
+    if rows.sum() <= x.shape[1]:
+        return None
+    scale = np.abs(x[rows]).max(axis=0, initial=0.0)
+    scale[scale == 0] = 1.0
+    beta = np.linalg.lstsq(x[rows] / scale, y[rows], rcond=None)[0] / scale
+    return beta, y - x @ beta
 
-    def differenced(w: WindowSpec) -> dict[str, Column]:
-        out = v
-        for k, c in enumerate(terms.weights):
-            if k and c:
-                out = out + c * F.lag(v, k).over(w)
-        return {"_w": out}
-
-    base = df.select("series_id", "ts", "value")
-    rows = over_tiles(base, differenced, step=step, back=reach)
-    xs = [f"_a{k}" for k in terms.ar]
-    if not terms.ma:
-        if terms.ar:
-            rows = over_tiles(rows, _lag_columns("_w", "_a", terms.ar), step=step, back=max(terms.ar))
-        return rows.withColumn("_e", F.lit(0.0)), xs
-    m = terms.long_order
-    long_xs = [f"_g{k}" for k in range(1, m + 1)]
-    need = sorted({*range(1, m + 1), *terms.ar})
-    rows = over_tiles(rows, _lag_columns("_w", "_g", need), step=step, back=max(need))
-    rows = _with_residual(rows, long_xs, True, "_e")
-    rows = rows.select("series_id", "ts", "value", "_w", "_e", *[F.col(f"_g{k}").alias(f"_a{k}") for k in terms.ar])
-    rows = over_tiles(rows, _lag_columns("_e", "_b", terms.ma), step=step, back=max(terms.ma))
-    return rows, [*xs, *[f"_b{k}" for k in terms.ma]]
-
-
-def arima_residuals(df: DataFrame, order: Order, step: Step, *, seasonal: Seasonal = FLAT) -> DataFrame:
-    """The panel with ``resid``, the one-step error of the fitted model (NULL while warming up)."""
-    terms = Terms.of(order, seasonal)
-    design, xs = arima_design(df, terms, step)
-    if not xs and not terms.constant:
-        return design.select("series_id", "ts", "value", F.col("_w").alias("resid"))
-    fitted = _with_residual(design, xs, terms.constant, "resid")
-    return fitted.select("series_id", "ts", "value", "resid")
-
-
-def extend_series(terms: Terms, beta, values, changes, shocks, horizon: int) -> tuple[list[float], list[float]]:
-    """Point forecasts and the growth of their standard error, from the newest rows of a series."""
-    beta = np.asarray(beta, dtype=float) if beta is not None else np.zeros(0)
-    constant = beta[0] if terms.constant else 0.0
-    phi = dict(zip(terms.ar, beta[int(terms.constant) :]))
-    theta = dict(zip(terms.ma, beta[int(terms.constant) + len(terms.ar) :]))
-    v, w, e = list(values), list(changes), list(shocks)
+
+def fit_terms(y: np.ndarray, terms: Terms) -> Fit | None:
+    """Fit one series without gaps; None when it is too short for the regressions."""
+    reach = len(terms.weights) - 1
+    if len(y) <= max([reach, *terms.ar, *terms.ma]):
+        return None
+    w = np.concatenate([np.full(reach, np.nan), np.convolve(y, terms.weights, mode="valid")])
+    one = np.ones((len(w), 1))
+    shocks = np.zeros(len(w))
+    x = np.hstack([one] * terms.constant + [_lagged(w, terms.ar)])
+    if terms.ma:
+        first = _regress(w, np.hstack([one, _lagged(w, range(1, terms.long_order + 1))]))
+        if first is None:
+            return None
+        shocks = first[1]
+        x = np.hstack([x, _lagged(shocks, terms.ma)])
+    if not x.shape[1]:
+        return Fit(np.zeros(0), w, shocks, w)
+    got = _regress(w, x)
+    return None if got is None else Fit(got[0], w, np.nan_to_num(shocks), got[1])
+
+
+def extend_series(y: np.ndarray, fit: Fit, terms: Terms, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+    """Point forecasts and the growth of their standard error."""
+    c = int(terms.constant)
+    constant = fit.beta[0] if c else 0.0
+    phi = dict(zip(terms.ar, fit.beta[c:]))
+    theta = dict(zip(terms.ma, fit.beta[c + len(terms.ar) :]))
+    v, w, e = list(y), list(fit.w), list(fit.shocks)
     for _ in range(horizon):
-        step = constant + sum(c * w[-k] for k, c in phi.items()) + sum(c * e[-k] for k, c in theta.items())
+        step = constant + sum(b * w[-k] for k, b in phi.items()) + sum(b * e[-k] for k, b in theta.items())
         w.append(step)
         e.append(0.0)
-        v.append(step - sum(c * v[-k] for k, c in enumerate(terms.weights) if k))
+        v.append(step - sum(b * v[-k] for k, b in enumerate(terms.weights) if k))
     # Weights of past shocks in the forecast error: the model as one infinite moving average.
     ar_poly = np.zeros(max([0, *phi]) + 1)
     ar_poly[0] = 1.0
-    for k, c in phi.items():
-        ar_poly[k] = -c
+    for k, b in phi.items():
+        ar_poly[k] = -b
     full = np.convolve(ar_poly, terms.weights)
     psi = np.zeros(horizon)
     for j in range(horizon):
         own = 1.0 if j == 0 else theta.get(j, 0.0)
         psi[j] = own - sum(full[i] * psi[j - i] for i in range(1, min(j, len(full) - 1) + 1))
-    return v[-horizon:], np.sqrt(np.cumsum(psi * psi)).tolist()
+    return np.array(v[-horizon:]), np.sqrt(np.cumsum(psi * psi))
+
+
+def arima_residuals(df: DataFrame, order: Order, *, seasonal: Seasonal = FLAT) -> DataFrame:
+    """The panel with ``resid``, the one-step error of the fitted model (NULL while warming up).
+
+    Rows without a value are dropped first; a series too short to fit has no rows.
+    """
+    terms = Terms.of(order, seasonal)
+
+    def residuals(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.dropna(subset=["value"]).sort_values("ts")
+        fit = fit_terms(pdf["value"].to_numpy(dtype=float), terms)
+        if fit is None:
+            return pd.DataFrame(columns=["series_id", "ts", "value", "resid"])
+        return pdf.assign(resid=fit.resid)
+
+    rows = df.select("series_id", "ts", "value")
+    out = rows.groupBy("series_id").applyInPandas(
+        residuals, "series_id string, ts timestamp_ntz, value double, resid double"
+    )
+    return out.withColumn("resid", F.when(~F.isnan("resid"), F.col("resid")))
 
 
 def forecast_sarima(
@@ -141,48 +150,63 @@ def forecast_sarima(
     """Forecasts of (p, d, q)(P, D, Q, s); a constant only without differencing.
 
     The interval takes quantiles of the one-step residuals, widened by the
-    model's own error weights.  Series too short for the regressions have no rows.
+    model's own error weights.  Series with gaps or too short have no rows.
     """
     terms = Terms.of(order, seasonal)
-    design, xs = arima_design(df, terms, step)
-    reach = terms.reach
-    tailed = over_tiles(
-        design, lambda w: {"_after": F.lead(F.lit(1), reach).over(w)}, step=step, ahead=reach
-    )
-    tail = F.when(F.col("_after").isNull(), F.struct("ts", "value", "_w", "_e"))
-    heads = tailed.groupBy("series_id").agg(
-        F.max("ts").alias("origin_ts"), F.array_sort(F.collect_list(tail)).alias("_tail")
-    )
-    if xs or terms.constant:
-        fit = ols_fit(design, xs, "_w", intercept=terms.constant).where(F.col("beta").isNotNull())
-        resid = _with_residual(design, xs, terms.constant, "_r")
-    else:
-        fit = heads.select("series_id", F.array().cast("array<double>").alias("beta"))
-        resid = design.withColumn("_r", F.col("_w"))
-    q = resid.groupBy("series_id").agg(bounded_quantiles(F.col("_r"), level_probs(level)).alias("_q"))
-
-    @F.pandas_udf("yhat array<double>, wide array<double>")
-    def recurse(beta: pd.Series, v: pd.Series, w: pd.Series, e: pd.Series) -> pd.DataFrame:
-        rows = []
-        for b, vv, ww, ee in zip(beta, v, w, e):
-            known = len(vv) >= reach and not any(x is None or np.isnan(x) for x in [*vv, *ww[-reach:]])
-            shocks = [0.0 if x is None or np.isnan(x) else x for x in ee]
-            rows.append(extend_series(terms, b, vv, ww, shocks, horizon) if known else (None, None))
-        return pd.DataFrame(rows, columns=["yhat", "wide"])
-
-    def part(name: str) -> Column:
-        return F.transform("_tail", lambda r: r[name])
-
-    joined = heads.join(fit.select("series_id", "beta"), "series_id").join(q, "series_id")
-    path = joined.withColumn("_f", recurse("beta", part("value"), part("_w"), part("_e")))
-    steps = path.select(
-        "series_id", "origin_ts", "_q", F.posexplode(F.arrays_zip("_f.yhat", "_f.wide")).alias("_p", "_z")
-    )
-    rows = steps.withColumn("h", (F.col("_p") + 1).cast("bigint"))
+    probs = level_probs(level)
+    columns = ["series_id", "origin_ts", "h", "yhat", "lower", "upper"]
+
+    def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts")
+        y = pdf["value"].to_numpy(dtype=float)
+        fit = None if np.isnan(y).any() else fit_terms(y, terms)
+        if fit is None:
+            return pd.DataFrame(columns=columns)
+        path, wide = extend_series(y, fit, terms, horizon)
+        lo, hi = np.quantile(fit.resid[~np.isnan(fit.resid)], probs)
+        return pd.DataFrame(
+            {
+                "series_id": pdf["series_id"].iloc[0],
+                "origin_ts": pdf["ts"].iloc[-1],
+                "h": np.arange(1, horizon + 1),
+                "yhat": path,
+                "lower": path + lo * wide,
+                "upper": path + hi * wide,
+            }
+        )
+
+    schema = "series_id string, origin_ts timestamp_ntz, h bigint, yhat double, lower double, upper double"
+    rows = df.select("series_id", "ts", "value").groupBy("series_id").applyInPandas(forecast, schema)
     rows = rows.withColumn("ts", grid_time(grid_index(F.col("origin_ts"), step) + F.col("h"), step))
-    y, wide = F.col("_z.yhat"), F.col("_z.wide")
-    return shape_forecast(rows, ["series_id"], y, y + F.col("_q")[0] * wide, y + F.col("_q")[1] * wide)
+    return shape_forecast(rows, ["series_id"], F.col("yhat"), F.col("lower"), F.col("upper"))
 
 
 def forecast_arima(df: DataFrame, horizon: int, step: Step, *, order: Order, level: float = 0.8) -> DataFrame:
     return forecast_sarima(df, horizon, step, order=order, level=level)
+
+
+def order_search(df: DataFrame, n_test: int, orders: Sequence[tuple[Order, Seasonal]]) -> DataFrame:
+    """RMSE of every order on each series' last ``n_test`` points, with ``rank`` 1 for the best.
+
+    The list is enumerated in full, nothing is sampled; the first order wins
+    ties.  Orders a series is too short for have no row.
+    """
+    trials = [(i, str(o), Terms.of(*o)) for i, o in enumerate(orders)]
+    columns = ["series_id", "trial", "params", "rmse"]
+
+    def score(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts")
+        y = pdf["value"].to_numpy(dtype=float)
+        train, test = y[:-n_test], y[-n_test:]
+        rows = []
+        for i, name, terms in trials:
+            fit = None if np.isnan(y).any() else fit_terms(train, terms)
+            if fit is not None:
+                path, _ = extend_series(train, fit, terms, n_test)
+                rows.append((pdf["series_id"].iloc[0], i, name, float(np.sqrt(np.mean((test - path) ** 2)))))
+        return pd.DataFrame(rows, columns=columns)
+
+    schema = "series_id string, trial int, params string, rmse double"
+    table = df.select("series_id", "ts", "value").groupBy("series_id").applyInPandas(score, schema)
+    best_first = Window.partitionBy("series_id").orderBy("rmse", "trial")
+    return table.withColumn("rank", F.row_number().over(best_first))

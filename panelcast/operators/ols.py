@@ -68,6 +68,35 @@ def _solver(k: int, intercept: bool, ridge: Sequence[float] | None):
     return solve
 
 
+def gram_sums(
+    df: DataFrame, xs: Sequence[str], y: str, *, keys: Sequence[str] = ("series_id",), intercept: bool = True
+) -> DataFrame:
+    """One row per group with the product sums of a regression, added up inside the tasks first.
+
+    With a constant the sums are those of columns centred by their group mean
+    (built-in covariances), which keeps them well scaled.
+    """
+    names = [*xs, y]
+    zs = [f"`{c}`" for c in names]
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in names]).dropna()
+    k = len(xs)
+
+    def cross(a: str, b: str) -> str:
+        return f"covar_pop({a}, {b}) * count(1)" if intercept else f"sum({a} * {b})"
+
+    inner = [cross(zs[i], zs[j]) for i in range(k) for j in range(i, k)]
+    upper = (["cast(count(1) AS double)", *["0.0D"] * k] if intercept else []) + inner
+    moments = (["0.0D"] if intercept else []) + [cross(z, zs[-1]) for z in zs[:-1]]
+    shift = ", ".join(f"avg({z})" for z in zs) if intercept else "0.0D"
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"array({', '.join(upper)})").alias("_upper"),
+        F.expr(f"array({', '.join(moments)})").alias("_moments"),
+        F.expr(cross(zs[-1], zs[-1])).alias("_yy"),
+        F.expr(f"array({shift})").alias("_shift"),
+    )
+
+
 def ols_fit(
     df: DataFrame,
     xs: Sequence[str],
@@ -80,49 +109,31 @@ def ols_fit(
     """Per group: ``n``, ``beta`` (constant first if asked), ``se``, ``t``, ``sse``.
 
     Rows with a NULL in any column are left out.  Fewer rows than coefficients
-    give NULLs.  With a constant, columns are first centred by their group mean,
-    which keeps the product sums well scaled; ``se`` and ``t`` of the constant
-    then refer to the centred model.
+    give NULLs.  With a constant, ``se`` and ``t`` of the constant refer to the
+    centred model.
     """
-    keys = list(keys)
-    names = [*xs, y]
-    rows = df.select(*keys, *[F.col(c).cast("double").alias(f"_z{i}") for i, c in enumerate(names)]).dropna()
-    k = len(xs) + int(intercept)
-    if intercept:
-        # Sums of products around a centre c follow from raw moments of z - c;
-        # covariances are built in, numerically stable and partially aggregated.
-        zs = [F.col(f"_z{i}") for i in range(len(names))]
-        means = [F.avg(z) for z in zs]
-        n = F.count(F.lit(1))
-        upper: list[Column] = []
-        for i in range(k):
-            for j in range(i, k):
-                if i == 0:
-                    upper.append(n.cast("double") if j == 0 else F.lit(0.0))
-                else:
-                    upper.append(F.covar_pop(zs[i - 1], zs[j - 1]) * n)
-        moments = [F.lit(0.0), *[F.covar_pop(z, zs[-1]) * n for z in zs[:-1]]]
-        yy = F.var_pop(zs[-1]) * n
-        shift = F.array(*means)
-    else:
-        zs = [F.col(f"_z{i}") for i in range(len(names))]
-        n = F.count(F.lit(1))
-        upper = [F.sum(zs[i] * zs[j]) for i in range(k) for j in range(i, k)]
-        moments = [F.sum(z * zs[-1]) for z in zs[:-1]]
-        yy = F.sum(zs[-1] * zs[-1])
-        shift = F.array(F.lit(0.0))
-    sums = rows.groupBy(*keys).agg(
-        n.alias("n"),
-        F.array(*upper).alias("_upper"),
-        F.array(*moments).alias("_moments"),
-        yy.alias("_yy"),
-        shift.alias("_shift"),
-    )
-    solve = _solver(k, intercept, ridge)
+    sums = gram_sums(df, xs, y, keys=keys, intercept=intercept)
+    solve = _solver(len(xs) + int(intercept), intercept, ridge)
     fit = solve("_upper", "_moments", "_yy", F.col("n").cast("double"), "_shift")
     return sums.withColumn("_fit", fit).select(*keys, "n", "_fit.beta", "_fit.se", "_fit.t", "_fit.sse")
 
 
+def nested_errors(sums: DataFrame, sizes: Sequence[int], k: int) -> DataFrame:
+    """Add ``sse``: the error sums of the regressions on the first ``size`` columns, for each size."""
+    sizes = list(sizes)
+
+    @F.pandas_udf("array<double>")
+    def errors(upper: pd.Series, moments: pd.Series, yy: pd.Series, n: pd.Series) -> pd.Series:
+        out = []
+        for u, m, y2, count in zip(upper, moments, yy, n):
+            gram, mom = _unpack(np.asarray(u, dtype=float), k), np.asarray(m, dtype=float)
+            fits = [solve_gram(gram[:s, :s], mom[:s], y2, count) for s in sizes]
+            out.append([f[3] if f is not None else None for f in fits])
+        return pd.Series(out)
+
+    return sums.withColumn("sse", errors("_upper", "_moments", "_yy", F.col("n").cast("double")))
+
+
 def linear_predictor(beta: Column, xs: Sequence[str], intercept: bool = True) -> Column:
     """beta' x as a column expression."""
     out = beta[0] if intercept else F.lit(0.0)

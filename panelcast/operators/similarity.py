@@ -162,19 +162,15 @@ def dtw_distance(a: Column, b: Column, band: int | None = None) -> Column:
     return distance(a, b)
 
 
-@F.pandas_udf("array<struct<i: int, j: int>>")
-def _paths(x: pd.Series, y: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            [{"i": i, "j": j} for i, j in warp_path(np.asarray(p, dtype=float), np.asarray(q, dtype=float))]
-            for p, q in zip(x, y)
-        ]
-    )
-
-
 def dtw_path(pairs: DataFrame, a: str = "points_a", b: str = "points_b") -> DataFrame:
     """Add ``path``, one best alignment of the two arrays of each row."""
-    return pairs.withColumn("path", _paths(a, b))
+
+    @F.pandas_udf("array<struct<i: int, j: int>>")
+    def paths(x: pd.Series, y: pd.Series) -> pd.Series:
+        both = [(np.asarray(p, dtype=float), np.asarray(q, dtype=float)) for p, q in zip(x, y)]
+        return pd.Series([[{"i": i, "j": j} for i, j in warp_path(p, q)] for p, q in both])
+
+    return pairs.withColumn("path", paths(a, b))
 
 
 def dtw_matrix(df: DataFrame, *, blocks: int = 4, band: int | None = None) -> DataFrame:

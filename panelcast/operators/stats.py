@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from panelcast.functions.numeric import normal_cdf, normal_quantile
-from panelcast.operators.ols import ols_fit
+from panelcast.operators.ols import gram_sums, nested_errors, ols_fit
 from panelcast.plans.grid import Step, grid_index
 from panelcast.plans.quantiles import exact_quantiles, value_bins
 from panelcast.plans.tiles import attach, join_series, over_tiles, time_tile
@@ -35,26 +35,29 @@ def zscore(df: DataFrame) -> DataFrame:
 def acf(df: DataFrame, nlags: int, step: Step) -> DataFrame:
     """Autocorrelations r_1 .. r_nlags (full-series mean, divisor n); constant series NULL.
 
-    The lagged products of one row are columns of one tiled window, so the
-    panel shuffles once whatever the number of lags, and only sums leave a tile.
-    Lags a series is too short for are left out.
+    One tiled window hands each row the values before it as a short array, so
+    the panel shuffles once whatever the number of lags.  Products are added up
+    inside the tasks; only one sum per series and lag is shuffled again.
+    A NULL counts as the mean.  Lags a series is too short for are left out.
     """
-    centred = join_series(df, series_moments(df)).select(
-        "series_id", "ts", (F.col("value") - F.col("_mean")).alias("_c"), "_n"
+    moments = df.groupBy("series_id").agg(F.count("value").alias("_n"), F.avg("value").alias("_mean"))
+    centred = join_series(df, moments).select(
+        "series_id", "ts", F.coalesce(F.col("value") - F.col("_mean"), F.lit(0.0)).alias("_c"), "_n"
     )
-    c = F.col("_c")
-    lagged = over_tiles(
-        centred, lambda w: {f"_l{k}": F.lag(c, k).over(w) for k in range(1, nlags + 1)}, step=step, back=nlags
+    recent = over_tiles(
+        centred,
+        lambda w: {"_past": F.reverse(F.collect_list("_c").over(w.rowsBetween(-nlags, 0)))},
+        step=step,
+        back=nlags,
     )
-    sums = [F.sum(c * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, nlags + 1)]
-    wide = lagged.groupBy("series_id").agg(F.max("_n").alias("_n"), F.sum(c * c).alias("_ss"), *sums)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(k).cast("bigint").alias("lag"), F.try_divide(F.col(f"_s{k}"), F.col("_ss")).alias("acf"))
-            for k in range(1, nlags + 1)
-        ]
+    products = recent.select("series_id", "_n", "_c", F.posexplode("_past").alias("_k", "_p"))
+    sums = products.groupBy("series_id", "_k").agg(
+        F.sum(F.col("_c") * F.col("_p")).alias("_s"), F.max("_n").alias("n")
     )
-    return wide.select("series_id", F.col("_n").alias("n"), F.inline(pairs)).where(F.col("lag") < F.col("n"))
+    # Lag 0 is the sum of squares.
+    square = F.max(F.when(F.col("_k") == 0, F.col("_s"))).over(Window.partitionBy("series_id"))
+    ratios = sums.withColumn("acf", F.try_divide(F.col("_s"), square)).where(F.col("_k") > 0)
+    return ratios.select("series_id", "n", F.col("_k").cast("bigint").alias("lag"), "acf")
 
 
 def dominant_lag(correlations: DataFrame) -> DataFrame:
@@ -65,11 +68,6 @@ def dominant_lag(correlations: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("array<double>")
-def _levinson(r: pd.Series) -> pd.Series:
-    return r.map(partial_from_acf)
-
-
 def partial_from_acf(r: Sequence[float] | None) -> list[float] | None:
     """Partial autocorrelations from r_1.. by the Durbin-Levinson recursion."""
     if r is None or any(x is None or np.isnan(x) for x in r):
@@ -89,9 +87,13 @@ def pacf(df: DataFrame, nlags: int, step: Step) -> DataFrame:
     r = acf(df, nlags, step)
     ordered = F.array_sort(F.collect_list(F.struct("lag", "acf")))
     rows = r.groupBy("series_id").agg(ordered.alias("_r"))
-    values = _levinson(F.transform("_r", lambda x: x["acf"]))
-    pos = F.posexplode(values).alias("_k", "pacf")
-    return rows.select("series_id", pos).select("series_id", (F.col("_k") + 1).cast("bigint").alias("lag"), "pacf")
+
+    @F.pandas_udf("array<double>")
+    def levinson(r: pd.Series) -> pd.Series:
+        return r.map(partial_from_acf)
+
+    values = rows.select("series_id", levinson(F.transform("_r", lambda x: x["acf"])).alias("_v"))
+    return values.select("series_id", F.posexplode("_v").alias("_k", "pacf")).select("series_id", (F.col("_k") + 1).cast("bigint").alias("lag"), "pacf")
 
 
 def centred_mean(value: Column, w: WindowSpec, period: int) -> Column:
@@ -264,28 +266,29 @@ def adf_test(df: DataFrame, step: Step, *, maxlag: int) -> DataFrame:
     ceil(12 (n / 100)^(1/4)).  One tiled design serves all regressions.
     """
     design = adf_design(df, maxlag, step)
-    common = design.where(F.col(f"d_{maxlag}").isNotNull()) if maxlag else design
-    fits = []
-    for order in range(maxlag + 1):
-        xs = ["level", *[f"d_{k}" for k in range(1, order + 1)]]
-        fit = ols_fit(common, xs, "dy")
-        k = order + 2
-        aic = F.col("n") * F.log(F.col("sse") / F.col("n")) + 2 * k
-        fits.append(fit.where(F.col("sse") > 0).select("series_id", F.lit(order).alias("lags"), aic.alias("_aic")))
-    ranked = fits[0]
-    for f in fits[1:]:
-        ranked = ranked.unionByName(f)
-    chosen = ranked.groupBy("series_id").agg(F.min_by("lags", F.struct("_aic", "lags")).alias("lags"))
-    finals = []
-    for order in range(maxlag + 1):
-        xs = ["level", *[f"d_{k}" for k in range(1, order + 1)]]
-        usable = design.where(F.col(xs[-1]).isNotNull())
-        fit = ols_fit(usable, xs, "dy").withColumn("lags", F.lit(order))
-        finals.append(fit.select("series_id", "lags", "n", F.col("t")[1].alias("adf"), F.col("beta")[1].alias("gamma")))
-    best = finals[0]
-    for f in finals[1:]:
-        best = best.unionByName(f)
-    out = best.join(chosen, ["series_id", "lags"])
+    xs = ["level", *[f"d_{k}" for k in range(1, maxlag + 1)]]
+    orders = range(maxlag + 1)
+    # The product sums of the largest regression hold those of all smaller ones.
+    scored = nested_errors(gram_sums(design, xs, "dy"), [o + 2 for o in orders], maxlag + 2)
+    n = F.col("n")
+    trials = F.array(
+        *[
+            F.struct((n * F.log(F.col("sse")[o] / n) + 2 * (o + 2)).alias("aic"), F.lit(o).alias("lags"))
+            for o in orders
+        ]
+    )
+    usable = F.filter(trials, lambda r: r["aic"].isNotNull() & ~F.isnan(r["aic"]))
+    chosen = scored.select("series_id", F.array_min(usable)["lags"].alias("lags")).where(F.col("lags").isNotNull())
+    # Second pass: columns beyond the chosen order are zero, so they take no part.
+    rows = join_series(design, chosen)
+    kept = [
+        F.when(F.col("lags") >= k, F.col(f"d_{k}")).otherwise(F.lit(0.0)).alias(f"d_{k}") for k in range(1, maxlag + 1)
+    ]
+    final = ols_fit(rows.select("series_id", "lags", "dy", "level", *kept), xs, "dy", keys=["series_id", "lags"])
+    # The zero columns cost no degrees of freedom.
+    dof = F.col("lags") + 2
+    scale = F.sqrt(F.try_divide(n - dof, n - (maxlag + 2)))
+    out = final.select("series_id", "lags", "n", (F.col("t")[1] * scale).alias("adf"), F.col("beta")[1].alias("gamma"))
     return out.withColumns(_adf_columns(F.col("adf"), F.col("n")))
 
 

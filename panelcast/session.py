@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -15,9 +17,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Timestamps are UTC wall clock; adaptive execution sizes joins and shuffles."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package: Spark hands a zip of it to every worker, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    stage = Path(tempfile.mkdtemp(prefix="panelcast-"))
+    shutil.copytree(package, stage / "src" / package.name, ignore=shutil.ignore_patterns("__pycache__"))
+    archive = shutil.make_archive(str(stage / package.name), "zip", stage / "src")
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path for intermediate files below the cluster's checkpoint folder.
 

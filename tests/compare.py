@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 from pathlib import Path
 
 import duckdb
@@ -27,6 +28,8 @@ def _plain(x):
         return None if math.isnan(x) else ("%.6f" % (x + 0.0)).replace("-0.000000", "0.000000")
     if isinstance(x, (list, tuple)):
         return tuple(_plain(i) for i in x)
+    if isinstance(x, Decimal):
+        return _plain(float(x))
     return str(x) if x is not None else None
 
 
