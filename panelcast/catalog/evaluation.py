@@ -29,10 +29,15 @@ def _(spark, sf):
 
 def metric_sql(a: str = "actual", f: str = "forecast", digits: int = 4) -> str:
     e = f"({a} - {f})"
-    return f"""count({e}) AS n, round(avg({e} * {e}), {digits}) AS mse, round(avg(abs({e})), {digits}) AS mae,
+    return f"""count({e}) AS n, round(avg({e} * {e}), {-3 if digits == 2 else digits}) AS mse, round(avg(abs({e})), {digits}) AS mae,
   round(sqrt(avg({e} * {e})), {digits}) AS rmse, round(avg(abs({e} / nullif({a}, 0))) * 100, {digits}) AS mape, count({e} / nullif({a}, 0)) AS n_mape"""
 
 
+def coarse_mse(df):
+    """Squared order values are near 1e12, where a double holds no second decimal."""
+    return df.withColumn("mse", F.round("mse", -3))
+
+
 @query("expanding_cv", v.with_(v.M, N, FOLDS) + """,
 tr AS (SELECT series_id, fold, avg(value) AS forecast FROM p WHERE part = 'train' GROUP BY 1, 2),
 ev AS (SELECT p.series_id, p.fold, p.value AS actual, forecast FROM p JOIN tr USING (series_id, fold) WHERE part = 'test')
@@ -40,7 +45,7 @@ SELECT series_id, fold, """.replace("\n,", ",", 1) + metric_sql(digits=2) + " FR
 def _(spark, sf):
     folds = evaluate.expanding_folds(v.monthly(spark, sf), 5)
     rows = evaluate.evaluate_folds(folds, forecast_mean, 14, MONTH, model="mean")
-    return evaluate.metrics(rows, ["series_id", "fold"])
+    return coarse_mse(evaluate.metrics(rows, ["series_id", "fold"]))
 
 
 ROLL = """o AS (SELECT a.series_id, a.rn AS t, a.ts AS origin_ts, h AS horizon, b.ts, b.value AS actual, a.n FROM k a
@@ -110,7 +115,7 @@ ev AS (SELECT m.series_id, m.value AS actual, (SELECT arg_max(b.value, b.ts) FRO
 SELECT """.replace("\n,", ",", 1) + metric_sql(digits=2) + " FROM ev", digits=2)
 def _(spark, sf):
     rows = evaluate.cutoff_cv(v.monthly(spark, sf), forecast_naive, 13, MONTH, model="naive")
-    return evaluate.metrics(rows)
+    return coarse_mse(evaluate.metrics(rows))
 
 
 COMPARE = """c AS (SELECT k.*, j AS fold, n - (3 - j + 1) * 12 AS st FROM k CROSS JOIN (SELECT unnest(generate_series(1, 3)) AS j)),
@@ -125,10 +130,10 @@ pf AS (SELECT series_id, model, fold, avg(pow(actual - forecast, 2)) AS mse, avg
 
 
 @query("leaderboard", v.with_recursive(v.M, N, SES, COMPARE) + """
-SELECT model, n_fits, round(mse, 2) AS mse, round(mae, 2) AS mae, round(rmse, 2) AS rmse, round(mape, 2) AS mape, row_number() OVER (ORDER BY mae, model) AS rank
+SELECT model, n_fits, round(mse, -3) AS mse, round(mae, 2) AS mae, round(rmse, 2) AS rmse, round(mape, 2) AS mape, row_number() OVER (ORDER BY mae, model) AS rank
 FROM (SELECT model, count(*) AS n_fits, avg(mse) AS mse, avg(mae) AS mae, avg(rmse) AS rmse, avg(mape) AS mape FROM pf GROUP BY 1)""", digits=2)
 def _(spark, sf):
-    return evaluate.leaderboard(evaluate.compare_models(v.monthly(spark, sf), MONTH))
+    return coarse_mse(evaluate.leaderboard(evaluate.compare_models(v.monthly(spark, sf), MONTH)))
 
 
 @query("best_model", v.with_recursive(v.M, N, SES, COMPARE) + """
