@@ -102,7 +102,7 @@ def _(spark, sf):
 
 @query("dtw_pairs")
 def _(spark, sf):
-    return similarity.dtw_within(v.vectors(spark, sf), radius=0.6)
+    return similarity.dtw_within(v.vectors(spark, sf), radius=0.65, within=["category"])
 
 
 @query("dtw_cluster")

@@ -12,7 +12,7 @@ from panelcast.operators.forecast.arima import arima_residuals
 from panelcast.operators.stats import decompose, series_moments
 from panelcast.operators.windows import strict_mean
 from panelcast.plans.grid import Step, grid_index, grid_time
-from panelcast.plans.quantiles import exact_quantiles, value_bins
+from panelcast.plans.quantiles import exact_quantiles
 from panelcast.plans.tiles import attach, join_series, over_tiles, runs, time_tile
 from panelcast.schema import select_anomaly
 
@@ -179,44 +179,39 @@ def residual_drift(residuals: DataFrame, step: Step, *, window: int) -> DataFram
     """Residuals of the last ``window`` steps against all earlier ones.
 
     Means, sample deviations, their ratio, and the Kolmogorov-Smirnov distance
-    of the two distributions, taken from counts per value.
+    of the two distributions, from counts per value.  Residuals are regular, so
+    a series is at most one row per step; one shuffle serves all steps below.
     """
-    last = residuals.groupBy("series_id").agg(grid_index(F.max("ts"), step).alias("_last"))
-    recent = grid_index(F.col("ts"), step) > F.col("_last") - window
-    rows = (
-        join_series(residuals, last)
-        .where(F.col("resid").isNotNull())
-        .select("series_id", F.col("resid"), recent.alias("_recent"))
+    series = Window.partitionBy("series_id")
+    recent = grid_index(F.col("ts"), step) > F.max(grid_index(F.col("ts"), step)).over(series) - window
+    rows = residuals.select("series_id", "resid", recent.alias("_recent")).where(F.col("resid").isNotNull())
+    counts = rows.groupBy("series_id", "resid").agg(
+        F.count_if("_recent").alias("_a"), F.count_if(~F.col("_recent")).alias("_b")
     )
-    new, old = F.when(F.col("_recent"), F.col("resid")), F.when(~F.col("_recent"), F.col("resid"))
-    moments = rows.groupBy("series_id").agg(
-        F.count(new).alias("n_recent"),
-        F.count(old).alias("n_earlier"),
-        F.avg(new).alias("mean_recent"),
-        F.avg(old).alias("mean_earlier"),
-        F.stddev_samp(new).alias("std_recent"),
-        F.stddev_samp(old).alias("std_earlier"),
-        F.min("resid").alias("_lo"),
-        F.max("resid").alias("_hi"),
+    r, a, b = F.col("resid"), F.col("_a"), F.col("_b")
+    totals = counts.withColumns(
+        {
+            "n_recent": F.sum(a).over(series),
+            "n_earlier": F.sum(b).over(series),
+            "mean_recent": F.try_divide(F.sum(a * r).over(series), F.sum(a).over(series)),
+            "mean_earlier": F.try_divide(F.sum(b * r).over(series), F.sum(b).over(series)),
+        }
     )
-    counts = rows.groupBy("series_id", "resid").agg(F.count(new).alias("_a"), F.count(old).alias("_b"))
-    span = moments.select("series_id", "_lo", "_hi", "n_recent", "n_earlier")
-    binned = value_bins(counts, span, ["series_id"], "resid")
-    per_bin = binned.groupBy("series_id", "_bin").agg(F.sum("_a").alias("_sa"), F.sum("_b").alias("_sb"))
-    before = Window.partitionBy("series_id").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    heads = per_bin.select(
-        "series_id",
-        "_bin",
-        F.coalesce(F.sum("_sa").over(before), F.lit(0)).alias("_ha"),
-        F.coalesce(F.sum("_sb").over(before), F.lit(0)).alias("_hb"),
+    upto = series.orderBy("resid").rowsBetween(Window.unboundedPreceding, 0)
+    share_new = F.try_divide(F.sum(a).over(upto), F.col("n_recent"))
+    share_old = F.try_divide(F.sum(b).over(upto), F.col("n_earlier"))
+    spread = totals.withColumn("_d", F.abs(share_new - share_old))
+
+    def deviation(count: Column, mean: str, n: str) -> Column:
+        off = r - F.col(mean)
+        return F.sqrt(F.try_divide(F.sum(count * off * off), F.max(n) - 1))
+
+    table = spread.groupBy("series_id", "n_recent", "n_earlier", "mean_recent", "mean_earlier").agg(
+        deviation(a, "mean_recent", "n_recent").alias("std_recent"),
+        deviation(b, "mean_earlier", "n_earlier").alias("std_earlier"),
+        F.max("_d").alias("ks"),
     )
-    inside = Window.partitionBy("series_id", "_bin").orderBy("resid").rowsBetween(Window.unboundedPreceding, 0)
-    share_new = F.try_divide(F.col("_ha") + F.sum("_a").over(inside), F.col("n_recent"))
-    share_old = F.try_divide(F.col("_hb") + F.sum("_b").over(inside), F.col("n_earlier"))
-    distance = binned.join(heads, ["series_id", "_bin"]).withColumn("_d", F.abs(share_new - share_old))
-    ks = distance.groupBy("series_id").agg(F.max("_d").alias("ks"))
-    ratio = F.try_divide(F.col("std_recent"), F.col("std_earlier"))
-    return moments.withColumn("std_ratio", ratio).join(ks, "series_id", "left").drop("_lo", "_hi")
+    return table.withColumn("std_ratio", F.try_divide("std_recent", "std_earlier"))
 
 
 def unexpected_ramps(residuals: DataFrame, step: Step, *, k: float) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from panelcast.operators.daily import coefficient_of_variation, intermittency_ratio, peak_to_avg_ratio
 from panelcast.operators.stats import acf, decompose, seasonality_strength
 from panelcast.plans.grid import Step
-from panelcast.plans.tiles import over_tiles
+from panelcast.plans.tiles import merge_tables, over_tiles
 
 FEATURES = [
     "mean_load", "variance", "cv", "acf_1", "seasonality_strength", "intermittency",
@@ -44,8 +44,7 @@ def fingerprint(df: DataFrame, step: Step, *, period: int, ramp_threshold: float
     )
     first_lag = acf(df, 1, step).select("series_id", F.col("acf").alias("acf_1"))
     strength = seasonality_strength(decompose(df, period, step))
-    full = base.join(first_lag, "series_id", "left").join(strength, "series_id", "left")
-    return full.select("series_id", *FEATURES)
+    return merge_tables([base, first_lag, strength]).select("series_id", *FEATURES)
 
 
 def classify_series(

@@ -131,8 +131,12 @@ def warp_distance(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.n
 
 def warp_path(a: np.ndarray, b: np.ndarray, band: int | None = None) -> list[tuple[int, int]]:
     """One best alignment, from the first points to the last."""
-    cost = warp_cost(a[None, :], b[None, :], band)[0]
-    i, j = len(a), len(b)
+    return trace(warp_cost(a[None, :], b[None, :], band)[0])
+
+
+def trace(cost: np.ndarray) -> list[tuple[int, int]]:
+    """Walk a filled cost matrix back from its end; the diagonal step wins ties."""
+    i, j = cost.shape[0] - 1, cost.shape[1] - 1
     path = []
     while i > 0 and j > 0:
         path.append((i - 1, j - 1))
@@ -209,30 +213,36 @@ def dtw_matrix(df: DataFrame, *, blocks: int = 4, band: int | None = None) -> Da
     return spread.groupBy("a", "b").applyInPandas(distances, "id_a string, id_b string, distance double")
 
 
-def dtw_within(df: DataFrame, radius: float, *, band: int | None = None) -> DataFrame:
-    """All pairs of equally long series at most ``radius`` apart, without comparing all pairs.
+def dtw_within(
+    df: DataFrame, radius: float, *, within: Sequence[str] = (), band: int | None = None
+) -> DataFrame:
+    """All pairs of equally long series at most ``radius`` apart, for pairs that agree in ``within``.
 
     Any alignment pairs the two first and the two last points, so those may
     differ by at most ``radius`` each.  A grid of that width over (first, last)
-    gives the candidates; the pairs left after this bound are measured.
+    gives the candidates by an equi-join, which adaptive execution splits where
+    a cell is crowded; the pairs left after the bound are measured.
     """
+    within = list(within)
     first, last = F.element_at("points", 1), F.element_at("points", -1)
     cells = df.select(
         "series_id",
         "points",
+        *within,
         F.size("points").alias("_len"),
         F.floor(first / radius).alias("_cx"),
         F.floor(last / radius).alias("_cy"),
     )
     shifts = F.array(*[F.struct(F.lit(dx).alias("x"), F.lit(dy).alias("y")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
     left = cells.select(
-        F.col("series_id").alias("id_a"), F.col("points").alias("points_a"), "_len", "_cx", "_cy"
+        F.col("series_id").alias("id_a"), F.col("points").alias("points_a"), *within, "_len", "_cx", "_cy"
     )
     right = (
         cells.withColumn("_s", F.explode(shifts))
         .select(
             F.col("series_id").alias("id_b"),
             F.col("points").alias("points_b"),
+            *within,
             "_len",
             (F.col("_cx") + F.col("_s.x")).alias("_cx"),
             (F.col("_cy") + F.col("_s.y")).alias("_cy"),
@@ -243,7 +253,7 @@ def dtw_within(df: DataFrame, radius: float, *, band: int | None = None) -> Data
         d = F.element_at("points_a", at) - F.element_at("points_b", at)
         return d * d
 
-    near = left.join(right, ["_len", "_cx", "_cy"]).where(
+    near = left.join(right, [*within, "_len", "_cx", "_cy"]).where(
         (F.col("id_a") < F.col("id_b")) & (gap(1) + gap(-1) <= radius * radius)
     )
     measured = near.withColumn("distance", dtw_distance(F.col("points_a"), F.col("points_b"), band))
@@ -286,11 +296,16 @@ def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 10, band: int | No
                 rows = []
                 for c, centre in enumerate(held):
                     total, count = np.zeros(len(centre)), np.zeros(len(centre))
-                    for p in pdf["points"][owner == c]:
-                        p = np.asarray(p, dtype=float)
-                        path = np.array(warp_path(centre, p, band))
-                        np.add.at(total, path[:, 0], p[path[:, 1]])
-                        np.add.at(count, path[:, 0], 1)
+                    mine = pdf["points"][owner == c]
+                    for _, same in mine.groupby(mine.map(len)):
+                        x = np.stack(same.to_numpy())
+                        for start in range(0, len(x), 256):
+                            some = x[start : start + 256]
+                            costs = warp_cost(np.tile(centre, (len(some), 1)), some, band)
+                            for p, cost in zip(some, costs):
+                                path = np.array(trace(cost))
+                                np.add.at(total, path[:, 0], p[path[:, 1]])
+                                np.add.at(count, path[:, 0], 1)
                     rows.append(pd.DataFrame({"c": c, "i": np.arange(len(centre)), "s": total, "n": count}))
                 yield pd.concat(rows)
 
@@ -329,7 +344,11 @@ def _cluster_stages(features: Sequence[str], k: int, seed: int) -> list:
 
 
 def cluster_series(fingerprints: DataFrame, features: Sequence[str], k: int = 3, *, seed: int = 42) -> DataFrame:
-    """Standardise the features and run k-means (a job); one row per series with its cluster."""
+    """Standardise the features and run k-means (a job); one row per series with its cluster.
+
+    The fingerprints, one row per series, are kept for the passes of the fit.
+    """
+    fingerprints = fingerprints.persist()
     model = Pipeline(stages=_cluster_stages(features, k, seed)).fit(fingerprints)
     return model.transform(fingerprints).select("series_id", F.col("cluster").cast("bigint").alias("cluster"))
 
@@ -337,8 +356,10 @@ def cluster_series(fingerprints: DataFrame, features: Sequence[str], k: int = 3,
 def choose_k(fingerprints: DataFrame, features: Sequence[str], ks: Sequence[int] = (3, 4), *, seed: int = 42) -> DataFrame:
     """Silhouette per number of clusters; one fit per candidate."""
     score = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
+    fingerprints = fingerprints.persist()
     rows = []
     for k in ks:
         model = Pipeline(stages=_cluster_stages(features, k, seed)).fit(fingerprints)
         rows.append((k, float(score.evaluate(model.transform(fingerprints)))))
+    fingerprints.unpersist()
     return fingerprints.sparkSession.createDataFrame(rows, "k int, silhouette double")

@@ -12,7 +12,7 @@ from panelcast.functions.numeric import normal_cdf, normal_quantile
 from panelcast.operators.ols import gram_sums, nested_errors, ols_fit
 from panelcast.plans.grid import Step, grid_index
 from panelcast.plans.quantiles import exact_quantiles, value_bins
-from panelcast.plans.tiles import attach, join_series, over_tiles, time_tile
+from panelcast.plans.tiles import attach, join_series, merge_tables, over_tiles, row_tile, time_tile
 
 
 def series_moments(df: DataFrame, value: str = "value") -> DataFrame:
@@ -133,7 +133,7 @@ def decompose(df: DataFrame, period: int, step: Step, *, model: str = "additive"
         F.sum("_rows").over(series).alias("_n"),
     ).where(F.col("_n") >= 2 * period)
     table = season.groupBy("series_id").agg(F.map_from_entries(F.collect_list(F.struct("_phase", "seasonal"))).alias("_map"))
-    joined = join_series(trended, table)
+    joined = attach(row_tile(trended, step), table, source=row_tile(df, step))
     seasonal = F.col("_map")[F.col("_phase")]
     if additive:
         resid = v - F.col("trend") - F.col("seasonal")
@@ -319,9 +319,4 @@ def check_stats(df: DataFrame, nlags: int, step: Step) -> DataFrame:
     median = exact_quantiles(df, [0.5]).select("series_id", F.col("q")[0].alias("median"))
     shape = residual_moments(df).drop("n")
     unit_root = adf_lag0(df, step).select("series_id", "adf")
-    return (
-        base.join(median, "series_id", "left")
-        .join(shape, "series_id", "left")
-        .join(unit_root, "series_id", "left")
-        .join(ljung_box(acf(df, nlags, step)), "series_id", "left")
-    )
+    return merge_tables([base, median, shape, unit_root, ljung_box(acf(df, nlags, step))])

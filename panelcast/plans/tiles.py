@@ -15,6 +15,7 @@ into tiles and shuffle on ``(series, tile)``:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -104,9 +105,19 @@ def previous_row(
     return t.drop("_tile", "_carry", "_rn")
 
 
-def attach(df: DataFrame, per_series: DataFrame, *, keys: Keys = ("series_id",), how: str = "inner") -> DataFrame:
-    """Join a one-row-per-series table to a frame that carries ``_tile``."""
-    tiles = df.select(*keys, "_tile").distinct()
+def attach(
+    df: DataFrame,
+    per_series: DataFrame,
+    *,
+    keys: Keys = ("series_id",),
+    how: str = "inner",
+    source: DataFrame | None = None,
+) -> DataFrame:
+    """Join a one-row-per-series table to a frame that carries ``_tile``.
+
+    ``source`` is a cheaper frame with the same tiles, to list them from.
+    """
+    tiles = (df if source is None else source).select(*keys, "_tile").distinct()
     return df.join(tiles.join(per_series, list(keys)), [*keys, "_tile"], how)
 
 
@@ -120,6 +131,13 @@ def join_series(df: DataFrame, per_series: DataFrame, *, keys: Keys = ("series_i
     return df.join(per_series, list(keys), how)
 
 
+def merge_tables(tables: Sequence[DataFrame], *, keys: Keys = ("series_id",)) -> DataFrame:
+    """Put one-row-per-series tables side by side: one union and one aggregate instead of a chain of joins."""
+    names = list(dict.fromkeys(c for t in tables for c in t.columns if c not in keys))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names])
+
+
 def running_sum(
     df: DataFrame,
     column: str,
