@@ -128,7 +128,7 @@ rs AS (SELECT k.series_id, k.ts, k.value, b.value AS yhat, b.value + lo * sqrt(f
 def holdout(spark, sf):
     from panelcast.operators.clean import split_last
 
-    parts = split_last(v.hourly(spark, sf), 120)
+    parts = split_last(v.hourly(spark, sf), 120, step=HOUR)
     train = parts.where("part = 'train'").drop("part")
     forecast = to_contract(forecast_snaive(train, 120, HOUR, season=24), "snaive")
     return parts.where("part = 'test'").drop("part"), forecast

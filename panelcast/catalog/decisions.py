@@ -35,7 +35,7 @@ def forecast(spark, sf):
 
 
 def history(spark, sf):
-    return split_last(v.hourly(spark, sf), 120).where("part = 'train'").drop("part")
+    return split_last(v.hourly(spark, sf), 120, step=HOUR).where("part = 'train'").drop("part")
 
 
 def residuals(spark, sf):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelcast.functions.calendar import time_features as calendar_columns
 from panelcast.plans.grid import Step, grid_index, grid_time, seconds_between
-from panelcast.plans.tiles import TILE_ROWS, positions, previous_row, row_tile
+from panelcast.plans.tiles import TILE_ROWS, positions, previous_row, regular_positions, row_tile
 from panelcast.schema import require_columns
 
 CELL_AGGREGATES = {
@@ -151,17 +151,24 @@ def last_window(df: DataFrame, weeks: int = 12) -> DataFrame:
     return days.join(keys, ["series_id", "_tile"]).where(F.col("ts") >= F.col("_from")).select(*df.columns)
 
 
-def split_fraction(df: DataFrame, val_fraction: float = 0.2) -> DataFrame:
-    """Add ``part``: the first int(n * (1 - f)) rows of a series are ``train``, the rest ``validation``."""
+def _numbered(df: DataFrame, step: Step | None) -> DataFrame:
+    return positions(df) if step is None else regular_positions(df, step)
+
+
+def split_fraction(df: DataFrame, val_fraction: float = 0.2, *, step: Step | None = None) -> DataFrame:
+    """Add ``part``: the first int(n * (1 - f)) rows of a series are ``train``, the rest ``validation``.
+
+    Give ``step`` for a regular panel, which needs no counting.
+    """
     cut = F.floor(F.col("n") * F.lit(1 - val_fraction))
     part = F.when(F.col("pos") <= cut, "train").otherwise("validation")
-    return positions(df).withColumn("part", part).drop("pos", "n")
+    return _numbered(df, step).withColumn("part", part).drop("pos", "n")
 
 
-def split_last(df: DataFrame, n_test: int) -> DataFrame:
+def split_last(df: DataFrame, n_test: int, *, step: Step | None = None) -> DataFrame:
     """Add ``part``: the last ``n_test`` rows of a series are ``test``."""
     part = F.when(F.col("pos") > F.col("n") - n_test, "test").otherwise("train")
-    return positions(df).withColumn("part", part).drop("pos", "n")
+    return _numbered(df, step).withColumn("part", part).drop("pos", "n")
 
 
 def profile(df: DataFrame, category: str | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from panelcast.operators.forecast.smoothing import forecast_smoothing, rolling_s
 from panelcast.operators.windows import prefix_stats
 from panelcast.plans.grid import Step, grid_index, grid_time
 from panelcast.plans.quantiles import exact_quantiles
-from panelcast.plans.tiles import attach, over_tiles, positions, time_tile
+from panelcast.plans.tiles import attach, over_tiles, positions, regular_positions, time_tile
 from panelcast.schema import select_eval
 
 Forecaster = Callable[..., DataFrame]
@@ -50,14 +50,18 @@ def metrics_filled(actual: DataFrame, forecast: DataFrame, step: Step) -> DataFr
     return metrics(both.withColumn("actual", checked), ["series_id"])
 
 
-def expanding_folds(df: DataFrame, n_splits: int = 5, *, test_size: int | None = None) -> DataFrame:
+def expanding_folds(
+    df: DataFrame, n_splits: int = 5, *, test_size: int | None = None, step: Step | None = None
+) -> DataFrame:
     """Rows marked ``train`` or ``test`` for each fold; a row appears at most ``n_splits`` times.
 
     The test parts are the last ``n_splits`` blocks of n // (n_splits + 1) rows
-    (or of ``test_size``); everything before a block trains it.
+    (or of ``test_size``); everything before a block trains it.  Give ``step``
+    for a regular panel, which needs no counting.
     """
     size = F.floor(F.col("n") / (n_splits + 1)) if test_size is None else F.lit(test_size)
-    rows = positions(df).withColumn("_size", size.cast("bigint"))
+    numbered = positions(df) if step is None else regular_positions(df, step)
+    rows = numbered.withColumn("_size", size.cast("bigint"))
     rows = rows.withColumn("fold", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(n_splits).cast("bigint"))))
     start = F.col("n") - (n_splits - F.col("fold") + 1) * F.col("_size")
     at = F.col("pos") - 1
@@ -71,15 +75,14 @@ def evaluate_folds(
     """Forecast every fold's test rows from its train rows; folds are extra keys, not a loop."""
     keys = list(keys)
     train = folds.where("part = 'train'").select(*keys, "ts", "value")
+    made = forecaster(train, horizon, step, keys=keys, **kw).withColumn("model", F.lit(model))
+    return _score_folds(folds, made, keys)
+
+
+def _score_folds(folds: DataFrame, made: DataFrame, keys: Sequence[str]) -> DataFrame:
     test = folds.where("part = 'test'").select(*keys, "ts", F.col("value").alias("actual"))
-    made = forecaster(train, horizon, step, keys=keys, **kw).select(
-        *keys, "ts", F.col("h").alias("horizon"), F.col("yhat").alias("forecast"), "origin_ts"
-    )
-    return (
-        test.join(made, [*keys, "ts"])
-        .withColumn("error", F.col("actual") - F.col("forecast"))
-        .withColumn("model", F.lit(model))
-    )
+    guess = made.select(*keys, "ts", F.col("h").alias("horizon"), F.col("yhat").alias("forecast"), "origin_ts", "model")
+    return test.join(guess, [*keys, "ts"]).withColumn("error", F.col("actual") - F.col("forecast"))
 
 
 def rolling_origin(
@@ -209,15 +212,11 @@ def compare_models(
     df: DataFrame, step: Step, *, folds: int = 3, horizon: int = 12, models: Sequence[str] = ("mean", "naive", "snaive", "ses")
 ) -> DataFrame:
     """Evaluation rows of every model on the last ``folds`` blocks of ``horizon`` points."""
-    split = expanding_folds(df, folds, test_size=horizon)
-
-    def one(name: str) -> DataFrame:
-        def forecaster(train, h, s, *, keys):
-            return run_model(train, h, s, model=name, keys=keys)
-
-        return evaluate_folds(split, forecaster, horizon, step, model=name)
-
-    return reduce(DataFrame.unionByName, [one(m) for m in models])
+    split = expanding_folds(df, folds, test_size=horizon, step=step)
+    keys = ["series_id", "fold"]
+    train = split.where("part = 'train'").select(*keys, "ts", "value")
+    made = [run_model(train, horizon, step, model=m, keys=keys).withColumn("model", F.lit(m)) for m in models]
+    return _score_folds(split, reduce(DataFrame.unionByName, made), keys)
 
 
 def leaderboard(evaluation: DataFrame, by: str = "mae") -> DataFrame:
@@ -271,7 +270,7 @@ def rmse_per_series(evaluation: DataFrame) -> DataFrame:
 
 def holdout_predict(df: DataFrame, model: str, step: Step, *, n_test: int = 12) -> DataFrame:
     """Evaluation rows of one model on the last ``n_test`` points."""
-    folds = expanding_folds(df, 1, test_size=n_test)
+    folds = expanding_folds(df, 1, test_size=n_test, step=step)
     return evaluate_folds(folds, lambda t, h, s, *, keys: run_model(t, h, s, model=model, keys=keys), n_test, step, model=model)
 
 

@@ -113,20 +113,29 @@ def warp_cost(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.ndarr
 
 
 def warp_distance(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.ndarray:
-    """Distances for pairs of series; keeps three anti-diagonals instead of the matrix."""
+    """Distances for pairs of series ([pair, time]); keeps three anti-diagonals, not the matrix.
+
+    Time runs along the first axis inside, so every step works on whole slices.
+    """
     pairs, n = a.shape
     m = b.shape[1]
-    before, last = np.full((pairs, n + 1), np.inf), np.full((pairs, n + 1), np.inf)
-    before[:, 0] = 0.0
+    x, y = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T[::-1])
+    reach = n + m if band is None else max(band, abs(n - m))
+    before, last, new = (np.full((n + 2, pairs), np.inf) for _ in range(3))
+    before[0] = 0.0
     for d in range(n + m - 1):
-        i = np.arange(max(0, d - m + 1), min(n, d + 1))
-        if band is not None:
-            i = i[np.abs(2 * i - d) <= max(band, abs(n - m))]
-        new = np.full((pairs, n + 1), np.inf)
-        best = np.minimum(np.minimum(last[:, i], last[:, i + 1]), before[:, i])
-        new[:, i + 1] = (a[:, i] - b[:, d - i]) ** 2 + best
-        before, last = last, new
-    return np.sqrt(last[:, n])
+        lo = max(0, d - m + 1, -((reach - d) // 2))
+        hi = min(n, d + 1, (d + reach) // 2 + 1)
+        # Row i + 1 holds the cost of ending at (i, d - i); y runs backwards.
+        new[:] = np.inf if band is not None else new
+        new[lo], new[hi + 1] = np.inf, np.inf
+        if lo < hi:
+            gap = x[lo:hi] - y[m - 1 - d + lo : m - 1 - d + hi]
+            best = np.minimum(last[lo:hi], last[lo + 1 : hi + 1])
+            np.minimum(best, before[lo:hi], out=best)
+            new[lo + 1 : hi + 1] = gap * gap + best
+        before, last, new = last, new, before
+    return np.sqrt(last[n])
 
 
 def warp_path(a: np.ndarray, b: np.ndarray, band: int | None = None) -> list[tuple[int, int]]:
@@ -152,15 +161,14 @@ def dtw_distance(a: Column, b: Column, band: int | None = None) -> Column:
     def distance(x: pd.Series, y: pd.Series) -> pd.Series:
         out = np.full(len(x), np.nan)
         shapes: dict[tuple[int, int], list[int]] = {}
+        x, y = x.to_numpy(), y.to_numpy()
         for r, (p, q) in enumerate(zip(x, y)):
             if p is not None and q is not None and len(p) and len(q):
                 shapes.setdefault((len(p), len(q)), []).append(r)
         for rows in shapes.values():
             for start in range(0, len(rows), 1024):
                 some = rows[start : start + 1024]
-                left = np.stack([np.asarray(x.iloc[r], dtype=float) for r in some])
-                right = np.stack([np.asarray(y.iloc[r], dtype=float) for r in some])
-                out[some] = warp_distance(left, right, band)
+                out[some] = warp_distance(np.stack(x[some]), np.stack(y[some]), band)
         return pd.Series(out)
 
     return distance(a, b)
@@ -256,6 +264,9 @@ def dtw_within(
     near = left.join(right, [*within, "_len", "_cx", "_cy"]).where(
         (F.col("id_a") < F.col("id_b")) & (gap(1) + gap(-1) <= radius * radius)
     )
+    # Measuring costs far more than moving a pair: spread the pairs evenly.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = near.repartition(tasks, "id_a", "id_b")
     measured = near.withColumn("distance", dtw_distance(F.col("points_a"), F.col("points_b"), band))
     return measured.where(F.col("distance") <= radius).select("id_a", "id_b", "distance")
 
@@ -269,6 +280,8 @@ def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 10, band: int | No
     with the lowest hashes and stops when the centres stay the same.
     """
     spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(tasks, "series_id").persist()
     seeds = df.orderBy(F.xxhash64("series_id"), "series_id").limit(k).select("points").collect()
     centres = [np.asarray(r["points"], dtype=float) for r in seeds]
 
