@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelcast.plans.grid import DAY, grid_index
 from panelcast.plans.quantiles import exact_quantiles
 from panelcast.plans.tiles import previous_row
 from panelcast.schema import DAILY_COLUMNS, require_columns
@@ -28,11 +29,11 @@ def _energy() -> list[Column]:
     ]
 
 
-def ramp(df: DataFrame) -> DataFrame:
+def ramp(df: DataFrame, *, tile_seconds: int = DAY) -> DataFrame:
     """Change from the row before in the same series, across midnight; first row NULL."""
     change = F.col("value") - F.col("prev_value")
     return (
-        previous_row(df, ["value"])
+        previous_row(df, ["value"], tile_seconds=tile_seconds)
         .withColumns({"ramp_kw": change, "abs_ramp_kw": F.abs(change)})
         .drop("prev_value")
     )
@@ -53,64 +54,92 @@ def intermittency_ratio(value: Column, eps: float | None = None) -> Column:
     return F.try_divide(F.count_if(hit).cast("double"), F.count(F.lit(1)))
 
 
-def _daily_base(df: DataFrame) -> DataFrame:
-    """One row per series and day, with the ramp moments of the whole day.
+def _tile_moments(df: DataFrame, tile_seconds: int) -> DataFrame:
+    """One row per series and time tile, with value and ramp moments and the ramp into the tile.
 
-    A day is the unit of work: rows shuffle once on (series, date), which serves
-    the in-day lag and the aggregate.  The ramp into a day's first row needs the
-    last row of the series' previous day; that comes from the daily rows
-    themselves and is merged into the moments (parallel variance formula).
+    Rows shuffle once, on (series, tile); that serves the lag and the aggregate.
+    The ramp into a tile's first row needs the last row of the series' previous
+    tile, which the tile rows themselves supply.
     """
     require_columns(df, "series_id", "ts", "value")
-    day = df.select("series_id", F.to_date("ts").alias("date"), "ts", "value")
-    inside = Window.partitionBy("series_id", "date").orderBy("ts")
-    step = F.col("value") - F.lag("value").over(inside)
-    rows = day.withColumn("_ramp", step)
-    point = F.struct("ts", "value")
-    per_day = rows.groupBy("series_id", "date").agg(
-        *_energy(),
-        intermittency_ratio(F.col("value")).alias("intermittency_ratio"),
-        F.count("_ramp").alias("_n"),
-        F.coalesce(F.avg("_ramp"), F.lit(0.0)).alias("_mean"),
-        F.coalesce(F.var_pop("_ramp"), F.lit(0.0)).alias("_var"),
-        F.max(F.abs("_ramp")).alias("_max_abs"),
-        F.coalesce(F.sum(F.abs("_ramp")), F.lit(0.0)).alias("_sum_abs"),
+    tiled = df.select("series_id", grid_index(F.col("ts"), tile_seconds).alias("_tile"), "ts", "value")
+    inside = Window.partitionBy("series_id", "_tile").orderBy("ts")
+    rows = tiled.withColumn("_ramp", F.col("value") - F.lag("value").over(inside))
+    v, ramp, point = F.col("value"), F.col("_ramp"), F.struct("ts", "value")
+    tiles = rows.groupBy("series_id", "_tile").agg(
+        F.sum(v).alias("_sum"),
+        F.max(v).alias("_max"),
+        F.min(v).alias("_min"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(v == 0).alias("_zeros"),
+        F.count(v).alias("_vn"),
+        F.avg(v).alias("_vm"),
+        (F.var_pop(v) * F.count(v)).alias("_vq"),
+        F.count(ramp).alias("_rn"),
+        F.avg(ramp).alias("_rm"),
+        (F.var_pop(ramp) * F.count(ramp)).alias("_rq"),
+        F.max(F.abs(ramp)).alias("_rmax"),
+        F.sum(F.abs(ramp)).alias("_rabs"),
         F.min(point).alias("_first"),
         F.max(point).alias("_last"),
     )
-    days = Window.partitionBy("series_id").orderBy("date")
-    return per_day.withColumn("_edge", F.col("_first.value") - F.lag("_last.value").over(days))
-
-
-def _with_ramps(per_day: DataFrame) -> DataFrame:
-    edge, n0 = F.col("_edge"), F.col("_n")
-    n = n0 + F.when(edge.isNotNull(), 1).otherwise(0)
-    off = F.coalesce(edge - F.col("_mean"), F.lit(0.0))
-    mean = F.col("_mean") + F.try_divide(off, n)
-    squares = F.col("_var") * n0 + F.try_divide(off * off * n0, n)
-    some = n > 0
-    return per_day.withColumns(
+    order = Window.partitionBy("series_id").orderBy("_tile")
+    edge = F.col("_first.value") - F.lag("_last.value").over(order)
+    return tiles.withColumns({"date": F.to_date("_first.ts"), "_edge": edge})
+
+
+def _daily(df: DataFrame, tile_seconds: int) -> DataFrame:
+    """Merge tiles to days: sums add, squares are taken around the day's mean (parallel variance formula)."""
+    if DAY % tile_seconds:
+        raise ValueError("a tile must divide the day")
+    day = Window.partitionBy("series_id", "date")
+    edge, has_edge = F.col("_edge"), F.when(F.col("_edge").isNotNull(), 1).otherwise(0)
+    ramp_sum = F.coalesce(F.col("_rm") * F.col("_rn"), F.lit(0.0)) + F.coalesce(edge, F.lit(0.0))
+    tiles = _tile_moments(df, tile_seconds).withColumns(
         {
-            "mean_ramp_kw": F.when(some, mean),
-            "std_ramp_kw": F.when(n > 1, F.sqrt(squares / (n - 1))),
-            "max_abs_ramp_kw": F.greatest(F.col("_max_abs"), F.abs(edge)),
-            "mean_abs_ramp_kw": F.when(some, F.try_divide(F.col("_sum_abs") + F.coalesce(F.abs(edge), F.lit(0.0)), n)),
+            "_vmean": F.try_divide(F.sum("_sum").over(day), F.sum("_vn").over(day)),
+            "_rcount": F.sum(F.col("_rn") + has_edge).over(day),
+            "_rmean": F.try_divide(F.sum(ramp_sum).over(day), F.sum(F.col("_rn") + has_edge).over(day)),
         }
     )
+    zero = F.lit(0.0)
+    v_off, r_off, e_off = F.col("_vm") - F.col("_vmean"), F.col("_rm") - F.col("_rmean"), edge - F.col("_rmean")
+    v_square = F.sum(F.col("_vq") + F.col("_vn") * v_off * v_off)
+    r_square = F.sum(
+        F.coalesce(F.col("_rq") + F.col("_rn") * r_off * r_off, zero) + F.coalesce(e_off * e_off, zero)
+    )
+    vn, rn = F.sum("_vn"), F.max("_rcount")
+    return tiles.groupBy("series_id", "date").agg(
+        F.sum("_sum").alias("daily_energy_kwh"),
+        F.max("_max").alias("daily_peak_kw"),
+        F.min("_min").alias("daily_min_kw"),
+        F.max("_vmean").alias("daily_avg_kw"),
+        F.when(vn > 1, F.sqrt(F.try_divide(v_square, vn - 1))).alias("daily_std_kw"),
+        vn.alias("n_samples"),
+        F.max("_rmean").alias("mean_ramp_kw"),
+        F.when(rn > 1, F.sqrt(F.try_divide(r_square, rn - 1))).alias("std_ramp_kw"),
+        F.max(F.greatest("_rmax", F.abs(edge))).alias("max_abs_ramp_kw"),
+        F.try_divide(F.sum(F.coalesce("_rabs", zero) + F.coalesce(F.abs(edge), zero)), rn).alias("mean_abs_ramp_kw"),
+        F.try_divide(F.sum("_zeros").cast("double"), F.sum("_rows")).alias("intermittency_ratio"),
+    )
 
 
-def daily_ramp_metrics(df: DataFrame) -> DataFrame:
+def daily_ramp_metrics(df: DataFrame, *, tile_seconds: int = DAY) -> DataFrame:
     """Signed mean, sample deviation, largest and mean absolute ramp per series and day."""
-    return _with_ramps(_daily_base(df)).select(
+    return _daily(df, tile_seconds).select(
         "series_id", "date", "mean_ramp_kw", "std_ramp_kw", "max_abs_ramp_kw", "mean_abs_ramp_kw"
     )
 
 
-def daily_metrics(df: DataFrame) -> DataFrame:
-    """The daily fact table.  Units are those of the input; nothing is converted."""
+def daily_metrics(df: DataFrame, *, tile_seconds: int = DAY) -> DataFrame:
+    """The daily fact table.  Units are those of the input; nothing is converted.
+
+    A task works on one tile of one series at a time.  A day suits half-hourly
+    data; for series with very many rows a day choose an hour or less.
+    """
     mean, std = F.col("daily_avg_kw"), F.col("daily_std_kw")
     return (
-        _with_ramps(_daily_base(df))
+        _daily(df, tile_seconds)
         .withColumns(
             {
                 "coefficient_of_variation": coefficient_of_variation(std, mean),

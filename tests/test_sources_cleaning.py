@@ -122,7 +122,8 @@ def test_daily_metrics_by_hand(spark, panel):
     assert single["coefficient_of_variation"] is None
 
 
-def test_daily_metrics_equal_plain_ramps(panel):
+@pytest.mark.parametrize("tile_seconds", [3600, 6 * 3600, DAY])
+def test_daily_metrics_equal_plain_ramps(panel, tile_seconds):
     series = {"a": [((i * 7919) % 101) / 7 - 5 for i in range(200)], "b": [None, 1, None, 4, 4] * 20}
     df = panel(series)
     from pyspark.sql import functions as F
@@ -130,7 +131,12 @@ def test_daily_metrics_equal_plain_ramps(panel):
     plain = daily.ramp(df).groupBy("series_id", F.to_date("ts").alias("date")).agg(
         F.avg("ramp_kw").alias("m"), F.stddev_samp("ramp_kw").alias("s"), F.max("abs_ramp_kw").alias("x")
     )
-    for r in daily.daily_ramp_metrics(df).join(plain, ["series_id", "date"]).collect():
+    energy = daily.daily_energy_metrics(df).withColumnRenamed("daily_std_kw", "std")
+    both = daily.daily_metrics(df, tile_seconds=tile_seconds).join(plain, ["series_id", "date"])
+    both = both.join(energy.select("series_id", "date", "std"), ["series_id", "date"])
+    assert both.count() == plain.count()
+    for r in both.collect():
+        assert r["daily_std_kw"] == (pytest.approx(r["std"]) if r["std"] is not None else None)
         assert r["mean_ramp_kw"] == pytest.approx(r["m"], abs=1e-9) if r["m"] is not None else r["mean_ramp_kw"] is None
         assert r["std_ramp_kw"] == pytest.approx(r["s"], abs=1e-9) if r["s"] is not None else r["std_ramp_kw"] is None
         assert r["max_abs_ramp_kw"] == (pytest.approx(r["x"]) if r["x"] is not None else None)
