@@ -44,16 +44,19 @@ def regularize(
     number of raw rows it had; operators that read lags need this first.
     """
     require_columns(df, "series_id", "ts", "value")
-    cells = to_cells(df, step, agg)
-    if drop_partial:
-        last = df.agg(grid_index(F.max("ts"), step).alias("_partial"))
-        cells = cells.join(F.broadcast(last), F.col("_cell") < F.col("_partial")).drop("_partial")
-
-    if span == "panel":
-        bounds = cells.agg(F.min("_cell").alias("_lo"), F.max("_cell").alias("_hi"))
-        spans = cells.select("series_id").distinct().crossJoin(F.broadcast(bounds))
-    else:
-        spans = cells.groupBy("series_id").agg(F.min("_cell").alias("_lo"), F.max("_cell").alias("_hi"))
+    if span not in ("series", "panel"):
+        raise ValueError("span is 'series' or 'panel'")
+    cell = grid_index(F.col("ts"), step)
+    spans = df.groupBy("series_id").agg(F.min(cell).alias("_lo"), F.max(cell).alias("_hi"))
+    if span == "panel" or drop_partial:
+        # One row, whatever the data.
+        bounds = spans.agg(F.min("_lo").alias("_first"), F.max("_hi").alias("_last"))
+        spans = spans.crossJoin(F.broadcast(bounds))
+        if drop_partial:
+            whole = F.col("_last") - 1
+            spans = spans.withColumns({"_last": whole, "_hi": F.least("_hi", whole)})
+        if span == "panel":
+            spans = spans.withColumns({"_lo": F.col("_first"), "_hi": F.col("_last")})
     if start is not None:
         spans = spans.withColumn("_lo", grid_index(F.lit(start).cast("timestamp_ntz"), step))
     if end is not None:
@@ -61,7 +64,7 @@ def regularize(
 
     grid = spans.where("_lo <= _hi").select("series_id", F.explode(F.sequence("_lo", "_hi")).alias("_cell"))
     value = F.col("value") if fill is None else F.coalesce("value", F.lit(float(fill)))
-    return grid.join(cells, ["series_id", "_cell"], "left").select(
+    return grid.join(to_cells(df, step, agg), ["series_id", "_cell"], "left").select(
         "series_id", grid_time(F.col("_cell"), step).alias("ts"), value.alias("value")
     )
 
@@ -82,18 +85,28 @@ def negative_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(F.col("value") < 0).alias("n_negative"))
 
 
-def _known(value: Column, ts: Column) -> Column:
-    return F.when(value.isNotNull(), F.struct(ts.alias("ts"), value.alias("value")))
-
-
 def _neighbours(df: DataFrame, step: Step, tile_rows: int) -> DataFrame:
     """Add ``_prev`` and ``_next``: nearest known (ts, value) at or before / after each row.
 
     A tile's first and last known points travel through the small tile table, so
     a gap may be longer than a tile.
     """
-    t = row_tile(df, step, tile_rows).withColumn("_known", _known(F.col("value"), F.col("ts")))
-    tiles = t.groupBy("series_id", "_tile").agg(F.min("_known").alias("_head"), F.max("_known").alias("_tail"))
+    known_ts = F.when(F.col("value").isNotNull(), F.col("ts"))
+    t = row_tile(df, step, tile_rows).withColumn("_at", known_ts)
+    tiles = t.groupBy("series_id", "_tile").agg(
+        F.min("_at").alias("_head_ts"),
+        F.min_by("value", "_at").alias("_head_value"),
+        F.max("_at").alias("_tail_ts"),
+        F.max_by("value", "_at").alias("_tail_value"),
+    )
+
+    def point(at: str, value: str) -> Column:
+        return F.when(F.col(at).isNotNull(), F.struct(F.col(at).alias("ts"), F.col(value).alias("value")))
+
+    tiles = tiles.withColumns(
+        {"_head": point("_head_ts", "_head_value"), "_tail": point("_tail_ts", "_tail_value")}
+    )
+    t = t.withColumn("_known", point("_at", "value"))
     order = Window.partitionBy("series_id").orderBy("_tile")
     edges = tiles.select(
         "series_id",

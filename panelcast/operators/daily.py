@@ -65,7 +65,7 @@ def _tile_moments(df: DataFrame, tile_seconds: int) -> DataFrame:
     tiled = df.select("series_id", grid_index(F.col("ts"), tile_seconds).alias("_tile"), "ts", "value")
     inside = Window.partitionBy("series_id", "_tile").orderBy("ts")
     rows = tiled.withColumn("_ramp", F.col("value") - F.lag("value").over(inside))
-    v, ramp, point = F.col("value"), F.col("_ramp"), F.struct("ts", "value")
+    v, ramp = F.col("value"), F.col("_ramp")
     tiles = rows.groupBy("series_id", "_tile").agg(
         F.sum(v).alias("_sum"),
         F.max(v).alias("_max"),
@@ -80,12 +80,13 @@ def _tile_moments(df: DataFrame, tile_seconds: int) -> DataFrame:
         (F.var_pop(ramp) * F.count(ramp)).alias("_rq"),
         F.max(F.abs(ramp)).alias("_rmax"),
         F.sum(F.abs(ramp)).alias("_rabs"),
-        F.min(point).alias("_first"),
-        F.max(point).alias("_last"),
+        F.min("ts").alias("_start"),
+        F.min_by("value", "ts").alias("_first"),
+        F.max_by("value", "ts").alias("_last"),
     )
     order = Window.partitionBy("series_id").orderBy("_tile")
-    edge = F.col("_first.value") - F.lag("_last.value").over(order)
-    return tiles.withColumns({"date": F.to_date("_first.ts"), "_edge": edge})
+    edge = F.col("_first") - F.lag("_last").over(order)
+    return tiles.withColumns({"date": F.to_date("_start"), "_edge": edge})
 
 
 def _daily(df: DataFrame, tile_seconds: int) -> DataFrame:

@@ -101,16 +101,15 @@ def previous_row(
 ) -> DataFrame:
     """Add ``prev_<name>``: the value in the row before, also across tile edges."""
     t = time_tile(df, tile_seconds, ts)
-    packed = F.struct(F.col(ts), *[F.col(n).alias(f"_v_{n}") for n in names])
-    tails = t.groupBy(*keys, "_tile").agg(F.max(packed).alias("_tail"))
+    tails = t.groupBy(*keys, "_tile").agg(*[F.max_by(n, ts).alias(f"_v_{n}") for n in names])
     order = Window.partitionBy(*keys).orderBy("_tile")
-    carried = tails.select(*keys, "_tile", F.lag("_tail").over(order).alias("_carry"))
+    carried = tails.select(*keys, "_tile", *[F.lag(f"_v_{n}").over(order).alias(f"_v_{n}") for n in names])
     inside = Window.partitionBy(*keys, "_tile").orderBy(ts)
     t = t.join(carried, [*keys, "_tile"]).withColumn("_rn", F.row_number().over(inside))
     for n in names:
-        edge = F.col("_carry")[f"_v_{n}"]
+        edge = F.col(f"_v_{n}")
         t = t.withColumn(f"prev_{n}", F.when(F.col("_rn") == 1, edge).otherwise(F.lag(n).over(inside)))
-    return t.drop("_tile", "_carry", "_rn")
+    return t.drop("_tile", "_rn", *[f"_v_{n}" for n in names])
 
 
 def attach(
