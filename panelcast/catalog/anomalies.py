@@ -13,7 +13,7 @@ from panelcast.operators.forecast.contract import to_contract
 from panelcast.plans.grid import HOUR
 
 IQR = """q AS (SELECT series_id, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM t GROUP BY 1),
-iqr AS (SELECT series_id, ts, value, 'iqr' AS method, greatest((q1 - 1.5 * (q3 - q1)) - value, value - (q3 + 1.5 * (q3 - q1))) / (q3 - q1) AS score,
+iqr AS (SELECT series_id, ts, value, 'iqr' AS method, greatest((q1 - 1.5 * (q3 - q1)) - value, value - (q3 + 1.5 * (q3 - q1))) / nullif(q3 - q1, 0) AS score,
   q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM t JOIN q USING (series_id)
   WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1))"""
 

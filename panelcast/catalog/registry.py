@@ -10,6 +10,7 @@ from panelcast.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+PLACES: dict[str, int] = {}
 
 DIGITS = 6
 
@@ -37,6 +38,7 @@ def query(name: str, sql: str | None = None, digits: int = DIGITS):
 
         run.__name__ = name
         QUERIES[name] = run
+        PLACES[name] = digits
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -39,7 +39,17 @@ def _rows(names, rows):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-def differences(df, sql: str, con) -> list[str]:
+def _near(a, b, unit: float) -> bool:
+    """Equal, or numbers one rounding unit apart: a value half-way may round either way."""
+    if a == b:
+        return True
+    try:
+        return abs(float(a) - float(b)) <= 1.01 * unit
+    except (TypeError, ValueError):
+        return False
+
+
+def differences(df, sql: str, con, digits: int = 6) -> list[str]:
     """Human-readable differences; empty when all columns and rows agree."""
     cur = con.execute(sql)
     names = [c[0] for c in cur.description]
@@ -50,5 +60,6 @@ def differences(df, sql: str, con) -> list[str]:
     got, want = _rows(df.columns, got_rows), _rows(names, want_rows)
     if len(got) != len(want):
         return [f"{len(got)} rows != {len(want)} rows", f"got {got[:2]}", f"want {want[:2]}"]
-    bad = [(g, w) for g, w in zip(got, want) if g != w]
+    unit = 10.0**-digits
+    bad = [(g, w) for g, w in zip(got, want) if not all(_near(x, y, unit) for x, y in zip(g, w))]
     return [f"{len(bad)} of {len(got)} rows differ", *[f"got  {g}\nwant {w}" for g, w in bad[:3]]] if bad else []

@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 from compare import connect, differences
 
-from panelcast.catalog import load
+from panelcast.catalog import load, views
+from panelcast.catalog.registry import PLACES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = load()
@@ -23,13 +24,21 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, duck, name):
-    assert differences(QUERIES[name](spark, SF_DIR), ORACLES[name], duck) == []
+    assert differences(QUERIES[name](spark, SF_DIR), ORACLES[name], duck, PLACES[name]) == []
+
+
+MULTIPLICATIVE = {"forecast_hw_mul", "future_predict", "rolling_origin_hw_mul"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_gives_rows(spark, name):
-    df = QUERIES[name](spark, SF_DIR)
-    assert len(df.collect()) > 0 or name.startswith("outliers")
+    n = len(QUERIES[name](spark, SF_DIR).collect())
+    if name in MULTIPLICATIVE:
+        # Series with a month of zero have no multiplicative model; the smallest tables have such months.
+        usable = views.monthly(spark, SF_DIR).groupBy("series_id").agg({"value": "min"}).where("`min(value)` > 0")
+        assert (n > 0) == (usable.count() > 0)
+    else:
+        assert n > 0
 
 
 def test_every_oracle_has_a_query():
