@@ -140,7 +140,17 @@ def _(spark, sf):
     return stats.residual_histogram(v.hourly(spark, sf))
 
 
-@query("residual_diagnostics")
+@query("residual_diagnostics", v.with_(v.T, decompose_sql(24)) + """,
+e AS (SELECT series_id, resid AS value, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS rn FROM dc WHERE resid IS NOT NULL),
+p AS (SELECT series_id, count(*) AS n, avg(value) AS m, stddev_samp(value) AS sd, stddev_pop(value) AS sp FROM e GROUP BY 1),
+c AS (SELECT e.series_id, rn, value - m AS c, n, (value - m) / sp AS z FROM e JOIN p USING (series_id)),
+q AS (SELECT series_id, avg(pow(z, 3)) AS sk, avg(pow(z, 4)) - 3 AS ku, sum(c * c) AS ss FROM c GROUP BY 1),
+r AS (SELECT a.series_id, lag, max(a.n) AS n, sum(a.c * b.c) / max(ss) AS acf FROM c a CROSS JOIN (SELECT unnest(generate_series(1, 24)) AS lag)
+  JOIN c b ON a.series_id = b.series_id AND b.rn = a.rn + lag JOIN q ON q.series_id = a.series_id GROUP BY 1, 2),
+lb AS (SELECT series_id, max(n) * (max(n) + 2) * sum(acf * acf / (n - lag)) AS lb FROM r GROUP BY 1)
+SELECT p.series_id, p.n, round(m, 6) AS mean, round(sd, 6) AS std, round(sk, 6) AS skewness, round(ku, 6) AS kurtosis,
+  round(p.n / 6.0 * (sk * sk + ku * ku / 4), 6) AS jarque_bera, round(lb, 6) AS ljung_box
+FROM p JOIN q USING (series_id) JOIN lb USING (series_id)""".replace("\n,", ",", 1))
 def _(spark, sf):
     parts = stats.decompose(v.hourly(spark, sf), 24, HOUR)
     resid = parts.select("series_id", "ts", F.col("resid").alias("value")).where(F.col("value").isNotNull())

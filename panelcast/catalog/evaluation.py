@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelcast.catalog import views as v
 from panelcast.catalog.anomalies import HOLDOUT, holdout
-from panelcast.catalog.forecasts import SES
+from panelcast.catalog.forecasts import HOLT, OUT, SES, seasonal_sql
 from panelcast.catalog.registry import query
 from panelcast.catalog.rolling import strict_sql
 from panelcast.operators import evaluate, windows
@@ -195,7 +195,7 @@ def _(spark, sf):
     return rows.select("series_id", "model", "origin_ts", "horizon", "ts", "actual", "forecast", "error")
 
 
-@query("future_predict")
+@query("future_predict", v.with_recursive(v.M, seasonal_sql("mul", 24)) + f"SELECT {OUT} FROM fc", digits=4)
 def _(spark, sf):
     return evaluate.future_predict(v.monthly(spark, sf), "hw_mul", MONTH, horizon=24)
 
@@ -208,7 +208,9 @@ def _(spark, sf):
     return evaluate.grid_search_smoothing(v.monthly(spark, sf), "ses", n_test=12)[0]
 
 
-@query("grid_holt")
+@query("grid_holt", v.with_recursive(v.M, "hz AS (SELECT 1 AS h)", N, HOLT) + """
+SELECT s.series_id, alpha, beta, 0.0::DOUBLE AS gamma, round(sqrt(avg(pow(k.value - s.lvl - (k.rn - s.rn) * s.tr, 2))), 4) AS rmse
+FROM holt s JOIN k ON k.series_id = s.series_id AND s.rn = k.n - 12 AND k.rn > k.n - 12 GROUP BY 1, 2, 3""", digits=4)
 def _(spark, sf):
     return evaluate.grid_search_smoothing(v.monthly(spark, sf), "holt", n_test=12)[1]
 

@@ -54,6 +54,46 @@ fc AS (SELECT fin.series_id, h, lvl + h * tr AS yhat, lvl + h * tr + lo AS lower
   FROM fin JOIN res USING (series_id) CROSS JOIN hz WHERE r = 1)"""
 
 
+def seasonal_sql(kind: str, horizon: int) -> str:
+    """Seasonal smoothing of period 12: coarse grid, one refinement, forecasts and error quantiles."""
+    add = kind == "add"
+    i = "(h.rn % 12 + 1)"
+    guess = f"(h.l + h.t + h.s[{i}])" if add else f"((h.l + h.t) * h.s[{i}])"
+    level = f"(h.a * (m.value {'-' if add else '/'} h.s[{i}]) + (1 - h.a) * (h.l + h.t))"
+    fresh = "(m.value - h.l - h.t)" if add else "(m.value / (h.l + h.t))"
+
+    def walk(name: str, grid: str) -> str:
+        return f"""{name} AS (SELECT i0.series_id, a, b, g, 12::BIGINT AS rn, l, t, s, 0.0::DOUBLE AS sse FROM {grid}
+  UNION ALL SELECT h.series_id, h.a, h.b, h.g, m.rn, {level}, h.b * ({level} - h.l) + (1 - h.b) * h.t,
+  list_transform(h.s, lambda x, j: CASE WHEN j = {i} THEN h.g * {fresh} + (1 - h.g) * x ELSE x END),
+  h.sse + pow(m.value - {guess}, 2) FROM {name} h JOIN m ON m.series_id = h.series_id AND m.rn = h.rn + 1)"""
+
+    def winner(name: str, walked: str) -> str:
+        return f"""{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY sse, a, b, g) AS r
+  FROM {walked} WHERE rn = (SELECT max(rn) FROM m)) WHERE r = 1)"""
+
+    def around(c: str) -> str:
+        return f"least(greatest(round({c} + {c}d, 2), 0.0), 1.0)::DOUBLE AS {c}"
+
+    offsets = "(SELECT unnest([-0.1, -0.05, 0.0, 0.05, 0.1])::DOUBLE AS {}d)"
+    values = "(SELECT unnest([0.1, 0.3, 0.5, 0.7, 0.9])::DOUBLE AS {})"
+    season = "list(value - l ORDER BY rn)" if add else "list(value / l ORDER BY rn)"
+    place = "s[(rn + h - 1) % 12 + 1]"
+    path = f"l + h * t + {place}" if add else f"(l + h * t) * {place}"
+    return f"""hz AS (SELECT unnest(generate_series(1, {horizon})) AS h),
+lv AS (SELECT series_id, avg(value) FILTER (rn <= 12) AS l, avg(value) FILTER (rn > 12 AND rn <= 24) AS l2 FROM m GROUP BY 1 HAVING count(*) >= 24),
+i0 AS (SELECT m.series_id, max(l) AS l, max((l2 - l) / 12) AS t, {season} AS s FROM m JOIN lv USING (series_id) WHERE rn <= 12 GROUP BY 1),
+{walk("w1", f"i0 CROSS JOIN {values.format('a')} CROSS JOIN {values.format('b')} CROSS JOIN {values.format('g')}")},
+{winner("b1", "w1")},
+fg AS (SELECT DISTINCT series_id, {around("a")}, {around("b")}, {around("g")} FROM b1 CROSS JOIN {offsets.format("a")} CROSS JOIN {offsets.format("b")} CROSS JOIN {offsets.format("g")}),
+{walk("w2", "i0 JOIN fg ON fg.series_id = i0.series_id")},
+{winner("b2", "w2")},
+er AS (SELECT m.series_id, quantile_cont(m.value - {guess}, 0.1) AS lo, quantile_cont(m.value - {guess}, 0.9) AS hi, max(m.ts) AS origin_ts
+  FROM b2 JOIN w2 h ON h.series_id = b2.series_id AND h.a = b2.a AND h.b = b2.b AND h.g = b2.g
+  JOIN m ON m.series_id = h.series_id AND m.rn = h.rn + 1 GROUP BY 1),
+fc AS (SELECT series_id, h, {path} AS yhat, {path} + lo AS lower, {path} + hi AS upper, origin_ts FROM b2 JOIN er USING (series_id) CROSS JOIN hz)"""
+
+
 @query("forecast_mean", v.with_(v.M, H12, MEAN) + f"SELECT {OUT} FROM fc", digits=4)
 def _(spark, sf):
     return baseline.forecast_mean(v.monthly(spark, sf), 12, MONTH)
@@ -79,12 +119,12 @@ def _(spark, sf):
     return smoothing.forecast_holt(v.monthly(spark, sf), 12, MONTH)
 
 
-@query("forecast_hw_add")
+@query("forecast_hw_add", v.with_recursive(v.M, seasonal_sql("add", 12)) + f"SELECT {OUT} FROM fc", digits=4)
 def _(spark, sf):
     return smoothing.forecast_hw_add(v.monthly(spark, sf), 12, MONTH, period=12)
 
 
-@query("forecast_hw_mul")
+@query("forecast_hw_mul", v.with_recursive(v.M, seasonal_sql("mul", 12)) + f"SELECT {OUT} FROM fc", digits=4)
 def _(spark, sf):
     return smoothing.forecast_hw_mul(v.monthly(spark, sf), 12, MONTH, period=12)
 
