@@ -23,7 +23,12 @@ def _(spark, sf):
     return stats.acf(v.hourly(spark, sf), 48, HOUR)
 
 
-@query("pacf")
+@query("pacf", v.with_recursive(v.T, ACF) + """,
+rl AS (SELECT series_id, list(acf ORDER BY lag) AS r FROM ac WHERE lag <= 40 GROUP BY 1),
+dl AS (SELECT series_id, r, 1 AS k, [r[1]] AS phi, 1 - r[1] * r[1] AS scale FROM rl
+  UNION ALL SELECT series_id, r, k + 1, list_append(list_transform(phi, lambda x, j: x - nw * phi[k + 1 - j]), nw), scale * (1 - nw * nw)
+  FROM (SELECT *, (r[k + 1] - list_sum(list_transform(phi, lambda x, j: x * r[k + 1 - j]))) / scale AS nw FROM dl WHERE k < 40))
+SELECT series_id, CAST(k AS BIGINT) AS lag, round(phi[k], 6) AS pacf FROM dl""".replace("\n,", ",", 1))
 def _(spark, sf):
     return stats.pacf(v.hourly(spark, sf), 40, HOUR)
 

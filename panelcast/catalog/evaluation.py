@@ -189,7 +189,13 @@ def _(spark, sf):
     return evaluate.rmse_per_series(evaluate.holdout_predict(v.monthly(spark, sf), "naive", MONTH, n_test=12))
 
 
-@query("holdout_predict")
+TRAIN = v.M.replace("m AS (SELECT mg.", "ma AS (SELECT mg.") + """,
+m AS (SELECT * FROM ma WHERE rn <= (SELECT max(rn) FROM ma) - 12)"""
+
+
+@query("holdout_predict", v.with_recursive(TRAIN, seasonal_sql("add", 12)) + """
+SELECT fc.series_id, 'hw_add' AS model, origin_ts, h AS horizon, ma.ts, round(ma.value, 4) AS actual, round(yhat, 4) AS forecast, round(ma.value - yhat, 4) AS error
+FROM fc JOIN ma ON ma.series_id = fc.series_id AND ma.rn = (SELECT max(rn) FROM m) + h""", digits=4)
 def _(spark, sf):
     rows = evaluate.holdout_predict(v.monthly(spark, sf), "hw_add", MONTH, n_test=12)
     return rows.select("series_id", "model", "origin_ts", "horizon", "ts", "actual", "forecast", "error")

@@ -86,7 +86,17 @@ def typed_points(spark, sf):
     return similarity.as_points(day)
 
 
-@query("dtw_matrix")
+# Warping cost by anti-diagonals; position i + 1 of a list is row i of the cost matrix.
+WARP = """dd AS (SELECT series_id, CAST(ts AS DATE) AS day, round(sum(value), 9) AS value FROM t GROUP BY 1, 2),
+pt AS (SELECT series_id, list(value ORDER BY day) AS p, count(*)::BIGINT AS n FROM dd GROUP BY 1),
+wp AS (SELECT x.series_id AS id_a, y.series_id AS id_b, x.p AS a, y.p AS b, x.n, y.n AS m, 0::BIGINT AS d,
+  list_transform(range(0, x.n + 1), lambda i: CASE WHEN i = 0 THEN 0.0 ELSE 'inf'::DOUBLE END) AS before,
+  list_transform(range(0, x.n + 1), lambda i: 'inf'::DOUBLE) AS last FROM pt x JOIN pt y ON x.series_id < y.series_id
+  UNION ALL SELECT id_a, id_b, a, b, n, m, d + 1, last, list_transform(range(0, n + 1), lambda i: CASE WHEN i = 0 OR i - 1 < d - m + 1 OR i - 1 > d
+    THEN 'inf'::DOUBLE ELSE pow(a[i] - b[d - i + 2], 2) + least(last[i], last[i + 1], before[i]) END) FROM wp WHERE d < n + m - 1)"""
+
+
+@query("dtw_matrix", v.with_recursive(v.T, WARP) + "SELECT id_a, id_b, round(sqrt(last[n + 1]), 6) AS distance FROM wp WHERE d = n + m - 1")
 def _(spark, sf):
     return similarity.dtw_matrix(typed_points(spark, sf))
 
