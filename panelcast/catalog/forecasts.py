@@ -79,9 +79,10 @@ def seasonal_sql(kind: str, horizon: int) -> str:
     values = "(SELECT unnest([0.1, 0.3, 0.5, 0.7, 0.9])::DOUBLE AS {})"
     season = "list(value - l ORDER BY rn)" if add else "list(value / l ORDER BY rn)"
     place = "s[(rn + h - 1) % 12 + 1]"
+    positive = "" if add else " AND min(value) > 0"
     path = f"l + h * t + {place}" if add else f"(l + h * t) * {place}"
     return f"""hz AS (SELECT unnest(generate_series(1, {horizon})) AS h),
-lv AS (SELECT series_id, avg(value) FILTER (rn <= 12) AS l, avg(value) FILTER (rn > 12 AND rn <= 24) AS l2 FROM m GROUP BY 1 HAVING count(*) >= 24),
+lv AS (SELECT series_id, avg(value) FILTER (rn <= 12) AS l, avg(value) FILTER (rn > 12 AND rn <= 24) AS l2 FROM m GROUP BY 1 HAVING count(*) >= 24{positive}),
 i0 AS (SELECT m.series_id, max(l) AS l, max((l2 - l) / 12) AS t, {season} AS s FROM m JOIN lv USING (series_id) WHERE rn <= 12 GROUP BY 1),
 {walk("w1", f"i0 CROSS JOIN {values.format('a')} CROSS JOIN {values.format('b')} CROSS JOIN {values.format('g')}")},
 {winner("b1", "w1")},
