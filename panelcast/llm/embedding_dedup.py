@@ -119,42 +119,44 @@ def _verify(cosine: float):
             node, copies, key = (t.column(c).to_numpy() for c in ("node", "copies", "key"))
             own, pair, blocks = (t.column(c).to_numpy() for c in ("own", "pair", "blocks"))
             flat = [np.frombuffer(r, np.float64) for r in t.column("x").to_pylist()]
-            lists = [np.frombuffer(r, np.int64) for r in t.column("lists").to_pylist()]
-            u, v, count = [], [], np.zeros(len(node), np.int64)
-            for i, j in _close_pairs(flat, number, cosine):
-                if not len(i):
-                    continue
-                u.append(node[i])
-                v.append(node[j])
-                first = _first_shared(lists, i, j) == key[i]
-                same = own[i] == own[j]
-                lowest = np.where(own[i] == 0, 1, 0)
-                meeting = np.minimum(own[i], lowest) * blocks[i] + np.maximum(own[i], lowest)
-                counted = first & ((blocks[i] == 1) | ~same | (pair[i] == meeting))
-                i, j = i[counted], j[counted]
-                np.add.at(count, i, copies[j])
-                np.add.at(count, j, copies[i])
-            a, b = forest(np.concatenate(u), np.concatenate(v)) if u else (np.empty(0, np.int64), np.empty(0, np.int64))
+            sizes = np.array([len(r) for r in flat])
+            u, v, count = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.zeros(len(node), np.int64)
+            for size in np.unique(sizes).tolist():  # a bucket's vectors have one dimension
+                at = np.nonzero(sizes == size)[0]
+                x = np.stack([flat[k] for k in at.tolist()])
+                lists = np.stack([np.frombuffer(r, np.int64) for r in t.column("lists").take(pa.array(at)).to_pylist()])
+                for i, j in _close_pairs(x, number[at], cosine):
+                    first = _first_shared(lists, i, j)
+                    i, j = at[i], at[j]
+                    u.append(node[i])
+                    v.append(node[j])
+                    lowest = np.where(own[i] == 0, 1, 0)
+                    meeting = np.minimum(own[i], lowest) * blocks[i] + np.maximum(own[i], lowest)
+                    counted = (first == key[i]) & ((blocks[i] == 1) | (own[i] != own[j]) | (pair[i] == meeting))
+                    i, j = i[counted], j[counted]
+                    np.add.at(count, i, copies[j])
+                    np.add.at(count, j, copies[i])
+            a, b = forest(np.concatenate(u), np.concatenate(v))
             some = np.nonzero(count)[0]
             yield pa.RecordBatch.from_arrays([pa.array(np.r_[a, node[some]]), pa.array(np.r_[b, node[some]]), pa.array(np.r_[np.zeros(len(a), np.int64), count[some]])], names=["u", "v", "n"])
 
     return run
 
 
-def _close_pairs(flat, number, cosine):
-    first = np.nonzero(np.r_[True, number[1:] != number[:-1]])[0] if len(number) else np.empty(0, np.int64)
+def _close_pairs(x, number, cosine):
+    """Index pairs of rows in the same bucket whose cosine is large enough."""
+    first = np.nonzero(np.r_[True, number[1:] != number[:-1]])[0]
     sizes = np.diff(np.r_[first, len(number)])
     for at, size in zip(first[sizes >= DENSE].tolist(), sizes[sizes >= DENSE].tolist()):
-        x = np.stack(flat[at : at + size])
+        own = x[at : at + size]
         for lo in range(0, size, 512):
-            i, j = np.nonzero(x[lo : lo + 512] @ x.T >= cosine)
+            i, j = np.nonzero(own[lo : lo + 512] @ own.T >= cosine)
             i = i + lo
             yield at + i[i < j], at + j[i < j]
-    small = np.repeat(sizes < DENSE, sizes)
-    rows = np.nonzero(small)[0]
+    rows = np.nonzero(np.repeat(sizes < DENSE, sizes))[0]
     for i, j in pairs(number[rows], PAIRS_STEP):
         i, j = rows[i], rows[j]
-        good = np.einsum("ij,ij->i", np.stack([flat[k] for k in i.tolist()]), np.stack([flat[k] for k in j.tolist()])) >= cosine
+        good = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
         yield i[good], j[good]
 
 
@@ -162,7 +164,7 @@ def _first_shared(lists, i, j):
     """The smallest key that both vectors of each pair have."""
     out = np.empty(len(i), np.int64)
     for lo in range(0, len(i), PAIRS_STEP):
-        a, b = (np.stack([lists[k] for k in x[lo : lo + PAIRS_STEP].tolist()]) for x in (i, j))
+        a, b = lists[i[lo : lo + PAIRS_STEP]], lists[j[lo : lo + PAIRS_STEP]]
         both = (a[:, :, None] == b[:, None, :]).any(axis=2)
         out[lo : lo + PAIRS_STEP] = np.where(both, a, np.iinfo(np.int64).max).min(axis=1)
     return out

@@ -321,7 +321,7 @@ class Encoder:
             self.texts.clear()
         out, held, size = [], [], 0
         for t in texts:
-            if len(t) > BLOCK_CHARS:
+            if len(t) >= BLOCK_CHARS:  # a space mark comes in front
                 out.extend(self._some(held))
                 out.append(self._long(t))
                 held, size = [], 0
