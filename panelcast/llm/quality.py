@@ -1,7 +1,8 @@
 """Quality classifier: logistic regression on hashed word n-grams, trained with follow-the-regularised-leader updates.
 
-A text's features are hashed counts of its words and word pairs, and of the shapes of its words (letters to ``a`` and
-``A``, digits to ``0``, runs shortened, other characters as they are), divided by the number of n-grams.  Its score is
+A text's features are hashed counts of its words, of their shapes (letters to ``a`` and ``A``, digits to ``0``, runs
+shortened, other characters as they are) and of pairs of neighbours (by their shapes, and whether the word is the same
+again), divided by the number of n-grams.  Its score is
 the logistic function of the sparse dot product of counts and weights.
 """
 
@@ -19,8 +20,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 CELLS = 1 << 18
 #: Labelled rows that the model learns from: those with the smallest hash of their id.
 MAX_ROWS = 8_000
-EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 1e-4, 1e-4
-SCALE = 20.0
+EPOCHS, ALPHA, BETA, L1, L2 = 10, 1.0, 1.0, 1e-4, 1e-4
+SCALE = 40.0
 THRESHOLD = 0.3
 #: Words hashed at once, and words a worker remembers.
 BLOCK_WORDS, MEMO_WORDS = 1 << 16, 300_000
@@ -64,9 +65,12 @@ def features(text: str, hasher: Hasher):
     for at in range(0, len(words), BLOCK_WORDS):
         both = hasher.words(words[at : at + BLOCK_WORDS])
         word, shape = both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)
-        chain = np.concatenate([last, shape])
-        yield _cells(np.concatenate([word + np.uint64(1 << 33), shape + np.uint64(1 << 34), chain[:-1] * np.uint64(31) + chain[1:] + np.uint64(1 << 35)]))
-        last = shape[-1:]
+        chain = np.concatenate([last, both])
+        before, now = chain[:-1], chain[1:]
+        again = (before == now).astype(np.uint64)
+        pair = (before & np.uint64(0xFFFFFFFF)) * np.uint64(31) + (now & np.uint64(0xFFFFFFFF))
+        yield _cells(np.concatenate([word + np.uint64(1 << 33), shape + np.uint64(1 << 34), pair + np.uint64(1 << 35), again + np.uint64(1 << 36)]))
+        last = both[-1:]
 
 
 def sparse(text: str, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
