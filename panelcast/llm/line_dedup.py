@@ -24,7 +24,7 @@ SHARD_LINES = 50_000
 SHARD_PROBES = 500_000
 #: Lines of the shard that every task holds (24 bytes each).  Each has over 1 / HOT_LINES of all repeated (line,
 #: document) pairs, so there can't be more of them, and no other line sends more than that share to one place.
-HOT_LINES = 50_000
+HOT_LINES = 10_000
 #: Cells of a level of the minimal perfect hash for each line that is left.
 CELLS = 1.5
 
