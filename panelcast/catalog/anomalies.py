@@ -95,13 +95,16 @@ def _(spark, sf):
 ALL = f"""{IQR}, {Z}, {DEC}, {BAND},
 band AS (SELECT series_id, ts, value, 'band' AS method, (value - ma) / width AS score, ma - width AS lower, ma + width AS upper
   FROM ma JOIN wd USING (series_id) WHERE value < ma - width OR value > ma + width),
-found AS (SELECT * FROM iqr UNION ALL SELECT * FROM zscore UNION ALL SELECT * FROM decomp UNION ALL SELECT * FROM band)"""
-METHODS = ["iqr", "zscore", "decompose"]
+{AR1},
+model AS (SELECT series_id, ts, value, 'model' AS method, (resid - mu) / sd AS score, value - resid + mu - 3 * sd AS lower, value - resid + mu + 3 * sd AS upper
+  FROM s WHERE abs((resid - mu) / sd) > 3),
+found AS (SELECT * FROM iqr UNION ALL SELECT * FROM zscore UNION ALL SELECT * FROM decomp UNION ALL SELECT * FROM band UNION ALL SELECT * FROM model)"""
+METHODS = ["iqr", "zscore", "decompose", "model"]
 
 
 def _detect(spark, sf):
     panel = v.hourly(spark, sf)
-    found = anomaly.detect_all(panel, HOUR, period=50, methods=METHODS)
+    found = anomaly.detect_all(panel, HOUR, period=50, methods=METHODS, order=(1, 0, 0))
     return found.unionByName(anomaly.outliers_band(panel, 24, HOUR))
 
 
@@ -169,14 +172,23 @@ def _(spark, sf):
     return anomaly.residual_drift(holdout_residuals(spark, sf), HOUR, window=48)
 
 
-@query("unexpected_ramps", v.with_(v.T, HOLDOUT) + """
-SELECT series_id, ts, round(ar, 6) AS actual_ramp, round(fr, 6) AS forecast_ramp FROM (
-  SELECT series_id, ts, value - lag(value) OVER w AS ar, yhat - lag(yhat) OVER w AS fr FROM rs WINDOW w AS (PARTITION BY series_id ORDER BY ts))
-WHERE abs(ar - fr) > 100""")
+RAMPS = """rp AS (SELECT a.series_id, a.ts, a.value - b.value AS ar, a.yhat - b.yhat AS fr FROM {0} a JOIN {0} b
+  ON b.series_id = a.series_id AND b.ts = a.ts - INTERVAL 1 HOUR)
+SELECT series_id, ts, round(ar, 6) AS actual_ramp, round(fr, 6) AS forecast_ramp FROM rp WHERE abs(ar - fr) > 100"""
+
+
+@query("unexpected_ramps", v.with_(v.T, HOLDOUT, RAMPS.format("rs")))
 def _(spark, sf):
     return anomaly.unexpected_ramps(holdout_residuals(spark, sf), HOUR, k=100.0)
 
 
+# Without every hour that divides by five: no ramp may lead over such a gap.
+@query("unexpected_ramps_gaps", v.with_(v.T, HOLDOUT, "rg AS (SELECT * FROM rs WHERE hour(ts) % 5 <> 0)", RAMPS.format("rg")))
+def _(spark, sf):
+    rows = holdout_residuals(spark, sf).where(F.hour("ts") % 5 != 0)
+    return anomaly.unexpected_ramps(rows, HOUR, k=100.0)
+
+
 @query("outages", v.with_(v.T, HOLDOUT) + """,
 g AS (SELECT *, abs(value) < 20 AND yhat > 40 AS flag FROM rs),
 i AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) - row_number() OVER (PARTITION BY series_id, flag ORDER BY ts) AS grp FROM g)

@@ -12,7 +12,7 @@ from panelcast.operators.clean import regularize, split_last
 from panelcast.operators.forecast.baseline import forecast_snaive
 from panelcast.operators.forecast.contract import to_contract
 from panelcast.operators.windows import difference
-from panelcast.plans.grid import HOUR, MONTH
+from panelcast.plans.grid import DAY, HOUR, MONTH
 from panelcast.sources.shapes import canonicalize
 
 FC = HOLDOUT + """,
@@ -20,9 +20,9 @@ fo AS (SELECT series_id, max(ts) AS made FROM tr GROUP BY 1),
 fc AS (SELECT rs.series_id AS asset_id, rs.ts AS timestamp, yhat, least(lower, upper) AS lower, greatest(lower, upper) AS upper FROM rs)"""
 
 SC = """rd AS (SELECT series_id, CAST(ts AS DATE) AS day, hour(ts) AS k, value - prev AS r FROM tr WHERE prev IS NOT NULL),
-wd AS (SELECT series_id, day FROM rd GROUP BY 1, 2 HAVING count(*) = 24),
-sc AS (SELECT rs.series_id AS asset_id, rs.ts AS timestamp, date_diff('day', rd.day, CAST(made AS DATE)) AS scenario_id, yhat + r AS value
-  FROM rs JOIN fo USING (series_id) JOIN wd USING (series_id) JOIN rd ON rd.series_id = rs.series_id AND rd.day = wd.day AND rd.k = hour(rs.ts))"""
+wd AS (SELECT DISTINCT day FROM rd),
+sc AS (SELECT rs.series_id AS asset_id, rs.ts AS timestamp, date_diff('day', wd.day, CAST(made AS DATE)) AS scenario_id, yhat + r AS value
+  FROM rs JOIN fo USING (series_id) CROSS JOIN wd LEFT JOIN rd ON rd.series_id = rs.series_id AND rd.day = wd.day AND rd.k = hour(rs.ts))"""
 
 PR = """pr AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS timestamp, round(avg(value), 6) AS price FROM events GROUP BY 1)"""
 
@@ -141,7 +141,7 @@ def _(spark, sf):
 
 NATIONS = """mo AS (SELECT n_name AS series_id, date_trunc('month', o_orderdate)::TIMESTAMP AS ts, round(sum(o_totalprice), 4) AS value
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
-ml AS (SELECT * FROM mo WHERE ts < (SELECT max(ts) FROM mo)),
+ml AS (SELECT * FROM mo WHERE ts + INTERVAL 1 MONTH <= (SELECT max(o_orderdate)::TIMESTAMP + INTERVAL 1 DAY FROM orders)),
 mg AS (SELECT s.series_id, g.ts FROM (SELECT DISTINCT series_id FROM ml) s CROSS JOIN
   (SELECT unnest(generate_series((SELECT min(ts) FROM ml), (SELECT max(ts) FROM ml), INTERVAL 1 MONTH)) AS ts) g),
 m AS (SELECT mg.series_id, mg.ts, coalesce(ml.value, 0.0) AS value FROM mg LEFT JOIN ml USING (series_id, ts)),
@@ -161,7 +161,7 @@ def _(spark, sf):
     orders = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
     named = orders.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     panel = canonicalize(named, {"series_id": "nation", "ts": "o_orderdate", "value": "o_totalprice"})
-    monthly = regularize(panel, MONTH, span="panel", fill=0.0, drop_partial=True)
+    monthly = regularize(panel, MONTH, span="panel", fill=0.0, drop_partial=True, resolution=DAY)
     made = to_contract(forecast_snaive(monthly, 12, MONTH, season=12), "snaive-12")
     placed = made.join(places, F.col("asset_id") == F.col("nation"))
     return decision.portfolio_forecast(placed, ["region", "nation"])
@@ -169,18 +169,22 @@ def _(spark, sf):
 
 @query("portfolio_uncertainty", v.with_(v.T, FC) + """,
 e AS (SELECT series_id, ts, value - prev AS r FROM tr WHERE prev IS NOT NULL),
-s AS (SELECT ts, sum(r) AS s, count(*) AS n FROM e GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT series_id) FROM e)),
-p AS (SELECT count(*) AS n_steps, stddev_samp(s) AS sp FROM s),
-i AS (SELECT count(*) AS n_assets, sqrt(sum(v)) AS si FROM (SELECT series_id, var_samp(r) AS v FROM e WHERE ts IN (SELECT ts FROM s) GROUP BY 1))
-SELECT n_steps, round(sp, 6) AS sigma_portfolio, n_assets, round(si, 6) AS sigma_independent, round(sp / si, 6) AS diversification FROM p CROSS JOIN i""".replace("\n,", ",", 1))
+s AS (SELECT ts, sum(r) AS s, count(DISTINCT series_id) AS n FROM e GROUP BY 1),
+p AS (SELECT count(*) AS n_steps, stddev_samp(s) AS sp, avg(n) AS n FROM s),
+i AS (SELECT count(*) AS n_assets, sqrt(sum(v)) AS si FROM (SELECT series_id, var_samp(r) AS v FROM e GROUP BY 1))
+SELECT n_steps, round(sp, 6) AS sigma_portfolio, n_assets, round(si, 6) AS sigma_independent, round(sp / si, 6) AS diversification, round(n / n_assets, 6) AS presence FROM p CROSS JOIN i""".replace("\n,", ",", 1))
 def _(spark, sf):
     return decision.portfolio_uncertainty(residuals(spark, sf))
 
 
 FLEX = """cp AS (SELECT series_id, hour(ts) AS hh, isodow(ts) AS dd, quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM tr GROUP BY 1, 2, 3),
+ch AS (SELECT series_id, hour(ts) AS hh, quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM tr GROUP BY 1, 2),
+ca AS (SELECT series_id, quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM tr GROUP BY 1),
 lm AS (SELECT series_id, max(abs(d)) AS lim FROM (SELECT series_id, value - lag(value) OVER (PARTITION BY series_id ORDER BY ts) AS d FROM tr) GROUP BY 1),
-fx AS (SELECT fc.asset_id, fc.timestamp, yhat, least(greatest(yhat - lo, 0), lim) AS reduction, least(greatest(hi - yhat, 0), lim) AS increase
-  FROM fc JOIN cp ON cp.series_id = asset_id AND hh = hour(timestamp) AND dd = isodow(timestamp) JOIN lm ON lm.series_id = asset_id)"""
+fx AS (SELECT fc.asset_id, fc.timestamp, yhat, least(greatest(yhat - coalesce(cp.lo, ch.lo, ca.lo), 0), lim) AS reduction,
+  least(greatest(coalesce(cp.hi, ch.hi, ca.hi) - yhat, 0), lim) AS increase
+  FROM fc LEFT JOIN cp ON cp.series_id = asset_id AND cp.hh = hour(timestamp) AND cp.dd = isodow(timestamp) LEFT JOIN ch ON ch.series_id = asset_id AND ch.hh = hour(timestamp)
+  LEFT JOIN ca ON ca.series_id = asset_id LEFT JOIN lm ON lm.series_id = asset_id)"""
 
 
 @query("flex_envelope", v.with_(v.T, FC, FLEX) + """

@@ -33,11 +33,12 @@ def _(spark, sf):
     return stats.pacf(v.hourly(spark, sf), 40, HOUR)
 
 
-@query("dominant_lag", v.with_(v.T, ACF) + """
+# The definition searches min(100, n - 1) lags.
+@query("dominant_lag", v.with_(v.T, ACF.replace("generate_series(1, 48)", "generate_series(1, 100)")) + """
 SELECT series_id, lag AS dominant_lag, round(acf, 6) AS acf FROM (
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY acf DESC, lag) AS r FROM ac) WHERE r = 1""")
 def _(spark, sf):
-    return stats.dominant_lag(stats.acf(v.hourly(spark, sf), 48, HOUR))
+    return stats.dominant_lag(stats.acf(v.hourly(spark, sf), 100, HOUR))
 
 
 @query("ljung_box", v.with_(v.T, ACF) + "SELECT series_id, round(max(n) * (max(n) + 2) * sum(acf * acf / (n - lag)), 6) AS ljung_box FROM ac GROUP BY 1")
@@ -179,7 +180,7 @@ def _(spark, sf):
 
 @query("adf_test")
 def _(spark, sf):
-    return stats.adf_test(v.monthly(spark, sf), "month", maxlag=4)
+    return stats.adf_test(v.monthly(spark, sf), "month", maxlag=12)
 
 
 @query("check_stats", v.with_(v.T, ACF) + """,

@@ -12,9 +12,10 @@ from panelcast.catalog.forecasts import HOLT, OUT, SES, seasonal_sql
 from panelcast.catalog.registry import query
 from panelcast.catalog.rolling import strict_sql
 from panelcast.operators import evaluate, windows
+from panelcast.operators.clean import regularize
 from panelcast.operators.forecast import arima
 from panelcast.operators.forecast.baseline import forecast_mean, forecast_naive
-from panelcast.plans.grid import HOUR, MONTH
+from panelcast.plans.grid import DAY, HOUR, MONTH
 
 N = "k AS (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM m)"
 
@@ -29,7 +30,7 @@ def _(spark, sf):
 
 def metric_sql(a: str = "actual", f: str = "forecast", digits: int = 4) -> str:
     e = f"({a} - {f})"
-    return f"""count({e}) AS n, round(avg({e} * {e}), {-3 if digits == 2 else digits}) AS mse, round(avg(abs({e})), {digits}) AS mae,
+    return f"""count({e}) AS n, count({a}) - count({e}) AS n_missing, round(avg({e} * {e}), {-3 if digits == 2 else digits}) AS mse, round(avg(abs({e})), {digits}) AS mae,
   round(sqrt(avg({e} * {e})), {digits}) AS rmse, round(avg(abs({e} / nullif({a}, 0))) * 100, {digits}) AS mape, count({e} / nullif({a}, 0)) AS n_mape"""
 
 
@@ -44,7 +45,7 @@ ev AS (SELECT p.series_id, p.fold, p.value AS actual, forecast FROM p JOIN tr US
 SELECT series_id, fold, """.replace("\n,", ",", 1) + metric_sql(digits=2) + " FROM ev GROUP BY 1, 2", digits=2)
 def _(spark, sf):
     folds = evaluate.expanding_folds(v.monthly(spark, sf), 5)
-    rows = evaluate.evaluate_folds(folds, forecast_mean, 14, MONTH, model="mean")
+    rows = evaluate.evaluate_folds(folds, forecast_mean, None, MONTH, model="mean")
     return coarse_mse(evaluate.metrics(rows, ["series_id", "fold"]))
 
 
@@ -114,7 +115,7 @@ ev AS (SELECT m.series_id, m.value AS actual, (SELECT arg_max(b.value, b.ts) FRO
   FROM cu JOIN m ON m.series_id = cu.series_id AND m.ts > cutoff AND m.ts <= cutoff + INTERVAL 365 DAY)
 SELECT """.replace("\n,", ",", 1) + metric_sql(digits=2) + " FROM ev", digits=2)
 def _(spark, sf):
-    rows = evaluate.cutoff_cv(v.monthly(spark, sf), forecast_naive, 13, MONTH, model="naive")
+    rows = evaluate.cutoff_cv(v.monthly(spark, sf), forecast_naive, None, MONTH, model="naive")
     return coarse_mse(evaluate.metrics(rows))
 
 
@@ -124,23 +125,48 @@ ev AS (SELECT te.series_id, 'mean' AS model, te.fold, te.value AS actual, x.f AS
   UNION ALL SELECT te.series_id, 'naive', te.fold, te.value, m.value FROM te JOIN m ON m.series_id = te.series_id AND m.rn = te.st
   UNION ALL SELECT te.series_id, 'snaive', te.fold, te.value, m.value FROM te JOIN m ON m.series_id = te.series_id AND m.rn = te.rn - 12
   UNION ALL SELECT te.series_id, 'ses', te.fold, te.value, s.lvl FROM te JOIN (SELECT *, row_number() OVER (PARTITION BY series_id, rn ORDER BY sse, alpha) AS r FROM ses) s
+    ON s.series_id = te.series_id AND s.rn = te.st AND s.r = 1
+  UNION ALL SELECT te.series_id, 'holt', te.fold, te.value, s.lvl + (te.rn - te.st) * s.tr FROM te JOIN (SELECT *, row_number() OVER (PARTITION BY series_id, rn ORDER BY sse, alpha, beta) AS r FROM holt) s
     ON s.series_id = te.series_id AND s.rn = te.st AND s.r = 1),
 pf AS (SELECT series_id, model, fold, avg(pow(actual - forecast, 2)) AS mse, avg(abs(actual - forecast)) AS mae, sqrt(avg(pow(actual - forecast, 2))) AS rmse,
   avg(abs((actual - forecast) / nullif(actual, 0))) * 100 AS mape FROM ev GROUP BY 1, 2, 3)"""
 
 
-@query("leaderboard", v.with_recursive(v.M, N, SES, COMPARE) + """
-SELECT model, n_fits, round(mse, -3) AS mse, round(mae, 2) AS mae, round(rmse, 2) AS rmse, round(mape, 2) AS mape, row_number() OVER (ORDER BY mae, model) AS rank
+BOARD = ("mean", "naive", "snaive", "ses", "holt")
+HZ = "hz AS (SELECT 1 AS h)"
+
+
+@query("leaderboard", v.with_recursive(v.M, HZ, N, SES, HOLT, COMPARE) + """
+SELECT model, n_fits, CAST(0 AS BIGINT) AS n_missing, round(mse, -3) AS mse, round(mae, 2) AS mae, round(rmse, 2) AS rmse, round(mape, 2) AS mape, row_number() OVER (ORDER BY mae, model) AS rank
 FROM (SELECT model, count(*) AS n_fits, avg(mse) AS mse, avg(mae) AS mae, avg(rmse) AS rmse, avg(mape) AS mape FROM pf GROUP BY 1)""", digits=2)
+def _(spark, sf):
+    return coarse_mse(evaluate.leaderboard(evaluate.compare_models(v.monthly(spark, sf), MONTH, models=BOARD)))
+
+
+@query("leaderboard_all", digits=2)
 def _(spark, sf):
     return coarse_mse(evaluate.leaderboard(evaluate.compare_models(v.monthly(spark, sf), MONTH)))
 
 
-@query("best_model", v.with_recursive(v.M, N, SES, COMPARE) + """
+# Days of single users: many gaps, short series and, once filled, zeros.
+USER_DAYS = """ud AS (SELECT series_id, date_trunc('day', ts) AS ts, sum(value) AS value FROM u GROUP BY 1, 2),
+sp AS (SELECT series_id, min(ts) AS lo, max(ts) AS hi, count(*) AS known, date_diff('day', min(ts), max(ts)) + 1 AS steps, min(value) AS least FROM ud GROUP BY 1)"""
+
+
+@query("forecast_status", v.with_(v.U, USER_DAYS) + """
+SELECT series_id, model, known AS n, CASE WHEN (CASE WHEN whole THEN steps ELSE known END) < need THEN 'too_short' WHEN whole AND known < steps THEN 'has_gaps'
+  WHEN positive AND least <= 0 THEN 'not_positive' ELSE 'ok' END AS status
+FROM sp CROSS JOIN (VALUES ('mean', 1, false, false), ('naive', 1, false, false), ('snaive', 1, false, false), ('ses', 2, true, false),
+  ('holt', 3, true, false), ('hw_add', 24, true, false), ('hw_mul', 24, true, true)) AS r(model, need, whole, positive)""")
+def _(spark, sf):
+    return evaluate.forecast_status(regularize(v.user_events(spark, sf), DAY))
+
+
+@query("best_model", v.with_recursive(v.M, HZ, N, SES, HOLT, COMPARE) + """
 SELECT series_id, model, round(mae, 4) AS mae FROM (SELECT series_id, model, avg(abs(actual - forecast)) AS mae,
   row_number() OVER (PARTITION BY series_id ORDER BY avg(abs(actual - forecast)), model) AS r FROM ev GROUP BY 1, 2) WHERE r = 1""", digits=4)
 def _(spark, sf):
-    return evaluate.best_model_per_series(evaluate.compare_models(v.monthly(spark, sf), MONTH))
+    return evaluate.best_model_per_series(evaluate.compare_models(v.monthly(spark, sf), MONTH, models=BOARD))
 
 
 @query("segment_error", v.with_(v.T, ONE) + "SELECT CAST(isodow(ts) - 1 AS BIGINT) AS segment, " + metric_sql() + " FROM ev GROUP BY 1", digits=4)

@@ -40,10 +40,9 @@ def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly order value per priority; the month of the last order is not over and is left out."""
-    return _tidy(
-        regularize(order_series(spark, sf_dir), MONTH, span="panel", fill=0.0, drop_partial=True), 4
-    )
+    """Monthly order value per priority; the month of the last order is left out unless that is its last day."""
+    orders = order_series(spark, sf_dir)
+    return _tidy(regularize(orders, MONTH, span="panel", fill=0.0, drop_partial=True, resolution=DAY), 4)
 
 
 def daily_orders(spark: SparkSession, sf_dir: str, fill: float | None = 0.0) -> DataFrame:
@@ -91,7 +90,7 @@ tn AS (SELECT tg.series_id, tg.ts, th.value FROM tg LEFT JOIN th USING (series_i
 
 M = """mo AS (SELECT o_orderpriority AS series_id, date_trunc('month', o_orderdate)::TIMESTAMP AS ts,
   round(sum(o_totalprice), 4) AS value FROM orders GROUP BY 1, 2),
-ml AS (SELECT * FROM mo WHERE ts < (SELECT max(ts) FROM mo)),
+ml AS (SELECT * FROM mo WHERE ts + INTERVAL 1 MONTH <= (SELECT max(o_orderdate)::TIMESTAMP + INTERVAL 1 DAY FROM orders)),
 mg AS (SELECT s.series_id, g.ts FROM (SELECT DISTINCT series_id FROM ml) s CROSS JOIN
   (SELECT unnest(generate_series((SELECT min(ts) FROM ml), (SELECT max(ts) FROM ml), INTERVAL 1 MONTH)) AS ts) g),
 m AS (SELECT mg.series_id, mg.ts, coalesce(ml.value, 0.0) AS value,

@@ -13,7 +13,7 @@ from panelcast.operators.stats import decompose, series_moments
 from panelcast.operators.windows import strict_mean
 from panelcast.plans.grid import Step, grid_index, grid_time
 from panelcast.plans.quantiles import exact_quantiles
-from panelcast.plans.tiles import attach, join_series, over_tiles, runs, time_tile
+from panelcast.plans.tiles import attach, join_series, lag_steps, over_tiles, runs, time_tile
 from panelcast.schema import select_anomaly
 
 
@@ -107,14 +107,19 @@ DETECTORS = {
 
 
 def detect_all(
-    df: DataFrame, step: Step, *, period: int = 50, methods: Sequence[str] = ("iqr", "zscore", "decompose", "model")
+    df: DataFrame,
+    step: Step,
+    *,
+    period: int = 50,
+    methods: Sequence[str] = ("iqr", "zscore", "decompose", "model"),
+    order: tuple[int, int, int] = (1, 1, 1),
 ) -> DataFrame:
-    """The findings of several detectors in one long table.
+    """The findings of several detectors in one long table; ``order`` is the model detector's.
 
     A series a method cannot handle (too short, constant) has no rows from it.
     Persist ``df`` first if it is costly: each method reads it on its own.
     """
-    parts = [DETECTORS[m](df, step, period) for m in methods]
+    parts = [outliers_model(df, order=order) if m == "model" else DETECTORS[m](df, step, period) for m in methods]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -215,12 +220,12 @@ def residual_drift(residuals: DataFrame, step: Step, *, window: int) -> DataFram
 
 
 def unexpected_ramps(residuals: DataFrame, step: Step, *, k: float) -> DataFrame:
-    """Steps where the actual ramp differs from the forecast ramp by more than ``k``."""
+    """Steps where the actual ramp differs from the forecast ramp by more than ``k``; no ramp leads over a gap."""
 
     def columns(w: WindowSpec) -> dict[str, Column]:
         return {
-            "actual_ramp": F.col("value") - F.lag("value").over(w),
-            "forecast_ramp": F.col("yhat") - F.lag("yhat").over(w),
+            "actual_ramp": F.col("value") - lag_steps("value", 1, w),
+            "forecast_ramp": F.col("yhat") - lag_steps("yhat", 1, w),
         }
 
     rows = over_tiles(residuals, columns, step=step, back=1)

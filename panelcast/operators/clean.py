@@ -18,10 +18,15 @@ CELL_AGGREGATES = {
 }
 
 
-def to_cells(df: DataFrame, step: Step, agg: str = "sum") -> DataFrame:
-    """Aggregate an irregular panel into grid cells; partial sums before the shuffle."""
-    value = CELL_AGGREGATES[agg](F.col("value"), F.col("ts"))
-    return df.groupBy("series_id", grid_index(F.col("ts"), step).alias("_cell")).agg(value.alias("value"))
+def to_cells(df: DataFrame, step: Step, agg: str = "sum", *, seen: bool = False) -> DataFrame:
+    """Aggregate an irregular panel into grid cells; partial sums before the shuffle.
+
+    ``seen`` adds ``_seen``, the last time in the cell.
+    """
+    made = [CELL_AGGREGATES[agg](F.col("value"), F.col("ts")).alias("value")]
+    if seen:
+        made.append(F.max("ts").alias("_seen"))
+    return df.groupBy("series_id", grid_index(F.col("ts"), step).alias("_cell")).agg(*made)
 
 
 def regularize(
@@ -34,26 +39,35 @@ def regularize(
     end: str | None = None,
     fill: float | None = None,
     drop_partial: bool = False,
+    resolution: float = 1.0,
 ) -> DataFrame:
     """Reindex to a fixed grid; absent steps become rows with NULL (or ``fill``).
 
     ``span`` is ``series`` (each from its own first to last cell) or ``panel``
     (all from the panel's first to last cell); ``start`` and ``end`` override
-    it.  ``drop_partial`` leaves out the panel's last cell, which may not have
-    ended yet.  Afterwards a series has at most one row per step, whatever
-    number of raw rows it had; operators that read lags need this first.
+    it.  ``drop_partial`` leaves out the panel's last cell unless it has ended:
+    the last time seen in it is ``resolution`` seconds or less from its end (a
+    day for dates).  Afterwards a series has at most one row per step, whatever
+    number of raw rows it had; operators that read lags need this first.  Rows
+    without series or time belong nowhere and are left out.
     """
     require_columns(df, "series_id", "ts", "value")
     if span not in ("series", "panel"):
         raise ValueError("span is 'series' or 'panel'")
-    cell = grid_index(F.col("ts"), step)
-    spans = df.groupBy("series_id").agg(F.min(cell).alias("_lo"), F.max(cell).alias("_hi"))
+    # Spans come from the cells.  Every branch reads all columns of a cell, and the filters that the join below would
+    # add to its side are on all of them, so the plan has one scan and one shuffle of raw rows, which the others reuse.
+    placed = F.col("series_id").isNotNull() & grid_index(F.col("ts"), step).isNotNull()
+    cells = to_cells(df.where(placed), step, agg, seen=True)
+    spans = cells.groupBy("series_id").agg(
+        F.min("_cell").alias("_lo"), F.max("_cell").alias("_hi"), F.max("_seen").alias("_seen"), F.count("value").alias("_known")
+    ).where("_known >= 0 AND _seen IS NOT NULL")
     if span == "panel" or drop_partial:
         # One row, whatever the data.
-        bounds = spans.agg(F.min("_lo").alias("_first"), F.max("_hi").alias("_last"))
+        bounds = spans.agg(F.min("_lo").alias("_first"), F.max("_hi").alias("_last"), F.max("_seen").alias("_latest"))
         spans = spans.crossJoin(F.broadcast(bounds))
         if drop_partial:
-            whole = F.col("_last") - 1
+            ended = seconds_between(grid_time(F.col("_last") + 1, step), F.col("_latest")) <= resolution
+            whole = F.when(ended, F.col("_last")).otherwise(F.col("_last") - 1)
             spans = spans.withColumns({"_last": whole, "_hi": F.least("_hi", whole)})
         if span == "panel":
             spans = spans.withColumns({"_lo": F.col("_first"), "_hi": F.col("_last")})
@@ -64,7 +78,7 @@ def regularize(
 
     grid = spans.where("_lo <= _hi").select("series_id", F.explode(F.sequence("_lo", "_hi")).alias("_cell"))
     value = F.col("value") if fill is None else F.coalesce("value", F.lit(float(fill)))
-    return grid.join(to_cells(df, step, agg), ["series_id", "_cell"], "left").select(
+    return grid.join(cells.where("_seen IS NOT NULL"), ["series_id", "_cell"], "left").select(
         "series_id", grid_time(F.col("_cell"), step).alias("ts"), value.alias("value")
     )
 

@@ -14,7 +14,7 @@ from panelcast.functions.calendar import time_features
 from panelcast.functions.numeric import normal_cdf, normal_quantile
 from panelcast.plans.grid import DAY, Step, grid_index, grid_time
 from panelcast.plans.quantiles import bounded_quantiles
-from panelcast.plans.tiles import over_tiles, runs
+from panelcast.plans.tiles import lag_steps, over_tiles, runs
 
 ASSET = ("asset_id",)
 
@@ -22,7 +22,7 @@ ASSET = ("asset_id",)
 def with_ramps(forecast: DataFrame, step: Step) -> DataFrame:
     y = F.col("yhat")
     return over_tiles(
-        forecast, lambda w: {"ramp": y - F.lag(y).over(w)}, step=step, back=1, keys=ASSET, ts="timestamp"
+        forecast, lambda w: {"ramp": y - lag_steps("yhat", 1, w)}, step=step, back=1, keys=ASSET, ts="timestamp"
     )
 
 
@@ -59,9 +59,11 @@ def scenarios(forecast: DataFrame, residuals: DataFrame, step: int, *, n: int |
     """Plausible futures: the forecast plus the residuals of one past day, the same day for all assets.
 
     ``residuals`` has ``series_id, ts, resid``.  ``scenario_id`` is the age of
-    the residual day in days; ``n`` keeps the newest ones.  An asset without all
-    steps of a day has no scenario for it.  Taking one day for all assets keeps
-    their correlation.  The output is forecast rows times days, as asked for.
+    the residual day in days; ``n`` keeps the newest ones.  Every asset takes
+    part in every day's scenario, so that one day for all keeps their
+    correlation; ``value`` is NULL where the asset has no residual for the step
+    (``event_probability`` counts those that are known).  The output is
+    forecast rows times days, as asked for.
     """
     per_day = DAY // int(step)
 
@@ -72,10 +74,13 @@ def scenarios(forecast: DataFrame, residuals: DataFrame, step: int, *, n: int |
     days = known.groupBy(F.col("series_id").alias("asset_id"), F.to_date("ts").alias("_day")).agg(
         F.collect_list(F.struct(place(F.col("ts")).alias("k"), F.col("resid").alias("r"))).alias("_r")
     )
-    whole = days.where(F.size("_r") == per_day).withColumn("_r", F.map_from_entries("_r"))
+    days = days.withColumn("_r", F.map_from_entries("_r"))
+    # One row: the days of the calendar that any asset has a residual for.
+    calendar = known.select(F.to_date("ts").alias("_day")).distinct().agg(F.collect_list("_day").alias("_days"))
     made = forecast.groupBy("asset_id").agg(F.max("forecast_ts").alias("_made"))
+    each = made.crossJoin(F.broadcast(calendar)).withColumn("_day", F.explode("_days")).drop("_days")
     age = F.datediff(F.to_date("_made"), "_day")
-    aged = whole.join(made, "asset_id").withColumn("scenario_id", age)
+    aged = each.join(days, ["asset_id", "_day"], "left").withColumn("scenario_id", age)
     if n is not None:
         newest = aged.select("scenario_id").distinct().orderBy("scenario_id").limit(n)
         aged = aged.join(F.broadcast(newest), "scenario_id")
@@ -195,18 +200,24 @@ def portfolio_uncertainty(residuals: DataFrame) -> DataFrame:
     """Deviation of the summed residuals, and what it would be if assets were independent.
 
     The variance of the sum holds all covariances, so no pair of assets is ever
-    formed.  Only times at which every asset is present count.
+    formed.  Every time counts, with the residuals of the assets present;
+    ``presence`` is the mean share of assets that are.  Below 1, both deviations
+    rest on different rows, and their ratio is a rough one.
     """
     known = residuals.where(F.col("resid").isNotNull())
-    total = known.agg(F.count_distinct("series_id").alias("_assets"))
-    per_time = known.groupBy("ts").agg(F.sum("resid").alias("_sum"), F.count(F.lit(1)).alias("_n"))
-    whole = per_time.join(F.broadcast(total), F.col("_n") == F.col("_assets"))
-    portfolio = whole.agg(F.count(F.lit(1)).alias("n_steps"), F.stddev_samp("_sum").alias("sigma_portfolio"))
-    complete = known.join(whole.select("ts"), "ts", "left_semi")
-    single = complete.groupBy("series_id").agg(F.var_samp("resid").alias("_v"))
+    per_time = known.groupBy("ts").agg(F.sum("resid").alias("_sum"), F.count_distinct("series_id").alias("_n"))
+    portfolio = per_time.agg(
+        F.count(F.lit(1)).alias("n_steps"), F.stddev_samp("_sum").alias("sigma_portfolio"), F.avg("_n").alias("_present")
+    )
+    single = known.groupBy("series_id").agg(F.var_samp("resid").alias("_v"))
     alone = single.agg(F.count(F.lit(1)).alias("n_assets"), F.sqrt(F.sum("_v")).alias("sigma_independent"))
-    ratio = F.try_divide("sigma_portfolio", "sigma_independent")
-    return portfolio.crossJoin(F.broadcast(alone)).withColumn("diversification", ratio)
+    both = portfolio.crossJoin(F.broadcast(alone))
+    return both.withColumns(
+        {
+            "diversification": F.try_divide("sigma_portfolio", "sigma_independent"),
+            "presence": F.try_divide("_present", "n_assets"),
+        }
+    ).drop("_present")
 
 
 def flex_envelope(
@@ -215,31 +226,43 @@ def flex_envelope(
     """How far each asset can go down and up from its forecast.
 
     Capacities are history quantiles at the same hour and weekday (a group holds
-    one value per past week and step); no change exceeds the largest ramp seen.
+    one value per past week and step), else at the same hour, else of the whole
+    history; no change exceeds the largest ramp seen.  Every forecast row is
+    returned, with NULL for an asset without history.
     """
     calendar = time_features(F.col("ts"))
     past = history.select("series_id", "ts", "value", calendar["hour"].alias("hour"), calendar["dow"].alias("dow"))
-    caps = past.groupBy(F.col("series_id").alias("asset_id"), "hour", "dow").agg(
-        bounded_quantiles(F.col("value"), [low, high]).alias("_q")
-    )
+    past = past.withColumnRenamed("series_id", "asset_id")
+
+    def caps(name: str, *by: str) -> DataFrame:
+        return past.groupBy("asset_id", *by).agg(bounded_quantiles(F.col("value"), [low, high]).alias(name))
+
     v = F.col("value")
-    ramps = over_tiles(history, lambda w: {"_r": F.abs(v - F.lag(v).over(w))}, step=step, back=1)
+    ramps = over_tiles(history, lambda w: {"_r": F.abs(v - lag_steps("value", 1, w))}, step=step, back=1)
     limit = ramps.groupBy(F.col("series_id").alias("asset_id")).agg(F.max("_r").alias("_limit"))
     t = time_features(F.col("timestamp"))
     rows = (
         forecast.withColumns({"hour": t["hour"], "dow": t["dow"]})
-        .join(caps, ["asset_id", "hour", "dow"])
-        .join(limit, "asset_id")
+        .join(caps("_q1", "hour", "dow"), ["asset_id", "hour", "dow"], "left")
+        .join(caps("_q2", "hour"), ["asset_id", "hour"], "left")
+        .join(caps("_q3"), "asset_id", "left")
+        .join(limit, "asset_id", "left")
+        .withColumn("_q", F.coalesce("_q1", "_q2", "_q3"))
     )
     y = F.col("yhat")
-    down = F.least(F.greatest(y - F.col("_q")[0], F.lit(0.0)), F.col("_limit"))
-    up = F.least(F.greatest(F.col("_q")[1] - y, F.lit(0.0)), F.col("_limit"))
+
+    def held(x: Column) -> Column:
+        """NULL stays NULL: greatest and least would pass over it."""
+        return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(0.0)), F.col("_limit")))
+
+    down, up = held(y - F.col("_q")[0]), held(F.col("_q")[1] - y)
     return rows.select("asset_id", "timestamp", "yhat", down.alias("reduction"), up.alias("increase"))
 
 
 def portfolio_flexibility(envelope: DataFrame) -> DataFrame:
+    """Sums over the assets; ``n_assets`` counts those whose flexibility is known."""
     return envelope.groupBy("timestamp").agg(
-        F.sum("reduction").alias("reduction"), F.sum("increase").alias("increase"), F.count(F.lit(1)).alias("n_assets")
+        F.sum("reduction").alias("reduction"), F.sum("increase").alias("increase"), F.count("reduction").alias("n_assets")
     )
 
 

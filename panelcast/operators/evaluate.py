@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from panelcast.functions.calendar import time_features
 from panelcast.operators.clean import ffill_bfill, split_last
-from panelcast.operators.forecast.baseline import forecast_mean, forecast_naive, forecast_snaive
-from panelcast.operators.forecast.smoothing import forecast_smoothing, rolling_smoothing, smoothing_grid_scores
+from panelcast.operators.forecast.baseline import fit_status, forecast_mean, forecast_naive, forecast_snaive
+from panelcast.operators.forecast.smoothing import forecast_smoothing, points_needed, rolling_smoothing, smoothing_grid_scores
 from panelcast.operators.windows import prefix_stats
 from panelcast.plans.grid import Step, grid_index, grid_time
 from panelcast.plans.quantiles import exact_quantiles
@@ -21,11 +21,15 @@ Forecaster = Callable[..., DataFrame]
 
 
 def error_columns() -> list[Column]:
-    """Aggregates over ``actual`` and ``forecast``; a zero actual is left out of MAPE and counted."""
+    """Aggregates over ``actual`` and ``forecast``; a zero actual is left out of MAPE and counted.
+
+    ``n`` counts the rows that are compared, ``n_missing`` actual values without a forecast.
+    """
     e = F.col("actual") - F.col("forecast")
     rel = F.abs(F.try_divide(e, F.col("actual")))
     return [
         F.count(e).alias("n"),
+        F.count_if(F.col("actual").isNotNull() & F.col("forecast").isNull()).alias("n_missing"),
         F.avg(e * e).alias("mse"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
@@ -69,20 +73,41 @@ def expanding_folds(
     return rows.withColumn("part", part).where(F.col("part").isNotNull() & (start > 0)).drop("pos", "n", "_size")
 
 
+def steps_ahead(folds: DataFrame, keys: Sequence[str], step: Step) -> int:
+    """Grid steps from a train part's end to its test part's, the most over all folds: one number, aggregated."""
+    i = grid_index(F.col("ts"), step)
+    ends = folds.groupBy(*keys).agg(*[F.max(F.when(F.col("part") == p, i)).alias(p) for p in ("train", "test")])
+    return max(1, ends.agg(F.max(F.col("test") - F.col("train"))).first()[0] or 1)
+
+
 def evaluate_folds(
-    folds: DataFrame, forecaster: Forecaster, horizon: int, step: Step, *, model: str, keys: Sequence[str] = ("series_id", "fold"), **kw
+    folds: DataFrame,
+    forecaster: Forecaster,
+    horizon: int | None,
+    step: Step,
+    *,
+    model: str,
+    keys: Sequence[str] = ("series_id", "fold"),
+    **kw,
 ) -> DataFrame:
-    """Forecast every fold's test rows from its train rows; folds are extra keys, not a loop."""
+    """Forecast every fold's test rows from its train rows; folds are extra keys, not a loop.
+
+    Every test row is returned.  One without a forecast (beyond ``horizon``, or of a series the model can't be fitted
+    to) has NULL in ``forecast``.  ``horizon`` None reaches the end of the longest test part.
+    """
     keys = list(keys)
     train = folds.where("part = 'train'").select(*keys, "ts", "value")
-    made = forecaster(train, horizon, step, keys=keys, **kw).withColumn("model", F.lit(model))
-    return _score_folds(folds, made, keys)
+    steps = steps_ahead(folds, keys, step) if horizon is None else horizon
+    made = forecaster(train, steps, step, keys=keys, **kw).withColumn("model", F.lit(model))
+    return _score_folds(folds, made, keys, [model])
 
 
-def _score_folds(folds: DataFrame, made: DataFrame, keys: Sequence[str]) -> DataFrame:
-    test = folds.where("part = 'test'").select(*keys, "ts", F.col("value").alias("actual"))
+def _score_folds(folds: DataFrame, made: DataFrame, keys: Sequence[str], models: Sequence[str]) -> DataFrame:
+    """Each test row once for each model, with its forecast if there is one."""
+    each = F.explode(F.array(*[F.lit(m) for m in models]))
+    test = folds.where("part = 'test'").select(*keys, "ts", F.col("value").alias("actual"), each.alias("model"))
     guess = made.select(*keys, "ts", F.col("h").alias("horizon"), F.col("yhat").alias("forecast"), "origin_ts", "model")
-    return test.join(guess, [*keys, "ts"]).withColumn("error", F.col("actual") - F.col("forecast"))
+    return test.join(guess, [*keys, "ts", "model"], "left").withColumn("error", F.col("actual") - F.col("forecast"))
 
 
 def rolling_origin(
@@ -160,9 +185,16 @@ def yearly_cutoffs(df: DataFrame, *, skip_years: int = 2, leave_years: int = 1)
 
 
 def cutoff_cv(
-    df: DataFrame, forecaster: Forecaster, horizon: int, step: Step, *, horizon_days: int = 365, model: str = "model", **kw
+    df: DataFrame,
+    forecaster: Forecaster,
+    horizon: int | None,
+    step: Step,
+    *,
+    horizon_days: int = 365,
+    model: str = "model",
+    **kw,
 ) -> DataFrame:
-    """Evaluation rows for every yearly cutoff: train up to it, test the days after it."""
+    """Evaluation rows for every yearly cutoff: train up to it, test the days after it (see ``evaluate_folds``)."""
     rows = df.join(yearly_cutoffs(df), "series_id")
     end = F.col("cutoff") + F.expr(f"INTERVAL {int(horizon_days)} DAYS")
     part = F.when(F.col("ts") <= F.col("cutoff"), "train").when(F.col("ts") <= end, "test")
@@ -209,30 +241,68 @@ def run_model(train: DataFrame, horizon: int, step: Step, *, model: str, keys: S
 
 
 def compare_models(
-    df: DataFrame, step: Step, *, folds: int = 3, horizon: int = 12, models: Sequence[str] = ("mean", "naive", "snaive", "ses")
+    df: DataFrame, step: Step, *, folds: int = 3, horizon: int = 12, models: Sequence[str] = tuple(MODELS)
 ) -> DataFrame:
-    """Evaluation rows of every model on the last ``folds`` blocks of ``horizon`` points."""
+    """Evaluation rows of every model on the last ``folds`` blocks of ``horizon`` points; NULL where a model has no forecast."""
     split = expanding_folds(df, folds, test_size=horizon, step=step)
     keys = ["series_id", "fold"]
     train = split.where("part = 'train'").select(*keys, "ts", "value")
     made = [run_model(train, horizon, step, model=m, keys=keys).withColumn("model", F.lit(m)) for m in models]
-    return _score_folds(split, reduce(DataFrame.unionByName, made), keys)
+    return _score_folds(split, reduce(DataFrame.unionByName, made), keys, models)
 
 
 def leaderboard(evaluation: DataFrame, by: str = "mae") -> DataFrame:
-    """Mean of the fold metrics per model, ranked."""
-    per_fold = metrics(evaluation, ["series_id", "model", "fold"])
+    """Mean of the fold metrics per model, ranked.
+
+    All models are compared on the same rows, those that every model has a forecast for; ``n_missing`` counts the
+    actual values a model has none for, ``n_fits`` the folds that count.
+    """
+    test = Window.partitionBy("series_id", "fold", "ts")
+    shared = F.count("forecast").over(test) == F.count(F.lit(1)).over(test)
+    rows = evaluation.withColumn("_shared", shared)
+    per_fold = rows.groupBy("series_id", "model", "fold").agg(
+        F.count_if("_shared").alias("_rows"),
+        F.count_if(F.col("actual").isNotNull() & F.col("forecast").isNull()).alias("_missing"),
+        *_shared_errors(),
+    )
     names = ["mse", "mae", "rmse", "mape"]
-    table = per_fold.groupBy("model").agg(F.count(F.lit(1)).alias("n_fits"), *[F.avg(m).alias(m) for m in names])
-    return table.withColumn("rank", F.row_number().over(Window.orderBy(by, "model")))
+    table = per_fold.groupBy("model").agg(
+        F.count_if(F.col("_rows") > 0).alias("n_fits"), F.sum("_missing").alias("n_missing"), *[F.avg(m).alias(m) for m in names]
+    )
+    return table.withColumn("rank", F.row_number().over(Window.orderBy(F.asc_nulls_last(by), "model")))
+
+
+def _shared_errors() -> list[Column]:
+    e = F.when(F.col("_shared"), F.col("actual") - F.col("forecast"))
+    return [
+        F.avg(e * e).alias("mse"),
+        F.avg(F.abs(e)).alias("mae"),
+        F.sqrt(F.avg(e * e)).alias("rmse"),
+        (F.avg(F.abs(F.try_divide(e, F.col("actual")))) * 100).alias("mape"),
+    ]
 
 
 def best_model_per_series(evaluation: DataFrame, by: str = "mae") -> DataFrame:
-    scores = metrics(evaluation, ["series_id", "model"])
-    best = F.min(F.struct(F.col(by), F.col("model"))).alias("_b")
+    """The model with the least error; one that lacks forecasts comes after those that lack fewer."""
+    scores = metrics(evaluation, ["series_id", "model"]).where(F.col(by).isNotNull())
+    best = F.min(F.struct(F.col("n_missing"), F.col(by), F.col("model"))).alias("_b")
     return scores.groupBy("series_id").agg(best).select("series_id", "_b.model", f"_b.{by}")
 
 
+def forecast_status(df: DataFrame, models: Sequence[str] = tuple(MODELS)) -> DataFrame:
+    """Per series and model of the registry: ``ok``, ``too_short``, ``has_gaps`` or ``not_positive``, and the rows seen."""
+    parts = []
+    for m in models:
+        forecaster, options = MODELS[m]
+        if forecaster is forecast_smoothing:
+            kind = options["kind"]
+            status = fit_status(df, points_needed(kind, options.get("period", 1)), whole=True, positive=kind == "mul")
+        else:
+            status = fit_status(df, 1)
+        parts.append(status.withColumn("model", F.lit(m)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def bias_and_coverage(df: DataFrame, by: Sequence[str] = ("series_id",)) -> DataFrame:
     """Bias = mean of forecast minus actual; coverage = share of actuals inside the interval.
 

@@ -110,9 +110,15 @@ def forecast_quantile(df: DataFrame, horizon: int, step: Step, *, level: float =
     return shape_forecast(joined, ["series_id"], F.col("q")[1], F.col("q")[0], F.col("q")[2])
 
 
-def fit_status(df: DataFrame, min_points: int) -> DataFrame:
-    """Per series: points known, and whether a model that needs ``min_points`` can be fitted."""
-    n = F.count("value")
-    return df.groupBy("series_id").agg(
-        n.alias("n"), F.when(n >= min_points, "ok").otherwise("too_short").alias("status")
-    )
+def fit_status(df: DataFrame, min_points: int, *, whole: bool = False, positive: bool = False) -> DataFrame:
+    """Per series: points known, and whether a model that needs ``min_points`` can be fitted.
+
+    ``whole``: the model takes no NULL; ``positive``: nor a value of zero or less.
+    """
+    n, rows = F.count("value"), F.count(F.lit(1))
+    status = F.when((rows if whole else n) < min_points, "too_short")
+    if whole:
+        status = status.when(n < rows, "has_gaps")
+    if positive:
+        status = status.when(F.min("value") <= 0, "not_positive")
+    return df.groupBy("series_id").agg(n.alias("n"), status.otherwise("ok").alias("status"))

@@ -156,7 +156,8 @@ def fit_smoothing(
     """One row per group: chosen parameters, error sum, forecasts and residual quantiles as arrays.
 
     Groups that are too short, hold NULLs, or are not positive for the
-    multiplicative model give no row (see ``fit_status``).
+    multiplicative model give no row; ``evaluate.forecast_status`` names them
+    and the reason.
     """
     probs = level_probs(level)
     names = list(keys)
@@ -222,14 +223,15 @@ def rolling_smoothing(
     df: DataFrame, kind: str, *, train_size: int, max_horizon: int, period: int = 12, model: str | None = None
 ) -> DataFrame:
     """Evaluation rows of every origin from ``train_size`` on, parameters chosen per origin."""
+    if train_size < points_needed(kind, period):
+        raise ValueError(f"{kind} needs {points_needed(kind, period)} points to train on")
     name = model or kind
     columns = ["series_id", "model", "origin_ts", "horizon", "ts", "actual", "forecast", "error"]
 
     def evaluate(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")
         y = pdf["value"].to_numpy(dtype=float)
-        first = max(train_size, points_needed(kind, period))
-        origins = range(first, len(y) - max_horizon + 1)
+        origins = range(train_size, len(y) - max_horizon + 1)
         if not len(origins) or not usable(y, kind, period):
             return pd.DataFrame(columns=columns)
         fits = fit_origins(y, kind, period, max_horizon, origins)

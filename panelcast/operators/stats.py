@@ -35,29 +35,26 @@ def zscore(df: DataFrame) -> DataFrame:
 def acf(df: DataFrame, nlags: int, step: Step) -> DataFrame:
     """Autocorrelations r_1 .. r_nlags (full-series mean, divisor n); constant series NULL.
 
-    One tiled window hands each row the values before it as a short array, so
-    the panel shuffles once whatever the number of lags.  Products are added up
-    inside the tasks; only one sum per series and lag is shuffled again.
-    A NULL counts as the mean.  Lags a series is too short for are left out.
+    One tiled window hands each row the values before it, so the panel shuffles
+    once whatever the number of lags.  Products are added up inside the tasks as
+    one array per series; no row is multiplied.  A NULL counts as the mean.
+    Lags a series is too short for are left out.
     """
     moments = df.groupBy("series_id").agg(F.count("value").alias("_n"), F.avg("value").alias("_mean"))
     centred = join_series(df, moments).select(
         "series_id", "ts", F.coalesce(F.col("value") - F.col("_mean"), F.lit(0.0)).alias("_c"), "_n"
     )
+    names = [f"_l{k}" for k in range(1, nlags + 1)]
     recent = over_tiles(
-        centred,
-        lambda w: {"_past": F.reverse(F.collect_list("_c").over(w.rowsBetween(-nlags, 0)))},
-        step=step,
-        back=nlags,
+        centred, lambda w: {f"_l{k}": F.lag("_c", k).over(w) for k in range(1, nlags + 1)}, step=step, back=nlags
     )
-    products = recent.select("series_id", "_n", "_c", F.posexplode("_past").alias("_k", "_p"))
-    sums = products.groupBy("series_id", "_k").agg(
-        F.sum(F.col("_c") * F.col("_p")).alias("_s"), F.max("_n").alias("n")
+    c = F.col("_c")
+    sums = recent.groupBy("series_id").agg(
+        F.max("_n").alias("n"), F.sum(c * c).alias("_s"), *[F.sum(c * F.col(x)).alias(x) for x in names]
     )
-    # Lag 0 is the sum of squares.
-    square = F.max(F.when(F.col("_k") == 0, F.col("_s"))).over(Window.partitionBy("series_id"))
-    ratios = sums.withColumn("acf", F.try_divide(F.col("_s"), square)).where(F.col("_k") > 0)
-    return ratios.select("series_id", "n", F.col("_k").cast("bigint").alias("lag"), "acf")
+    ratios = sums.select("series_id", "n", F.posexplode(F.array(*[F.struct(F.col(x).alias("sum"), F.try_divide(F.col(x), F.col("_s")).alias("acf")) for x in names])).alias("_k", "_v"))
+    known = ratios.where(F.col("_v.sum").isNotNull())
+    return known.select("series_id", "n", (F.col("_k") + 1).cast("bigint").alias("lag"), F.col("_v.acf").alias("acf"))
 
 
 def dominant_lag(correlations: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ into tiles and shuffle on ``(series, tile)``:
 
 * :func:`over_tiles` - window functions of finite reach.  Rows near a tile's
   edge are copied into the neighbour (the halo) and dropped afterwards.
+  :func:`lag_steps` and :func:`lead_steps` inside it don't reach over gaps.
 * :func:`positions`, :func:`previous_row` - row number and previous row of an
   irregular panel.  Small per-tile summaries carry what crosses an edge.
 * :func:`attach` - bring a one-row-per-series table to every row, joining on
@@ -58,6 +59,23 @@ def over_tiles(
     return t.where(F.col("_tile") == F.col("_home")).drop("_i", "_home", "_tile")
 
 
+def lag_steps(c: Column | str, k: int, w: WindowSpec) -> Column:
+    """Inside :func:`over_tiles`: the value exactly ``k`` steps before, NULL if that step is missing.
+
+    ``F.lag`` counts rows; over a gap it would give a value of longer ago.
+    """
+    if k == 0:
+        return F.col(c) if isinstance(c, str) else c
+    return F.when(F.lag("_i", k).over(w) == F.col("_i") - k, F.lag(c, k).over(w))
+
+
+def lead_steps(c: Column | str, k: int, w: WindowSpec) -> Column:
+    """As :func:`lag_steps`, ``k`` steps after."""
+    if k == 0:
+        return F.col(c) if isinstance(c, str) else c
+    return F.when(F.lead("_i", k).over(w) == F.col("_i") + k, F.lead(c, k).over(w))
+
+
 def time_tile(df: DataFrame, tile_seconds: int = DAY, ts: str = "ts") -> DataFrame:
     return df.withColumn("_tile", grid_index(F.col(ts), tile_seconds))
 

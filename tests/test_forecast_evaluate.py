@@ -60,7 +60,51 @@ def test_seasonal_smoothing_by_hand(panel, kind):
 
 
 def test_multiplicative_needs_positive_values(panel):
-    assert smoothing.forecast_hw_mul(panel({"a": [0.0, *SEASON]}, months=True), 3, MONTH).count() == 0
+    df = panel({"a": [0.0, *SEASON]}, months=True)
+    assert smoothing.forecast_hw_mul(df, 3, MONTH).count() == 0
+    assert [r["status"] for r in evaluate.forecast_status(df, ["hw_mul"]).collect()] == ["not_positive"]
+
+
+def test_status_names_every_series(panel):
+    y = SEASON.tolist()
+    df = panel({"whole": y, "gap": [*y[:30], None, *y[31:]], "short": y[:20], "zero": [*y[:-1], 0.0]}, months=True)
+    status = {(r["series_id"], r["model"]): r["status"] for r in evaluate.forecast_status(df).collect()}
+    assert len(status) == 4 * len(evaluate.MODELS)
+    assert status["gap", "ses"] == "has_gaps" and status["gap", "naive"] == "ok"
+    assert status["short", "hw_add"] == "too_short" and status["short", "holt"] == "ok"
+    assert status["zero", "hw_mul"] == "not_positive" and status["zero", "hw_add"] == "ok"
+    # The status says which series have a forecast.
+    for model in evaluate.MODELS:
+        have = {r["series_id"] for r in evaluate.run_model(df, 2, MONTH, model=model).select("series_id").collect()}
+        assert have == {s for (s, m), x in status.items() if m == model and x == "ok"}
+
+
+def test_folds_keep_every_test_row(panel):
+    """A test part of n // 6 rows is scored to its end, whatever n."""
+    df = panel({s: list(range(100)) for s in "abc"}, seconds=DAY)
+    folds = evaluate.expanding_folds(df, 2, step=DAY)
+    rows = evaluate.evaluate_folds(folds, baseline.forecast_mean, None, DAY, model="mean")
+    assert rows.count() == rows.where("forecast IS NOT NULL").count() == 3 * 2 * 33
+    few = evaluate.metrics(evaluate.evaluate_folds(folds, baseline.forecast_mean, 14, DAY, model="mean")).collect()[0]
+    assert (few["n"], few["n_missing"]) == (3 * 2 * 14, 3 * 2 * 19)
+
+
+def test_models_compete_on_the_same_rows(panel):
+    rng = np.random.default_rng(1)
+    y = (50 + rng.normal(size=60)).tolist()
+    df = panel({"whole": y, "gap": [*y[:10], None, *y[11:]], "zero": [0.0, *y[1:]]}, months=True)
+    rows = evaluate.compare_models(df, MONTH, models=["naive", "ses", "hw_mul"])
+    assert rows.count() == 3 * 3 * 3 * 12
+    board = {r["model"]: r for r in evaluate.leaderboard(rows).collect()}
+    assert {m: r["n_missing"] for m, r in board.items()} == {"naive": 0, "ses": 36, "hw_mul": 72}
+    assert {r["n_fits"] for r in board.values()} == {3}  # the folds of the one series all of them know
+    best = {r["series_id"]: r["model"] for r in evaluate.best_model_per_series(rows).collect()}
+    assert best["gap"] == "naive" and best["zero"] in ("naive", "ses")
+
+
+def test_rolling_origin_states_what_it_needs(panel):
+    with pytest.raises(ValueError, match="24 points"):
+        evaluate.rolling_origin(panel({"a": SEASON.tolist()}, months=True), "mul", MONTH, train_size=20)
 
 
 def test_rolling_origin_is_refitting(panel):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.catalog import views
-from panelcast.operators import anomaly, daily, windows
+from panelcast.operators import anomaly, clean, daily, windows
 from panelcast.plans.grid import HOUR
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -35,6 +35,21 @@ def test_daily_metrics_reads_once_and_shuffles_rows_by_tile(spark):
     assert sorted(c.split(":")[0] for c in schema.split(",")) == ["ts", "user_id", "value"]
 
 
+def final_scans(df) -> int:
+    """Scans of the adaptive plan that ran; a reused shuffle reads nothing again."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    return final.count("FileScan")
+
+
+def test_regularize_reads_once(spark):
+    panel = views.type_events(spark, SF_DIR)
+    assert final_scans(clean.regularize(panel, HOUR)) == 1
+    assert final_scans(clean.regularize(panel, HOUR, span="panel", drop_partial=True)) == 1
+
+
 def test_filters_reach_the_scan(spark):
     late = views.user_events(spark, SF_DIR).where(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))
     text = plan(daily.daily_energy_metrics(late))

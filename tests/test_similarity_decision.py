@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.operators import decision, profile, similarity
+from panelcast.operators import anomaly, decision, profile, similarity
 from panelcast.plans.grid import HOUR
 
 RNG = np.random.default_rng(5)
@@ -140,13 +140,22 @@ def test_portfolio_sigma_holds_covariance(spark):
     e = RNG.normal(size=(60, 3)).round(3)
     e[:, 1] = -e[:, 0]
     rows = [(f"s{j}", t0 + timedelta(hours=i), float(e[i, j])) for i in range(60) for j in range(3)]
-    rows.pop()  # the last hour is not complete
+    rows.pop()  # the last hour lacks an asset
     df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, resid double")
     r = decision.portfolio_uncertainty(df).collect()[0]
-    cov = np.cov(e[:59].T)
-    assert (r["n_steps"], r["n_assets"]) == (59, 3)
-    assert r["sigma_portfolio"] == pytest.approx(np.sqrt(cov.sum()))
-    assert r["sigma_independent"] == pytest.approx(np.sqrt(np.trace(cov)))
+    total = [*e[:59].sum(axis=1), e[59, :2].sum()]
+    assert (r["n_steps"], r["n_assets"]) == (60, 3)
+    assert r["presence"] == pytest.approx(179 / 180)
+    assert r["sigma_portfolio"] == pytest.approx(np.std(total, ddof=1))
+    alone = [e[:, 0].var(ddof=1), e[:, 1].var(ddof=1), e[:59, 2].var(ddof=1)]
+    assert r["sigma_independent"] == pytest.approx(np.sqrt(sum(alone)))
+
+
+def test_portfolio_of_assets_that_never_meet(spark):
+    t0 = datetime(2024, 1, 1)
+    rows = [(s, t0 + timedelta(hours=i + off), float(i % 5)) for s, off in (("a", 0), ("b", 30)) for i in range(30)]
+    r = decision.portfolio_uncertainty(spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, resid double")).collect()[0]
+    assert (r["n_steps"], r["n_assets"], r["presence"]) == (60, 2, 0.5) and r["sigma_portfolio"] > 0
 
 
 def test_hierarchy_totals(forecast):
@@ -157,11 +166,40 @@ def test_hierarchy_totals(forecast):
         assert len(some) == n and sum(r["yhat"] for r in some) == 56
 
 
-def test_scenarios_need_whole_days(spark, forecast):
+def test_scenarios_hold_every_asset(spark, forecast):
+    """A missing residual leaves a NULL in the scenario, not a scenario without the asset."""
     t0 = datetime(2023, 12, 30)
     resid = [("a", t0 + timedelta(hours=i), float(i)) for i in range(24, 48)] + [("b", t0 + timedelta(hours=i), 1.0) for i in range(40)]
     df = spark.createDataFrame(resid, "series_id string, ts timestamp_ntz, resid double")
     rows = decision.scenarios(forecast, df, HOUR).collect()
-    assert {(r["asset_id"], r["scenario_id"]) for r in rows} == {("a", 0), ("b", 1)}
-    assert [r["value"] for r in sorted(rows) if r["asset_id"] == "a"][:2] == [24.0, 30.0]
-    assert len(decision.scenarios(forecast, df, HOUR, n=1).collect()) == 8
+    assert {(r["asset_id"], r["scenario_id"]) for r in rows} == {(a, d) for a in "ab" for d in (0, 1)}
+    assert len(rows) == 2 * forecast.count()
+    newest = sorted((r for r in rows if r["scenario_id"] == 0), key=lambda r: (r["asset_id"], r["timestamp"]))
+    assert [r["value"] for r in newest if r["asset_id"] == "a"][:2] == [24.0, 30.0]
+    assert all((r["value"] is None) == (r["timestamp"].hour >= 16) for r in newest if r["asset_id"] == "b")
+    assert all(r["value"] is None for r in rows if r["asset_id"] == "a" and r["scenario_id"] == 1)
+    assert len(decision.scenarios(forecast, df, HOUR, n=1).collect()) == forecast.count()
+
+
+def test_flexibility_keeps_every_step(spark):
+    """Steps without history at their hour and weekday take that of the hour, then of the series."""
+    t0 = datetime(2024, 1, 1)
+    history = [("a", t0 + timedelta(hours=i), float(i)) for i in range(30)]
+    ahead = [(s, t0 + timedelta(days=2, hours=i), 10.0) for s in ("a", "new") for i in range(24)]
+    made = spark.createDataFrame(ahead, "asset_id string, timestamp timestamp_ntz, yhat double")
+    past = spark.createDataFrame(history, "series_id string, ts timestamp_ntz, value double")
+    envelope = decision.flex_envelope(made, past, HOUR)
+    rows = envelope.collect()
+    assert len(rows) == 48
+    assert all((r["reduction"] is None) == (r["asset_id"] == "new") for r in rows)
+    at = {r["timestamp"].hour: r for r in rows if r["asset_id"] == "a"}
+    assert at[12]["increase"] == 1.0 and at[12]["reduction"] == 0.0  # 12 at noon, and no ramp was larger than 1
+    assert {r["n_assets"] for r in decision.portfolio_flexibility(envelope).collect()} == {1}
+
+
+def test_ramps_stop_at_gaps(spark):
+    t0 = datetime(2024, 1, 1)
+    rows = [("a", t0 + timedelta(hours=h), v, 0.0) for h, v in ((0, 0.0), (1, 1.0), (5, 400.0), (6, 700.0))]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, value double, yhat double")
+    found = anomaly.unexpected_ramps(df, HOUR, k=100.0).collect()
+    assert [(r["ts"].hour, r["actual_ramp"]) for r in found] == [(6, 300.0)]

@@ -79,6 +79,14 @@ def test_regularize_months(spark):
     assert [r["ts"].month for r in out.orderBy("ts").collect()] == [11, 12, 1, 2]
 
 
+@pytest.mark.parametrize(("last", "kept"), [("2024-03-31", 3), ("2024-03-30", 2)])
+def test_only_an_unfinished_cell_is_left_out(spark, last, kept):
+    days = [datetime(2024, 1, 3), datetime(2024, 2, 9), datetime.fromisoformat(last)]
+    df = spark.createDataFrame([("a", d, 1.0) for d in days], SERIES)
+    assert clean.regularize(df, MONTH, span="panel", drop_partial=True, resolution=86400).count() == kept
+
+
+
 @pytest.mark.parametrize("tile_rows", [2, 3, 1000])
 def test_filling_does_not_depend_on_tiles(panel, tile_rows):
     df = panel({"a": [None, 2, None, None, None, 6, None, None], "b": [None, None], "c": [1]})
