@@ -8,6 +8,8 @@ from panelcast.catalog import views as v
 from panelcast.catalog.registry import query
 from panelcast.operators import clean, windows
 from panelcast.plans.grid import HOUR
+from panelcast.session import shared_dir
+from panelcast.sources import read_series_csv, read_series_parquet, write_series, write_series_csv
 from panelcast.sources.shapes import to_long, to_wide
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -153,6 +155,20 @@ def _(spark, sf):
     return long.groupBy(F.col("l_shipdate").alias("ts"), "series_id").agg(F.sum("value").alias("value"))
 
 
+@query("parquet_round_trip", v.with_(v.T_GAPS) + "SELECT series_id, ts, round(value, 6) AS value FROM tn")
+def _(spark, sf):
+    path = shared_dir(spark, "series")
+    write_series(v.hourly(spark, sf, fill=None), path)
+    return read_series_parquet(spark, path).select("series_id", "ts", "value")
+
+
+@query("csv_round_trip", v.with_(v.T_GAPS) + "SELECT series_id, ts, round(value, 6) AS value FROM tn WHERE series_id = 'view'")
+def _(spark, sf):
+    path = shared_dir(spark, "csv")
+    write_series_csv(v.hourly(spark, sf, fill=None).where("series_id = 'view'").select("ts", "value"), path)
+    return read_series_csv(spark, path, ts_col="ts", value_col="value", ts_format="yyyy-MM-dd'T'HH:mm:ss.SSS", series_id="view")
+
+
 @query("canonicalize", """SELECT CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS TIMESTAMP) AS ts,
   round(l_extendedprice, 6) AS value, l_returnflag AS category FROM lineitem""")
 def _(spark, sf):

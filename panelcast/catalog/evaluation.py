@@ -15,7 +15,10 @@ from panelcast.operators import evaluate, windows
 from panelcast.operators.clean import regularize
 from panelcast.operators.forecast import arima
 from panelcast.operators.forecast.baseline import forecast_mean, forecast_naive
+from panelcast.operators.forecast.structural import forecast_structural
 from panelcast.plans.grid import DAY, HOUR, MONTH
+from panelcast.session import shared_dir
+from panelcast.sources import load_model, save_model
 
 N = "k AS (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM m)"
 
@@ -119,6 +122,22 @@ def _(spark, sf):
     return coarse_mse(evaluate.metrics(rows))
 
 
+@query("cutoff_cv_structural", digits=2)
+def _(spark, sf):
+    rows = evaluate.cutoff_cv(v.monthly(spark, sf), forecast_structural, None, MONTH, model="structural")
+    return coarse_mse(evaluate.metrics(rows, ["series_id"]))
+
+
+@query("grid_structural", digits=2)
+def _(spark, sf):
+    return coarse_mse(evaluate.grid_search_structural(v.monthly(spark, sf), MONTH)[1])
+
+
+@query("forecast_structural_tuned", digits=2)
+def _(spark, sf):
+    return evaluate.forecast_tuned_structural(v.monthly(spark, sf), 12, MONTH)
+
+
 COMPARE = """c AS (SELECT k.*, j AS fold, n - (3 - j + 1) * 12 AS st FROM k CROSS JOIN (SELECT unnest(generate_series(1, 3)) AS j)),
 te AS (SELECT * FROM c WHERE rn > st AND rn <= st + 12),
 ev AS (SELECT te.series_id, 'mean' AS model, te.fold, te.value AS actual, x.f AS forecast FROM te JOIN (SELECT series_id, fold, avg(value) AS f FROM c WHERE rn <= st GROUP BY 1, 2) x USING (series_id, fold)
@@ -157,7 +176,8 @@ sp AS (SELECT series_id, min(ts) AS lo, max(ts) AS hi, count(*) AS known, date_d
 SELECT series_id, model, known AS n, CASE WHEN (CASE WHEN whole THEN steps ELSE known END) < need THEN 'too_short' WHEN whole AND known < steps THEN 'has_gaps'
   WHEN positive AND least <= 0 THEN 'not_positive' ELSE 'ok' END AS status
 FROM sp CROSS JOIN (VALUES ('mean', 1, false, false), ('naive', 1, false, false), ('snaive', 1, false, false), ('ses', 2, true, false),
-  ('holt', 3, true, false), ('hw_add', 24, true, false), ('hw_mul', 24, true, true)) AS r(model, need, whole, positive)""")
+  ('holt', 3, true, false), ('hw_add', 24, true, false), ('hw_mul', 24, true, true), ('arima', 15, true, false), ('sarima', 50, true, false),
+  ('structural', 1, false, false)) AS r(model, need, whole, positive)""")
 def _(spark, sf):
     return evaluate.forecast_status(regularize(v.user_events(spark, sf), DAY))
 
@@ -232,14 +252,24 @@ def _(spark, sf):
     return evaluate.future_predict(v.monthly(spark, sf), "hw_mul", MONTH, horizon=24)
 
 
-@query("grid_ses", v.with_recursive(v.M, N, SES) + """,
+GRID_SES = v.with_recursive(v.M, N, SES) + """,
 sc AS (SELECT s.series_id, s.alpha, sqrt(avg(pow(k.value - s.lvl, 2))) AS rmse FROM ses s JOIN k ON k.series_id = s.series_id AND s.rn = k.n - 12 AND k.rn > k.n - 12 GROUP BY 1, 2)
 SELECT series_id, round(rmse, 4) AS rmse, alpha, 0.0::DOUBLE AS beta, 0.0::DOUBLE AS gamma FROM (
-  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY rmse, alpha) AS r FROM sc) WHERE r = 1""".replace("\n,", ",", 1), digits=4)
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY rmse, alpha) AS r FROM sc) WHERE r = 1""".replace("\n,", ",", 1)
+
+
+@query("grid_ses", GRID_SES, digits=4)
 def _(spark, sf):
     return evaluate.grid_search_smoothing(v.monthly(spark, sf), "ses", n_test=12)[0]
 
 
+@query("model_round_trip", GRID_SES, digits=4)
+def _(spark, sf):
+    path = shared_dir(spark, "model")
+    save_model(evaluate.grid_search_smoothing(v.monthly(spark, sf), "ses", n_test=12)[0], path)
+    return load_model(spark, path)
+
+
 @query("grid_holt", v.with_recursive(v.M, "hz AS (SELECT 1 AS h)", N, HOLT) + """
 SELECT s.series_id, alpha, beta, 0.0::DOUBLE AS gamma, round(sqrt(avg(pow(k.value - s.lvl - (k.rn - s.rn) * s.tr, 2))), 4) AS rmse
 FROM holt s JOIN k ON k.series_id = s.series_id AND s.rn = k.n - 12 AND k.rn > k.n - 12 GROUP BY 1, 2, 3""", digits=4)

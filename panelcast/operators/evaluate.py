@@ -9,13 +9,17 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from panelcast.functions.calendar import time_features
 from panelcast.operators.clean import ffill_bfill, split_last
+from panelcast.operators.forecast.arima import Terms, forecast_sarima
 from panelcast.operators.forecast.baseline import fit_status, forecast_mean, forecast_naive, forecast_snaive
 from panelcast.operators.forecast.smoothing import forecast_smoothing, points_needed, rolling_smoothing, smoothing_grid_scores
+from panelcast.operators.forecast.structural import forecast_structural
 from panelcast.operators.windows import prefix_stats
 from panelcast.plans.grid import Step, grid_index, grid_time
 from panelcast.plans.quantiles import exact_quantiles
 from panelcast.plans.tiles import attach, over_tiles, positions, regular_positions, time_tile
 from panelcast.schema import select_eval
+from panelcast.session import shared_dir
+from panelcast.sources.files import load_model, save_model
 
 Forecaster = Callable[..., DataFrame]
 
@@ -195,11 +199,56 @@ def cutoff_cv(
     **kw,
 ) -> DataFrame:
     """Evaluation rows for every yearly cutoff: train up to it, test the days after it (see ``evaluate_folds``)."""
+    folds = cutoff_folds(df, horizon_days)
+    return evaluate_folds(folds, forecaster, horizon, step, model=model, keys=["series_id", "cutoff"], **kw)
+
+
+def cutoff_folds(df: DataFrame, horizon_days: int = 365) -> DataFrame:
+    """Rows marked ``train`` or ``test`` for each yearly cutoff of their series."""
     rows = df.join(yearly_cutoffs(df), "series_id")
     end = F.col("cutoff") + F.expr(f"INTERVAL {int(horizon_days)} DAYS")
     part = F.when(F.col("ts") <= F.col("cutoff"), "train").when(F.col("ts") <= end, "test")
-    folds = rows.withColumn("part", part).where(F.col("part").isNotNull())
-    return evaluate_folds(folds, forecaster, horizon, step, model=model, keys=["series_id", "cutoff"], **kw)
+    return rows.withColumn("part", part).where(F.col("part").isNotNull())
+
+
+# The parameter sets that are tried.
+STRUCTURAL_GRID = ({"changepoint_prior": 0.1, "season_prior": 1.0}, {"changepoint_prior": 0.5, "season_prior": 1.0})
+
+
+def grid_search_structural(
+    df: DataFrame, step: Step, grid: Sequence[dict] = STRUCTURAL_GRID, *, horizon_days: int = 365, **kw
+) -> tuple[DataFrame, DataFrame]:
+    """(best parameter set per series, all scores) by mean squared error over the yearly cutoffs; the first wins ties.
+
+    A series without a cutoff has no row in either.
+    """
+    folds, keys = cutoff_folds(df, horizon_days), ["series_id", "cutoff"]
+    steps = steps_ahead(folds, keys, step)
+    parts = []
+    for i, params in enumerate(grid):
+        rows = evaluate_folds(folds, forecast_structural, steps, step, model="structural", keys=keys, **params, **kw)
+        known = {k: F.lit(float(x)) for k, x in params.items()}
+        parts.append(metrics(rows, ["series_id"]).withColumn("trial", F.lit(i).cast("bigint")).withColumns(known))
+    scores = reduce(DataFrame.unionByName, parts).select("series_id", "trial", *grid[0], "n", "n_missing", "mse")
+    best = scores.groupBy("series_id").agg(F.min(F.struct("n_missing", "mse", "trial")).alias("_b"))
+    return best.select("series_id", "_b.trial"), scores
+
+
+def forecast_tuned_structural(
+    df: DataFrame, horizon: int, step: Step, grid: Sequence[dict] = STRUCTURAL_GRID, *, horizon_days: int = 365, **kw
+) -> DataFrame:
+    """Fit every series again on all of its rows with its best parameter set; the first set if it has no cutoff."""
+    best, _ = grid_search_structural(df, step, grid, horizon_days=horizon_days, **kw)
+    # One row per series, read by every branch below: written, so the search runs once.
+    path = shared_dir(df.sparkSession, "tuned")
+    save_model(best, path)
+    best = load_model(df.sparkSession, path)
+    rows = df.join(best, "series_id", "left").withColumn("trial", F.coalesce("trial", F.lit(0)))
+    parts = [
+        forecast_structural(rows.where(F.col("trial") == i).drop("trial"), horizon, step, **params, **kw).withColumn("trial", F.lit(i))
+        for i, params in enumerate(grid)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def grid_search_smoothing(
@@ -228,6 +277,9 @@ MODELS: dict[str, tuple[Forecaster, dict]] = {
     "holt": (forecast_smoothing, {"kind": "holt"}),
     "hw_add": (forecast_smoothing, {"kind": "add", "period": 12}),
     "hw_mul": (forecast_smoothing, {"kind": "mul", "period": 12}),
+    "arima": (forecast_sarima, {"order": (1, 1, 1)}),
+    "sarima": (forecast_sarima, {"order": (1, 0, 1), "seasonal": (1, 1, 1, 12)}),
+    "structural": (forecast_structural, {}),
 }
 
 
@@ -297,6 +349,8 @@ def forecast_status(df: DataFrame, models: Sequence[str] = tuple(MODELS)) -> Dat
         if forecaster is forecast_smoothing:
             kind = options["kind"]
             status = fit_status(df, points_needed(kind, options.get("period", 1)), whole=True, positive=kind == "mul")
+        elif forecaster is forecast_sarima:
+            status = fit_status(df, Terms.of(**options).points_needed, whole=True)
         else:
             status = fit_status(df, 1)
         parts.append(status.withColumn("model", F.lit(m)))

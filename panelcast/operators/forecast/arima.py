@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from panelcast.operators.forecast.baseline import level_probs, shape_forecast
+from panelcast.operators.forecast.baseline import key_schema, level_probs, shape_forecast
 from panelcast.plans.grid import Step, grid_index, grid_time
 
 Order = tuple[int, int, int]
@@ -35,8 +35,9 @@ class Terms:
     def of(cls, order: Order, seasonal: Seasonal = FLAT) -> Terms:
         p, d, q = order
         sp, sd, sq, s = seasonal
-        ar = sorted({*range(1, p + 1), *(s * i for i in range(1, sp + 1))})
-        ma = sorted({*range(1, q + 1), *(s * i for i in range(1, sq + 1))})
+        # The lags of the product of both polynomials; each has a coefficient of its own.
+        ar = sorted({i + s * j for i in range(p + 1) for j in range(sp + 1)} - {0})
+        ma = sorted({i + s * j for i in range(q + 1) for j in range(sq + 1)} - {0})
         weights = np.array([1.0])
         for _ in range(d):
             weights = np.convolve(weights, [1.0, -1.0])
@@ -48,6 +49,17 @@ class Terms:
     def long_order(self) -> int:
         return max([*self.ar, *self.ma, 0]) + 5
 
+    @property
+    def points_needed(self) -> int:
+        """The shortest series that both regressions have more rows than columns for."""
+        reach, columns = len(self.weights) - 1, int(self.constant) + len(self.ar) + len(self.ma)
+        least = max([reach, *self.ar, *self.ma]) + 1
+        if self.ma:
+            least = max(least, reach + 2 * self.long_order + 2, reach + self.long_order + self.ma[-1] + columns + 1)
+        elif columns:
+            least = max(least, reach + max([0, *self.ar]) + columns + 1)
+        return least
+
 
 @dataclass
 class Fit:
@@ -95,7 +107,30 @@ def fit_terms(y: np.ndarray, terms: Terms) -> Fit | None:
     if not x.shape[1]:
         return Fit(np.zeros(0), w, shocks, w)
     got = _regress(w, x)
-    return None if got is None else Fit(got[0], w, np.nan_to_num(shocks), got[1])
+    if got is None:
+        return None
+    beta, resid = got
+    if terms.ma:
+        own = innovations(w, beta, terms)
+        # A moving average that isn't invertible has innovations without bound; those of the first stage stand in.
+        if np.isfinite(own[reach:]).all() and np.nanmax(np.abs(own)) <= 1e3 * np.nanmax(np.abs(w)):
+            warm = reach + max([0, *terms.ar])
+            shocks, resid = own, np.where(np.arange(len(w)) < warm, np.nan, own)
+    return Fit(beta, w, np.nan_to_num(shocks), resid)
+
+
+def innovations(w: np.ndarray, beta: np.ndarray, terms: Terms) -> np.ndarray:
+    """One-step errors of the fitted model along the series; zero before its lags are known."""
+    c = int(terms.constant)
+    base = w - (beta[0] if c else 0.0) - _lagged(w, terms.ar) @ beta[c : c + len(terms.ar)]
+    theta = beta[c + len(terms.ar) :]
+    e = np.zeros(len(w) + terms.ma[-1])
+    back = [terms.ma[-1] - k for k in terms.ma]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for t, x in enumerate(base):
+            if x == x:
+                e[t + terms.ma[-1]] = x - sum(b * e[t + k] for b, k in zip(theta, back))
+    return e[terms.ma[-1] :]
 
 
 def extend_series(y: np.ndarray, fit: Fit, terms: Terms, horizon: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,16 +180,25 @@ def arima_residuals(df: DataFrame, order: Order, *, seasonal: Seasonal = FLAT) -
 
 
 def forecast_sarima(
-    df: DataFrame, horizon: int, step: Step, *, order: Order, seasonal: Seasonal = FLAT, level: float = 0.8
+    df: DataFrame,
+    horizon: int,
+    step: Step,
+    *,
+    order: Order,
+    seasonal: Seasonal = FLAT,
+    level: float = 0.8,
+    keys: Sequence[str] = ("series_id",),
 ) -> DataFrame:
     """Forecasts of (p, d, q)(P, D, Q, s); a constant only without differencing.
 
     The interval takes quantiles of the one-step residuals, widened by the
-    model's own error weights.  Series with gaps or too short have no rows.
+    model's own error weights.  Series with gaps or too short have no rows;
+    ``evaluate.forecast_status`` names them.
     """
     terms = Terms.of(order, seasonal)
     probs = level_probs(level)
-    columns = ["series_id", "origin_ts", "h", "yhat", "lower", "upper"]
+    names = list(keys)
+    columns = [*names, "origin_ts", "h", "yhat", "lower", "upper"]
 
     def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")
@@ -164,25 +208,18 @@ def forecast_sarima(
             return pd.DataFrame(columns=columns)
         path, wide = extend_series(y, fit, terms, horizon)
         lo, hi = np.quantile(fit.resid[~np.isnan(fit.resid)], probs)
-        return pd.DataFrame(
-            {
-                "series_id": pdf["series_id"].iloc[0],
-                "origin_ts": pdf["ts"].iloc[-1],
-                "h": np.arange(1, horizon + 1),
-                "yhat": path,
-                "lower": path + lo * wide,
-                "upper": path + hi * wide,
-            }
-        )
-
-    schema = "series_id string, origin_ts timestamp_ntz, h bigint, yhat double, lower double, upper double"
-    rows = df.select("series_id", "ts", "value").groupBy("series_id").applyInPandas(forecast, schema)
+        head = {k: pdf[k].iloc[0] for k in names}
+        made = {"origin_ts": pdf["ts"].iloc[-1], "h": np.arange(1, horizon + 1), "yhat": path}
+        return pd.DataFrame(head | made | {"lower": path + lo * wide, "upper": path + hi * wide})[columns]
+
+    schema = f"{key_schema(df, names)}, origin_ts timestamp_ntz, h bigint, yhat double, lower double, upper double"
+    rows = df.select(*names, "ts", "value").groupBy(*names).applyInPandas(forecast, schema)
     rows = rows.withColumn("ts", grid_time(grid_index(F.col("origin_ts"), step) + F.col("h"), step))
-    return shape_forecast(rows, ["series_id"], F.col("yhat"), F.col("lower"), F.col("upper"))
+    return shape_forecast(rows, names, F.col("yhat"), F.col("lower"), F.col("upper"))
 
 
-def forecast_arima(df: DataFrame, horizon: int, step: Step, *, order: Order, level: float = 0.8) -> DataFrame:
-    return forecast_sarima(df, horizon, step, order=order, level=level)
+def forecast_arima(df: DataFrame, horizon: int, step: Step, *, order: Order, level: float = 0.8, **kw) -> DataFrame:
+    return forecast_sarima(df, horizon, step, order=order, level=level, **kw)
 
 
 def order_search(df: DataFrame, n_test: int, orders: Sequence[tuple[Order, Seasonal]]) -> DataFrame:

@@ -22,6 +22,10 @@ def level_probs(level: float) -> list[float]:
     return [(1 - level) / 2, (1 + level) / 2]
 
 
+def key_schema(df: DataFrame, keys: Keys) -> str:
+    return ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+
 def future_rows(per_series: DataFrame, horizon: int, step: Step) -> DataFrame:
     """One row per future step of each group; ``origin_ts`` is the last time known."""
     last = grid_index(F.col("origin_ts"), step)

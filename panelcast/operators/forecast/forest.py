@@ -39,11 +39,11 @@ def _fit(features: DataFrame, learner) -> PipelineModel:
 
 
 def fit_random_forest(
-    features: DataFrame, *, n_trees: int = 20, max_depth: int = 8, max_bins: int = 64, seed: int = SEED
+    features: DataFrame, *, n_trees: int = 100, max_depth: int = 8, max_bins: int = 64, seed: int = SEED
 ) -> PipelineModel:
     """A forest over the rows of all series, every feature tried at every split."""
     learner = RandomForestRegressor(
-        numTrees=n_trees, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="all", seed=seed
+        numTrees=n_trees, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="all", cacheNodeIds=True, seed=seed
     )
     return _fit(features, learner)
 
@@ -89,11 +89,11 @@ class FlatTrees:
     depth: int
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        """Every tree's prediction for one row of features."""
-        trees = np.arange(len(self.value))
-        node = np.zeros(len(trees), dtype=int)
+        """Every tree's prediction for each row of features: [row, tree]."""
+        trees, rows = np.arange(len(self.value)), np.arange(len(x))[:, None]
+        node = np.zeros((len(x), len(trees)), dtype=int)
         for _ in range(self.depth):
-            go_left = x[self.feature[trees, node]] <= self.threshold[trees, node]
+            go_left = x[rows, self.feature[trees, node]] <= self.threshold[trees, node]
             node = np.where(go_left, self.left[trees, node], self.right[trees, node])
         return self.value[trees, node]
 
@@ -138,71 +138,76 @@ def forecast_recursive(
     windows: Sequence[int],
     level: float = 0.95,
 ) -> DataFrame:
-    """Predict a step, append it, rebuild the features, and go on, for every series at once.
+    """Predict a step, append it, rebuild the features, and go on, for every series of a batch at once.
 
-    The interval is the spread of the single trees' predictions.
+    The interval is the spread of the single trees' predictions.  A series with
+    fewer rows than the longest lag or window, or a gap among them, has no rows.
     """
     if step == "month":
         raise ValueError("hour and weekday features need a step of fixed length")
     spark = df.sparkSession
     trees = spark.sparkContext.broadcast(flatten_trees(spark, model))
     reach = max(*lags, *windows)
-    v = F.col("value")
     tail = over_tiles(
         df.select("series_id", "ts", "value"),
         lambda w: {"_after": F.lead(F.lit(1), reach).over(w)},
         step=step,
         ahead=reach,
     ).where(F.col("_after").isNull())
+    # One row per series, with its newest values: as long as the longest lag.
+    newest = tail.groupBy("series_id").agg(
+        F.max("ts").alias("origin_ts"), F.array_sort(F.collect_list(F.struct("ts", "value"))).alias("_t")
+    )
+    known = F.forall("_t", lambda r: r["value"].isNotNull())
+    newest = newest.where((F.size("_t") >= reach) & known).select(
+        "series_id", "origin_ts", F.transform(F.slice("_t", -reach, reach), lambda r: r["value"]).alias("_y")
+    )
     lo, hi = (100 * p for p in level_probs(level))
-    columns = ["series_id", "origin_ts", "h", "yhat", "lower", "upper"]
-    lags, windows = list(lags), list(windows)
-    seconds = int(step)
-
-    def extend(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
-        y = pdf["value"].to_numpy(dtype=float)
-        if len(y) < reach or np.isnan(y).any():
-            return pd.DataFrame(columns=columns)
-        origin = pdf["ts"].iloc[-1]
-        times = pd.date_range(origin, periods=horizon + 1, freq=pd.Timedelta(seconds=seconds))[1:]
-        path = np.concatenate([y, np.zeros(horizon)])
-        lag_at, out = np.array(lags), np.empty((horizon, 3))
-        for h in range(horizon):
-            t = len(y) + h
-            means = [path[t - w : t].mean() for w in windows]
-            x = np.array([*path[t - lag_at], *means, times[h].hour, times[h].dayofweek], dtype=float)
-            votes = trees.value.predict(x)
-            path[t] = votes.mean()
-            out[h] = path[t], *np.percentile(votes, [lo, hi])
-        return pd.DataFrame(
-            {
-                "series_id": pdf["series_id"].iloc[0],
-                "origin_ts": origin,
-                "h": np.arange(1, horizon + 1),
-                "yhat": out[:, 0],
-                "lower": out[:, 1],
-                "upper": out[:, 2],
-            }
-        )
+    lag_at, windows, seconds = np.array(list(lags)), list(windows), int(step)
+
+    def extend(batches):
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            y = np.stack(pdf["_y"].to_numpy()).astype(float)
+            path = np.concatenate([y, np.zeros((len(y), horizon))], axis=1)
+            out = np.empty((len(y), horizon, 3))
+            for h in range(horizon):
+                t = reach + h
+                clock = (pdf["origin_ts"] + pd.Timedelta(seconds=seconds * (h + 1))).dt
+                means = [path[:, t - w : t].mean(axis=1) for w in windows]
+                x = np.column_stack([path[:, t - lag_at], *means, clock.hour, clock.dayofweek]).astype(float)
+                votes = trees.value.predict(x)
+                path[:, t] = votes.mean(axis=1)
+                out[:, h, 0] = path[:, t]
+                out[:, h, 1:] = np.percentile(votes, [lo, hi], axis=1).T
+            yield pd.DataFrame(
+                {
+                    "series_id": np.repeat(pdf["series_id"].to_numpy(), horizon),
+                    "origin_ts": np.repeat(pdf["origin_ts"].to_numpy(), horizon),
+                    "h": np.tile(np.arange(1, horizon + 1), len(y)),
+                    "yhat": out[:, :, 0].ravel(),
+                    "lower": out[:, :, 1].ravel(),
+                    "upper": out[:, :, 2].ravel(),
+                }
+            )
 
     schema = "series_id string, origin_ts timestamp_ntz, h bigint, yhat double, lower double, upper double"
-    rows = tail.drop("_after").groupBy("series_id").applyInPandas(extend, schema)
+    rows = newest.mapInPandas(extend, schema)
     rows = rows.withColumn("ts", grid_time(grid_index(F.col("origin_ts"), step) + F.col("h"), step))
     return shape_forecast(rows, ["series_id"], F.col("yhat"), F.col("lower"), F.col("upper"))
 
 
 def forest_interval(model: PipelineModel, features: DataFrame, *, level: float = 0.95) -> DataFrame:
-    """One-step mean and per-tree percentiles for rows whose features are known."""
+    """One-step mean and per-tree percentiles for rows whose features are known; score rows the model hasn't seen."""
     trees = features.sparkSession.sparkContext.broadcast(flatten_trees(features.sparkSession, model))
     lo, hi = (100 * p for p in level_probs(level))
 
     @F.pandas_udf("yhat double, lower double, upper double")
     def spread(x: pd.Series) -> pd.DataFrame:
-        votes = [trees.value.predict(np.asarray(r, dtype=float)) for r in x]
-        return pd.DataFrame(
-            [(v.mean(), *np.percentile(v, [lo, hi])) for v in votes], columns=["yhat", "lower", "upper"]
-        )
+        votes = trees.value.predict(np.stack(x.to_numpy()).astype(float))
+        low, high = np.percentile(votes, [lo, hi], axis=1)
+        return pd.DataFrame({"yhat": votes.mean(axis=1), "lower": low, "upper": high})
 
     rows = model.stages[0].transform(features.dropna()).withColumn("_p", spread(vector_to_array("features")))
     return rows.select("series_id", "ts", "y", "_p.yhat", "_p.lower", "_p.upper")

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from panelcast.operators.forecast.baseline import level_probs, shape_forecast
+from panelcast.operators.forecast.baseline import key_schema, level_probs, shape_forecast
 from panelcast.plans.grid import Step, grid_index, grid_time
 
 Keys = Sequence[str]
@@ -140,10 +140,6 @@ def usable(y: np.ndarray, kind: str, period: int) -> bool:
     return kind != "mul" or bool((y > 0).all())
 
 
-def _key_schema(df: DataFrame, keys: Keys) -> str:
-    return ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-
-
 def fit_smoothing(
     df: DataFrame,
     kind: str,
@@ -175,7 +171,7 @@ def fit_smoothing(
         return pd.DataFrame([row], columns=columns)
 
     schema = (
-        f"{_key_schema(df, keys)}, origin_ts timestamp_ntz, alpha double, beta double, gamma double, "
+        f"{key_schema(df, keys)}, origin_ts timestamp_ntz, alpha double, beta double, gamma double, "
         "sse double, n bigint, yhat array<double>, q array<double>"
     )
     return df.select(*names, "ts", "value").groupBy(*names).applyInPandas(fit, schema)

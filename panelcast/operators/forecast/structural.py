@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from panelcast.operators.forecast.baseline import future_rows, level_probs, shape_forecast
+from panelcast.operators.forecast.baseline import future_rows, key_schema, level_probs, shape_forecast
 from panelcast.operators.ols import solve_gram
 from panelcast.plans.grid import DAY, MONTH, Step, grid_index
 from panelcast.plans.quantiles import bounded_quantiles
@@ -68,23 +68,26 @@ class Design:
         return np.column_stack(columns)
 
 
-def fit_structural(df: DataFrame, design: Design) -> DataFrame:
-    """Per series: ``beta`` (for values divided by ``scale``), ``first``, ``last``, ``origin_ts``."""
+def fit_structural(df: DataFrame, design: Design, keys: Sequence[str] = ("series_id",)) -> DataFrame:
+    """Per group: ``beta`` (for values divided by ``scale``), ``first``, ``last``, ``origin_ts``; none without a value."""
+    names = list(keys)
     index = grid_index(F.col("ts"), design.step)
-    span = df.groupBy("series_id").agg(
+    span = df.groupBy(*names).agg(
         F.min(index).alias("first"),
         F.max(index).alias("last"),
         F.max("ts").alias("origin_ts"),
         F.greatest(F.max(F.abs("value")), F.lit(1e-12)).alias("scale"),
     )
-    rows = row_tile(join_series(df.where(F.col("value").isNotNull()), span), design.step).withColumn("_i", index)
+    known = df.where(F.col("value").isNotNull())
+    rows = row_tile(join_series(known, span, keys=names), design.step).withColumn("_i", index)
+    ends = [*names, "first", "last", "origin_ts", "scale"]
 
     def sums(pdf: pd.DataFrame) -> pd.DataFrame:
         x = design.matrix(
             pdf["ts"].to_numpy(), pdf["_i"].to_numpy(dtype=float), pdf["first"].iloc[0], pdf["last"].iloc[0]
         )
         y = pdf["value"].to_numpy(dtype=float) / pdf["scale"].iloc[0]
-        head = pdf[["series_id", "first", "last", "origin_ts", "scale"]].iloc[:1].reset_index(drop=True)
+        head = pdf[ends].iloc[:1].reset_index(drop=True)
         return head.assign(gram=[(x.T @ x).ravel().tolist()], moments=[(x.T @ y).tolist()], yy=float(y @ y), n=len(y))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -92,15 +95,15 @@ def fit_structural(df: DataFrame, design: Design) -> DataFrame:
         moments = np.sum([np.asarray(m) for m in pdf["moments"]], axis=0)
         k = len(moments)
         beta, _, _, sse = solve_gram(gram.reshape(k, k), moments, pdf["yy"].sum(), pdf["n"].sum(), design.ridge())
-        head = pdf[["series_id", "first", "last", "origin_ts", "scale"]].iloc[:1].reset_index(drop=True)
+        head = pdf[ends].iloc[:1].reset_index(drop=True)
         return head.assign(beta=[beta.tolist()], sse=sse, n=int(pdf["n"].sum()))
 
-    head = "series_id string, first bigint, last bigint, origin_ts timestamp_ntz, scale double"
-    parts = rows.select("series_id", "_tile", "ts", "value", "_i", "first", "last", "origin_ts", "scale")
+    head = f"{key_schema(df, names)}, first bigint, last bigint, origin_ts timestamp_ntz, scale double"
+    parts = rows.select(*names, "_tile", "ts", "value", "_i", "first", "last", "origin_ts", "scale")
     return (
-        parts.groupBy("series_id", "_tile")
+        parts.groupBy(*names, "_tile")
         .applyInPandas(sums, f"{head}, gram array<double>, moments array<double>, yy double, n bigint")
-        .groupBy("series_id")
+        .groupBy(*names)
         .applyInPandas(merge, f"{head}, beta array<double>, sse double, n bigint")
     )
 
@@ -114,13 +117,15 @@ def forecast_structural(
     season_prior: float = 1.0,
     holidays: Sequence[tuple[str, str]] = (),
     level: float = 0.8,
+    keys: Sequence[str] = ("series_id",),
 ) -> DataFrame:
     """Forecast with the interval of in-sample residual quantiles.
 
     ``holidays`` are (yyyy-MM-dd, name) pairs, past and future; one weight per name.
     """
+    names = list(keys)
     design = Design(step, changepoint_prior, season_prior, tuple(holidays))
-    fit = fit_structural(df, design)
+    fit = fit_structural(df, design, names)
 
     @F.pandas_udf("double")
     def fitted(
@@ -140,11 +145,9 @@ def forecast_structural(
         index = grid_index(F.col("ts"), step)
         return rows.withColumn("_f", fitted("ts", index, "first", "last", "scale", "beta"))
 
-    weights = fit.select("series_id", "first", "last", "scale", "beta")
-    past = predict(join_series(df, weights))
-    q = past.groupBy("series_id").agg(
-        bounded_quantiles(F.col("value") - F.col("_f"), level_probs(level)).alias("_q")
-    )
-    ahead = predict(future_rows(weights.join(fit.select("series_id", "origin_ts"), "series_id"), horizon, step))
+    weights = fit.select(*names, "first", "last", "scale", "beta", "origin_ts")
+    past = predict(join_series(df, weights, keys=names))
+    q = past.groupBy(*names).agg(bounded_quantiles(F.col("value") - F.col("_f"), level_probs(level)).alias("_q"))
+    ahead = predict(future_rows(weights, horizon, step))
     y = F.col("_f")
-    return shape_forecast(ahead.join(q, "series_id"), ["series_id"], y, y + F.col("_q")[0], y + F.col("_q")[1])
+    return shape_forecast(ahead.join(q, names), names, y, y + F.col("_q")[0], y + F.col("_q")[1])

@@ -159,6 +159,29 @@ def test_moving_average_terms(panel):
     assert rows.count() > 280
 
 
+def test_innovations_are_the_models_own(panel):
+    """The recursion starts from the errors that the fitted coefficients make."""
+    e = RNG.normal(size=400)
+    y = e[1:] + 0.5 * e[:-1]
+    terms = arima.Terms.of((1, 0, 1))
+    fit = arima.fit_terms(y, terms)
+    c, phi, theta = fit.beta
+    last = 0.0
+    for t in range(1, len(y)):
+        last = y[t] - c - phi * y[t - 1] - theta * last
+    assert fit.shocks[-1] == pytest.approx(last)
+    path, _ = arima.extend_series(y, fit, terms, 1)
+    assert path[0] == pytest.approx(c + phi * y[-1] + theta * last)
+
+
+def test_seasonal_lags_are_those_of_the_product():
+    terms = arima.Terms.of((1, 0, 1), (1, 1, 1, 12))
+    assert terms.ar == (1, 12, 13) and terms.ma == (1, 12, 13)
+    for order, seasonal in [((1, 1, 1), arima.FLAT), ((1, 0, 1), (1, 1, 1, 12)), ((0, 2, 1), (0, 1, 1, 4)), ((2, 0, 0), arima.FLAT)]:
+        t = arima.Terms.of(order, seasonal)
+        assert [n for n in range(1, 90) if arima.fit_terms(RNG.normal(size=n), t) is not None] == list(range(t.points_needed, 90))
+
+
 def test_order_search_ranks_all(panel):
     orders = [((1, 0, 0), arima.FLAT), ((0, 1, 0), arima.FLAT), ((1, 0, 1), arima.FLAT)]
     rows = arima.order_search(panel({"a": NOISE.tolist()}), 10, orders).collect()
@@ -198,6 +221,21 @@ def test_structural_against_dense_ridge(panel):
     assert np.abs(np.array(path(out)) - future).mean() < 0.3
 
 
+def test_structural_groups_and_tuning(panel):
+    y = (5 + 0.3 * np.arange(72) + RNG.normal(size=72)).round(3).tolist()
+    df = panel({"a": y, "b": y[:60], "tiny": y[:3], "none": [None] * 4}, months=True)
+    whole = structural.forecast_structural(df, 3, MONTH)
+    folds = df.withColumn("fold", F.lit(7)).unionByName(df.limit(0).withColumn("fold", F.lit(8)))
+    keyed = structural.forecast_structural(folds, 3, MONTH, keys=["series_id", "fold"])
+    assert sorted(keyed.drop("fold").collect()) == sorted(whole.collect()) and whole.count() == 9
+    rows = evaluate.cutoff_cv(df, structural.forecast_structural, None, MONTH, model="s")
+    assert rows.count() == rows.where("forecast IS NOT NULL").count() > 0
+    best, scores = evaluate.grid_search_structural(df, MONTH)
+    table = {(r["series_id"], r["trial"]): r["mse"] for r in scores.collect()}
+    assert {r["series_id"]: r["trial"] for r in best.collect()} == {s: min((0, 1), key=lambda i: table[s, i]) for s, _ in table}
+    assert evaluate.forecast_tuned_structural(df, 3, MONTH).count() == 9
+
+
 def test_forest(spark, panel, tmp_path):
     hours = np.arange(300)
     y = (10 + 5 * np.sin(2 * np.pi * hours / 24) + RNG.normal(size=300) * 0.2).round(4)
@@ -208,14 +246,14 @@ def test_forest(spark, panel, tmp_path):
     flat = forest.flatten_trees(spark, model)
     names = forest.feature_names(rows)
     for r in model.transform(rows).limit(50).collect():
-        votes = flat.predict(np.array([float(r[n]) for n in names]))
+        votes = flat.predict(np.array([[float(r[n]) for n in names]]))[0]
         assert votes.mean() == pytest.approx(r["prediction"])
     out = forest.forecast_recursive(df, model, 24, HOUR, lags=lags, windows=sizes)
     assert out.count() == 48
     assert out.where("lower > upper").count() == 0
     first = out.where("h = 1 AND series_id = 'a'").collect()[0]
     x = np.array([y[-1], y[-24], y[-3:].mean(), y[-24:].mean(), 300 % 24, (300 // 24) % 7], dtype=float)
-    assert first["yhat"] == pytest.approx(flat.predict(x).mean())
+    assert first["yhat"] == pytest.approx(flat.predict(x[None, :]).mean())
     inside = forest.forest_interval(model, rows)
     assert inside.where("lower > upper").count() == 0
     best, table = forest.grid_search_forest(rows, [{"n_trees": 3, "max_depth": d} for d in (1, 4)])
