@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from panelcast.catalog import views as v
 from panelcast.catalog.anomalies import decompose_sql
 from panelcast.catalog.registry import query
-from panelcast.functions.numeric import box_cox, inv_box_cox
+from panelcast.functions.numeric import CDF_B, CDF_P, box_cox, inv_box_cox
 from panelcast.operators import similarity, stats
 from panelcast.plans.grid import DAY, HOUR
 
@@ -167,17 +167,42 @@ def _poly(coefs, x: str) -> str:
     return horner(list(coefs), x)
 
 
-@query("adf_lag0", v.with_(v.D) + f""",
-x AS (SELECT series_id, value - lag(value) OVER w AS dy, lag(value) OVER w AS lv FROM d WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+def p_value_sql(t: str) -> str:
+    """The published approximation in full: two polynomials under the normal distribution function."""
+
+    def cdf(z: str) -> str:
+        inner = f"(1 / (1 + {CDF_P} * abs({z})))"
+        tail = f"exp(-({z}) * ({z}) / 2) / 2.5066282746310002 * {horner([0.0, *CDF_B], inner)}"
+        return f"(CASE WHEN {z} >= 0 THEN 1 - {tail} ELSE {tail} END)"
+
+    small, large = _poly(stats.ADF_P_SMALL, t), _poly(stats.ADF_P_LARGE, t)
+    return f"""CASE WHEN {t} > {stats.ADF_P_MAX} THEN 1.0 WHEN {t} < {stats.ADF_P_MIN} THEN 0.0
+  WHEN {t} <= {stats.ADF_P_SPLIT} THEN {cdf(f"({small})")} ELSE {cdf(f"({large})")} END"""
+
+
+def adf_sql(table: str) -> str:
+    return f""",
+x AS (SELECT series_id, value - lag(value) OVER w AS dy, lag(value) OVER w AS lv FROM {table} WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
 f AS (SELECT series_id, count(dy) AS n, regr_slope(dy, lv) AS g, regr_sxx(dy, lv) AS sxx, regr_syy(dy, lv) AS syy, regr_sxy(dy, lv) AS sxy FROM x GROUP BY 1),
 a AS (SELECT series_id, n, g, g / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS t FROM f)
-SELECT series_id, n, round(g, 6) AS gamma, round(t, 6) AS adf,
-  CAST(CASE WHEN t < -18.83 THEN 0.0 END AS DOUBLE) AS p_value,
-  {', '.join(f"round({_poly(c, '(1.0 / n)')}, 6) AS {name}" for name, c in stats.ADF_CRITICAL.items())} FROM a""".replace("\n,", ",", 1))
+SELECT series_id, n, round(g, 6) AS gamma, round(t, 6) AS adf, CAST(round({p_value_sql("t")}, 6) AS DOUBLE) AS p_value,
+  {', '.join(f"round({_poly(c, '(1.0 / n)')}, 6) AS {name}" for name, c in stats.ADF_CRITICAL.items())} FROM a""".replace("\n,", ",", 1)
+
+
+@query("adf_lag0", v.with_(v.D) + adf_sql("d"))
 def _(spark, sf):
     return stats.adf_lag0(v.daily_orders(spark, sf), DAY)
 
 
+# Running totals have a unit root, so the p-value is neither 0 nor 1 here.
+@query("adf_lag0_totals", v.with_(v.D, "rt AS (SELECT series_id, ts, round(sum(value) OVER (PARTITION BY series_id ORDER BY ts) / 1000 + 50000 * sin(rn / 9.0), 2) AS value FROM d)") + adf_sql("rt"), digits=5)
+def _(spark, sf):
+    total = F.sum("value").over(Window.partitionBy("series_id").orderBy("ts"))
+    place = F.row_number().over(Window.partitionBy("series_id").orderBy("ts"))
+    rows = v.daily_orders(spark, sf).withColumn("value", F.round(total / 1000 + 50000 * F.sin(place / 9.0), 2))
+    return stats.adf_lag0(rows, DAY)
+
+
 @query("adf_test")
 def _(spark, sf):
     return stats.adf_test(v.monthly(spark, sf), "month", maxlag=12)

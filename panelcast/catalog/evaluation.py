@@ -11,6 +11,7 @@ from panelcast.catalog.anomalies import HOLDOUT, holdout
 from panelcast.catalog.forecasts import HOLT, OUT, SES, seasonal_sql
 from panelcast.catalog.registry import query
 from panelcast.catalog.rolling import strict_sql
+from panelcast.functions.numeric import BOX_COX_LAMBDA
 from panelcast.operators import evaluate, windows
 from panelcast.operators.clean import regularize
 from panelcast.operators.forecast import arima
@@ -277,9 +278,19 @@ def _(spark, sf):
     return evaluate.grid_search_smoothing(v.monthly(spark, sf), "holt", n_test=12)[1]
 
 
-@query("order_search")
-def _(spark, sf):
+def orders():
     plain = [((p, d, q), arima.FLAT) for p in range(3) for d in range(3) for q in range(3)]
     binary = list(product((0, 1), repeat=6))
     seasonal = [((p, d, q), (sp, sd, sq, 12)) for p, d, q, sp, sd, sq in binary]
-    return arima.order_search(v.monthly(spark, sf), 12, plain + seasonal)
+    return plain + seasonal
+
+
+@query("order_search")
+def _(spark, sf):
+    return arima.order_search(v.monthly(spark, sf), 12, orders())
+
+
+@query("forecast_best_order", digits=2)
+def _(spark, sf):
+    positive = v.monthly(spark, sf).withColumn("value", F.col("value") + 1)
+    return arima.forecast_best_order(positive, 12, MONTH, orders=orders(), box_cox=BOX_COX_LAMBDA)

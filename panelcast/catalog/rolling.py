@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelcast.catalog import views as v
 from panelcast.catalog.registry import query
 from panelcast.operators import windows
+from panelcast.operators.clean import regularize
 from panelcast.plans.grid import HOUR
 
 W = "WINDOW w AS (PARTITION BY series_id ORDER BY ts)"
@@ -80,6 +81,20 @@ def _(spark, sf):
 
 
 LAGS, SIZES = windows.HOURLY_LAGS, windows.HOURLY_WINDOWS
+HALF = """hh AS (SELECT event_type AS series_id, time_bucket(INTERVAL 30 MINUTE, ts) AS ts, round(sum(value), 6) AS value FROM events GROUP BY 1, 2),
+hg AS (SELECT s.series_id, g.ts FROM (SELECT DISTINCT series_id FROM hh) s CROSS JOIN
+  (SELECT unnest(generate_series((SELECT min(ts) FROM hh), (SELECT max(ts) FROM hh), INTERVAL 30 MINUTE)) AS ts) g),
+t AS (SELECT hg.series_id, hg.ts, coalesce(hh.value, 0.0) AS value, row_number() OVER (PARTITION BY hg.series_id ORDER BY hg.ts) AS rn
+  FROM hg LEFT JOIN hh USING (series_id, ts))"""
+
+
+@query("feature_matrix_half_hour", v.with_(HALF) + f"""
+SELECT * EXCLUDE (rn) FROM (SELECT series_id, ts, {lag_sql(windows.HALF_HOUR_LAGS)}, {before_sql(windows.HALF_HOUR_WINDOWS)}, hour(ts) AS hour, isodow(ts) - 1 AS dow, value AS y, rn
+FROM t {W}) WHERE rn > 1008""")
+def _(spark, sf):
+    panel = regularize(v.type_events(spark, sf), HOUR // 2, span="panel", fill=0.0)
+    panel = panel.withColumn("value", F.round("value", 6))
+    return windows.feature_matrix(panel, HOUR // 2, lags=windows.HALF_HOUR_LAGS, windows=windows.HALF_HOUR_WINDOWS)
 
 
 @query("feature_matrix", v.with_(v.T) + f"""

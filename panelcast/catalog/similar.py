@@ -110,11 +110,31 @@ def _(spark, sf):
     return paths.select("id_a", "id_b", F.posexplode("path").alias("step", "_p")).select("id_a", "id_b", "step", "_p.i", "_p.j")
 
 
-@query("dtw_pairs")
+# Each pair's path adds up to its distance: the squared cost along the path against the matrix of SQL.
+@query("dtw_path_cost", v.with_recursive(v.T, WARP.replace("ON x.series_id < y.series_id", "ON y.series_id = (SELECT max(series_id) FROM pt)")) + """
+SELECT id_a, id_b, round(sqrt(last[n + 1]), 6) AS distance FROM wp WHERE d = n + m - 1""")
 def _(spark, sf):
-    return similarity.dtw_within(v.vectors(spark, sf), radius=0.65, within=["category"])
+    points = typed_points(spark, sf)
+    last = points.agg(F.max_by("points", "series_id").alias("points_b"), F.max("series_id").alias("id_b"))
+    pairs = points.select(F.col("series_id").alias("id_a"), F.col("points").alias("points_a")).crossJoin(F.broadcast(last))
+    cost = F.aggregate("path", F.lit(0.0), lambda s, p: s + F.pow(F.col("points_a")[p["i"]] - F.col("points_b")[p["j"]], 2))
+    return similarity.dtw_path(pairs).select("id_a", "id_b", F.sqrt(cost).alias("distance"))
+
+
+RADIUS = 0.65
+NEAR = WARP[WARP.index("wp AS") :].replace(
+    "ON x.series_id < y.series_id",
+    f"ON x.series_id < y.series_id AND x.label = y.label AND pow(x.p[1] - y.p[1], 2) + pow(x.p[x.n] - y.p[y.n], 2) <= {RADIUS * RADIUS}",
+)
+VECTORS = "pt AS (SELECT CAST(vec_id AS VARCHAR) AS series_id, CAST(embedding AS DOUBLE[]) AS p, len(embedding)::BIGINT AS n, label FROM embeddings)"
+
+
+@query("dtw_pairs", v.with_recursive(VECTORS, NEAR) + f"""
+SELECT id_a, id_b, round(sqrt(last[n + 1]), 6) AS distance FROM wp WHERE d = n + m - 1 AND sqrt(last[n + 1]) <= {RADIUS}""")
+def _(spark, sf):
+    return similarity.dtw_within(v.vectors(spark, sf), radius=RADIUS, within=["category"])
 
 
 @query("dtw_cluster")
 def _(spark, sf):
-    return similarity.dtw_cluster(v.vectors(spark, sf), k=3, max_iter=5)
+    return similarity.dtw_cluster(v.vectors(spark, sf), k=3)

@@ -167,14 +167,14 @@ def coerce_numeric(df: DataFrame, value: str = "value") -> DataFrame:
 def last_window(df: DataFrame, weeks: int = 12) -> DataFrame:
     """Rows of the last ``weeks`` weeks of each series, limits included.
 
-    The last time of each series comes from a partial aggregate; joining on
-    day tiles keeps a hot series spread over tasks.
+    The last time of each series comes from a partial aggregate, and with it
+    the days of the window; joining on days keeps a hot series spread over tasks.
     """
     days = df.withColumn("_tile", F.to_date("ts"))
     last = df.groupBy("series_id").agg(F.max("ts").alias("_last"))
-    cut = last.select("series_id", (F.col("_last") - F.expr(f"INTERVAL {int(weeks) * 7} DAYS")).alias("_from"))
-    keys = days.select("series_id", "_tile").distinct().join(cut, "series_id")
-    keys = keys.where(F.col("_tile") >= F.to_date("_from"))
+    cut = last.select("series_id", "_last", (F.col("_last") - F.expr(f"INTERVAL {int(weeks) * 7} DAYS")).alias("_from"))
+    window = F.sequence(F.to_date("_from"), F.to_date("_last"))
+    keys = cut.where(F.col("_last").isNotNull()).select("series_id", "_from", F.explode(window).alias("_tile"))
     return days.join(keys, ["series_id", "_tile"]).where(F.col("ts") >= F.col("_from")).select(*df.columns)
 
 

@@ -222,25 +222,92 @@ def forecast_arima(df: DataFrame, horizon: int, step: Step, *, order: Order, lev
     return forecast_sarima(df, horizon, step, order=order, level=level, **kw)
 
 
+def _search(y: np.ndarray, n_test: int, trials: Sequence[tuple[int, Terms]]) -> list[tuple[float, int]]:
+    """(RMSE on the last ``n_test`` points, trial) of every order that can be fitted, in the order given."""
+    train, test = y[:-n_test], y[-n_test:]
+    out = []
+    for i, terms in trials:
+        fit = fit_terms(train, terms)
+        if fit is not None:
+            path, _ = extend_series(train, fit, terms, n_test)
+            out.append((float(np.sqrt(np.mean((test - path) ** 2))), i))
+    return out
+
+
+def forecast_best_order(
+    df: DataFrame,
+    horizon: int,
+    step: Step,
+    *,
+    orders: Sequence[tuple[Order, Seasonal]],
+    n_test: int = 12,
+    box_cox: float | None = None,
+    level: float = 0.8,
+    keys: Sequence[str] = ("series_id",),
+) -> DataFrame:
+    """Search the orders on each series' last points, fit the best one again on all of them, and forecast.
+
+    With ``box_cox`` the search and the fit see transformed values, and forecasts and limits are transformed back
+    (a limit beyond the transform's range gives NULL).  ``params`` is the order taken.  Series with gaps, too
+    short for every order, or not positive under the transform have no rows.
+    """
+    trials = [(i, Terms.of(*o)) for i, o in enumerate(orders)]
+    labels = [str(o) for o in orders]
+    probs = level_probs(level)
+    names = list(keys)
+    columns = [*names, "origin_ts", "params", "h", "yhat", "lower", "upper"]
+
+    def back(x: np.ndarray) -> np.ndarray:
+        if box_cox is None:
+            return x
+        if box_cox == 0:
+            return np.exp(x)
+        base = x * box_cox + 1
+        return np.where(base > 0, np.power(np.maximum(base, 1e-300), 1 / box_cox), np.nan)
+
+    def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts")
+        y = pdf["value"].to_numpy(dtype=float)
+        if np.isnan(y).any() or len(y) <= n_test or (box_cox is not None and (y <= 0).any()):
+            return pd.DataFrame(columns=columns)
+        if box_cox is not None:
+            y = np.log(y) if box_cox == 0 else (np.power(y, box_cox) - 1) / box_cox
+        scores = _search(y, n_test, trials)
+        if not scores:
+            return pd.DataFrame(columns=columns)
+        _, best = min(scores)
+        terms = trials[best][1]
+        fit = fit_terms(y, terms)
+        path, wide = extend_series(y, fit, terms, horizon)
+        lo, hi = np.quantile(fit.resid[~np.isnan(fit.resid)], probs)
+        head = {k: pdf[k].iloc[0] for k in names}
+        made = {"origin_ts": pdf["ts"].iloc[-1], "params": labels[best], "h": np.arange(1, horizon + 1)}
+        limits = {"yhat": back(path), "lower": back(path + lo * wide), "upper": back(path + hi * wide)}
+        return pd.DataFrame(head | made | limits)[columns]
+
+    numbers = ["yhat", "lower", "upper"]
+    schema = f"{key_schema(df, names)}, origin_ts timestamp_ntz, params string, h bigint, yhat double, lower double, upper double"
+    rows = df.select(*names, "ts", "value").groupBy(*names).applyInPandas(forecast, schema)
+    rows = rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in numbers})
+    rows = rows.withColumn("ts", grid_time(grid_index(F.col("origin_ts"), step) + F.col("h"), step))
+    return rows.select(*names, "h", "ts", *numbers, "origin_ts", "params")
+
+
 def order_search(df: DataFrame, n_test: int, orders: Sequence[tuple[Order, Seasonal]]) -> DataFrame:
     """RMSE of every order on each series' last ``n_test`` points, with ``rank`` 1 for the best.
 
     The list is enumerated in full, nothing is sampled; the first order wins
     ties.  Orders a series is too short for have no row.
     """
-    trials = [(i, str(o), Terms.of(*o)) for i, o in enumerate(orders)]
+    trials = [(i, Terms.of(*o)) for i, o in enumerate(orders)]
+    labels = [str(o) for o in orders]
     columns = ["series_id", "trial", "params", "rmse"]
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")
         y = pdf["value"].to_numpy(dtype=float)
-        train, test = y[:-n_test], y[-n_test:]
-        rows = []
-        for i, name, terms in trials:
-            fit = None if np.isnan(y).any() else fit_terms(train, terms)
-            if fit is not None:
-                path, _ = extend_series(train, fit, terms, n_test)
-                rows.append((pdf["series_id"].iloc[0], i, name, float(np.sqrt(np.mean((test - path) ** 2)))))
+        found = [] if np.isnan(y).any() else _search(y, n_test, trials)
+        rows = [(pdf["series_id"].iloc[0], i, labels[i], rmse) for rmse, i in found]
         return pd.DataFrame(rows, columns=columns)
 
     schema = "series_id string, trial int, params string, rmse double"

@@ -14,14 +14,29 @@ from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelcast.operators.stats import series_moments
 from panelcast.plans.grid import Step, grid_index
 from panelcast.plans.tiles import join_series
+from panelcast.session import shared_dir
 
 BLOCK_SERIES = 256
 BLOCK_STEPS = 1024
+# Cells of cost matrices held at a time: 128 MB.
+MATRIX_CELLS = 1 << 24
+
+
+def _blocks_for(df: DataFrame, blocks: int | None) -> int:
+    """Blocks of about ``BLOCK_SERIES`` series; counts them (a job) unless the number is given."""
+    return blocks or max(1, -(-df.select("series_id").distinct().count() // BLOCK_SERIES))
+
+
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    """A table that several passes read, on the shared folder; nothing stays in executor memory."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _block_pairs(block: Column, blocks: int) -> Column:
@@ -32,14 +47,19 @@ def _block_pairs(block: Column, blocks: int) -> Column:
     )
 
 
-def correlation_matrix(df: DataFrame, step: Step, *, blocks: int = 4) -> DataFrame:
+def correlation_matrix(
+    df: DataFrame, step: Step, *, blocks: int | None = None, threshold: float | None = None, top: int | None = None
+) -> DataFrame:
     """Pearson correlation of every two series over the steps both have.
 
-    Series fall into ``blocks`` by hash; choose about (number of series) / 256.
+    Series fall into ``blocks`` by hash, by default of about 256 series.
     Each block goes to every block pair it belongs to, cut into time tiles, and
     one small matrix product per tile gives the sums of all its pairs.  Only
-    sums are shuffled again.  The result has one row per pair by definition.
+    sums are shuffled again.  The result has one row per pair by definition;
+    ``threshold`` keeps pairs of at least that absolute correlation, ``top``
+    those among the ``top`` strongest of one of their two series (ties by name).
     """
+    blocks = _blocks_for(df, blocks)
     centred = join_series(df, series_moments(df)).select(
         "series_id", grid_index(F.col("ts"), step).alias("_i"), (F.col("value") - F.col("_mean")).alias("_c")
     )
@@ -80,9 +100,17 @@ def correlation_matrix(df: DataFrame, step: Step, *, blocks: int = 4) -> DataFra
     cov = F.col("sab") - F.col("sa") * F.col("sb") / n
     var_a = F.col("saa") - F.col("sa") * F.col("sa") / n
     var_b = F.col("sbb") - F.col("sb") * F.col("sb") / n
-    return sums.where(n > 0).select(
+    pairs = sums.where(n > 0).select(
         "id_a", "id_b", n.cast("bigint").alias("n"), F.try_divide(cov, F.sqrt(var_a * var_b)).alias("corr")
     )
+    if threshold is not None:
+        pairs = pairs.where(F.abs("corr") >= threshold)
+    if top is not None:
+        each = pairs.withColumn("_own", F.explode(F.array("id_a", "id_b")))
+        strongest = Window.partitionBy("_own").orderBy(F.desc_nulls_last(F.abs("corr")), "id_a", "id_b")
+        ranked = each.withColumn("_r", F.row_number().over(strongest)).where(F.col("_r") <= top)
+        pairs = ranked.drop("_own", "_r").distinct()
+    return pairs
 
 
 def as_points(df: DataFrame) -> DataFrame:
@@ -154,8 +182,33 @@ def trace(cost: np.ndarray) -> list[tuple[int, int]]:
     return path[::-1]
 
 
-def dtw_distance(a: Column, b: Column, band: int | None = None) -> Column:
-    """Warping distance of two array columns; rows of equal lengths are computed together."""
+def warp_bound(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.ndarray:
+    """A lower bound of the distance for pairs of series ([pair, time]).
+
+    Every point of one series is aligned with some point of the other within the band, so it costs at least its
+    distance to the range of those points; the larger of both directions.
+    """
+
+    def one(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        n, m = x.shape[1], y.shape[1]
+        if band is None:
+            low, high = y.min(axis=1, keepdims=True), y.max(axis=1, keepdims=True)
+        else:
+            reach = max(band, abs(n - m))
+            lo = [np.clip(i - reach, 0, m - 1) for i in range(n)]
+            hi = [np.clip(i + reach, 0, m - 1) + 1 for i in range(n)]
+            low = np.stack([y[:, p:q].min(axis=1) for p, q in zip(lo, hi)], axis=1)
+            high = np.stack([y[:, p:q].max(axis=1) for p, q in zip(lo, hi)], axis=1)
+        return (np.maximum(np.maximum(x - high, low - x), 0.0) ** 2).sum(axis=1)
+
+    return np.sqrt(np.maximum(one(a, b), one(b, a)))
+
+
+def dtw_distance(a: Column, b: Column, band: int | None = None, cutoff: float | None = None) -> Column:
+    """Warping distance of two array columns; rows of equal lengths are computed together.
+
+    With ``cutoff``, pairs whose lower bound is beyond it get NULL without being aligned.
+    """
 
     @F.pandas_udf("double")
     def distance(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -167,8 +220,11 @@ def dtw_distance(a: Column, b: Column, band: int | None = None) -> Column:
                 shapes.setdefault((len(p), len(q)), []).append(r)
         for rows in shapes.values():
             for start in range(0, len(rows), 1024):
-                some = rows[start : start + 1024]
-                out[some] = warp_distance(np.stack(x[some]), np.stack(y[some]), band)
+                some = np.array(rows[start : start + 1024])
+                p, q = np.stack(x[some]).astype(float), np.stack(y[some]).astype(float)
+                near = np.ones(len(some), bool) if cutoff is None else warp_bound(p, q, band) <= cutoff
+                if near.any():
+                    out[some[near]] = warp_distance(p[near], q[near], band)
         return pd.Series(out)
 
     return distance(a, b)
@@ -185,11 +241,12 @@ def dtw_path(pairs: DataFrame, a: str = "points_a", b: str = "points_b") -> Data
     return pairs.withColumn("path", paths(a, b))
 
 
-def dtw_matrix(df: DataFrame, *, blocks: int = 4, band: int | None = None) -> DataFrame:
+def dtw_matrix(df: DataFrame, *, blocks: int | None = None, band: int | None = None) -> DataFrame:
     """Distance of every two series (``series_id, points``), block against block.
 
     One row per pair by definition; for large sets use :func:`dtw_within`.
     """
+    blocks = _blocks_for(df, blocks)
     block = F.pmod(F.hash("series_id"), F.lit(blocks))
     spread = (
         df.select("series_id", "points", block.alias("_block"))
@@ -224,26 +281,28 @@ def dtw_matrix(df: DataFrame, *, blocks: int = 4, band: int | None = None) -> Da
 def dtw_within(
     df: DataFrame, radius: float, *, within: Sequence[str] = (), band: int | None = None
 ) -> DataFrame:
-    """All pairs of equally long series at most ``radius`` apart, for pairs that agree in ``within``.
+    """All pairs of series at most ``radius`` apart, of any lengths, for pairs that agree in ``within``.
 
     Any alignment pairs the two first and the two last points, so those may
     differ by at most ``radius`` each.  A grid of that width over (first, last)
     gives the candidates by an equi-join, which adaptive execution splits where
-    a cell is crowded; the pairs left after the bound are measured.
+    a cell is crowded.  Pairs left are measured if the range of one series does
+    not already put the other beyond the radius (see ``warp_bound``).  Empty
+    series have no partner.
     """
     within = list(within)
+    df = df.where(F.size("points") > 0)
     first, last = F.element_at("points", 1), F.element_at("points", -1)
     cells = df.select(
         "series_id",
         "points",
         *within,
-        F.size("points").alias("_len"),
         F.floor(first / radius).alias("_cx"),
         F.floor(last / radius).alias("_cy"),
     )
     shifts = F.array(*[F.struct(F.lit(dx).alias("x"), F.lit(dy).alias("y")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
     left = cells.select(
-        F.col("series_id").alias("id_a"), F.col("points").alias("points_a"), *within, "_len", "_cx", "_cy"
+        F.col("series_id").alias("id_a"), F.col("points").alias("points_a"), *within, "_cx", "_cy"
     )
     right = (
         cells.withColumn("_s", F.explode(shifts))
@@ -251,7 +310,6 @@ def dtw_within(
             F.col("series_id").alias("id_b"),
             F.col("points").alias("points_b"),
             *within,
-            "_len",
             (F.col("_cx") + F.col("_s.x")).alias("_cx"),
             (F.col("_cy") + F.col("_s.y")).alias("_cy"),
         )
@@ -261,27 +319,29 @@ def dtw_within(
         d = F.element_at("points_a", at) - F.element_at("points_b", at)
         return d * d
 
-    near = left.join(right, [*within, "_len", "_cx", "_cy"]).where(
+    near = left.join(right, [*within, "_cx", "_cy"]).where(
         (F.col("id_a") < F.col("id_b")) & (gap(1) + gap(-1) <= radius * radius)
     )
     # Measuring costs far more than moving a pair: spread the pairs evenly.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = near.repartition(tasks, "id_a", "id_b")
-    measured = near.withColumn("distance", dtw_distance(F.col("points_a"), F.col("points_b"), band))
+    measured = near.withColumn("distance", dtw_distance(F.col("points_a"), F.col("points_b"), band, radius))
     return measured.where(F.col("distance") <= radius).select("id_a", "id_b", "distance")
 
 
-def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 10, band: int | None = None) -> DataFrame:
+def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 100, band: int | None = None) -> DataFrame:
     """k-means under warping; a centre is the average of its members along their best alignments.
 
     Runs one job per round.  A round sends out the k centres (k arrays), aligns
     every series with them inside the tasks, and brings back only sums per
     centre and position, added up before the shuffle.  Starts from the series
-    with the lowest hashes and stops when the centres stay the same.
+    with the lowest hashes and stops when the centres stay the same;
+    ``converged`` says whether they did within ``max_iter`` rounds.
     """
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = df.repartition(tasks, "series_id").persist()
+    df = _written(df.repartition(tasks, "series_id"), "warping")
+    still = False
     seeds = df.orderBy(F.xxhash64("series_id"), "series_id").limit(k).select("points").collect()
     centres = [np.asarray(r["points"], dtype=float) for r in seeds]
 
@@ -312,8 +372,9 @@ def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 10, band: int | No
                     mine = pdf["points"][owner == c]
                     for _, same in mine.groupby(mine.map(len)):
                         x = np.stack(same.to_numpy())
-                        for start in range(0, len(x), 256):
-                            some = x[start : start + 256]
+                        size = max(1, MATRIX_CELLS // ((len(centre) + 1) * (x.shape[1] + 1)))
+                        for start in range(0, len(x), size):
+                            some = x[start : start + size]
                             costs = warp_cost(np.tile(centre, (len(some), 1)), some, band)
                             for p, cost in zip(some, costs):
                                 path = np.array(trace(cost))
@@ -345,7 +406,8 @@ def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 10, band: int | No
         owner, distance = assign(points, final.value)
         return pd.DataFrame({"cluster": owner.astype("int32"), "distance": distance})
 
-    return df.withColumn("_l", label("points")).select("series_id", "_l.cluster", "_l.distance")
+    labelled = df.withColumn("_l", label("points"))
+    return labelled.select("series_id", "_l.cluster", "_l.distance", F.lit(still).alias("converged"))
 
 
 def _cluster_stages(features: Sequence[str], k: int, seed: int) -> list:
@@ -359,9 +421,9 @@ def _cluster_stages(features: Sequence[str], k: int, seed: int) -> list:
 def cluster_series(fingerprints: DataFrame, features: Sequence[str], k: int = 3, *, seed: int = 42) -> DataFrame:
     """Standardise the features and run k-means (a job); one row per series with its cluster.
 
-    The fingerprints, one row per series, are kept for the passes of the fit.
+    The fingerprints, one row per series, are written for the passes of the fit.
     """
-    fingerprints = fingerprints.persist()
+    fingerprints = _written(fingerprints, "fingerprints")
     model = Pipeline(stages=_cluster_stages(features, k, seed)).fit(fingerprints)
     return model.transform(fingerprints).select("series_id", F.col("cluster").cast("bigint").alias("cluster"))
 
@@ -369,10 +431,9 @@ def cluster_series(fingerprints: DataFrame, features: Sequence[str], k: int = 3,
 def choose_k(fingerprints: DataFrame, features: Sequence[str], ks: Sequence[int] = (3, 4), *, seed: int = 42) -> DataFrame:
     """Silhouette per number of clusters; one fit per candidate."""
     score = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    fingerprints = fingerprints.persist()
+    fingerprints = _written(fingerprints, "fingerprints")
     rows = []
     for k in ks:
         model = Pipeline(stages=_cluster_stages(features, k, seed)).fit(fingerprints)
         rows.append((k, float(score.evaluate(model.transform(fingerprints)))))
-    fingerprints.unpersist()
     return fingerprints.sparkSession.createDataFrame(rows, "k int, silhouette double")

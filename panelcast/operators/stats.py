@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from panelcast.functions.numeric import normal_cdf, normal_quantile
 from panelcast.operators.ols import gram_sums, nested_errors, ols_fit
 from panelcast.plans.grid import Step, grid_index
-from panelcast.plans.quantiles import exact_quantiles, value_bins
+from panelcast.plans.quantiles import exact_quantiles, ranked_values
 from panelcast.plans.tiles import attach, join_series, merge_tables, over_tiles, row_tile, time_tile
 
 
@@ -150,25 +150,9 @@ def seasonality_strength(parts: DataFrame) -> DataFrame:
 
 
 def qq_points(df: DataFrame, value: str = "value") -> DataFrame:
-    """Each value with its normal quantile at plotting position i / (n + 1).
-
-    Ranks are counted per value bucket, so that a long series is not sorted in
-    one task: a histogram of the values takes the place of the time tiles.
-    """
-    known = df.where(F.col(value).isNotNull()).select("series_id", F.col(value).alias("value"))
-    span = known.groupBy("series_id").agg(
-        F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("value").alias("n")
-    )
-    binned = value_bins(known, span, ["series_id"], "value")
-    counts = binned.groupBy("series_id", "_bin").agg(F.count("value").alias("_c"))
-    before = Window.partitionBy("series_id").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("series_id", "_bin", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
-    inside = Window.partitionBy("series_id", "_bin").orderBy("value")
-    ranked = binned.join(offsets, ["series_id", "_bin"]).withColumn(
-        "i", (F.col("_o") + F.row_number().over(inside)).cast("bigint")
-    )
+    """Each value with its normal quantile at plotting position i / (n + 1); ranks are those of ``ranked_values``."""
     p = F.col("i") / (F.col("n") + 1)
-    return ranked.select("series_id", "i", "value", normal_quantile(p).alias("theoretical"))
+    return ranked_values(df, value=value).select("series_id", "i", "value", normal_quantile(p).alias("theoretical"))
 
 
 def ljung_box(correlations: DataFrame) -> DataFrame:

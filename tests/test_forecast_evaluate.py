@@ -190,6 +190,19 @@ def test_order_search_ranks_all(panel):
     assert drift == pytest.approx(float(np.sqrt(np.mean((NOISE[-10:] - NOISE[-11]) ** 2))))
 
 
+def test_best_order_is_the_searched_one(panel):
+    orders = [((1, 0, 0), arima.FLAT), ((0, 1, 0), arima.FLAT), ((1, 0, 1), arima.FLAT)]
+    df = panel({"a": NOISE.tolist(), "short": [1.0] * 9, "gap": [1.0] * 30 + [None] + [2.0] * 30})
+    best = [r["params"] for r in arima.order_search(df, 10, orders).where("rank = 1 AND series_id = 'a'").collect()][0]
+    rows = arima.forecast_best_order(df, 4, HOUR, orders=orders, n_test=10).orderBy("h").collect()
+    assert {(r["series_id"], r["params"]) for r in rows} == {("a", best)}
+    plain = arima.forecast_sarima(df.where("series_id = 'a'"), 4, HOUR, order=dict((str(o), o) for o in orders)[best][0])
+    assert [r["yhat"] for r in rows] == pytest.approx(path(plain))
+    up = panel({"a": np.exp(0.1 * np.arange(40)).tolist()})
+    grown = arima.forecast_best_order(up, 3, HOUR, orders=[((0, 1, 0), arima.FLAT), ((1, 1, 0), arima.FLAT)], n_test=5, box_cox=0)
+    assert [r["yhat"] for r in grown.orderBy("h").collect()] == pytest.approx(np.exp(0.1 * np.arange(40, 43)).tolist(), rel=1e-6)
+
+
 def test_var_by_hand(panel):
     a, b = RNG.normal(size=50).cumsum().round(4), RNG.normal(size=50).round(4)
     y = np.column_stack([a, b])

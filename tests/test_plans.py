@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from panelcast.catalog import views
 from panelcast.operators import anomaly, clean, daily, windows
 from panelcast.plans.grid import HOUR
+from panelcast.plans.quantiles import exact_quantiles, ranked_values, value_counts, value_place
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -50,6 +52,30 @@ def test_regularize_reads_once(spark):
     assert final_scans(clean.regularize(panel, HOUR, span="panel", drop_partial=True)) == 1
 
 
+@pytest.mark.parametrize("kind", ["outlier", "equal"])
+def test_quantiles_have_no_hot_task(spark, kind):
+    """One extreme outlier, or one value in nine of ten rows: no task sorts or sums a large share of the rows."""
+    n = 20_000
+    value = F.when(F.col("id") == 0, 1e12).otherwise(1 + F.col("id") / 1000.0) if kind == "outlier" else F.when(F.col("id") % 10 > 0, 5.0).otherwise(F.col("id") / 7.0)
+    rows = spark.range(n).select(F.lit("a").alias("series_id"), value.alias("value"))
+    freq = value_counts(rows, ["series_id"], "value")
+    bins = freq.groupBy(F.floor(value_place(F.col("_v")) / (1 << 16))).agg(F.count("*").alias("k"))
+    assert bins.agg(F.max("k")).first()[0] < n / 20
+    got = exact_quantiles(rows, [0.0, 0.25, 0.5, 0.999, 1.0]).first()["q"]
+    x = np.array([r["value"] for r in rows.collect()])
+    assert got == pytest.approx(np.quantile(x, [0.0, 0.25, 0.5, 0.999, 1.0]))
+    ranked = sorted((r["i"], r["value"]) for r in ranked_values(rows).collect())
+    assert [i for i, _ in ranked] == list(range(1, n + 1)) and [v for _, v in ranked] == sorted(x.tolist())
+
+
+def test_places_are_in_the_order_of_the_values(spark):
+    rng = np.random.default_rng(3)
+    x = np.unique(np.r_[rng.normal(size=300) * 10.0 ** rng.integers(-300, 300, 300), 0.0, 5e-324, -5e-324, 1.7e308, np.inf, -np.inf, 2.0 ** np.arange(-60, 60), np.nextafter(2.0 ** np.arange(-60, 60), 0)])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double").select("v", value_place(F.col("v")).alias("p"))
+    places = [r["p"] for r in df.orderBy("v").collect()]
+    assert places == sorted(places)
+
+
 def test_filters_reach_the_scan(spark):
     late = views.user_events(spark, SF_DIR).where(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))
     text = plan(daily.daily_energy_metrics(late))

@@ -124,6 +124,36 @@ def test_charge_is_clamped(forecast):
     assert {r["first_reached_ts"].hour for r in rows} == {5}
 
 
+def test_warping_of_unequal_lengths(spark):
+    """Pairs are found whatever their lengths; the bound never exceeds the distance."""
+    rng = np.random.default_rng(8)
+    rows = [(f"s{i:02d}", (np.sin(np.arange(n) / n * 6) + rng.normal(size=n) * 0.05).round(4).tolist()) for i, n in enumerate([12, 12, 14, 17, 20, 20, 3])]
+    df = spark.createDataFrame(rows, "series_id string, points array<double>")
+    want = {}
+    for i, (a, x) in enumerate(rows):
+        for b, y in rows[i + 1 :]:
+            p, q = np.array([x]), np.array([y])
+            d = similarity.warp_distance(p, q)[0]
+            for band in (None, 3):
+                assert similarity.warp_bound(p, q, band)[0] <= similarity.warp_distance(p, q, band)[0] + 1e-9
+            if d <= 0.5:
+                want[a, b] = pytest.approx(d)
+    assert len(want) > 5
+    assert {(r["id_a"], r["id_b"]): r["distance"] for r in similarity.dtw_within(df, 0.5).collect()} == want
+
+
+def test_correlation_threshold_and_top(panel):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=80)
+    df = panel({f"s{i}": (base * (i % 3) + rng.normal(size=80)).round(4).tolist() for i in range(7)})
+    every = {(r["id_a"], r["id_b"]): r["corr"] for r in similarity.correlation_matrix(df, HOUR).collect()}
+    assert len(every) == 21
+    strong = {(r["id_a"], r["id_b"]) for r in similarity.correlation_matrix(df, HOUR, threshold=0.5).collect()}
+    assert strong == {p for p, c in every.items() if abs(c) >= 0.5}
+    first = {max((p for p in every if s in p), key=lambda p: abs(every[p])) for s in {x for p in every for x in p}}
+    assert {(r["id_a"], r["id_b"]) for r in similarity.correlation_matrix(df, HOUR, top=1).collect()} == first
+
+
 def test_ranking_is_exact(spark):
     t0 = datetime(2024, 1, 1)
     rows = [(f"a{i}", t0 + timedelta(hours=i % 3), float((i * 37) % 50)) for i in range(200)]
