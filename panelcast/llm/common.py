@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelcast.session import shared_dir
+from panelcast.session import prepare, shared_dir
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 #: The characters 0x20 and 0x09-0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Texts that a worker gets at a time: a few megabytes, where Spark's default of 10,000 rows would be tens.
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
 #: A table of at most this many rows may be broadcast; callers keep rows under about 100 bytes, so 20 MB at most.
 BROADCAST_ROWS = 200_000
 
@@ -49,5 +51,13 @@ def with_row(df: DataFrame) -> tuple[DataFrame, str]:
     return df.withColumn(name, F.monotonically_increasing_id()), name
 
 
+def text_session(spark: SparkSession) -> SparkSession:
+    """Session settings for rows that hold whole texts: few of them travel to a Python worker at a time."""
+    prepare(spark)
+    if int(spark.conf.get(BATCH_KEY)) > BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

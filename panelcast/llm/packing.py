@@ -28,7 +28,7 @@ END_ID = 1
 PARTITION_PIECES = 24_000
 ROUNDS = 6
 #: Words whose ids a worker remembers, and characters of a word worth remembering.
-MEMO_WORDS, MEMO_CHARS = 400_000, 48
+MEMO_WORDS, MEMO_CHARS = 250_000, 32
 #: Characters that are tokenised at a time.
 BLOCK_CHARS = 1 << 20
 

@@ -24,7 +24,7 @@ EPOCHS, ALPHA, BETA, L1, L2 = 10, 1.0, 1.0, 1e-4, 1e-4
 SCALE = 40.0
 THRESHOLD = 0.3
 #: Words hashed at once, and words a worker remembers.
-BLOCK_WORDS, MEMO_WORDS = 1 << 16, 300_000
+BLOCK_WORDS, MEMO_WORDS = 1 << 16, 200_000
 
 _RUNS = re.compile(r"(.)\1+", re.S)
 _LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_A-Z]"), re.compile(r"[A-Z]"), re.compile(r"\d")

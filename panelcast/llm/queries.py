@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelcast.llm import embedding_dedup, exact_dedup, line_dedup, packing, quality, secrets, sentencepiece_bpe, simhash, url_filters, warc
-from panelcast.llm.common import table
-from panelcast.session import prepare, shared_dir
+from panelcast.llm.common import table, text_session
+from panelcast.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,7 +25,7 @@ def vocabulary(name: str) -> str:
 def query(name: str, sql: str | None = None):
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir)
+            return fn(text_session(spark), sf_dir)
 
         run.__name__ = name
         QUERIES[name] = run

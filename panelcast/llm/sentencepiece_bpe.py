@@ -23,7 +23,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Chunks of at most this many symbols run side by side.
 SHORT = 48
 #: Chunks a worker remembers, and their longest length; characters of a text encoded at a time.
-MEMO_CHUNKS, MEMO_CHARS, BLOCK_CHARS = 300_000, 48, 1 << 19
+MEMO_CHUNKS, MEMO_CHARS, BLOCK_CHARS = 250_000, 48, 1 << 19
 _NONE = np.int64(2**62)
 
 
