@@ -225,9 +225,8 @@ def _(spark, sf):
 
 
 def shape_of(rows, *, band: bool = True):
-    """Per series: rows, rows with a number, rows in order (lower <= yhat <= upper, where there is a band)."""
-    y = F.col("yhat")
-    fine = (F.col("lower") <= y) & (y <= F.col("upper")) if band else y.isNotNull()
+    """Per series: rows, rows with a number, rows in order (lower <= upper, where there is a band)."""
+    fine = F.col("lower") <= F.col("upper") if band else F.col("yhat").isNotNull()
     return rows.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count("yhat").alias("n_known"), F.count_if(fine).alias("n_in_order"))
 
 
