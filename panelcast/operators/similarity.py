@@ -204,6 +204,22 @@ def warp_bound(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.ndar
     return np.sqrt(np.maximum(one(a, b), one(b, a)))
 
 
+def add_alignments(cost: np.ndarray, members: np.ndarray, total: np.ndarray, count: np.ndarray) -> None:
+    """Add every member's points to the centre positions that its best alignment gives them.
+
+    All pairs of filled matrices are walked back together, by the rule of :func:`trace`.
+    """
+    pair = np.arange(len(cost))
+    i, j = np.full(len(cost), cost.shape[1] - 1), np.full(len(cost), cost.shape[2] - 1)
+    while len(pair):
+        np.add.at(total, i - 1, members[pair, j - 1])
+        np.add.at(count, i - 1, 1)
+        moves = np.stack([cost[pair, i - 1, j - 1], cost[pair, i - 1, j], cost[pair, i, j - 1]]).argmin(axis=0)
+        i, j = i - (moves < 2), j - (moves != 1)
+        live = (i > 0) & (j > 0)
+        pair, i, j = pair[live], i[live], j[live]
+
+
 def dtw_distance(a: Column, b: Column, band: int | None = None, cutoff: float | None = None) -> Column:
     """Warping distance of two array columns; rows of equal lengths are computed together.
 
@@ -329,19 +345,22 @@ def dtw_within(
     return measured.where(F.col("distance") <= radius).select("id_a", "id_b", "distance")
 
 
-def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 100, band: int | None = None) -> DataFrame:
+def dtw_cluster(
+    df: DataFrame, k: int = 3, *, max_iter: int = 100, tol: float = 1e-4, band: int | None = None
+) -> DataFrame:
     """k-means under warping; a centre is the average of its members along their best alignments.
 
     Runs one job per round.  A round sends out the k centres (k arrays), aligns
     every series with them inside the tasks, and brings back only sums per
     centre and position, added up before the shuffle.  Starts from the series
-    with the lowest hashes and stops when the centres stay the same;
-    ``converged`` says whether they did within ``max_iter`` rounds.
+    with the lowest hashes and stops when a round lowers the sum of squared
+    distances by no more than a share of ``tol``; ``converged`` says whether one
+    did within ``max_iter`` rounds.
     """
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = _written(df.repartition(tasks, "series_id"), "warping")
-    still = False
+    still, before = False, np.inf
     seeds = df.orderBy(F.xxhash64("series_id"), "series_id").limit(k).select("points").collect()
     centres = [np.asarray(r["points"], dtype=float) for r in seeds]
 
@@ -365,8 +384,8 @@ def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 100, band: int | N
         def partial(batches):
             for pdf in batches:
                 held = shared.value
-                owner, _ = assign(pdf["points"], held)
-                rows = []
+                owner, distance = assign(pdf["points"], held)
+                rows = [pd.DataFrame({"c": [-1], "i": [0], "s": [float((distance**2).sum())], "n": [1.0]})]
                 for c, centre in enumerate(held):
                     total, count = np.zeros(len(centre)), np.zeros(len(centre))
                     mine = pdf["points"][owner == c]
@@ -376,10 +395,7 @@ def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 100, band: int | N
                         for start in range(0, len(x), size):
                             some = x[start : start + size]
                             costs = warp_cost(np.tile(centre, (len(some), 1)), some, band)
-                            for p, cost in zip(some, costs):
-                                path = np.array(trace(cost))
-                                np.add.at(total, path[:, 0], p[path[:, 1]])
-                                np.add.at(count, path[:, 0], 1)
+                            add_alignments(costs, some, total, count)
                     rows.append(pd.DataFrame({"c": c, "i": np.arange(len(centre)), "s": total, "n": count}))
                 yield pd.concat(rows)
 
@@ -391,13 +407,18 @@ def dtw_cluster(df: DataFrame, k: int = 3, *, max_iter: int = 100, band: int | N
             .where(F.col("n") > 0)
         )
         moved = [c.copy() for c in centres]
-        for r in sums.collect():  # k centres times their length
-            moved[r["c"]][r["i"]] = r["s"] / r["n"]
-        still = all(np.allclose(a, b, rtol=0, atol=1e-9) for a, b in zip(moved, centres))
-        centres = moved
+        spread = 0.0
+        for r in sums.collect():  # k centres times their length, and the sum of squares
+            if r["c"] < 0:
+                spread = r["s"]
+            else:
+                moved[r["c"]][r["i"]] = r["s"] / r["n"]
         shared.unpersist()
+        # The centres that were measured stay, not the ones they would move to.
+        still = before - spread <= tol * before if np.isfinite(before) else spread == 0
         if still:
             break
+        centres, before = moved, spread
 
     final = spark.sparkContext.broadcast(centres)
 

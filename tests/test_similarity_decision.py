@@ -153,6 +153,20 @@ def test_correlation_threshold_and_top(panel):
     assert {(r["id_a"], r["id_b"]) for r in similarity.correlation_matrix(df, HOUR, top=1).collect()} == first
 
 
+def test_alignments_together_are_those_alone():
+    rng = np.random.default_rng(6)
+    centre, members = rng.normal(size=9).round(1), rng.normal(size=(20, 12)).round(1)
+    cost = similarity.warp_cost(np.tile(centre, (20, 1)), members)
+    total, count = np.zeros(9), np.zeros(9)
+    similarity.add_alignments(cost, members, total, count)
+    want, n = np.zeros(9), np.zeros(9)
+    for x in members:
+        for i, j in similarity.warp_path(centre, x):
+            want[i] += x[j]
+            n[i] += 1
+    assert total == pytest.approx(want) and count.tolist() == n.tolist()
+
+
 def test_ranking_is_exact(spark):
     t0 = datetime(2024, 1, 1)
     rows = [(f"a{i}", t0 + timedelta(hours=i % 3), float((i * 37) % 50)) for i in range(200)]
