@@ -164,6 +164,11 @@ def _(spark, sf):
     return var.forecast_var(v.monthly(spark, sf), PRIORITIES, 12, MONTH, p=2)
 
 
+@query("forecast_varma")
+def _(spark, sf):
+    return var.forecast_var(v.monthly(spark, sf), PRIORITIES, 12, MONTH, p=2, q=1)
+
+
 HOLIDAYS = [(f"{year}-{day}", name) for year in range(1995, 2003) for day, name in (("01-01", "new year"), ("12-25", "christmas"))]
 
 

@@ -216,6 +216,32 @@ def test_var_by_hand(panel):
     assert path(out, "b") == pytest.approx([r[1] for r in rows[50:]])
 
 
+def test_varma_by_hand(panel):
+    """Two stages: errors of a longer autoregression as regressors, then the model's own errors to its end."""
+    n = 90
+    a, b = RNG.normal(size=n).cumsum().round(4), RNG.normal(size=n).round(4)
+    y = np.column_stack([a, b])
+
+    def design(lags, shocks=None):
+        start = 6 if shocks is None else 7
+        x = [np.ones(n - start), *[y[start - k : n - k] for k in range(1, lags + 1)]]
+        return np.column_stack(x + ([] if shocks is None else [shocks[start - 1 : n - 1]])), y[start:]
+
+    x, z = design(6)
+    shocks = np.vstack([np.full((6, 2), np.nan), z - x @ np.linalg.lstsq(x, z, rcond=None)[0]])
+    x, z = design(2, shocks)
+    beta = np.linalg.lstsq(x, z, rcond=None)[0].T
+    rows, e = list(y), [np.zeros(2)] * 2
+    for t in range(2, n):
+        e.append(y[t] - beta @ np.concatenate([[1], y[t - 1], y[t - 2], e[t - 1]]))
+    for _ in range(3):
+        rows.append(beta @ np.concatenate([[1], rows[-1], rows[-2], e[-1]]))
+        e.append(np.zeros(2))
+    out = var.forecast_var(panel({"a": a.tolist(), "b": b.tolist()}, seconds=DAY), ["a", "b"], 3, DAY, q=1)
+    assert path(out) == pytest.approx([r[0] for r in rows[n:]])
+    assert path(out, "b") == pytest.approx([r[1] for r in rows[n:]])
+
+
 def test_structural_against_dense_ridge(panel):
     days = np.arange(400)
     y = (5 + 0.02 * days + 2 * np.sin(2 * np.pi * days / 7) + RNG.normal(size=400) * 0.1).round(4)
