@@ -215,7 +215,7 @@ def profile(df: DataFrame, category: str | None = None) -> DataFrame:
 
 def gap_check(df: DataFrame, step_seconds: float) -> DataFrame:
     """One row per series: number of gaps longer than a step, the longest one, steps missing."""
-    before = previous_row(df.withColumn("_ts", F.col("ts")), ["_ts"])
+    before = previous_row(df.select("series_id", "ts", F.col("ts").alias("_ts")), ["_ts"])
     width = seconds_between(F.col("ts"), F.col("prev__ts"))
     gap = width > step_seconds
     return (

@@ -84,12 +84,34 @@ def row_tile(df: DataFrame, step: Step, tile_rows: int = TILE_ROWS, ts: str = "t
     return df.withColumn("_tile", F.floor(grid_index(F.col(ts), step) / tile_rows))
 
 
+def _tiled_once(df: DataFrame, keys: Keys, ts: str, tile_seconds: int) -> DataFrame:
+    """Rows dealt by (series, tile).  The rows and their per-tile summary read this one shuffle, and the source once.
+
+    Rows without series or time belong to no tile; the join of both would leave them out as well.
+    """
+    t = time_tile(df, tile_seconds, ts)
+    for c in (*keys, "_tile"):
+        t = t.where(F.col(c).isNotNull())
+    return t.repartition(*keys, "_tile")
+
+
+def _tile_summary(t: DataFrame, keys: Keys, *aggregates: Column) -> DataFrame:
+    """One row per tile of :func:`_tiled_once`.
+
+    It counts every column too, so that none is pruned and the shuffle stays the same as that of the rows.
+    """
+    others = [c for c in t.columns if c not in (*keys, "_tile")]
+    counts = {f"_n{i}": F.count(F.col(c)) for i, c in enumerate(others)}
+    out = t.groupBy(*keys, "_tile").agg(*aggregates, *[c.alias(n) for n, c in counts.items()])
+    return out.where(" AND ".join(f"{n} >= 0" for n in counts)).drop(*counts)
+
+
 def positions(
     df: DataFrame, *, keys: Keys = ("series_id",), ts: str = "ts", tile_seconds: int = DAY
 ) -> DataFrame:
     """Add ``pos`` (1-based row number by time) and ``n`` (rows of the series)."""
-    t = time_tile(df, tile_seconds, ts)
-    counts = t.groupBy(*keys, "_tile").agg(F.count(F.lit(1)).alias("_rows"))
+    t = _tiled_once(df, keys, ts, tile_seconds)
+    counts = _tile_summary(t, keys, F.count(F.lit(1)).alias("_rows"))
     series = Window.partitionBy(*keys)
     before = series.orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -118,8 +140,8 @@ def previous_row(
     df: DataFrame, names: Sequence[str], *, keys: Keys = ("series_id",), ts: str = "ts", tile_seconds: int = DAY
 ) -> DataFrame:
     """Add ``prev_<name>``: the value in the row before, also across tile edges."""
-    t = time_tile(df, tile_seconds, ts)
-    tails = t.groupBy(*keys, "_tile").agg(*[F.max_by(n, ts).alias(f"_v_{n}") for n in names])
+    t = _tiled_once(df, keys, ts, tile_seconds)
+    tails = _tile_summary(t, keys, *[F.max_by(n, ts).alias(f"_v_{n}") for n in names])
     order = Window.partitionBy(*keys).orderBy("_tile")
     carried = tails.select(*keys, "_tile", *[F.lag(f"_v_{n}").over(order).alias(f"_v_{n}") for n in names])
     inside = Window.partitionBy(*keys, "_tile").orderBy(ts)

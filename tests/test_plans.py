@@ -13,6 +13,7 @@ from panelcast.catalog import views
 from panelcast.operators import anomaly, clean, daily, windows
 from panelcast.plans.grid import HOUR
 from panelcast.plans.quantiles import exact_quantiles, ranked_values, value_counts, value_place
+from panelcast.plans.tiles import positions
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -46,6 +47,14 @@ def final_scans(df) -> int:
     return final.count("FileScan")
 
 
+def test_row_operators_read_once(spark):
+    users = views.user_events(spark, SF_DIR, "event_type")
+    assert final_scans(daily.ramp(users)) == 1
+    assert final_scans(positions(users)) == 1
+    assert final_scans(clean.gap_check(users, 86400)) == 1
+    assert final_scans(clean.last_window(users, weeks=2)) == 2
+
+
 def test_regularize_reads_once(spark):
     panel = views.type_events(spark, SF_DIR)
     assert final_scans(clean.regularize(panel, HOUR)) == 1
