@@ -135,3 +135,26 @@ def test_stages_take_empty_tables(spark, tmp_path):
     empty = spark.read.parquet(str(tmp_path / "e"))
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_stages_take_awkward_rows(spark, tmp_path):
+    """NULLs in every column, empty and very long texts, repeated rows, extra columns with clashing names."""
+    long = "word " * 60_000 + "end"
+    rows = [(None, None), (None, None), (1, ""), (1, ""), (2, long), (3, "A few plain words."), (4, "a FEW plain words."), (5, "password=hunter2hunter2 here"), (6, " \n\t ")]
+    names = "doc_id long, text string, lang string, source string, n_chars long, _row string, bits string, node string"
+    data = [(d, t, None if d in (None, 3) else "en", None, None if t is None else len(t), "r", "b", None) for d, t in rows]
+    spark.createDataFrame(data, names).repartition(2).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    stages = dict(corpus_pipeline.STAGES)
+    for name, stage in list(stages.items())[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns
+        kept = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+        if name == "exact_dedup":
+            assert kept == sorted([(1, ""), (2, long), (4, "a FEW plain words."), (5, "password=hunter2hunter2 here"), (6, " \n\t ")], key=str)
+        elif name == "simhash_near_dedup":  # rows without words have the fingerprint zero in common
+            assert kept == sorted([(1, ""), (2, long), (3, "A few plain words."), (5, "password=hunter2hunter2 here")], key=str)
+        elif name == "secret_scans":
+            assert kept == sorted([(d, "[secret] here" if d == 5 else t) for d, t in rows], key=str)
+    packed = stages["best_fit_packing"](spark, docs, SF_DIR).collect()
+    assert sorted((r["doc_id"], r["piece"]) for r in packed if r["doc_id"] is not None) == sorted((d, k) for d, t in rows if d for k in range(15 if t == long else 1))
