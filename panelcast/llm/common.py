@@ -43,12 +43,12 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def with_row(df: DataFrame) -> tuple[DataFrame, str]:
-    """Mark each row with a number of its own.
+    """Mark each row with a number of its own, and write it: every later step reads the same numbers.
 
-    The frame must be a scan (tables and files are): evaluated again it gives the same rows in the same partitions.
+    A number given in each step anew would follow the partitions of that step's scan, and so the executors of the moment.
     """
     name = unused(df, "_row")
-    return df.withColumn(name, F.monotonically_increasing_id()), name
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), "marked"), name
 
 
 def text_session(spark: SparkSession) -> SparkSession:

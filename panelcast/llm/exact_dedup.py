@@ -107,9 +107,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``id_col, keep_id, group_size, kept, text_sha256, row`` per input row.
 
     Texts are equal if they are identical after lower-casing A-Z; NULL counts as empty.  The row with the largest id
-    stays; of repeated rows with that id one stays; NULL is the smallest id.  ``docs`` must be a scan (see ``with_row``).
+    stays; of repeated rows with that id one stays; NULL is the smallest id.
     """
-    marked, name = with_row(docs)
+    marked, name = with_row(docs.select(id_col, text_col))
+    return _groups(marked, name, id_col, text_col, chunk_chars)
+
+
+def _groups(marked: DataFrame, name: str, id_col: str, text_col: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """The groups of rows that ``with_row`` has written."""
     rows = marked.select(F.col(name).alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     prints = stored(fingerprints(rows, chunk_chars), "fingerprints")
     content = ["bytes", *NAMES]
@@ -144,7 +149,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_last_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns as they were."""
-    dropped = stored(exact_groups(docs, id_col, text_col).where("NOT kept").select(F.col("row").alias("_dropped")), "dropped")
     marked, name = with_row(docs)
-    gone = small_or_plain(dropped.select(F.col("_dropped").alias(name)), dropped.count())
-    return marked.join(gone, name, "left_anti").drop(name)
+    dropped = stored(_groups(marked, name, id_col, text_col).where("NOT kept").select(F.col("row").alias(name)), "dropped")
+    return marked.join(small_or_plain(dropped, dropped.count()), name, "left_anti").drop(name)

@@ -155,7 +155,7 @@ def judge_urls(
 
 
 def keep_allowed(urls: DataFrame, url_col: str = "url", **rules) -> DataFrame:
-    """The rows whose URL is allowed, with their columns as they were.  The frame must be a scan (see ``with_row``)."""
+    """The rows whose URL is allowed, with their columns as they were."""
     marked, row = with_row(urls)
     allowed = judge_urls(marked, row, url_col, **rules).where("verdict = 'allow'").select(row)
     return marked.join(allowed, row, "left_semi").drop(row)

@@ -638,3 +638,23 @@ def test_near_copies_by_similarity(spark, tmp_path, monkeypatch, block):
     want = first_of_alike(rows)
     assert tuples(got, "doc_id", "text") == want
     assert 60 <= len(rows) - len(want) <= 75 and len([d for d, _ in want if d and 5_000 <= d < 5_012]) == 6
+
+
+def test_row_marks_outlive_a_change_of_partitions(spark, tmp_path):
+    """Steps that cut the files otherwise (as after a lost executor) see the same numbers, and drop the same rows."""
+    from panelcast.llm.common import with_row
+
+    path = str(tmp_path / "d")
+    docs_of(spark, [(i, f"text {i // 2}") for i in range(4_000)]).repartition(4).write.parquet(path)
+    docs, key = spark.read.parquet(path), "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    marked, name = with_row(docs)
+    first = tuples(marked, "doc_id", name)
+    out = exact_dedup.keep_last_of_each(docs)
+    try:
+        spark.conf.set(key, "2000")
+        assert tuples(marked.select("*"), "doc_id", name) == first
+        assert sorted(r.doc_id for r in out.select("*").collect()) == list(range(1, 4_000, 2))
+    finally:
+        spark.conf.set(key, before)
+    assert len({r for _, r in first}) == 4_000
