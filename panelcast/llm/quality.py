@@ -2,8 +2,8 @@
 
 A text's features are hashed counts of its words, of their shapes (letters to ``a`` and ``A``, digits to ``0``, runs
 shortened, other characters as they are) and of pairs of neighbours (by their shapes, and whether the word is the same
-again), divided by the number of n-grams.  Its score is
-the logistic function of the sparse dot product of counts and weights.
+again), divided by the number of n-grams.  Words of over ``WORD_CHARS`` characters count part by part, to their end.
+Its score is the logistic function of the sparse dot product of counts and weights.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ MAX_ROWS = 8_000
 EPOCHS, ALPHA, BETA, L1, L2 = 10, 1.0, 1.0, 1e-4, 1e-4
 SCALE = 40.0
 THRESHOLD = 0.3
+#: Longer words are read as parts of so many characters, each an n-gram of its own.
+WORD_CHARS = 200
 #: Words hashed at once, and words a worker remembers.
 BLOCK_WORDS, MEMO_WORDS = 1 << 16, 200_000
 
@@ -49,7 +51,7 @@ class Hasher:
         if len(memo) > MEMO_WORDS:
             memo.clear()
         for w in [w for w in set(words) if w not in memo]:
-            memo[w] = self.hash(w.lower()[:200]) << 32 | self.hash(word_shape(w[:200]), 7)
+            memo[w] = self.hash(w.lower()) << 32 | self.hash(word_shape(w), 7)
         return np.array([memo[w] for w in words], dtype=np.uint64)
 
 
@@ -60,7 +62,7 @@ def _cells(x: np.ndarray) -> np.ndarray:
 
 def features(text: str, hasher: Hasher):
     """Blocks of cells, one cell per n-gram; pairs across a block's edge are counted in the later block."""
-    words = text.split()
+    words = [w[k : k + WORD_CHARS] for w in text.split() for k in range(0, len(w), WORD_CHARS)]
     last = np.empty(0, np.uint64)
     for at in range(0, len(words), BLOCK_WORDS):
         both = hasher.words(words[at : at + BLOCK_WORDS])
@@ -149,6 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
         model = _ftrl([(np.frombuffer(c, np.int32), np.frombuffer(x, np.float32), y) for _, _, x, c, y in data])
         return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": pa.array([model.bias])})
 
+    # An id may be repeated: what goes to the one task is cut to the first ``max_rows`` rows before.
+    rows = rows.orderBy("order", "id", "x", "cells", "y").limit(max_rows)
     fitted = rows.withColumn("all", F.lit(True)).groupBy("all").applyInArrow(fit, "weights binary, bias double").first()
     if fitted is None:
         return Model(np.zeros(CELLS, np.float32), 0.0)

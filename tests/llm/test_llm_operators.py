@@ -658,3 +658,31 @@ def test_row_marks_outlive_a_change_of_partitions(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert len({r for _, r in first}) == 4_000
+
+
+def test_quality_reads_long_words_to_their_end(spark):
+    rng = random.Random(5)
+    run = "".join(rng.choice("abcdefgh") for _ in range(3_000))
+    texts = [run, run[:200] + run[:-200].upper(), run[:-1] + "?", run[:200]]
+    found = [quality.sparse(t, quality.Hasher()) for t in texts]
+    assert len({(c.tobytes(), x.tobytes()) for c, x in found}) == len(texts)
+    assert sum(len(c) for c in quality.features(run, quality.Hasher())) == 4 * 15 - 2  # words, shapes, neighbours twice
+    short = "a few plain words " + "x" * 200
+    assert sum(len(c) for c in quality.features(short, quality.Hasher())) == 4 * 5 - 2
+
+
+def test_quality_trains_on_a_bounded_group(spark, monkeypatch):
+    """A repeated id reaches the training task with ``max_rows`` rows at most, and the model is that of the first rows."""
+    rows = [(1, f"text number {i}") for i in range(400)] + [(i, f"other {i}") for i in range(2, 40)]
+    docs, seen = docs_of(spark, rows).repartition(4), []
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    grouped = type(docs).groupBy
+
+    def watch(df, *by):
+        if str(by[0]) == "all":
+            seen.append(df.count())
+        return grouped(df, *by)
+
+    monkeypatch.setattr(type(docs), "groupBy", watch)
+    model = quality.train(docs, labels, max_rows=50)
+    assert seen == [50] and np.abs(model.weights).sum() > 0
