@@ -2,14 +2,18 @@
 
 A candidate is an unbroken token near a word that speaks of secrets.  Zstandard, primed with a dictionary of common
 identifiers, compresses the surrounding text with and without the candidate; the difference is its marginal size.
-Words, paths and repeated names cost few bytes; keys cost nearly what they weigh.  Candidates of high novelty are
-reported on top of the patterns' spans.
+Words, paths and repeated names cost few bytes; keys cost nearly what they weigh.  Candidates without a digit may be
+plain words that the dictionary lacks: pairs of letters, counted in the same identifiers, say what those cost, and the
+lower figure is the novelty.  Candidates of high novelty are reported on top of the patterns' spans.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
+from string import ascii_lowercase
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -25,6 +29,9 @@ SENSITIVE = ("password", "passwd", "secret", "token", "api_key", "apikey", "cred
 CONTEXT = 80
 #: Marginal compressed bytes per character from which a candidate is reported, and least characters of a candidate.
 NOVELTY, NOVEL_CHARS = 0.85, 16
+#: Bits that pairs of letters give a character of a random run, about; what a piece of a name costs besides them, and a
+#: character that isn't a letter; and how much the single letters count against the pairs seen.
+RANDOM_BITS, PIECE_BITS, LETTER_WEIGHT = 6.0, 2.0, 8.0
 #: Common identifiers and code, which a secret is not made of.
 IDENTIFIERS = (
     "access_key access_token account address admin api_key apikey application args array assert async auth authorization "
@@ -44,23 +51,41 @@ IDENTIFIERS = (
     "tokenizer true type undefined update upload uri url user username utf-8 uuid value variable version view void volume "
     "webhook while window worker write yaml your_password_here changeme xxxxxxxx 0123456789 abcdefghijklmnopqrstuvwxyz "
 )
+_PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^A-Za-z]")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=~-]{%d,}" % NOVEL_CHARS)
+_DIGIT = re.compile("[0-9]")
 _NEAR = re.compile("(?ai:" + "|".join(SENSITIVE) + ")")
 
 
 class Novelty:
-    """Marginal compressed bytes against identifiers and the text around."""
+    """Marginal compressed bytes against identifiers and the text around; without a digit, also the cost of its letters."""
 
     def __init__(self, identifiers: str = IDENTIFIERS):
         import zstandard
 
         self.zstandard, self.identifiers = zstandard, identifiers.encode()
         self.compressor = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(self.identifiers, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        words = re.findall("[a-z]+", identifiers.lower())
+        pairs = Counter(p for w in words for p in zip("^" + w, w))
+        before, letters, n = Counter(), Counter(), pairs.total()
+        for (a, b), k in pairs.items():
+            before[a] += k
+            letters[b] += k
+        self.bits = {(a, b): -math.log2((pairs[a, b] + LETTER_WEIGHT * (letters[b] + 1) / (n + 26)) / (before[a] + LETTER_WEIGHT)) for a in "^" + ascii_lowercase for b in ascii_lowercase}
+
+    def letters(self, candidate: str) -> float:
+        """Cost of a candidate as pieces of names, per character; a random run has about 1, plain words have less."""
+        total = 0.0
+        for piece in _PIECES.findall(candidate):
+            low = piece.lower() if piece.isalpha() else ""
+            total += PIECE_BITS + sum(self.bits[p] for p in zip("^" + low, low))
+        return total / len(candidate) / RANDOM_BITS
 
     def __call__(self, before: str, candidate: str, after: str) -> float:
-        """Bytes that the candidate adds to its surroundings, per byte."""
+        """Bytes that the candidate adds to its surroundings, per byte; the cost of its letters if that is less."""
         around, own = (before + " " + after).encode("utf-8"), candidate.encode("utf-8")
-        return (len(self.compressor.compress(around + own)) - len(self.compressor.compress(around))) / len(own)
+        added = (len(self.compressor.compress(around + own)) - len(self.compressor.compress(around))) / len(own)
+        return added if _DIGIT.search(candidate) else min(added, self.letters(candidate))
 
 
 def known_spans(text: str) -> list[tuple[int, int, int]]:
@@ -83,14 +108,14 @@ def novel_spans(text: str, known: list[tuple[int, int, int]], novelty: Novelty,
     out, reach = [], 0
     for near in _NEAR.finditer(text):
         start = max(reach, near.start() - CONTEXT)
-        # Whole tokens only: one that is cut by the start of the window began earlier.
-        while 0 < start < len(text) and _is_token(text[start - 1]) and _is_token(text[start]):
-            start += 1
+        # Whole tokens only: one that is cut by the start of the window is read from where it began.
+        while reach < start < len(text) and _is_token(text[start - 1]) and _is_token(text[start]):
+            start -= 1
         for m in _TOKEN.finditer(text, start):
             if m.start() > near.end() + CONTEXT:
                 break
             reach = m.end()
-            if any(a < m.end() and m.start() < b for a, _, b in known) or not re.search(r"[0-9]", m.group()):
+            if any(a < m.end() and m.start() < b for a, _, b in known):
                 continue
             if novelty(text[max(0, m.start() - CONTEXT) : m.start()], m.group(), text[m.end() : m.end() + CONTEXT]) >= least:
                 out.append((m.start(), 3, m.end()))

@@ -686,3 +686,17 @@ def test_quality_trains_on_a_bounded_group(spark, monkeypatch):
     monkeypatch.setattr(type(docs), "groupBy", watch)
     model = quality.train(docs, labels, max_rows=50)
     assert seen == [50] and np.abs(model.weights).sum() > 0
+
+
+def test_novel_secrets_of_any_form():
+    """Keys of letters alone, long keys before the word, and plain words that are no keys."""
+    novelty = secrets.Novelty()
+    found = lambda t: [t[a:b] for a, k, b in secrets.find_spans(t, novelty) if k == 3]
+    for key in ("qXvKzRjWpLmTbNcYhGfD", "zqxkvjwpgyhbfmcdutrn", "QZXVKJWPGYHBFMCDUTRN"):
+        assert found(f"my credential is {key}, keep it") == found(f"bearer {key}") == found(f"{key} is for auth") == [key]
+    rng = random.Random(6)
+    long = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(120))
+    assert found(f"take {long} is the auth value") == found(f"the auth value is {long} then") == [long]
+    assert found(f"{long} " + "far away, " * 9 + "the auth") == []  # ends before the window
+    for word in ("misunderstandings", "internationalization", "Verantwortungsbewusstsein", "getAuthenticationToken", "src/main/java/com/example"):
+        assert found(f"the author speaks of {word} here") == []
