@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embedding_dedup, exact_dedup, line_dedup, packing, quality, secrets, sentencepiece_bpe, simhash, url_filters, warc
+from panelcast.llm import embedding_dedup, exact_dedup, line_dedup, packing, quality, role_repair, secrets, sentencepiece_bpe, simhash, url_filters, warc
 from panelcast.llm.common import table, text_session
 from panelcast.session import shared_dir
 
@@ -137,6 +137,11 @@ def _(spark, sf):
     return secrets.scan(table(spark, sf, "documents"))
 
 
+@query("op13_role_repair")
+def _(spark, sf):
+    return role_repair.repair(role_repair.damaged(table(spark, sf, "conversations")), gone_col="gone")
+
+
 @query("pipeline")
 def _(spark, sf):
     import corpus_pipeline

@@ -151,3 +151,72 @@ def secret_spans(text):
     out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
     out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
     return sorted(out)
+
+
+def damaged_turns(rows):
+    """[(conv, turn, role, text)] -> {conv: [(turn, role, text)]} after damage, in order."""
+    out = {}
+    none_first = lambda x: (x is not None, x or 0)
+    for conv, turn, role, text in sorted(rows, key=lambda r: (none_first(r[0]), none_first(r[1]))):
+        kept = out.setdefault(conv, [])
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = re.sub("[.!?]", "", text)
+        elif kind == 4:
+            role = "user"
+        kept += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return out
+
+
+def cheapest_edits(turns):
+    """[(initial, must go, truncated)] -> (cost, edits): from the end, over where the output stands in ``(s?(ua)+)?``."""
+    from functools import cache
+
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    @cache
+    def best(i, at, inserts):
+        ways = []
+        if i == len(turns) and at in ("", "a"):
+            ways.append((0, ""))
+        if inserts < 3:
+            ways += [(5, "I", i, after[at, x], inserts + 1) for x in "ua" if (at, x) in after]
+        if i < len(turns):
+            initial, must_go, truncated = turns[i]
+            ways.append((2, "D", i + 1, at, 0))
+            if not must_go:
+                ways += [(5 * truncated, "K", i + 1, after[at, initial], 0)] if (at, initial) in after else []
+                ways += [(5 * truncated + 1, "R", i + 1, after[at, x], 0) for x in "ua" if (at, x) in after]
+        full = [w if len(w) == 2 else (w[0] + (rest := best(*w[2:]))[0], w[1] + rest[1]) for w in ways]
+        return min(full, default=(10**9, ""))
+
+    return best(0, "", 0)
+
+
+def role_repairs(rows):
+    """[(conv, turn, role, text)] as stored -> sorted result rows."""
+    out = []
+    for conv, turns in damaged_turns(rows).items():
+        faults, seen = [], set()
+        for _, role, text in turns:
+            end = text.rstrip(BLANKS)
+            faults.append("blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else "")
+            seen.add((role, text))
+        known = [t for t, _, _ in turns if t is not None]
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        first = [r[:1] for _, r, _ in turns]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:]))
+        cost, audit = cheapest_edits([(r[:1], f in ("blank", "duplicate"), f == "truncated") for (_, r, _), f in zip(turns, faults)])
+        said, left = [], iter(turns)
+        for e in audit:
+            role, text = next(left)[1:] if e != "I" else ("", "")
+            if e in "RI":
+                role = "assistant" if said and said[-1][0].startswith("u") else "user"
+            if e != "D":
+                said.append((role, text))
+        digest = sha("\n".join(f"{r}:{t}" for r, t in said))
+        out.append((conv, gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest))
+    return out

@@ -97,6 +97,13 @@ def test_secrets(spark, documents):
         assert (got[d].n_assign, got[d].n_access, got[d].n_hex) == tuple(sum(k == x for _, k, _ in want) for x in range(3))
 
 
+def test_role_repair(spark, duck):
+    turns = duck.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+    got = QUERIES["op13_role_repair"](spark, SF_DIR)
+    names = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    assert rows_of(got, *names) == sorted(brute.role_repairs(turns))
+
+
 def test_pipeline(spark, duck, documents):
     """Stage by stage against plain versions, then the packed pieces as a whole."""
     from tokenizers import Tokenizer
