@@ -38,7 +38,7 @@ BLOCK_CHARS = 1 << 20
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte: itself if visible, else the next one from 256 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in visible]
@@ -58,7 +58,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.memo: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {"": b""}
 

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embedding_dedup, exact_dedup, line_dedup, packing, quality, role_repair, secrets, sentencepiece_bpe, simhash, url_filters, warc
+from panelcast.llm import embedding_dedup, exact_dedup, line_dedup, packing, quality, role_repair, secrets, sentencepiece_bpe, simhash, token_files, url_filters, warc
 from panelcast.llm.common import table, text_session
 from panelcast.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 #: Vocabulary files; each operator takes another path as a parameter.
-WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORD_BPE, PIECE_BPE, BYTE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def vocabulary(name: str) -> str:
@@ -137,6 +137,13 @@ def _(spark, sf):
     return secrets.scan(table(spark, sf, "documents"))
 
 
+@query("op12_token_files")
+def _(spark, sf):
+    path = shared_dir(spark, "tokens")
+    token_files.write_tokens(table(spark, sf, "documents"), path, vocabulary(BYTE_BPE))
+    return token_files.documents(token_files.read_tokens(spark, path))
+
+
 @query("op13_role_repair")
 def _(spark, sf):
     return role_repair.repair(role_repair.damaged(table(spark, sf, "conversations")), gone_col="gone")

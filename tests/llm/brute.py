@@ -220,3 +220,13 @@ def role_repairs(rows):
         digest = sha("\n".join(f"{r}:{t}" for r, t in said))
         out.append((conv, gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest))
     return out
+
+
+def token_rows(rows, tokenizer, end_id=2):
+    """[(id, text)] with distinct ids -> [(id, start, n, crc32)]."""
+    out, start = [], 0
+    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [end_id]
+        out.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out

@@ -97,6 +97,15 @@ def test_secrets(spark, documents):
         assert (got[d].n_assign, got[d].n_access, got[d].n_hex) == tuple(sum(k == x for _, k, _ in want) for x in range(3))
 
 
+def test_token_files(spark, documents):
+    from tokenizers import Tokenizer
+
+    from panelcast.llm.queries import BYTE_BPE
+
+    got = QUERIES["op12_token_files"](spark, SF_DIR)
+    assert rows_of(got, "doc_id", "start", "n_tokens", "ids_crc32") == sorted(brute.token_rows(documents, Tokenizer.from_file(vocabulary(BYTE_BPE))))
+
+
 def test_role_repair(spark, duck):
     turns = duck.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
     got = QUERIES["op13_role_repair"](spark, SF_DIR)
