@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as named queries over the test tables, with SQL twins where SQL can say it."""
+"""The operators and the pipeline as named queries over the test tables, with SQL twins where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelcast.llm import embedding_dedup, exact_dedup, line_dedup, packing, quality, role_repair, secrets, sentencepiece_bpe, simhash, token_files, url_filters, warc
+from panelcast.llm import embedding_dedup, exact_dedup, line_dedup, packing, prefix_trie, quality, role_repair, secrets, sentencepiece_bpe, simhash, token_files, url_filters, warc
 from panelcast.llm.common import table, text_session
 from panelcast.session import shared_dir
 
@@ -137,6 +137,12 @@ def _(spark, sf):
     return secrets.scan(table(spark, sf, "documents"))
 
 
+@query("op11_prefix_trie")
+def _(spark, sf):
+    turns, sizes = prefix_trie.numbered(table(spark, sf, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns, sizes), sizes)
+
+
 @query("op12_token_files")
 def _(spark, sf):
     path = shared_dir(spark, "tokens")

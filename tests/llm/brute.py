@@ -230,3 +230,39 @@ def token_rows(rows, tokenizer, end_id=2):
         out.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     return out
+
+
+def ordered_turns(rows):
+    """[(conv, turn, role, text)] with distinct turns -> {conv: [(role, text)]} in order."""
+    out = {}
+    for conv, _, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        out.setdefault(conv, []).append((role or "", text or ""))
+    return out
+
+
+def rebuilt_turns(rows):
+    own = ordered_turns(rows)
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = own.get(c - c % 100, [])[:h] + turns[h:]
+    return out
+
+
+def trie_rows(conversations):
+    """{conv: [(role, text)]} -> sorted node rows, by walking every prefix."""
+    members, ends = defaultdict(set), defaultdict(list)
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].add(c)
+        ends[tuple(turns)].append(c)
+    kids = defaultdict(list)
+    for node in members:
+        if node:
+            kids[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[k] for k in kids[node]) if kids[node] else 1
+        saved[node] = sum(saved[k] for k in kids[node]) + ((len(members[node]) - 1) * len(node[-1][1]) if node else 0)
+    up = lambda node: min(members[node[:-1]]) if node else None
+    return [(min(m), len(node), up(node), len(m), len(kids[node]), leaves[node], saved[node], sha(",".join(map(str, sorted(ends[node]))))) for node, m in members.items()]

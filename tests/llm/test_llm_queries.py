@@ -34,7 +34,7 @@ def rows_of(df, *columns):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(n.split("_")[0] for n in QUERIES if n.startswith("op")) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in QUERIES if n.startswith("op")) == sorted(f"op{i}" for i in range(1, 14))
     assert "pipeline" in QUERIES and corpus_pipeline.ORACLE_SQL is None
 
 
@@ -97,6 +97,13 @@ def test_secrets(spark, documents):
         assert (got[d].n_assign, got[d].n_access, got[d].n_hex) == tuple(sum(k == x for _, k, _ in want) for x in range(3))
 
 
+def test_prefix_trie(spark, duck):
+    turns = duck.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+    got = QUERIES["op11_prefix_trie"](spark, SF_DIR)
+    names = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    assert sorted(map(tuple, got.select(*names).collect()), key=str) == sorted(brute.trie_rows(brute.rebuilt_turns(turns)), key=str)
+
+
 def test_token_files(spark, documents):
     from tokenizers import Tokenizer
 
