@@ -10,6 +10,7 @@ one partition packs all that is left, or a round saves nothing.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 import zlib
@@ -20,22 +21,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from panelcast.llm.common import stored
+from panelcast.llm.common import stored, with_row
 
 CAPACITY = 4096
 END_ID = 1
 #: Pieces that one task packs at once: some 50 bytes each.
 PARTITION_PIECES = 24_000
-ROUNDS = 6
-#: Words whose ids a worker remembers, and characters of a word worth remembering.
-MEMO_WORDS, MEMO_CHARS = 250_000, 32
 #: Characters that are tokenised at a time.
 BLOCK_CHARS = 1 << 20
 
 
-#: A word of plain letters, then marks: the vocabulary's pattern cuts it there, lower-casing is letter by letter and
-#: NFC changes nothing.  (No apostrophe: the pattern has rules of its own for it.)
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: A character for which the steps before the merges are more than lower-casing and cutting at marks and digits (or, for
+#: the apostrophe, follow rules of their own), and a word between blanks with one.
+_ODD = re.compile(r"[^A-Za-zÀ-ÖØ-öø-ÿ0-9 \n!-&(-/:-@\[-`{-~]")
+_ODD_WORD = re.compile(rf"((?:[^ \n]*{_ODD.pattern}[^ \n]*)+)")
+_CUT = re.compile(r"([!-/:-@\[-`{-~]+|[0-9])")
+#: Stands for the end of a word among its bytes.
+END_MARK = " "
 
 
 def byte_letters() -> dict[int, str]:
@@ -48,45 +50,34 @@ def byte_letters() -> dict[int, str]:
 class WordTokenizer:
     """Ids of a whole text as little-endian unsigned 32-bit bytes, word by word.
 
-    The vocabulary's own pattern never joins characters across white space, so words between spaces are independent;
-    a worker remembers the ids of short words.  Plain words go straight to the library's merge model, any other word
-    through its whole chain of steps.
+    For vocabularies that drop white space and join no characters across it; others are refused.  Words of plain letters,
+    marks and digits go straight to the merges (by tiktoken, whose ranks are the ids; a blank stands for the end of a word
+    there), any other word through the library's whole chain of steps.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = byte_letters()
-        self.memo: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode("utf-8")])
-            ids = self.parts[part] = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], dtype="<u4").tobytes()
-        return ids
-
-    def _learn(self, words: list[str]) -> None:
-        memo, rest = self.memo, []
-        for w in words:
-            m = _PLAIN.fullmatch(w) if len(w) <= MEMO_CHARS else None
-            if m:
-                memo[w] = self._part(m[1].lower()) + self._part(m[2])
-            else:
-                rest.append(w)
-        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            memo[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+        said = json.loads(self.tokenizer.to_str())
+        ranks = _ranks_of(said)
+        if ranks is None:
+            raise ValueError(f"{path} isn't a vocabulary of lower-case words with word ends")
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in said["added_tokens"]) or r"(?!)")
+        self.merges = tiktoken.Encoding("words", pat_str=f"[^{END_MARK}]+{END_MARK}", mergeable_ranks=ranks, special_tokens={})
+
+    def _plain(self, text: str) -> bytes:
+        words = _CUT.sub(r" \1 ", text.lower().replace("\n", " "))
+        return self.merges.encode_to_numpy(words + END_MARK).astype("<u4").tobytes()
+
+    def _library(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def blocks(self, text: str) -> Iterator[bytes]:
         """The ids, a block of text after the other; blocks end at white space."""
-        at, memo = 0, self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-            self.parts.clear()
-            memo[""] = self.parts[""] = b""
+        at = 0
         while at < len(text):
             end = at + BLOCK_CHARS
             if end < len(text):
@@ -94,17 +85,37 @@ class WordTokenizer:
                 if cut <= at:  # no white space in the block: it goes on to the next
                     cut = min((x for x in (text.find(" ", end), text.find("\n", end)) if x >= 0), default=len(text))
                 end = cut
-            words = text[at:end].replace("\n", " ").split(" ")
-            missing = [w for w in words if w not in memo]
-            if missing:
-                self._learn(list(dict.fromkeys(missing)))
-            yield b"".join(map(memo.__getitem__, words))
-            for w in missing:
-                if len(w) > MEMO_CHARS:
-                    memo.pop(w, None)
+            block = text[at:end]
+            if self.special.search(block):
+                yield self._library(block)
+            elif not _ODD.search(block):
+                yield self._plain(block)
+            else:
+                for k, part in enumerate(_ODD_WORD.split(block)):
+                    yield self._library(part) if k % 2 else self._plain(part)
             at = end + 1
 
 
+def _ranks_of(said: dict) -> dict[bytes, int] | None:
+    """Ranks of a vocabulary whose letters are bytes, whose words end in a mark and whose ids rise with its merges, else None."""
+    model, suffix = said["model"], said["model"].get("end_of_word_suffix")
+    steps = [n.get("type") for n in (said["normalizer"] or {}).get("normalizers", [])]
+    cuts = [p.get("type") for p in (said["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    plain = model["type"] == "BPE" and suffix and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    if not plain or steps != ["NFC", "Replace", "Lowercase"] or cuts != ["Split", "ByteLevel"] or said["pre_tokenizer"]["pretokenizers"][0]["behavior"] != "Removed":
+        return None
+    byte = {letter: bytes([b]) for b, letter in byte_letters().items()}
+    spelled = lambda t: b"".join(byte[c] for c in t.removesuffix(suffix)) + (END_MARK.encode() if t.endswith(suffix) else b"")
+    # No plain word holds the byte that stands for the end, so the letter's own place is free for it.
+    ranks = {spelled(t): i for t, i in model["vocab"].items() if t != byte_letters()[ord(END_MARK)]}
+    merged = ["".join(m) for m in model["merges"]]
+    made = [model["vocab"][t] for t in merged]
+    letters = set(model["vocab"].values()) - set(made)
+    if made != sorted(set(made)) or max(letters) > made[0]:
+        return None
+    return ranks | {END_MARK.encode(): model["vocab"][byte_letters()[ord(END_MARK)]]}
+
+
 def pieces_of(blocks: Iterator[bytes], capacity: int, end_id: int) -> Iterator[tuple[int, int, int]]:
     """(start, length, crc32 of the ids) of each piece, holding one piece and one block at a time."""
     size, start, held = 4 * capacity, 0, b""
@@ -206,36 +217,40 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PA
     """``pieces`` (as :func:`tokenise` gives them) with ``sequence_id``, ``offset`` and ``certified``.
 
     Every piece is packed exactly once, repeated rows too; an empty table gives no rows.  ``certified`` says that the
-    partition a piece was last packed in provably couldn't do with fewer sequences.  ``pieces`` must be a stored table.
+    partition a piece was last packed in provably couldn't do with fewer sequences.  Rounds go on as long as each needs
+    fewer sequences than the one before for the same pieces.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    fields = "doc_id long, piece int, start long, length long, ids_crc32 long, part int"
-    made = fields + ", bin long, offset long, leaves boolean, bins long, bound long"
-    pool, kept, last = pieces.select(*names), [], None
-    for k in range(ROUNDS):
+    # Pieces are dealt by a number of their own, so equal ones, or those without id, are spread as well.
+    numbered, row = with_row(pieces.select(*names))
+    made = f"doc_id long, piece int, start long, length long, ids_crc32 long, {row} long, part int, bin long, offset long, leaves boolean, bins long, bound long"
+    pool, kept, last, dealt, k = numbered, [], None, 0, 0
+    while True:
         n = pool.count()
         parts = max(1, -(-n // partition_pieces))
-        # Dealt by content and round, so a partition meets others in each round.
-        part = F.pmod(F.xxhash64("doc_id", "piece", "start", F.lit(k)), F.lit(parts)).cast("int")
+        # The round is part of the hash, so a partition meets others in each round.
+        part = F.pmod(F.xxhash64(row, F.lit(k)), F.lit(parts)).cast("int")
         packed = stored(pool.withColumn("part", part).groupBy("part").applyInArrow(_pack_partition(capacity), made), "packed")
-        packed = packed.withColumn("round", F.lit(k))
+        # 2^24 sequences a partition: far more than it has pieces.
+        packed = packed.withColumn("sequence_id", (F.col("part") + F.lit(dealt).cast("long")) * (1 << 24) + F.col("bin"))
+        dealt, k = dealt + parts, k + 1
         if last is not None:
-            used = lambda df, *key: df.where("leaves" if df is last else "true").select(*key, "bin").distinct().count()
-            if used(packed, "part") >= used(last, "part"):
-                kept.append(last.where("leaves"))
+            used = lambda df: df.select("sequence_id").distinct().count()
+            if used(packed) >= used(last):
+                kept.append(last)
                 break
-        if last is not None and parts == 1 or n == 0 or k == ROUNDS - 1 or (k == 0 and parts == 1):
+        if parts == 1:
             kept.append(packed)
             break
         kept.append(packed.where("NOT leaves"))
-        pool, last = packed.where("leaves").select(*names), packed
+        last = packed.where("leaves")
+        pool = last.select(*names, row)
     out = kept[0]
     for more in kept[1:]:
         out = out.unionByName(more)
-    sequence = F.col("round").cast("long") * (1 << 58) + F.col("part").cast("long") * (1 << 32) + F.col("bin")
-    return out.select(*names, sequence.alias("sequence_id"), F.col("offset").cast("long").alias("offset"), (F.col("bins") == F.col("bound")).alias("certified"))
+    return out.select(*names, "sequence_id", F.col("offset").cast("long").alias("offset"), (F.col("bins") == F.col("bound")).alias("certified"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Tokenise, cut and pack whole documents; see :func:`tokenise` and :func:`pack`."""
-    return pack(stored(tokenise(docs, tokenizer_path, id_col, text_col, capacity, end_id), "pieces"), capacity)
+    return pack(tokenise(docs, tokenizer_path, id_col, text_col, capacity, end_id), capacity)
