@@ -8,37 +8,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import exact_dedup, near_dedup, packing, quality, secrets
+from panelcast.llm import exact_dedup, packing, quality, secrets, simhash
 from panelcast.llm.common import stored, table, text_session
 from panelcast.llm.queries import WORD_BPE, vocabulary
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go; NULL text is judged as empty text is, repeated rows alike."""
     model = quality.train(docs, table(text_session(spark), sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal but for the case of A-Z, the one with the largest id stays."""
+    """Of texts that are equal but for the case of A-Z (NULL: empty), the one with the largest id stays; NULL is the least id."""
     text_session(spark)
     return exact_dedup.keep_last_of_each(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """In the order of ids, a document goes if it is alike (five words, similarity 0.8) to one that stays."""
+    """Of documents linked by SimHash (three words, at most 3 differing bits), the one with the smallest id stays.
+
+    Texts without words, NULL among them, have the same fingerprint and are linked; NULL is the largest id.
+    """
     text_session(spark)
-    return near_dedup.keep_one_of_each(docs)
+    return simhash.keep_one_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; secrets in their text are replaced."""
+    """All documents stay, repeated rows and NULL texts too; secrets in their text are replaced."""
     text_session(spark)
     return secrets.redact(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents as token sequences: a row per piece."""
+    """Whole documents as token sequences: a row per piece; NULL text is one piece of one token."""
     text_session(spark)
     return packing.pack_documents(docs, vocabulary(WORD_BPE))
 
