@@ -148,7 +148,7 @@ def _groups(marked: DataFrame, name: str, id_col: str, text_col: str, chunk_char
 
 
 def keep_last_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns as they were."""
+    """The rows that stay, with all their columns as they were; see :func:`exact_groups` for NULL, ties and repeated rows."""
     marked, name = with_row(docs)
     dropped = stored(_groups(marked, name, id_col, text_col).where("NOT kept").select(F.col("row").alias(name)), "dropped")
     return marked.join(small_or_plain(dropped, dropped.count()), name, "left_anti").drop(name)

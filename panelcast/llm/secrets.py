@@ -105,14 +105,22 @@ def novel_spans(text: str, known: list[tuple[int, int, int]], novelty: Novelty,
     low = text.lower()
     if not any(w in low for w in SENSITIVE):
         return []
-    out, reach = [], 0
+    out, reach, scanned = [], 0, 0
     for near in _NEAR.finditer(text):
-        start = max(reach, near.start() - CONTEXT)
+        limit = near.end() + CONTEXT
+        if limit < reach:
+            continue
+        # No stretch is read twice: tokens that begin before ``scanned`` have been looked at.
+        start = max(reach, scanned, near.start() - CONTEXT)
         # Whole tokens only: one that is cut by the start of the window is read from where it began.
-        while reach < start < len(text) and _is_token(text[start - 1]) and _is_token(text[start]):
+        while max(reach, scanned) < start < len(text) and _is_token(text[start - 1]) and _is_token(text[start]):
             start -= 1
-        for m in _TOKEN.finditer(text, start):
-            if m.start() > near.end() + CONTEXT:
+        stop = min(limit + 1, len(text))
+        while stop < len(text) and _is_token(text[stop - 1]) and _is_token(text[stop]):
+            stop += 1
+        scanned = max(scanned, stop)
+        for m in _TOKEN.finditer(text, start, stop):
+            if m.start() > limit:
                 break
             reach = m.end()
             if any(a < m.end() and m.start() < b for a, _, b in known):
@@ -167,7 +175,10 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """All rows and columns, with secrets in the text replaced and the character count, if there is one, brought up to date."""
+    """All rows and columns, with secrets in the text replaced and the character count, if there is one, brought up to date.
+
+    NULL and empty texts stay as they are; repeated rows stay; an empty table gives no rows.
+    """
     at = docs.columns.index(text_col)
     counted = docs.columns.index(chars_col) if chars_col in docs.columns else None
 
