@@ -104,16 +104,17 @@ def _ranks_of(said: dict) -> dict[bytes, int] | None:
     plain = model["type"] == "BPE" and suffix and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
     if not plain or steps != ["NFC", "Replace", "Lowercase"] or cuts != ["Split", "ByteLevel"] or said["pre_tokenizer"]["pretokenizers"][0]["behavior"] != "Removed":
         return None
-    byte = {letter: bytes([b]) for b, letter in byte_letters().items()}
+    letter_of = byte_letters()
+    byte, end = {letter: bytes([b]) for b, letter in letter_of.items()}, letter_of[ord(END_MARK)]
     spelled = lambda t: b"".join(byte[c] for c in t.removesuffix(suffix)) + (END_MARK.encode() if t.endswith(suffix) else b"")
     # No plain word holds the byte that stands for the end, so the letter's own place is free for it.
-    ranks = {spelled(t): i for t, i in model["vocab"].items() if t != byte_letters()[ord(END_MARK)]}
+    ranks = {spelled(t): i for t, i in model["vocab"].items() if t != end}
     merged = ["".join(m) for m in model["merges"]]
     made = [model["vocab"][t] for t in merged]
     letters = set(model["vocab"].values()) - set(made)
     if made != sorted(set(made)) or max(letters) > made[0]:
         return None
-    return ranks | {END_MARK.encode(): model["vocab"][byte_letters()[ord(END_MARK)]]}
+    return ranks | {END_MARK.encode(): model["vocab"][end]}
 
 
 def pieces_of(blocks: Iterator[bytes], capacity: int, end_id: int) -> Iterator[tuple[int, int, int]]:
