@@ -182,11 +182,11 @@ def _(spark, sf):
     return anomaly.unexpected_ramps(holdout_residuals(spark, sf), HOUR, k=100.0)
 
 
-# Without every hour that divides by five: no ramp may lead over such a gap.
-@query("unexpected_ramps_gaps", v.with_(v.T, HOLDOUT, "rg AS (SELECT * FROM rs WHERE hour(ts) % 5 <> 0)", RAMPS.format("rg")))
+# Hours without any event are left out: no ramp may lead over such a gap.
+@query("unexpected_ramps_gaps", v.with_(v.T, HOLDOUT, "rg AS (SELECT rs.* FROM rs JOIN th USING (series_id, ts))", RAMPS.format("rg").replace("> 100", "> 20")))
 def _(spark, sf):
-    rows = holdout_residuals(spark, sf).where(F.hour("ts") % 5 != 0)
-    return anomaly.unexpected_ramps(rows, HOUR, k=100.0)
+    seen = v.hourly(spark, sf, fill=None).where("value IS NOT NULL").select("series_id", "ts")
+    return anomaly.unexpected_ramps(holdout_residuals(spark, sf).join(seen, ["series_id", "ts"]), HOUR, k=20.0)
 
 
 @query("outages", v.with_(v.T, HOLDOUT) + """,

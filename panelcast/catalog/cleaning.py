@@ -9,7 +9,7 @@ from panelcast.catalog.registry import query
 from panelcast.operators import clean, windows
 from panelcast.plans.grid import HOUR
 from panelcast.session import shared_dir
-from panelcast.sources import read_series_csv, read_series_parquet, write_series, write_series_csv
+from panelcast.sources import csv_report, read_series_csv, read_series_parquet, write_series, write_series_csv
 from panelcast.sources.shapes import to_long, to_wide
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -162,11 +162,21 @@ def _(spark, sf):
     return read_series_parquet(spark, path).select("series_id", "ts", "value")
 
 
-@query("csv_round_trip", v.with_(v.T_GAPS) + "SELECT series_id, ts, round(value, 6) AS value FROM tn WHERE series_id = 'view'")
+CSV = {"ts_col": "ts", "value_col": "value", "ts_format": "yyyy-MM-dd'T'HH:mm:ss.SSS", "series_col": "series_id"}
+
+
+@query("csv_round_trip", v.with_(v.T_GAPS) + "SELECT series_id, ts, round(value, 6) AS value FROM tn")
+def _(spark, sf):
+    path = shared_dir(spark, "csv")
+    write_series_csv(v.hourly(spark, sf, fill=None).select("series_id", "ts", "value"), path)
+    return read_series_csv(spark, path, **CSV)
+
+
+@query("csv_report", v.with_(v.T_GAPS) + "SELECT CASE WHEN value IS NULL THEN 'no_value' ELSE 'read' END AS outcome, count(*) AS n_lines FROM tn GROUP BY 1")
 def _(spark, sf):
     path = shared_dir(spark, "csv")
-    write_series_csv(v.hourly(spark, sf, fill=None).where("series_id = 'view'").select("ts", "value"), path)
-    return read_series_csv(spark, path, ts_col="ts", value_col="value", ts_format="yyyy-MM-dd'T'HH:mm:ss.SSS", series_id="view")
+    write_series_csv(v.hourly(spark, sf, fill=None).select("series_id", "ts", "value"), path)
+    return csv_report(spark, path, **CSV).groupBy("outcome").agg(F.sum("n_lines").alias("n_lines"))
 
 
 @query("canonicalize", """SELECT CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS TIMESTAMP) AS ts,

@@ -118,12 +118,17 @@ def _(spark, sf):
     return decision.regime_changes(forecast(spark, sf), HOUR, [50.0, 200.0])
 
 
-@query("baseline_response", v.with_(v.T, FC) + """
-SELECT rs.series_id || '/' || strftime(ts, '%Y-%m-%d') AS event_id, rs.series_id AS asset_id, date_trunc('day', ts)::TIMESTAMP + INTERVAL 17 HOUR AS start_ts,
-  date_trunc('day', ts)::TIMESTAMP + INTERVAL 20 HOUR AS end_ts, count(*) AS n_steps, round(sum(yhat), 6) AS baseline, round(sum(value), 6) AS observed,
-  round(sum(yhat - value), 6) AS response FROM rs WHERE hour(ts) BETWEEN 17 AND 19 GROUP BY 1, 2, 3, 4""")
+# Every hour from 17 to 20 o'clock of all days, those before the forecast begins too, so some steps have no baseline.
+@query("baseline_response", v.with_(v.T, FC) + """,
+ev AS (SELECT DISTINCT series_id, date_trunc('day', ts)::TIMESTAMP AS day FROM t),
+st AS (SELECT series_id, day, day + INTERVAL 1 HOUR * unnest([17, 18, 19]) AS ts FROM ev),
+jo AS (SELECT st.*, t.value, rs.yhat, rs.yhat - t.value AS gain FROM st LEFT JOIN t USING (series_id, ts) LEFT JOIN rs ON rs.series_id = st.series_id AND rs.ts = st.ts)
+SELECT series_id || '/' || strftime(day, '%Y-%m-%d') AS event_id, series_id AS asset_id, day + INTERVAL 17 HOUR AS start_ts, day + INTERVAL 20 HOUR AS end_ts,
+  count(*) AS n_steps, count(*) - count(gain) AS n_missing, round(sum(yhat) FILTER (gain IS NOT NULL), 6) AS baseline,
+  round(sum(value) FILTER (gain IS NOT NULL), 6) AS observed, round(sum(gain), 6) AS response FROM jo GROUP BY 1, 2, 3, 4""".replace("\n,", ",", 1))
 def _(spark, sf):
-    metering, made = holdout(spark, sf)
+    _, made = holdout(spark, sf)
+    metering = v.hourly(spark, sf)
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
     events = metering.select(
         F.concat_ws("/", "series_id", F.to_date("ts").cast("string")).alias("event_id"),

@@ -180,13 +180,13 @@ def p_value_sql(t: str) -> str:
   WHEN {t} <= {stats.ADF_P_SPLIT} THEN {cdf(f"({small})")} ELSE {cdf(f"({large})")} END"""
 
 
-def adf_sql(table: str) -> str:
+def adf_sql(table: str, digits: int = 6) -> str:
     return f""",
 x AS (SELECT series_id, value - lag(value) OVER w AS dy, lag(value) OVER w AS lv FROM {table} WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
 f AS (SELECT series_id, count(dy) AS n, regr_slope(dy, lv) AS g, regr_sxx(dy, lv) AS sxx, regr_syy(dy, lv) AS syy, regr_sxy(dy, lv) AS sxy FROM x GROUP BY 1),
 a AS (SELECT series_id, n, g, g / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS t FROM f)
-SELECT series_id, n, round(g, 6) AS gamma, round(t, 6) AS adf, CAST(round({p_value_sql("t")}, 6) AS DOUBLE) AS p_value,
-  {', '.join(f"round({_poly(c, '(1.0 / n)')}, 6) AS {name}" for name, c in stats.ADF_CRITICAL.items())} FROM a""".replace("\n,", ",", 1)
+SELECT series_id, n, round(g, {digits}) AS gamma, round(t, {digits}) AS adf, CAST(round({p_value_sql("t")}, {digits}) AS DOUBLE) AS p_value,
+  {', '.join(f"round({_poly(c, '(1.0 / n)')}, {digits}) AS {name}" for name, c in stats.ADF_CRITICAL.items())} FROM a""".replace("\n,", ",", 1)
 
 
 @query("adf_lag0", v.with_(v.D) + adf_sql("d"))
@@ -195,7 +195,7 @@ def _(spark, sf):
 
 
 # Running totals have a unit root, so the p-value is neither 0 nor 1 here.
-@query("adf_lag0_totals", v.with_(v.D, "rt AS (SELECT series_id, ts, round(sum(value) OVER (PARTITION BY series_id ORDER BY ts) / 1000 + 50000 * sin(rn / 9.0), 2) AS value FROM d)") + adf_sql("rt"), digits=5)
+@query("adf_lag0_totals", v.with_(v.D, "rt AS (SELECT series_id, ts, round(sum(value) OVER (PARTITION BY series_id ORDER BY ts) / 1000 + 50000 * sin(rn / 9.0), 2) AS value FROM d)") + adf_sql("rt", 5), digits=5)
 def _(spark, sf):
     total = F.sum("value").over(Window.partitionBy("series_id").orderBy("ts"))
     place = F.row_number().over(Window.partitionBy("series_id").orderBy("ts"))
@@ -203,22 +203,66 @@ def _(spark, sf):
     return stats.adf_lag0(rows, DAY)
 
 
-@query("adf_test")
+def sweep_sql(name: str, source: str, width: int) -> str:
+    """``name``: the product sums ``g`` (``width`` x ``width``, by rows) of ``source`` after each of its columns but the last is swept.
+
+    Sweeping a column makes it a regressor: the last element is then the error sum of the regression on all swept ones.
+    A column of zeros is passed over.
+    """
+    at = lambda r, c: f"g[({r} - 1) * {width} + {c}]"
+    row, col, pivot = f"((i - 1) // {width} + 1)", f"((i - 1) % {width} + 1)", at("p", "p")
+    swept = f"""list_transform(range(1, {width * width + 1}), lambda i: CASE WHEN {row} = p AND {col} = p THEN -1 / {pivot} WHEN {row} = p THEN {at('p', col)} / {pivot}
+    WHEN {col} = p THEN {at(row, 'p')} / {pivot} ELSE {at(row, col)} - {at(row, 'p')} * {at('p', col)} / {pivot} END)"""
+    return f"""{name} AS (SELECT *, 1 AS p FROM {source} UNION ALL
+  SELECT * REPLACE (p + 1 AS p, CASE WHEN abs({pivot}) < 1e-9 THEN g ELSE {swept} END AS g) FROM {name} WHERE p < {width})"""
+
+
+def adf_full_sql(table: str, lags: int, own: str) -> str:
+    """The test with lagged changes: nested regressions by sweeping, the least AIC, and the chosen one on its longest sample."""
+    names = ["lv", *[f"d{k}" for k in range(1, lags + 1)], "dy"]
+    width = len(names)
+
+    def sums(limit: str) -> str:
+        masked = [n if n in ("lv", "dy") else f"CASE WHEN {limit} >= {n[1:]} THEN {n} ELSE 0 END" for n in names]
+        return ", ".join(f"{m} AS {n}" for m, n in zip(masked, names))
+
+    products = "[" + ", ".join(f"covar_pop({a}, {b}) * count(*)" for a in names for b in names) + "]"
+    known = " AND ".join(f"{n} IS NOT NULL" for n in names)
+    changes = ", ".join(f"lag(dy, {k}) OVER w AS d{k}" for k in range(1, lags + 1))
+    return f"""
+ax AS (SELECT series_id, ts, value - lag(value) OVER w AS dy, lag(value) OVER w AS lv FROM {table} WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+ad AS (SELECT *, {changes} FROM ax WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+ao AS (SELECT series_id, {own} AS own FROM {table} GROUP BY 1),
+az AS (SELECT series_id, own, {sums('own')} FROM ad JOIN ao USING (series_id)),
+ag AS (SELECT series_id, own, count(*) AS n, {products} AS g FROM az WHERE {known} GROUP BY 1, 2),
+{sweep_sql('sa', 'ag', width)},
+ac1 AS (SELECT series_id, p - 2 AS lags, n * ln(g[{width * width}] / n) + 2 * p AS aic FROM sa WHERE p >= 2 AND p - 2 <= own),
+ch AS (SELECT series_id, arg_min(lags, aic) AS lags FROM ac1 GROUP BY 1),
+bz AS (SELECT series_id, lags, {sums('lags')} FROM ad JOIN ch USING (series_id)),
+bg AS (SELECT series_id, lags, count(*) AS n, {products} AS g FROM bz WHERE {known} GROUP BY 1, 2),
+{sweep_sql('sb', 'bg', width)},
+af AS (SELECT series_id, CAST(lags AS BIGINT) AS lags, n, g[{width}] AS gamma, g[{width}] / sqrt(g[{width * width}] / (n - lags - 2) * -g[1]) AS t FROM sb WHERE p = {width})"""
+
+
+USUAL_LAGS = "greatest(0, least(ceil(12 * pow(count(value) / 100.0, 0.25)), count(value) // 2 - 2))"
+
+
+@query("adf_test", v.with_recursive(v.M, adf_full_sql("m", 12, "12")) + f"""
+SELECT series_id, lags, n, round(t, 6) AS adf, round(gamma, 6) AS gamma, CAST(round({p_value_sql("t")}, 6) AS DOUBLE) AS p_value,
+  {', '.join(f"round({_poly(c, '(1.0 / n)')}, 6) AS {name}" for name, c in stats.ADF_CRITICAL.items())} FROM af""")
 def _(spark, sf):
     return stats.adf_test(v.monthly(spark, sf), "month", maxlag=12)
 
 
-@query("check_stats", v.with_(v.T, ACF) + """,
+# 720 hours: 20 lags at most.
+@query("check_stats", v.with_recursive(v.T, ACF, adf_full_sql("t", 20, USUAL_LAGS)) + """,
 lb AS (SELECT series_id, max(n) * (max(n) + 2) * sum(acf * acf / (n - lag)) AS lb FROM ac WHERE lag <= 24 GROUP BY 1),
 p AS (SELECT series_id, count(*) AS n, count(*) FILTER (value IS NULL) AS nm, count(DISTINCT value) / count(value) AS ds, median(value) AS md,
   avg(value) AS m, stddev_samp(value) AS sd, stddev_pop(value) AS sp FROM t GROUP BY 1),
-q AS (SELECT series_id, avg(pow((value - p.m) / p.sp, 3)) AS sk, avg(pow((value - p.m) / p.sp, 4)) - 3 AS ku FROM t JOIN p USING (series_id) GROUP BY 1),
-x AS (SELECT series_id, value - lag(value) OVER w AS dy, lag(value) OVER w AS lv FROM t WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
-f AS (SELECT series_id, count(dy) AS n, regr_slope(dy, lv) AS g, regr_sxx(dy, lv) AS sxx, regr_syy(dy, lv) AS syy, regr_sxy(dy, lv) AS sxy FROM x GROUP BY 1),
-a AS (SELECT series_id, g / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS adf FROM f)
+q AS (SELECT series_id, avg(pow((value - p.m) / p.sp, 3)) AS sk, avg(pow((value - p.m) / p.sp, 4)) - 3 AS ku FROM t JOIN p USING (series_id) GROUP BY 1)
 SELECT p.series_id, p.n AS n_rows, p.nm AS n_missing, round(p.ds, 6) AS distinct_share, round(p.md, 6) AS median, round(p.m, 6) AS mean,
   round(p.sd, 6) AS std, round(q.sk, 6) AS skewness, round(q.ku, 6) AS kurtosis, round(p.n / 6.0 * (q.sk * q.sk + q.ku * q.ku / 4), 6) AS jarque_bera,
-  round(a.adf, 6) AS adf, round(lb.lb, 6) AS ljung_box
-FROM p JOIN q USING (series_id) JOIN a USING (series_id) JOIN lb USING (series_id)""".replace("\n,", ",", 1))
+  lags AS adf_lags, round(af.t, 6) AS adf, round(lb.lb, 6) AS ljung_box
+FROM p JOIN q USING (series_id) JOIN af USING (series_id) JOIN lb USING (series_id)""".replace("\n,", ",", 1))
 def _(spark, sf):
     return stats.check_stats(v.hourly(spark, sf), 24, HOUR)

@@ -75,16 +75,15 @@ def _(spark, sf):
 
 
 @query("supplier_daily_metrics", """
-WITH u AS (SELECT CAST(l_suppkey AS VARCHAR) AS series_id, l_shipdate AS ts, sum(l_extendedprice * (1 - l_discount)) AS value FROM lineitem GROUP BY 1, 2)
-SELECT series_id, CAST(ts AS DATE) AS date, round(value, 4) AS daily_energy_kwh,
-  round(value - lag(value) OVER (PARTITION BY series_id ORDER BY ts), 4) AS mean_ramp_kw FROM u""", digits=4)
+WITH u AS (SELECT CAST(l_suppkey AS VARCHAR) AS series_id, l_shipdate AS ts, sum(l_extendedprice * (1 - l_discount)) AS value FROM lineitem GROUP BY 1, 2),
+""" + RAMP + ", " + DAILY + "SELECT series_id, date, n_samples, " + ", ".join(f"round({n}, 4) AS {n}" for n in NUMBERS) + " FROM dm", digits=4)
 def _(spark, sf):
     from panelcast.operators.clean import to_cells
     from panelcast.plans.grid import DAY, grid_time
 
     cells = to_cells(v.supplier_revenue(spark, sf), DAY)
     days = cells.select("series_id", grid_time(F.col("_cell"), DAY).alias("ts"), "value")
-    return daily.daily_metrics(days).select("series_id", "date", "daily_energy_kwh", "mean_ramp_kw")
+    return daily.daily_metrics(days)
 
 
 @query("distinct_count", "SELECT count(DISTINCT user_id) AS n_distinct FROM events")

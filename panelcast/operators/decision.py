@@ -159,23 +159,26 @@ def baseline_response(events: DataFrame, metering: DataFrame, forecast: DataFram
     """Baseline minus observed per event window ``event_id, asset_id, start_ts, end_ts`` (end excluded).
 
     A window unfolds into its grid steps, so metering and forecast join on
-    equal keys; no range join is needed.
+    equal keys; no range join is needed.  Every event has a row.  ``n_missing``
+    counts its steps without reading or forecast; the sums are over the others
+    (NULL if there are none).
     """
     first = grid_index(F.col("start_ts"), step)
     last = grid_index(F.col("end_ts"), step) - 1
-    steps = events.where(first <= last).select(
-        "event_id", "asset_id", "start_ts", "end_ts", F.explode(F.sequence(first, last)).alias("_i")
-    )
+    inside = F.when(first <= last, F.sequence(first, last))
+    steps = events.select("event_id", "asset_id", "start_ts", "end_ts", F.explode_outer(inside).alias("_i"))
     steps = steps.withColumn("timestamp", grid_time(F.col("_i"), step))
     observed = metering.select(F.col("series_id").alias("asset_id"), F.col("ts").alias("timestamp"), "value")
-    joined = steps.join(observed, ["asset_id", "timestamp"]).join(
-        forecast.select("asset_id", "timestamp", "yhat"), ["asset_id", "timestamp"]
+    joined = steps.join(observed, ["asset_id", "timestamp"], "left").join(
+        forecast.select("asset_id", "timestamp", "yhat"), ["asset_id", "timestamp"], "left"
     )
+    gain = F.col("yhat") - F.col("value")
     return joined.groupBy("event_id", "asset_id", "start_ts", "end_ts").agg(
-        F.count(F.lit(1)).alias("n_steps"),
-        F.sum("yhat").alias("baseline"),
-        F.sum("value").alias("observed"),
-        F.sum(F.col("yhat") - F.col("value")).alias("response"),
+        F.count("_i").alias("n_steps"),
+        F.count_if(F.col("_i").isNotNull() & gain.isNull()).alias("n_missing"),
+        F.sum(F.when(gain.isNotNull(), F.col("yhat"))).alias("baseline"),
+        F.sum(F.when(gain.isNotNull(), F.col("value"))).alias("observed"),
+        F.sum(gain).alias("response"),
     )
 
 

@@ -126,6 +126,8 @@ def rolling_origin(
     """
     if model in ("ses", "holt", "add", "mul"):
         return rolling_smoothing(df, model, train_size=train_size, max_horizon=max_horizon, period=season)
+    if model not in ("mean", "naive", "snaive"):
+        raise ValueError(f"unknown model {model!r}")
     if model == "snaive" and train_size < season:
         raise ValueError("the training part must hold one season")
     v = F.col("value")
@@ -335,10 +337,13 @@ def _shared_errors() -> list[Column]:
 
 
 def best_model_per_series(evaluation: DataFrame, by: str = "mae") -> DataFrame:
-    """The model with the least error; one that lacks forecasts comes after those that lack fewer."""
-    scores = metrics(evaluation, ["series_id", "model"]).where(F.col(by).isNotNull())
-    best = F.min(F.struct(F.col("n_missing"), F.col(by), F.col("model"))).alias("_b")
-    return scores.groupBy("series_id").agg(best).select("series_id", "_b.model", f"_b.{by}")
+    """The model with the least error; one that lacks forecasts comes after those that lack fewer.
+
+    Every series has a row; ``model`` is NULL for one that no model has a comparable forecast for.
+    """
+    scores = metrics(evaluation, ["series_id", "model"])
+    rank = F.when(F.col(by).isNotNull(), F.struct("n_missing", by, "model"))
+    return scores.groupBy("series_id").agg(F.min(rank).alias("_b")).select("series_id", "_b.model", f"_b.{by}")
 
 
 def forecast_status(df: DataFrame, models: Sequence[str] = tuple(MODELS)) -> DataFrame:

@@ -13,17 +13,19 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: Groups whose matrices a task holds at a time.
+HELD_GROUPS = 2_000
 FIT = "beta array<double>, se array<double>, t array<double>, sse double"
 
 
 def solve_gram(gram: np.ndarray, moments: np.ndarray, yy: float, n: float, ridge: np.ndarray | None = None):
-    """Coefficients, standard errors, t values and error sum from the normal equations."""
+    """Coefficients, standard errors, t values and error sum from the normal equations; columns of zeros take no part."""
     scale = np.sqrt(np.diag(gram))
+    k = int((scale > 0).sum())
     scale[scale == 0] = 1.0
     a = gram / np.outer(scale, scale)
     if ridge is not None:
         a = a + np.diag(ridge / scale**2)
-    k = len(scale)
     if n < k and ridge is None:
         return None
     inverse = np.linalg.pinv(a, hermitian=True, rcond=1e-12)
@@ -35,8 +37,8 @@ def solve_gram(gram: np.ndarray, moments: np.ndarray, yy: float, n: float, ridge
         with np.errstate(divide="ignore", invalid="ignore"):
             t = beta / se
     else:
-        se = np.full(k, np.nan)
-        t = np.full(k, np.nan)
+        se = np.full(len(scale), np.nan)
+        t = np.full(len(scale), np.nan)
     return beta, se, t, sse
 
 
@@ -97,6 +99,62 @@ def gram_sums(
     )
 
 
+def vector_sums(rows: DataFrame, k: int, *, keys: Sequence[str] = ("series_id",), fixed: int = 0, limit: str | None = None) -> DataFrame:
+    """:func:`gram_sums` (with a constant) of many columns in one array ``z``: ``k`` regressors, then the target.
+
+    Hundreds of aggregates would be one huge plan, so tasks add up matrices.  A task keeps count, means and centred
+    products of each group it meets and gives them back at its end, or when it holds ``HELD_GROUPS``; so a group comes
+    together from one small row per task.  Of the regressors behind the first ``fixed`` only as many take part as the
+    column ``limit`` says, the others are zero.  Rows that lack a value taking part are left out.
+    """
+    rows = rows.select(*keys, (F.lit(k - fixed) if limit is None else F.col(limit)).cast("int").alias("_limit"), "z")
+    keys = list(keys)
+    head = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys)
+
+    def joined(a, b):
+        if a is None:
+            return b
+        (n, m, c), (n2, m2, c2) = a, b
+        d = m2 - m
+        return n + n2, m + d * (n2 / (n + n2)), c + c2 + np.outer(d, d) * (n * n2 / (n + n2))
+
+    def flat(held: dict) -> pd.DataFrame:
+        out = pd.DataFrame(list(held), columns=keys)
+        return out.assign(n=[int(s[0]) for s in held.values()], mean=[s[1] for s in held.values()], cross=[s[2].ravel() for s in held.values()])
+
+    def parts(batches):
+        held: dict = {}
+        for pdf in batches:
+            z = np.array(pdf["z"].tolist(), dtype=float).reshape(len(pdf), k + 1)
+            place = np.arange(k + 1) - fixed + 1
+            out = (place > pdf["_limit"].to_numpy()[:, None]) & (np.arange(k + 1) < k)
+            z[out] = 0.0
+            whole = ~np.isnan(z).any(axis=1)
+            pdf, z = pdf[whole], z[whole]
+            for key, at in pdf.groupby(keys, dropna=False, sort=False).indices.items():
+                own = z[at]
+                mean = own.mean(axis=0)
+                key = key if isinstance(key, tuple) else (key,)
+                held[key] = joined(held.get(key), (len(own), mean, (own - mean).T @ (own - mean)))
+            if len(held) >= HELD_GROUPS:
+                yield flat(held)
+                held = {}
+        if held:
+            yield flat(held)
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = None
+        for n, mean, cross in zip(pdf["n"], pdf["mean"], pdf["cross"]):
+            total = joined(total, (n, np.asarray(mean), np.asarray(cross).reshape(k + 1, k + 1)))
+        n, mean, cross = total
+        upper = np.concatenate([[float(n)], np.zeros(k), cross[:k, :k][np.triu_indices(k)]])
+        made = {"n": int(n), "_upper": [upper], "_moments": [np.concatenate([[0.0], cross[:k, k]])], "_yy": float(cross[k, k]), "_shift": [mean]}
+        return pdf[keys].iloc[:1].reset_index(drop=True).assign(**made)
+
+    small = rows.mapInPandas(parts, f"{head}, n bigint, mean array<double>, cross array<double>")
+    return small.groupBy(*keys).applyInPandas(merged, f"{head}, n bigint, _upper array<double>, _moments array<double>, _yy double, _shift array<double>")
+
+
 def ols_fit(
     df: DataFrame,
     xs: Sequence[str],
@@ -112,26 +170,38 @@ def ols_fit(
     give NULLs.  With a constant, ``se`` and ``t`` of the constant refer to the
     centred model.
     """
-    sums = gram_sums(df, xs, y, keys=keys, intercept=intercept)
-    solve = _solver(len(xs) + int(intercept), intercept, ridge)
+    return solved(gram_sums(df, xs, y, keys=keys, intercept=intercept), len(xs), keys=keys, intercept=intercept, ridge=ridge)
+
+
+def solved(sums: DataFrame, k: int, *, keys: Sequence[str] = ("series_id",), intercept: bool = True, ridge: Sequence[float] | None = None) -> DataFrame:
+    """The regression of product sums: ``n``, ``beta``, ``se``, ``t``, ``sse`` per group."""
+    solve = _solver(k + int(intercept), intercept, ridge)
     fit = solve("_upper", "_moments", "_yy", F.col("n").cast("double"), "_shift")
     return sums.withColumn("_fit", fit).select(*keys, "n", "_fit.beta", "_fit.se", "_fit.t", "_fit.sse")
 
 
-def nested_errors(sums: DataFrame, sizes: Sequence[int], k: int) -> DataFrame:
-    """Add ``sse``: the error sums of the regressions on the first ``size`` columns, for each size."""
-    sizes = list(sizes)
+def best_nested(sums: DataFrame, least: int, k: int) -> DataFrame:
+    """Add ``extra``: how many regressors behind the first ``least`` give the least AIC; ``_limit`` bounds it.
+
+    All are fitted from the product sums of the largest regression (the constant counts among the first).  NULL if none
+    can be fitted.
+    """
 
-    @F.pandas_udf("array<double>")
-    def errors(upper: pd.Series, moments: pd.Series, yy: pd.Series, n: pd.Series) -> pd.Series:
+    @F.pandas_udf("int")
+    def choose(upper: pd.Series, moments: pd.Series, yy: pd.Series, n: pd.Series, limit: pd.Series) -> pd.Series:
         out = []
-        for u, m, y2, count in zip(upper, moments, yy, n):
+        for u, m, y2, count, most in zip(upper, moments, yy, n, limit):
             gram, mom = _unpack(np.asarray(u, dtype=float), k), np.asarray(m, dtype=float)
-            fits = [solve_gram(gram[:s, :s], mom[:s], y2, count) for s in sizes]
-            out.append([f[3] if f is not None else None for f in fits])
-        return pd.Series(out)
-
-    return sums.withColumn("sse", errors("_upper", "_moments", "_yy", F.col("n").cast("double")))
+            aic = []
+            for extra in range(int(most) + 1):
+                size = least + extra
+                got = solve_gram(gram[:size, :size], mom[:size], y2, count)
+                if got is not None and got[3] > 0:
+                    aic.append((count * np.log(got[3] / count) + 2 * size, extra))
+            out.append(min(aic)[1] if aic else None)
+        return pd.Series(out, dtype="Int32")
+
+    return sums.withColumn("extra", choose("_upper", "_moments", "_yy", F.col("n").cast("double"), "_limit"))
 
 
 def linear_predictor(beta: Column, xs: Sequence[str], intercept: bool = True) -> Column:

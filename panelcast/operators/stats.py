@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from panelcast.functions.numeric import normal_cdf, normal_quantile
-from panelcast.operators.ols import gram_sums, nested_errors, ols_fit
+from panelcast.operators.ols import best_nested, solved, vector_sums
 from panelcast.plans.grid import Step, grid_index
 from panelcast.plans.quantiles import exact_quantiles, ranked_values
 from panelcast.plans.tiles import attach, join_series, merge_tables, over_tiles, row_tile, time_tile
@@ -222,60 +222,47 @@ def _adf_columns(t: Column, n: Column) -> dict[str, Column]:
     return {"p_value": F.when(t.isNotNull(), p)} | {name: poly(c, 1 / n) for name, c in ADF_CRITICAL.items()}
 
 
-def adf_design(df: DataFrame, maxlag: int, step: Step) -> DataFrame:
-    """Regression columns of the unit-root test: ``dy``, ``level`` and lagged changes ``d_1..``."""
+def adf_design(df: DataFrame, step: Step) -> DataFrame:
+    """The panel with ``level``, the value before, and ``dy``, the change since."""
     v = F.col("value")
-    stepped = over_tiles(
-        df,
-        lambda w: {"level": F.lag(v, 1).over(w), "dy": v - F.lag(v, 1).over(w)},
-        step=step,
-        back=1,
-    )
-    if not maxlag:
-        return stepped.where(F.col("dy").isNotNull())
-    d = F.col("dy")
-    return over_tiles(
-        stepped, lambda w: {f"d_{k}": F.lag(d, k).over(w) for k in range(1, maxlag + 1)}, step=step, back=maxlag
-    ).where(F.col("dy").isNotNull())
+    return over_tiles(df, lambda w: {"level": F.lag(v, 1).over(w), "dy": v - F.lag(v, 1).over(w)}, step=step, back=1)
 
 
-def adf_test(df: DataFrame, step: Step, *, maxlag: int) -> DataFrame:
+def usable_lags(n: Column) -> Column:
+    """ceil(12 (n / 100)^(1/4)), less for series with too few values for so many regressors."""
+    return F.greatest(F.lit(0), F.least(F.ceil(12 * F.pow(n / 100, F.lit(0.25))), F.floor(n / 2) - 2)).cast("int")
+
+
+def adf_test(df: DataFrame, step: Step, *, maxlag: int | None = None) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant; the number of lags by AIC.
 
     All orders 0..maxlag are compared on the same rows, then the chosen one is
-    fitted again on its longest sample.  A usual ``maxlag`` is
-    ceil(12 (n / 100)^(1/4)).  One tiled design serves all regressions.
+    fitted again on its longest sample.  ``maxlag`` None takes ``usable_lags`` of
+    each series' number of values.  One tiled design serves all regressions.
     """
-    design = adf_design(df, maxlag, step)
-    xs = ["level", *[f"d_{k}" for k in range(1, maxlag + 1)]]
-    orders = range(maxlag + 1)
-    # The product sums of the largest regression hold those of all smaller ones.
-    scored = nested_errors(gram_sums(design, xs, "dy"), [o + 2 for o in orders], maxlag + 2)
-    n = F.col("n")
-    trials = F.array(
-        *[
-            F.struct((n * F.log(F.col("sse")[o] / n) + 2 * (o + 2)).alias("aic"), F.lit(o).alias("lags"))
-            for o in orders
-        ]
-    )
-    usable = F.filter(trials, lambda r: r["aic"].isNotNull() & ~F.isnan(r["aic"]))
-    chosen = scored.select("series_id", F.array_min(usable)["lags"].alias("lags")).where(F.col("lags").isNotNull())
-    # Second pass: columns beyond the chosen order are zero, so they take no part.
-    rows = join_series(design, chosen)
-    kept = [
-        F.when(F.col("lags") >= k, F.col(f"d_{k}")).otherwise(F.lit(0.0)).alias(f"d_{k}") for k in range(1, maxlag + 1)
-    ]
-    final = ols_fit(rows.select("series_id", "lags", "dy", "level", *kept), xs, "dy", keys=["series_id", "lags"])
-    # The zero columns cost no degrees of freedom.
-    dof = F.col("lags") + 2
-    scale = F.sqrt(F.try_divide(n - dof, n - (maxlag + 2)))
-    out = final.select("series_id", "lags", "n", (F.col("t")[1] * scale).alias("adf"), F.col("beta")[1].alias("gamma"))
+    sizes = df.groupBy("series_id").agg((usable_lags(F.count("value")) if maxlag is None else F.lit(maxlag)).alias("_limit"))
+    # One number: the widest design any series needs.
+    widest = maxlag if maxlag is not None else sizes.agg(F.max("_limit")).first()[0] or 0
+    d = F.col("dy")
+    design = over_tiles(
+        adf_design(df, step),
+        lambda w: {"z": F.array("level", *[F.lag(d, k).over(w) for k in range(1, widest + 1)], d)},
+        step=step,
+        back=widest,
+    ).where(d.isNotNull())
+    # Each series is compared with its own number of lags; columns beyond it are zero, so no row is lost to them.
+    sums = vector_sums(join_series(design, sizes), widest + 1, fixed=1, limit="_limit")
+    chosen = best_nested(join_series(sums, sizes), 2, widest + 2)
+    chosen = chosen.select("series_id", F.col("extra").alias("lags")).where(F.col("lags").isNotNull())
+    keys = ["series_id", "lags"]
+    final = solved(vector_sums(join_series(design, chosen), widest + 1, keys=keys, fixed=1, limit="lags"), widest + 1, keys=keys)
+    out = final.select(*keys, "n", F.col("t")[1].alias("adf"), F.col("beta")[1].alias("gamma"))
     return out.withColumns(_adf_columns(F.col("adf"), F.col("n")))
 
 
 def adf_lag0(df: DataFrame, step: Step) -> DataFrame:
     """The test without lagged changes, from built-in regression aggregates only."""
-    design = adf_design(df, 0, step)
+    design = adf_design(df, step).where(F.col("dy").isNotNull())
     x, y = F.col("level"), F.col("dy")
     fit = design.groupBy("series_id").agg(
         F.regr_count(y, x).alias("n"),
@@ -291,7 +278,10 @@ def adf_lag0(df: DataFrame, step: Step) -> DataFrame:
 
 
 def check_stats(df: DataFrame, nlags: int, step: Step) -> DataFrame:
-    """Per series: counts, centre, spread, shape, share of distinct values, unit root, autocorrelation."""
+    """Per series: counts, centre, spread, shape, share of distinct values, unit root, autocorrelation.
+
+    ``adf`` is the statistic of ``adf_test`` with as many lags as its usual rule gives.
+    """
     base = df.groupBy("series_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("value").isNull()).alias("n_missing"),
@@ -299,5 +289,5 @@ def check_stats(df: DataFrame, nlags: int, step: Step) -> DataFrame:
     )
     median = exact_quantiles(df, [0.5]).select("series_id", F.col("q")[0].alias("median"))
     shape = residual_moments(df).drop("n")
-    unit_root = adf_lag0(df, step).select("series_id", "adf")
+    unit_root = adf_test(df, step).select("series_id", F.col("lags").cast("bigint").alias("adf_lags"), "adf")
     return merge_tables([base, median, shape, unit_root, ljung_box(acf(df, nlags, step))])

@@ -1,6 +1,7 @@
 """Reading and writing series tables."""
 
 from panelcast.sources.files import (
+    csv_report,
     load_model,
     read_series_csv,
     read_series_parquet,
@@ -12,6 +13,7 @@ from panelcast.sources.files import (
 from panelcast.sources.shapes import canonicalize, to_long, to_wide
 
 __all__ = [
+    "csv_report",
     "canonicalize",
     "load_model",
     "read_series_csv",

@@ -9,6 +9,7 @@ from panelcast.plans.grid import DAY, HOUR, MONTH
 from panelcast.schema import SERIES
 from panelcast.sources import (
     load_model,
+    csv_report,
     read_series_csv,
     read_series_parquet,
     save_model,
@@ -158,3 +159,13 @@ def test_quality_and_profile(panel):
     row = clean.profile(df).collect()[0]
     assert (row["n_rows"], row["n_missing"], row["n_negative"]) == (3, 1, 1)
     assert DAY == 24 * HOUR
+
+
+def test_csv_report_accounts_for_every_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("t,v\n2024-01-01,1\n2024-01-02,\n,3\nnever,4\n2024-01-05,five\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("t,v\n2024-01-01,1\n", encoding="utf-8")
+    options = {"ts_col": "t", "value_col": "v"}
+    got = {(r["file"], r["outcome"]): r["n_lines"] for r in csv_report(spark, str(tmp_path), **options).collect()}
+    outcomes = ("read", "no_value", "no_time", "bad_time", "bad_value")
+    assert got == {("a.csv", o): 1 for o in outcomes} | {("b.csv", "read"): 1}
+    assert read_series_csv(spark, str(tmp_path), **options).count() == 4
