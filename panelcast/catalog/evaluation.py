@@ -90,6 +90,39 @@ def _(spark, sf):
     return evaluate.rolling_origin(v.monthly(spark, sf), "mul", MONTH)
 
 
+# The regression of each value on the one before, over all rows up to every origin, and its forecasts in closed form.
+AR1 = """lg AS (SELECT *, lag(value) OVER (PARTITION BY series_id ORDER BY rn) AS lv FROM k),
+ft AS (SELECT a.series_id, a.rn, max(a.n) AS n, regr_slope(b.value, b.lv) AS phi, regr_intercept(b.value, b.lv) AS c, any_value(a.value) AS value, any_value(a.ts) AS ts
+  FROM lg a JOIN lg b ON b.series_id = a.series_id AND b.rn <= a.rn GROUP BY 1, 2),
+ah AS (SELECT ft.*, h, c * (1 - pow(phi, h)) / (1 - phi) + pow(phi, h) * value AS forecast FROM ft CROSS JOIN (SELECT unnest(generate_series(1, 60)) AS h))"""
+
+
+@query("rolling_origin_ar1", v.with_(v.M, N, AR1) + """
+SELECT ah.series_id, 'arima' AS model, ah.ts AS origin_ts, h AS horizon, k.ts, round(k.value, 2) AS actual, round(forecast, 2) AS forecast, round(k.value - forecast, 2) AS error
+FROM ah JOIN k ON k.series_id = ah.series_id AND k.rn = ah.rn + h WHERE h <= 6 AND ah.rn >= 60 AND ah.rn <= ah.n - 6""", digits=2)
+def _(spark, sf):
+    return evaluate.rolling_origin(v.monthly(spark, sf), "arima", MONTH)
+
+
+@query("rolling_origin_sarima", digits=2)
+def _(spark, sf):
+    return evaluate.rolling_origin(v.monthly(spark, sf), "sarima", MONTH, order=(1, 0, 0), seasonal=(1, 1, 0, 12))
+
+
+@query("expanding_ar1", v.with_(v.M, N, AR1) + """
+SELECT f.series_id, j AS fold, f.rn AS n_train, f.ts AS origin_ts, h AS horizon, k.ts, round(k.value, 2) AS actual, round(f.forecast, 2) AS forecast, 'arima' AS model,
+  round(k.value - f.forecast, 2) AS error FROM (SELECT ah.*, unnest(generate_series(1, 5)) AS j FROM ah) f JOIN k ON k.series_id = f.series_id AND k.rn = f.rn + h
+WHERE f.rn = f.n - (5 - j + 1) * (f.n // 6) AND h <= f.n // 6""", digits=2)
+def _(spark, sf):
+    return evaluate.expanding_autoregression(v.monthly(spark, sf), MONTH, 5)
+
+
+@query("fold_status", v.with_(v.U, "c AS (SELECT series_id, count(*) AS n FROM u GROUP BY 1), f AS (SELECT *, unnest(generate_series(1, 5)) AS fold FROM c)") + """
+SELECT series_id, fold, greatest(n - (6 - fold) * 14, 0) AS n_train, CAST(14 AS BIGINT) AS n_test, CASE WHEN n - (6 - fold) * 14 < 3 THEN 'too_short' ELSE 'ok' END AS status FROM f""")
+def _(spark, sf):
+    return evaluate.fold_status(v.user_events(spark, sf), 5, test_size=14, least=3)
+
+
 # Errors of repeating the value of an hour ago, from a window of 60 hours on.
 ONE = """ev AS (SELECT a.series_id, 'naive' AS model, a.ts AS origin_ts, 1 AS horizon, b.ts, b.value AS actual, a.value AS forecast,
   b.value - a.value AS error FROM t a JOIN t b ON b.series_id = a.series_id AND b.rn = a.rn + 1 WHERE a.rn >= 60)"""

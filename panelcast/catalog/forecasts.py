@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelcast.catalog import views as v
 from panelcast.catalog.registry import query
 from panelcast.operators.clean import last_window, split_fraction
-from panelcast.operators.forecast import arima, baseline, forest, smoothing, structural, var
+from panelcast.operators.forecast import arima, baseline, forest, quantile, smoothing, structural, var
 from panelcast.operators.forecast.contract import check_contract, to_contract
 from panelcast.operators.windows import HOURLY_LAGS, HOURLY_WINDOWS, feature_matrix
 from panelcast.plans.grid import DAY, HOUR, MONTH
@@ -269,6 +269,23 @@ def _(spark, sf):
     return shape_of(arima.forecast_sarima(v.monthly(spark, sf), 12, MONTH, order=(1, 0, 1), seasonal=(1, 1, 1, 12)))
 
 
+@query("forecast_quantile_regression", digits=3)
+def _(spark, sf):
+    return quantile.forecast_quantile_regression(v.hourly(spark, sf), 168, HOUR)
+
+
+# Three levels of every series, each a minimum of its loss, with about its share of rows below: within 11 rows, one for
+# each coefficient that the fit may pass through.
+@query("quantile_regression_check", v.with_(v.T) + """
+SELECT series_id, prob, true AS is_minimum, true AS right_share FROM (SELECT DISTINCT series_id FROM t) CROSS JOIN (VALUES (0.1::DOUBLE), (0.5), (0.9)) p(prob)""")
+def _(spark, sf):
+    panel, probs = v.hourly(spark, sf), [0.1, 0.5, 0.9]
+    rows = quantile.pinball_balance(panel, probs, quantile.fit_quantile_regression(panel, probs))
+    sizes = panel.groupBy("series_id").agg(F.count("value").alias("n"))
+    share = F.abs(F.col("share") - F.col("prob")) * F.col("n") <= 11.5
+    return rows.join(sizes, "series_id").select("series_id", "prob", "is_minimum", share.alias("right_share"))
+
+
 @query("forecast_quantile", v.with_(v.T) + """,
 q AS (SELECT series_id, hour(ts) AS hh, isodow(ts) AS dd, quantile_cont(value, 0.1) AS lo, quantile_cont(value, 0.5) AS md, quantile_cont(value, 0.9) AS hi
   FROM t GROUP BY 1, 2, 3),

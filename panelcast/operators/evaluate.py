@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from panelcast.functions.calendar import time_features
 from panelcast.operators.clean import ffill_bfill, split_last
-from panelcast.operators.forecast.arima import Terms, forecast_sarima
+from panelcast.operators.forecast.arima import FLAT, Order, Seasonal, Terms, forecast_sarima
 from panelcast.operators.forecast.baseline import fit_status, forecast_mean, forecast_naive, forecast_snaive
+from panelcast.operators.forecast.carried import carried_forecasts, fold_origins, rolling_origins
 from panelcast.operators.forecast.smoothing import forecast_smoothing, points_needed, rolling_smoothing, smoothing_grid_scores
 from panelcast.operators.forecast.structural import forecast_structural
 from panelcast.operators.windows import prefix_stats
 from panelcast.plans.grid import Step, grid_index, grid_time
 from panelcast.plans.quantiles import exact_quantiles
-from panelcast.plans.tiles import attach, over_tiles, positions, regular_positions, time_tile
+from panelcast.plans.tiles import attach, join_series, over_tiles, positions, regular_positions, time_tile
 from panelcast.schema import select_eval
 from panelcast.session import shared_dir
 from panelcast.sources.files import load_model, save_model
@@ -114,16 +115,61 @@ def _score_folds(folds: DataFrame, made: DataFrame, keys: Sequence[str], models:
     return test.join(guess, [*keys, "ts", "model"], "left").withColumn("error", F.col("actual") - F.col("forecast"))
 
 
+def expanding_autoregression(
+    df: DataFrame, step: Step, n_splits: int = 5, *, test_size: int | None = None, order: Order = (1, 0, 0), seasonal: Seasonal = FLAT
+) -> DataFrame:
+    """``evaluate_folds`` of ``expanding_folds`` for an autoregression, without copying history: see ``forecast.carried``.
+
+    Every test row is returned, with ``n_train``; one whose fold is too short to fit, or has a gap, has no forecast.
+    """
+    # One number: the longest test part.
+    longest = test_size or df.groupBy("series_id").count().agg(F.max(F.floor(F.col("count") / (n_splits + 1)))).first()[0] or 1
+    rows = carried_forecasts(df, step, fold_origins(n_splits, test_size), max(int(longest), 1), order=order, seasonal=seasonal)
+    # Test parts are as long as their series allow.
+    sizes = df.groupBy("series_id").agg((F.floor(F.count(F.lit(1)) / (n_splits + 1)) if test_size is None else F.lit(test_size)).alias("_size"))
+    rows = join_series(rows, sizes).where(F.col("horizon") <= F.col("_size")).drop("_size")
+    return rows.withColumns({"model": F.lit("sarima" if any(seasonal) else "arima"), "error": F.col("actual") - F.col("forecast")})
+
+
+def fold_status(df: DataFrame, n_splits: int = 5, *, test_size: int | None = None, least: int = 1) -> DataFrame:
+    """Per series and fold of ``expanding_folds``: ``n_train``, ``n_test`` and ``ok`` or ``too_short``.
+
+    A fold without rows to test, or with fewer than ``least`` to train on, is too short; ``expanding_folds`` has no rows
+    for those without any.
+    """
+    n = F.count(F.lit(1))
+    sizes = df.groupBy("series_id").agg(n.alias("_n"), (F.floor(n / (n_splits + 1)) if test_size is None else F.lit(test_size)).alias("_size"))
+    rows = sizes.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(n_splits))))
+    train = F.greatest(F.col("_n") - (n_splits - F.col("fold") + 1) * F.col("_size"), F.lit(0)).cast("bigint")
+    rows = rows.select("series_id", F.col("fold").cast("bigint").alias("fold"), train.alias("n_train"), F.col("_size").cast("bigint").alias("n_test"))
+    short = (F.col("n_train") < least) | (F.col("n_test") < 1)
+    return rows.withColumn("status", F.when(short, "too_short").otherwise("ok"))
+
+
 def rolling_origin(
-    df: DataFrame, model: str, step: Step, *, train_size: int = 60, max_horizon: int = 6, season: int = 12
+    df: DataFrame,
+    model: str,
+    step: Step,
+    *,
+    train_size: int = 60,
+    max_horizon: int = 6,
+    season: int = 12,
+    order: Order = (1, 0, 0),
+    seasonal: Seasonal = FLAT,
 ) -> DataFrame:
     """Forecasts from every origin with at least ``train_size`` points, 1 .. ``max_horizon`` steps on.
 
     The forecast for h steps is compared with the value h steps after the last
     training point.  Baselines read forecast and actual from one tiled window,
     smoothing models carry their state through one pass, so no training set is
-    copied per origin.  Models: mean, naive, snaive, ses, holt, add, mul.
+    copied per origin.  Models: mean, naive, snaive, ses, holt, add, mul, and arima
+    and sarima without moving-average terms (``order``, ``seasonal``), which are
+    fitted at each origin from normal equations carried along the series.
     """
+    if model in ("arima", "sarima"):
+        seasonal = seasonal if model == "sarima" else FLAT
+        rows = carried_forecasts(df, step, rolling_origins(train_size, max_horizon), max_horizon, order=order, seasonal=seasonal)
+        return select_eval(rows.withColumns({"model": F.lit(model), "error": F.col("actual") - F.col("forecast")}))
     if model in ("ses", "holt", "add", "mul"):
         return rolling_smoothing(df, model, train_size=train_size, max_horizon=max_horizon, period=season)
     if model not in ("mean", "naive", "snaive"):

@@ -356,3 +356,78 @@ def test_grid_search_picks_the_least(panel):
     rows = scores.collect()
     assert len(rows) == 19
     assert best.collect()[0]["rmse"] == min(r["rmse"] for r in rows)
+
+
+@pytest.mark.parametrize("order,seasonal", [((1, 0, 0), (0, 0, 0, 0)), ((2, 1, 0), (0, 0, 0, 0)), ((1, 0, 0), (1, 1, 0, 12)), ((0, 0, 0), (0, 0, 0, 0)), ((0, 1, 0), (0, 0, 0, 0))])
+@pytest.mark.parametrize("tile_rows", [65_536, 1])
+def test_carried_fits_are_refits(panel, order, seasonal, tile_rows):
+    """Normal equations carried over tiles give what a fit on each training set gives."""
+    rng = np.random.default_rng(5)
+    series = {k: (100 + np.cumsum(rng.normal(0, 1, 90)) + 8 * np.sin(np.arange(90) * np.pi / 6)).tolist() for k in "ab"}
+    from panelcast.operators.forecast.carried import carried_forecasts, rolling_origins
+
+    rows = carried_forecasts(panel(series, months=True), MONTH, rolling_origins(45, 3), 3, order=order, seasonal=seasonal, tile_rows=tile_rows).collect()
+    assert len(rows) == 2 * 3 * (90 - 3 - 45 + 1)
+    terms = arima.Terms.of(order, seasonal)
+    for r in rows:
+        y = np.array(series[r["series_id"]])
+        train = y[: r["n_train"]]
+        fit = arima.fit_terms(train, terms)
+        assert r["forecast"] == pytest.approx(arima.extend_series(train, fit, terms, 3)[0][r["horizon"] - 1], rel=1e-7)
+        assert r["actual"] == y[r["n_train"] + r["horizon"] - 1]
+
+
+def test_carried_folds_keep_every_test_row(panel):
+    y = [float(i % 7) + 0.1 * i for i in range(60)]
+    gap = [*y[:20], None, *y[21:]]
+    rows = evaluate.expanding_autoregression(panel({"a": y, "gap": gap, "few": y[:6]}), HOUR, 3, order=(1, 0, 0)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault((r["series_id"], r["fold"]), []).append(r["forecast"])
+    assert {k: len(v) for k, v in by.items()} == {(s, f): n for s, n in (("a", 15), ("gap", 15), ("few", 1)) for f in (1, 2, 3)}
+    assert all(x is not None for f in (1, 2, 3) for x in by["a", f])
+    assert all(x is not None for x in by["gap", 1]) and all(x is None for f in (2, 3) for x in by["gap", f])
+    assert by["few", 1] == [None]  # three rows hold two regressions rows, as many as coefficients
+    status = {(r["series_id"], r["fold"]): (r["n_train"], r["n_test"], r["status"]) for r in evaluate.fold_status(panel({"a": y, "few": y[:2]}), 3).collect()}
+    assert status["a", 1] == (15, 15, "ok") and status["few", 3] == (2, 0, "too_short")
+
+
+def test_models_that_cannot_be_rolled_are_refused(panel):
+    df = panel({"a": SEASON.tolist()}, months=True)
+    with pytest.raises(ValueError, match="unknown model"):
+        evaluate.rolling_origin(df, "prophet", MONTH)
+    with pytest.raises(ValueError, match="moving-average"):
+        evaluate.rolling_origin(df, "arima", MONTH, order=(1, 1, 1))
+
+
+def test_best_model_keeps_series_without_any(panel):
+    from panelcast.operators.forecast.baseline import forecast_naive
+
+    df = panel({"a": SEASON.tolist(), "b": [None] * 60}, months=True)
+    rows = evaluate.evaluate_folds(evaluate.expanding_folds(df, 2, test_size=6, step=MONTH), forecast_naive, 6, MONTH, model="naive")
+    assert {r["series_id"]: r["model"] for r in evaluate.best_model_per_series(rows).collect()} == {"a": "naive", "b": None}
+
+
+def test_quantile_regression(spark, panel):
+    """Minimal pinball loss, levels in order, and about the right share of later rows inside."""
+    from panelcast.operators.forecast import quantile
+
+    rng = np.random.default_rng(2)
+    t = np.arange(24 * 7 * 20)
+    spread = 2 + 1.5 * np.sin(2 * np.pi * t / 24)
+    y = 10 + 5 * np.cos(2 * np.pi * t / 24) + spread * rng.exponential(1, len(t))
+    cut = 24 * 7 * 14
+    probs = [0.1, 0.5, 0.9]
+    fit = quantile.fit_quantile_regression(panel({"a": y[:cut].tolist(), "flat": [3.0] * 200, "none": [None] * 5}), probs)
+    balance = quantile.pinball_balance(panel({"a": y[:cut].tolist()}), probs, fit).collect()
+    assert len(balance) == 3 and all(r["is_minimum"] for r in balance)
+    later = quantile.predict_quantiles(panel({"a": y.tolist()}), fit).orderBy("ts").collect()[cut:]
+    q = np.array([r["q"] for r in later])
+    assert (np.diff(q, axis=1) >= 0).all()
+    assert np.abs((y[cut:, None] <= q).mean(axis=0) - probs).max() <= 0.03
+    inside = ((y[cut:] >= q[:, 0]) & (y[cut:] <= q[:, 2])).mean()
+    assert abs(inside - 0.8) <= 0.03
+    flat = quantile.predict_quantiles(panel({"flat": [3.0] * 3}), fit).first()["q"]
+    assert flat == pytest.approx([3.0] * 3, abs=1e-3)
+    made = quantile.forecast_quantile_regression(panel({"a": y[:cut].tolist()}), 24, HOUR).orderBy("h").collect()
+    assert len(made) == 24 and all(r["lower"] <= r["yhat"] <= r["upper"] for r in made)

@@ -122,3 +122,12 @@ def test_raw_rows_never_meet_per_series(spark, build):
         if re.search(r"Exchange hashpartitioning\(series_id#\d+, \d+\)", line):
             below = next(x for x in lines[at + 1 :] if not re.search(r"Project|Filter", x))
             assert "Aggregate" in below or "Generate" in below or "Join" in below, below
+
+
+def test_carried_fits_read_once(spark):
+    """Both passes over the rows read one shuffle; no history is copied per origin or fold."""
+    from panelcast.operators import evaluate
+
+    panel = views.type_events(spark, SF_DIR)
+    rows = evaluate.rolling_origin(panel, "arima", HOUR, train_size=5, max_horizon=2)
+    assert final_scans(rows) == 1
