@@ -1,8 +1,8 @@
 """Quality classifier: logistic regression on hashed word n-grams, trained with follow-the-regularised-leader updates.
 
-A text's features are hashed counts of its words, of their shapes (letters to ``a`` and ``A``, digits to ``0``, runs
-shortened, other characters as they are) and of pairs of neighbours (by their shapes, and whether the word is the same
-again), divided by the number of n-grams.  Words of over ``WORD_CHARS`` characters count part by part, to their end.
+A text's features are hashed counts of its words, of pairs and triples of words in a row, of the words' shapes (letters
+to ``a`` and ``A``, digits to ``0``, runs shortened, other characters as they are), of pairs of shapes, and of whether a
+word is the same again, divided by the number of n-grams.  Words of over ``WORD_CHARS`` characters count part by part, to their end.
 Its score is the logistic function of the sparse dot product of counts and weights.
 """
 
@@ -60,19 +60,27 @@ def _cells(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(64 - 18)).astype(np.int64) % CELLS
 
 
+_PAIR = np.uint64(0xD6E8FEB86659FD93)  # odd: no word before is lost in the product
+
+
 def features(text: str, hasher: Hasher):
-    """Blocks of cells, one cell per n-gram; pairs across a block's edge are counted in the later block."""
+    """Blocks of cells, one cell per n-gram; n-grams across a block's edge are counted in the later block."""
     words = [w[k : k + WORD_CHARS] for w in text.split() for k in range(0, len(w), WORD_CHARS)]
     last = np.empty(0, np.uint64)
     for at in range(0, len(words), BLOCK_WORDS):
         both = hasher.words(words[at : at + BLOCK_WORDS])
         word, shape = both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)
         chain = np.concatenate([last, both])
-        before, now = chain[:-1], chain[1:]
+        own = chain >> np.uint64(32)
+        start = max(len(last) - 1, 0)  # pairs before it were counted with the block before
+        before, now = chain[start:-1], chain[start + 1 :]
         again = (before == now).astype(np.uint64)
-        pair = (before & np.uint64(0xFFFFFFFF)) * np.uint64(31) + (now & np.uint64(0xFFFFFFFF))
-        yield _cells(np.concatenate([word + np.uint64(1 << 33), shape + np.uint64(1 << 34), pair + np.uint64(1 << 35), again + np.uint64(1 << 36)]))
-        last = both[-1:]
+        shapes = (before & np.uint64(0xFFFFFFFF)) * np.uint64(31) + (now & np.uint64(0xFFFFFFFF))
+        pair = own[start:-1] * _PAIR + own[start + 1 :]
+        triple = (own[:-2] * _PAIR + own[1:-1]) * _PAIR + own[2:]
+        kinds = (word, shape, shapes, again, pair, triple)
+        yield _cells(np.concatenate([x + np.uint64(1 << (33 + k)) for k, x in enumerate(kinds)]))
+        last = chain[-2:]
 
 
 def sparse(text: str, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:

@@ -266,3 +266,27 @@ def trie_rows(conversations):
         saved[node] = sum(saved[k] for k in kids[node]) + ((len(members[node]) - 1) * len(node[-1][1]) if node else 0)
     up = lambda node: min(members[node[:-1]]) if node else None
     return [(min(m), len(node), up(node), len(m), len(kids[node]), leaves[node], saved[node], sha(",".join(map(str, sorted(ends[node]))))) for node, m in members.items()]
+
+
+def ftrl(rows, epochs, alpha, beta, l1, l2):
+    """Follow the regularised leader, a coordinate at a time; [(cells, values, label)] -> {cell or "bias": weight}."""
+    import math
+
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(k):
+        if abs(z[k]) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    for _ in range(epochs):
+        for cells, values, label in rows:
+            x = dict(zip(map(int, cells), map(float, values))) | {"bias": 1.0}
+            w = {k: weight(k) for k in x}
+            p = 1 / (1 + math.exp(-sum(w[k] * v for k, v in x.items())))
+            for k, v in x.items():
+                g = (p - label) * v
+                sigma = (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / alpha
+                z[k] += g - sigma * w[k]
+                n[k] += g * g
+    return {k: weight(k) for k in list(z)}

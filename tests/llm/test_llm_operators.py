@@ -336,6 +336,36 @@ def test_quality(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in got)
 
 
+def test_quality_sees_the_order_of_words(monkeypatch):
+    """Pairs and triples of words, not only single words and shapes; the same whatever the block size."""
+    hasher = quality.Hasher()
+    cells = lambda t: sorted(np.concatenate(list(quality.features(t, hasher))).tolist())
+    text = "the red fox saw one big dog"
+    whole = cells(text)
+    assert whole != cells("one big fox the red dog saw") and len(whole) == 7 + 7 + 6 + 6 + 6 + 5
+    for block in (1, 2, 3):
+        monkeypatch.setattr(quality, "BLOCK_WORDS", block)
+        assert cells(text) == whole
+    monkeypatch.undo()
+    orders = [("north wind blows south", 1), ("south blows wind north", 0)]
+    model = quality._ftrl([(*quality.sparse(t, hasher), y) for _ in range(40) for t, y in orders])
+    good, bad = (model.score(t, hasher) for t, _ in orders)
+    assert good > 0.8 and bad < 0.2
+
+
+def test_quality_updates_equal_the_plain_rule():
+    """Scores of the vectorised updates and of the published per-coordinate rule, one number at a time."""
+    rng = random.Random(5)
+    hasher = quality.Hasher()
+    texts = [(" ".join(rng.choice("ab cd ef gh ij".split()) + str(rng.randrange(3)) for _ in range(8)), k % 2) for k in range(30)]
+    rows = [(*quality.sparse(t, hasher), y) for t, y in texts]
+    model, plain = quality._ftrl(rows), brute.ftrl(rows, quality.EPOCHS, quality.ALPHA, quality.BETA, quality.L1, quality.L2)
+    for t, _ in texts:
+        cells, values = quality.sparse(t, hasher)
+        want = 1 / (1 + np.exp(-(plain.get("bias", 0.0) + sum(plain.get(int(c), 0.0) * v for c, v in zip(cells, values)))))
+        assert model.score(t, hasher) == pytest.approx(want, abs=1e-4)
+
+
 def test_quality_never_sees_held_out_labels(spark):
     docs = docs_of(spark, [(i, f"word{i} text") for i in range(100)])
     out = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0]
@@ -664,9 +694,9 @@ def test_quality_reads_long_words_to_their_end(spark):
     texts = [run, run[:200] + run[:-200].upper(), run[:-1] + "?", run[:200]]
     found = [quality.sparse(t, quality.Hasher()) for t in texts]
     assert len({(c.tobytes(), x.tobytes()) for c, x in found}) == len(texts)
-    assert sum(len(c) for c in quality.features(run, quality.Hasher())) == 4 * 15 - 2  # words, shapes, neighbours twice
+    assert sum(len(c) for c in quality.features(run, quality.Hasher())) == 6 * 15 - 5  # words, shapes, again, pairs twice, triples
     short = "a few plain words " + "x" * 200
-    assert sum(len(c) for c in quality.features(short, quality.Hasher())) == 4 * 5 - 2
+    assert sum(len(c) for c in quality.features(short, quality.Hasher())) == 6 * 5 - 5
 
 
 def test_quality_trains_on_a_bounded_group(spark, monkeypatch):
