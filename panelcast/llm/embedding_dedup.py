@@ -22,7 +22,7 @@ COSINE = 0.9
 #: Vectors that pivots are chosen from (those with the smallest hash of their content), and pivots at most.
 SAMPLE, PIVOTS = 8_192, 384
 #: Pivots that describe a vector, and how many of them two vectors must share to meet.
-NEAREST, SHARED = 5, 2
+NEAREST, SHARED = 6, 2
 #: Pivots are less alike than this, so that they describe different regions.
 PIVOT_COSINE = 0.7
 #: Buckets from this size on are verified as one matrix product.
@@ -79,9 +79,10 @@ def _lists(described: np.ndarray, shared: int, pivots: int, size: int) -> np.nda
 
 
 def indexed(vectors: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST, shared: int = SHARED, most: int = PIVOTS) -> DataFrame:
-    """The inverted lists: ``key, node, copies, x, lists``, a row per vector and combination.
+    """The inverted lists: ``key, node, copies, x, wide, lists``, a row per vector and combination.
 
-    x is the unit vector and ``lists`` all keys of the vector in order, both as bytes.
+    x is the vector and ``lists`` all keys of the vector in order, both as bytes.  A vector whose components are 32-bit
+    numbers travels as such; ``wide`` says that it isn't.
 
     Vectors of a dimension that the sample lacks have no pivots; they meet in one list per dimension.
     """
@@ -99,12 +100,16 @@ def indexed(vectors: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NE
                 p = known.value.get(size)
                 lists = _lists(_described(x, p, nearest), shared, most, size) if p is not None else np.full((len(x), 1), size, np.int64)
                 node_, copies_ = node.take(pa.array(at)), copies.take(pa.array(at))
-                x_ = pa.array([r.tobytes() for r in x], pa.binary())
+                raw = values[starts[at][:, None] + np.arange(size)]
+                with np.errstate(over="ignore"):
+                    narrow = raw.astype(np.float32)
+                wide = (narrow != raw).any(axis=1)
+                x_ = pa.array([(r if w else q).tobytes() for r, q, w in zip(raw, narrow, wide.tolist())], pa.binary())
                 all_ = pa.array([r.tobytes() for r in np.sort(lists, axis=1)], pa.binary())
                 for k in range(lists.shape[1]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(lists[:, k])), node_, copies_, x_, all_], names=["key", "node", "copies", "x", "lists"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(lists[:, k])), node_, copies_, x_, pa.array(wide), all_], names=["key", "node", "copies", "x", "wide", "lists"])
 
-    return vectors.select("node", "copies", "v").mapInArrow(run, "key long, node long, copies long, x binary, lists binary")
+    return vectors.select("node", "copies", "v").mapInArrow(run, "key long, node long, copies long, x binary, wide boolean, lists binary")
 
 
 def _verify(cosine: float):
@@ -118,12 +123,13 @@ def _verify(cosine: float):
         for t, number in whole_buckets(batches):
             node, copies, key = (t.column(c).to_numpy() for c in ("node", "copies", "key"))
             own, pair, blocks = (t.column(c).to_numpy() for c in ("own", "pair", "blocks"))
-            flat = [np.frombuffer(r, np.float64) for r in t.column("x").to_pylist()]
+            kinds = (np.float32, np.float64)
+            flat = [np.frombuffer(r, kinds[w]) for r, w in zip(t.column("x").to_pylist(), t.column("wide").to_pylist())]
             sizes = np.array([len(r) for r in flat])
             u, v, count = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.zeros(len(node), np.int64)
             for size in np.unique(sizes).tolist():  # a bucket's vectors have one dimension
                 at = np.nonzero(sizes == size)[0]
-                x = np.stack([flat[k] for k in at.tolist()])
+                x = unit_rows(np.array([flat[k] for k in at.tolist()], dtype=np.float64))
                 lists = np.stack([np.frombuffer(r, np.int64) for r in t.column("lists").take(pa.array(at)).to_pylist()])
                 for i, j in _close_pairs(x, number[at], cosine):
                     first = _first_shared(lists, i, j)

@@ -25,6 +25,8 @@ BLOCK_SERIES = 256
 BLOCK_STEPS = 1024
 # Cells of cost matrices held at a time: 128 MB.
 MATRIX_CELLS = 1 << 24
+#: Cells of a cost matrix up to which an alignment is traced in it; above, it is found by halves.
+PATH_CELLS = 1 << 22
 
 
 def _blocks_for(df: DataFrame, blocks: int | None) -> int:
@@ -166,9 +168,60 @@ def warp_distance(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.n
     return np.sqrt(last[n])
 
 
-def warp_path(a: np.ndarray, b: np.ndarray, band: int | None = None) -> list[tuple[int, int]]:
-    """One best alignment, from the first points to the last."""
-    return trace(warp_cost(a[None, :], b[None, :], band)[0])
+def warp_path(a: np.ndarray, b: np.ndarray, band: int | None = None, cells: int = PATH_CELLS) -> list[tuple[int, int]]:
+    """One best alignment, from the first points to the last.
+
+    Without a band, a matrix of over ``cells`` is never filled: the path is found by halves.
+    """
+    if band is not None or len(a) * len(b) <= cells:
+        return trace(warp_cost(a[None, :], b[None, :], band)[0])
+    return _path_by_halves(a, b, cells)
+
+
+def last_row(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared cost of aligning all of ``a`` with the first 1, 2, .. points of ``b``; holds three diagonals."""
+    n, m = len(a), len(b)
+    y, out = np.ascontiguousarray(b[::-1]), np.empty(m)
+    before, last, new = (np.full(n + 2, np.inf) for _ in range(3))
+    before[0] = 0.0
+    for d in range(n + m - 1):
+        lo, hi = max(0, d - m + 1), min(n, d + 1)
+        gap = a[lo:hi] - y[m - 1 - d + lo : m - 1 - d + hi]
+        best = np.minimum(last[lo:hi], last[lo + 1 : hi + 1])
+        np.minimum(best, before[lo:hi], out=best)
+        new[lo] = new[hi + 1] = np.inf
+        new[lo + 1 : hi + 1] = gap * gap + best
+        if hi == n:
+            out[d - n + 1] = new[n]
+        before, last, new = last, new, before
+    return out
+
+
+def _path_by_halves(a: np.ndarray, b: np.ndarray, cells: int) -> list[tuple[int, int]]:
+    """Where a best path leaves the first half of ``a`` follows from the costs up to there and, backwards, from behind.
+
+    Each half is then a problem of its own, so memory grows with the lengths and work is about twice that of one matrix.
+    """
+    path, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        i, i2, j, j2 = todo.pop()
+        x, y = a[i:i2], b[j:j2]
+        if len(x) == 1:
+            path += [(i, k) for k in range(j, j2)]
+        elif len(x) * len(y) <= cells:
+            path += [(i + p, j + q) for p, q in trace(warp_cost(x[None, :], y[None, :])[0])]
+        else:
+            half = len(x) // 2
+            up, down = last_row(x[:half], y), last_row(x[half:][::-1], y[::-1])[::-1]
+            straight, slant = up + down, up[:-1] + down[1:]
+            # The next row begins in the same column, or in the one after.
+            k = int(straight.argmin())
+            after = k
+            if len(slant) and slant.min() <= straight[k]:
+                k = int(slant.argmin())
+                after = k + 1
+            todo += [(i + half, i2, j + after, j2), (i, i + half, j, j + k + 1)]
+    return path
 
 
 def trace(cost: np.ndarray) -> list[tuple[int, int]]:

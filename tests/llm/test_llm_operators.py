@@ -532,6 +532,22 @@ def test_vectors_odd_rows(spark):
     assert embedding_dedup.near_vectors(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("low,high", [(0.9001, 0.91), (0.91, 0.92), (0.92, 0.95)])
+def test_recall_by_bands(spark, low, high):
+    """Planted pairs at and just above the limit, in directions without any structure: the hardest case."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1_500, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1)[:, None] * x
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    c = rng.uniform(low, high, len(x))[:, None]
+    y = c * x + np.sqrt(1 - c * c) * z
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, y]))]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert got.agg({"n_links": "sum"}).first()[0] / 2 >= 0.93 * len(x)
+
+
 # 9 exact dedup
 
 
