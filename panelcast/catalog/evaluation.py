@@ -14,7 +14,7 @@ from panelcast.catalog.rolling import strict_sql
 from panelcast.functions.numeric import BOX_COX_LAMBDA
 from panelcast.operators import evaluate, windows
 from panelcast.operators.clean import regularize
-from panelcast.operators.forecast import arima
+from panelcast.operators.forecast import arima, pooled
 from panelcast.operators.forecast.baseline import forecast_mean, forecast_naive
 from panelcast.operators.forecast.structural import forecast_structural
 from panelcast.plans.grid import DAY, HOUR, MONTH
@@ -201,6 +201,15 @@ def _(spark, sf):
     return coarse_mse(evaluate.leaderboard(evaluate.compare_models(v.monthly(spark, sf), MONTH)))
 
 
+# Models per series and models over all series on the same rows: the last day of the hourly totals.
+TOGETHER = ["mean", "naive", "snaive", "structural", *pooled.MODELS]
+
+
+@query("leaderboard_pooled", digits=2)
+def _(spark, sf):
+    return coarse_mse(evaluate.leaderboard(evaluate.compare_models(v.hourly(spark, sf), HOUR, folds=1, horizon=24, models=TOGETHER)))
+
+
 # Days of single users: many gaps, short series and, once filled, zeros.
 USER_DAYS = """ud AS (SELECT series_id, date_trunc('day', ts) AS ts, sum(value) AS value FROM u GROUP BY 1, 2),
 sp AS (SELECT series_id, min(ts) AS lo, max(ts) AS hi, count(*) AS known, date_diff('day', min(ts), max(ts)) + 1 AS steps, min(value) AS least FROM ud GROUP BY 1)"""

@@ -12,6 +12,7 @@ from panelcast.operators.clean import ffill_bfill, split_last
 from panelcast.operators.forecast.arima import FLAT, Order, Seasonal, Terms, forecast_sarima
 from panelcast.operators.forecast.baseline import fit_status, forecast_mean, forecast_naive, forecast_snaive
 from panelcast.operators.forecast.carried import carried_forecasts, fold_origins, rolling_origins
+from panelcast.operators.forecast import pooled
 from panelcast.operators.forecast.smoothing import forecast_smoothing, points_needed, rolling_smoothing, smoothing_grid_scores
 from panelcast.operators.forecast.structural import forecast_structural
 from panelcast.operators.windows import prefix_stats
@@ -332,7 +333,11 @@ MODELS: dict[str, tuple[Forecaster, dict]] = {
 
 
 def run_model(train: DataFrame, horizon: int, step: Step, *, model: str, keys: Sequence[str] = ("series_id",)) -> DataFrame:
-    """A model of the registry by name."""
+    """A model of the registry, or of ``pooled.MODELS`` (one model over all series, without further keys), by name."""
+    if model in pooled.MODELS and list(keys) == ["series_id"]:
+        return pooled.forecast_pooled(train, horizon, step, model=model)
+    if model not in MODELS:
+        raise ValueError(f"unknown model {model!r} for keys {list(keys)}; known: {', '.join([*MODELS, *pooled.MODELS])}")
     forecaster, options = MODELS[model]
     options = dict(options)
     if "kind" in options:
@@ -343,11 +348,16 @@ def run_model(train: DataFrame, horizon: int, step: Step, *, model: str, keys: S
 def compare_models(
     df: DataFrame, step: Step, *, folds: int = 3, horizon: int = 12, models: Sequence[str] = tuple(MODELS)
 ) -> DataFrame:
-    """Evaluation rows of every model on the last ``folds`` blocks of ``horizon`` points; NULL where a model has no forecast."""
+    """Evaluation rows of every model on the last ``folds`` blocks of ``horizon`` points; NULL where a model has no forecast.
+
+    ``models`` may name those of ``pooled.MODELS`` as well, which are trained once per fold over all series.
+    """
     split = expanding_folds(df, folds, test_size=horizon, step=step)
     keys = ["series_id", "fold"]
     train = split.where("part = 'train'").select(*keys, "ts", "value")
-    made = [run_model(train, horizon, step, model=m, keys=keys).withColumn("model", F.lit(m)) for m in models]
+    made = [run_model(train, horizon, step, model=m, keys=keys).withColumn("model", F.lit(m)) for m in models if m not in pooled.MODELS]
+    if together := [m for m in models if m in pooled.MODELS]:
+        made.append(pooled.fold_forecasts(df, split, horizon, step, folds=folds, models=together))
     return _score_folds(split, reduce(DataFrame.unionByName, made), keys, models)
 
 

@@ -15,7 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelcast.operators.clean import split_fraction
@@ -87,6 +87,11 @@ class FlatTrees:
     right: np.ndarray
     value: np.ndarray
     depth: int
+    #: Boosted trees add up by weights; a forest's trees (None) count alike.
+    weights: np.ndarray | None = None
+
+    def combined(self, votes: np.ndarray) -> np.ndarray:
+        return votes.mean(axis=1) if self.weights is None else votes @ self.weights
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Every tree's prediction for each row of features: [row, tree]."""
@@ -99,8 +104,9 @@ class FlatTrees:
 
 
 def flatten_trees(spark: SparkSession, model: PipelineModel) -> FlatTrees:
-    """Read a fitted forest's nodes; their number is bounded by trees * 2^(depth + 1)."""
+    """Read a fitted forest's (or boosted trees') nodes; their number is bounded by trees * 2^(depth + 1)."""
     forest = model.stages[-1]
+    weights = np.array(forest.treeWeights) if isinstance(forest, GBTRegressionModel) else None
     path = shared_dir(spark, "forest")
     forest.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(
@@ -125,7 +131,7 @@ def flatten_trees(spark: SparkSession, model: PipelineModel) -> FlatTrees:
     feature[at] = inner["feature"].to_numpy()
     threshold[at] = inner["threshold"].to_numpy(dtype=float)
     left[at], right[at] = inner["leftChild"].to_numpy(), inner["rightChild"].to_numpy()
-    return FlatTrees(feature, threshold, left, right, value, forest.getOrDefault("maxDepth"))
+    return FlatTrees(feature, threshold, left, right, value, forest.getOrDefault("maxDepth"), weights)
 
 
 def forecast_recursive(
@@ -140,8 +146,8 @@ def forecast_recursive(
 ) -> DataFrame:
     """Predict a step, append it, rebuild the features, and go on, for every series of a batch at once.
 
-    The interval is the spread of the single trees' predictions.  A series with
-    fewer rows than the longest lag or window, or a gap among them, has no rows.
+    The interval is the spread of the single trees' predictions; boosted trees, which correct each other, have none
+    (NULL).  A series with fewer rows than the longest lag or window, or a gap among them, has no rows.
     """
     if step == "month":
         raise ValueError("hour and weekday features need a step of fixed length")
@@ -178,9 +184,9 @@ def forecast_recursive(
                 means = [path[:, t - w : t].mean(axis=1) for w in windows]
                 x = np.column_stack([path[:, t - lag_at], *means, clock.hour, clock.dayofweek]).astype(float)
                 votes = trees.value.predict(x)
-                path[:, t] = votes.mean(axis=1)
+                path[:, t] = trees.value.combined(votes)
                 out[:, h, 0] = path[:, t]
-                out[:, h, 1:] = np.percentile(votes, [lo, hi], axis=1).T
+                out[:, h, 1:] = np.percentile(votes, [lo, hi], axis=1).T if trees.value.weights is None else np.nan
             yield pd.DataFrame(
                 {
                     "series_id": np.repeat(pdf["series_id"].to_numpy(), horizon),
@@ -195,7 +201,8 @@ def forecast_recursive(
     schema = "series_id string, origin_ts timestamp_ntz, h bigint, yhat double, lower double, upper double"
     rows = newest.mapInPandas(extend, schema)
     rows = rows.withColumn("ts", grid_time(grid_index(F.col("origin_ts"), step) + F.col("h"), step))
-    return shape_forecast(rows, ["series_id"], F.col("yhat"), F.col("lower"), F.col("upper"))
+    lower, upper = (F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("lower", "upper"))
+    return shape_forecast(rows, ["series_id"], F.col("yhat"), lower, upper)
 
 
 def forest_interval(model: PipelineModel, features: DataFrame, *, level: float = 0.95) -> DataFrame:

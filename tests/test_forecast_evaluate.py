@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.operators import evaluate
-from panelcast.operators.forecast import arima, baseline, forest, smoothing, structural, var
+from panelcast.operators.forecast import arima, baseline, forest, pooled, smoothing, structural, var
 from panelcast.operators.forecast.contract import check_contract, to_contract
 from panelcast.operators.windows import feature_matrix
 from panelcast.plans.grid import DAY, HOUR, MONTH
@@ -431,3 +431,57 @@ def test_quantile_regression(spark, panel):
     assert flat == pytest.approx([3.0] * 3, abs=1e-3)
     made = quantile.forecast_quantile_regression(panel({"a": y[:cut].tolist()}), 24, HOUR).orderBy("h").collect()
     assert len(made) == 24 and all(r["lower"] <= r["yhat"] <= r["upper"] for r in made)
+
+
+def test_models_over_all_series_compete(panel):
+    """Weekly shapes of very different size: each model over all series follows them, a constant forecast can't."""
+    rng = np.random.default_rng(5)
+    phase = 2 * np.pi * np.arange(7) / 7
+    week = 3 * np.sin(phase) + np.cos(2 * phase)  # the regression knows two harmonics of the week
+    rows = {s: (size * (10 + np.tile(week, 30) + 0.2 * rng.normal(size=210))).tolist() for s, size in (("a", 1.0), ("b", 100.0), ("c", 1e4))}
+    df = panel(rows, seconds=DAY)
+    models = ["mean", "naive", "forest", "gbt", "quantile"]  # two lags of a system hold no week: see below
+    made = evaluate.compare_models(df, DAY, folds=1, horizon=7, models=models).collect()
+    assert len(made) == 3 * 7 * 5
+    mape = {m: np.mean([abs(r["error"] / r["actual"]) for r in made if r["model"] == m]) for m in models}
+    assert max(mape[m] for m in models[2:]) < 0.25 * min(mape["mean"], mape["naive"]), mape
+
+
+def test_a_fold_knows_nothing_of_what_comes_after(panel):
+    y = np.random.default_rng(6).normal(size=60).tolist()
+    first = lambda x: sorted((r["ts"], r["forecast"]) for r in evaluate.compare_models(panel({"a": x}), HOUR, folds=2, horizon=3, models=["forest"]).where("fold = 1").collect())
+    assert first(y) == first([*y[:-6], *[99.0] * 6])
+
+
+def test_a_system_sees_what_another_series_announces(panel):
+    """b repeats a a step later: only the model of both knows its next value."""
+    a = np.random.default_rng(9).normal(size=121)
+    df = panel({"a": a[1:].tolist(), "b": (5 + a[:-1]).tolist()})
+    made = evaluate.compare_models(df, 3600, folds=4, horizon=1, models=["mean", "naive", "var"])
+    mae = {r["model"]: r["mae"] for r in evaluate.metrics(made.where("series_id = 'b'"), ["model"]).collect()}
+    assert mae["var"] < 1e-6 < 0.05 < min(mae["mean"], mae["naive"])
+
+
+def test_boosted_trees_step_by_step(spark, panel):
+    """Flat trees with their weights say what the library's model says."""
+    rng = np.random.default_rng(8)
+    df = panel({"a": rng.normal(size=200).cumsum().tolist()})
+    lags, windows = pooled.lag_set(3600)
+    features = feature_matrix(df, 3600, lags=lags, windows=windows)
+    model = forest.fit_gbt(features, n_trees=5, max_depth=3)
+    ahead = forest.forecast_recursive(df, model, 1, 3600, lags=lags, windows=windows).collect()[0]
+    assert ahead["lower"] is None and ahead["upper"] is None
+    longer = df.unionByName(spark.createDataFrame([("a", ahead["ts"], 0.0)], df.schema))
+    want = forest.predict(model, feature_matrix(longer, 3600, lags=lags, windows=windows)).where(F.col("ts") == ahead["ts"]).collect()[0]["yhat"]
+    assert ahead["yhat"] == pytest.approx(want)
+
+
+def test_pooled_models_say_what_they_cannot(panel):
+    short = panel({"a": [1.0, 2.0, 3.0], "b": [2.0, 2.0, 2.0]}, seconds=DAY)
+    assert pooled.forecast_pooled(short, 3, DAY, model="forest").count() == 0
+    with pytest.raises(ValueError, match="12 series"):
+        pooled.forecast_pooled(panel({str(i): [1.0, 2.0] for i in range(13)}), 2, 3600, model="var")
+    with pytest.raises(ValueError, match="fixed length"):
+        pooled.forecast_pooled(panel({"a": [1.0] * 30}, months=True), 2, MONTH, model="gbt")
+    with pytest.raises(ValueError, match="unknown model"):
+        evaluate.run_model(short, 2, DAY, model="none such")
