@@ -38,6 +38,9 @@ _ODD_WORD = re.compile(rf"((?:[^ \n]*{_ODD.pattern}[^ \n]*)+)")
 _CUT = re.compile(r"([!-/:-@\[-`{-~]+|[0-9])")
 #: Stands for the end of a word among its bytes.
 END_MARK = " "
+#: tiktoken looks for special tokens in every text, even where none is allowed; without any to look for, it stops at each
+#: character.  This one is never allowed, so a text that holds it is encoded like any other.
+UNUSED_SPECIAL = {"<|unused|>": 1 << 30}
 
 
 def byte_letters() -> dict[int, str]:
@@ -66,11 +69,11 @@ class WordTokenizer:
         if ranks is None:
             raise ValueError(f"{path} isn't a vocabulary of lower-case words with word ends")
         self.special = re.compile("|".join(re.escape(t["content"]) for t in said["added_tokens"]) or r"(?!)")
-        self.merges = tiktoken.Encoding("words", pat_str=f"[^{END_MARK}]+{END_MARK}", mergeable_ranks=ranks, special_tokens={})
+        self.merges = tiktoken.Encoding("words", pat_str=f"[^{END_MARK}]+{END_MARK}", mergeable_ranks=ranks, special_tokens=UNUSED_SPECIAL)
 
     def _plain(self, text: str) -> bytes:
         words = _CUT.sub(r" \1 ", text.lower().replace("\n", " "))
-        return self.merges.encode_to_numpy(words + END_MARK).astype("<u4").tobytes()
+        return self.merges.encode_to_numpy(words + END_MARK, disallowed_special=()).astype("<u4").tobytes()
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()

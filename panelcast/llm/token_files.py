@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from panelcast.llm.common import small_or_plain
-from panelcast.llm.packing import byte_letters
+from panelcast.llm.packing import UNUSED_SPECIAL, byte_letters
 
 END_ID = 2
 #: Ids in a row at most, and ids that leave a worker at a time.
@@ -60,13 +60,13 @@ class ByteTokenizer:
         if ranks is not None:
             import tiktoken
 
-            self.fast, self.runs = (tiktoken.Encoding("vocabulary", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (SHORT_PATTERN, PATTERN))
+            self.fast, self.runs = (tiktoken.Encoding("vocabulary", pat_str=p, mergeable_ranks=ranks, special_tokens=UNUSED_SPECIAL) for p in (SHORT_PATTERN, PATTERN))
 
     def __call__(self, text: str) -> np.ndarray:
         own = self.fast is None or (self.special is not None and self.special.search(text))
         if own or (len(text) >= LONG_BLANKS and self.long_blanks.search(text)):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int32)
-        return (self.runs if _BLANK_RUN.search(text) else self.fast).encode_to_numpy(text).astype(np.int32)
+        return (self.runs if _BLANK_RUN.search(text) else self.fast).encode_to_numpy(text, disallowed_special=()).astype(np.int32)
 
 
 def _ranks_of(said: dict) -> dict[bytes, int] | None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import brute
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from panelcast.llm import token_files as tf
+from panelcast.llm import packing, token_files as tf
 from panelcast.llm.queries import BYTE_BPE, PIECE_BPE, WORD_BPE, vocabulary
 
 NAMES = ["doc_id", "start", "n_tokens", "ids_crc32"]
@@ -113,3 +114,22 @@ def test_metadata_spares_row_groups(spark, tmp_path):
     # An odd id lies between others: only a Bloom filter can tell that it isn't there.
     assert max(rows_read(f"doc_id = {k}")[1] for k in (1, 777, 7_001, 15_003)) == 0
     assert rows_read("doc_id >= 23000")[1] <= 2 * tf.INDEX_ROWS
+
+
+def test_no_search_for_special_tokens_at_each_character(library, fast):
+    """Encoding takes about as long as tiktoken does without special tokens; a name that none may have is plain text."""
+    text = "the cat sat on the mat and the dog ran to it " * 8_000
+
+    def least(f):
+        times = []
+        for _ in range(5):
+            began = time.process_time()
+            f(text)
+            times.append(time.process_time() - began)
+        return min(times)
+
+    for merges in (fast.fast, fast.runs, packing.WordTokenizer(vocabulary(WORD_BPE)).merges):
+        assert least(lambda t: merges.encode_to_numpy(t, disallowed_special=())) < 1.5 * least(merges.encode_ordinary)
+    (name,) = packing.UNUSED_SPECIAL
+    for text in (name, f"a {name} b  {name}"):
+        assert fast(text).tolist() == library.encode(text, add_special_tokens=False).ids
