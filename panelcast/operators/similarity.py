@@ -10,11 +10,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from panelcast.operators.stats import series_moments
 from panelcast.plans.grid import Step, grid_index
@@ -23,8 +25,14 @@ from panelcast.session import shared_dir
 
 BLOCK_SERIES = 256
 BLOCK_STEPS = 1024
+# Series of a block in the search within a radius, and their points (8 MB) at most.
+PAIR_SERIES, PAIR_POINTS = 1024, 1 << 20
+# Points of each side that are aligned at a time: one diagonal of all pairs stays near the processor.
+ALIGNED_POINTS = 1 << 17
 # Cells of cost matrices held at a time: 128 MB.
 MATRIX_CELLS = 1 << 24
+# Tasks of a search within a radius, at most.
+PAIR_TASKS = 4096
 #: Cells of a cost matrix up to which an alignment is traced in it; above, it is found by halves.
 PATH_CELLS = 1 << 22
 
@@ -143,29 +151,38 @@ def warp_cost(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.ndarr
 
 
 def warp_distance(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.ndarray:
-    """Distances for pairs of series ([pair, time]); keeps three anti-diagonals, not the matrix.
+    """Distances for pairs of series ([pair, time]); keeps three anti-diagonals, not the matrix."""
+    return np.sqrt(_least_cost(np.ascontiguousarray(a.T), np.ascontiguousarray(b.T), band))
 
-    Time runs along the first axis inside, so every step works on whole slices.
+
+def _least_cost(x: np.ndarray, y: np.ndarray, band: int | None = None) -> np.ndarray:
+    """Least squared cost for pairs of series ([time, pair]; one column of ``y`` may serve all), in the numbers' own precision.
+
+    Time runs along the first axis, so every step works on whole slices, and in place.
     """
-    pairs, n = a.shape
-    m = b.shape[1]
-    x, y = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T[::-1])
+    n, pairs = x.shape
+    m = len(y)
+    y = y[::-1]
     reach = n + m if band is None else max(band, abs(n - m))
-    before, last, new = (np.full((n + 2, pairs), np.inf) for _ in range(3))
+    before, last, new = (np.full((n + 2, pairs), np.inf, x.dtype) for _ in range(3))
     before[0] = 0.0
+    gaps = np.empty((min(n, m), pairs), x.dtype)
     for d in range(n + m - 1):
         lo = max(0, d - m + 1, -((reach - d) // 2))
         hi = min(n, d + 1, (d + reach) // 2 + 1)
         # Row i + 1 holds the cost of ending at (i, d - i); y runs backwards.
-        new[:] = np.inf if band is not None else new
+        if band is not None:
+            new[:] = np.inf
         new[lo], new[hi + 1] = np.inf, np.inf
         if lo < hi:
-            gap = x[lo:hi] - y[m - 1 - d + lo : m - 1 - d + hi]
-            best = np.minimum(last[lo:hi], last[lo + 1 : hi + 1])
+            gap, best = gaps[: hi - lo], new[lo + 1 : hi + 1]
+            np.subtract(x[lo:hi], y[m - 1 - d + lo : m - 1 - d + hi], out=gap)
+            np.multiply(gap, gap, out=gap)
+            np.minimum(last[lo:hi], last[lo + 1 : hi + 1], out=best)
             np.minimum(best, before[lo:hi], out=best)
-            new[lo + 1 : hi + 1] = gap * gap + best
+            np.add(best, gap, out=best)
         before, last, new = last, new, before
-    return np.sqrt(last[n])
+    return last[n]
 
 
 def warp_path(a: np.ndarray, b: np.ndarray, band: int | None = None, cells: int = PATH_CELLS) -> list[tuple[int, int]]:
@@ -257,6 +274,39 @@ def warp_bound(a: np.ndarray, b: np.ndarray, band: int | None = None) -> np.ndar
     return np.sqrt(np.maximum(one(a, b), one(b, a)))
 
 
+def close_pairs(x: np.ndarray, y: np.ndarray, radius: float, band: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the pairs ([time, pair]) at most ``radius`` apart.
+
+    Pairs are first aligned in half the precision.  What that can be wrong by is added to the radius, and pairs within
+    are aligned again in doubles, so none is lost or added.
+    """
+    near = np.arange(x.shape[1])
+    if band is not None:
+        near = near[warp_bound(x.T, y.T, band) <= radius * (1 + 1e-9)]
+    else:
+        steps, eps, largest = len(x) + len(y), float(np.finfo(np.float32).eps), max(np.abs(x).max(), np.abs(y).max())
+        if largest < 1e15 and radius > 1e-15:
+            p, q = x.astype(np.float32), y.astype(np.float32)
+            limit = (radius + 2 * eps * largest * np.sqrt(steps)) ** 2 * (1 + 2 * eps * (steps + 4))
+
+            def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                """What the points outside the range of the other series cost; see :func:`warp_bound`."""
+                out = np.maximum(np.subtract(a, b.max(axis=0)), np.subtract(b.min(axis=0), a))
+                np.maximum(out, 0, out=out)
+                return np.einsum("ij,ij->j", out, out)
+
+            # The bound pays where it settles some pairs; the first ones tell.
+            if (np.maximum(reach(p[:, :64], q[:, :64]), reach(q[:, :64], p[:, :64])) > limit).mean() > 0.1:
+                near = near[np.maximum(reach(p, q), reach(q, p)) <= limit]
+                p, q = np.take(p, near, axis=1), np.take(q, near, axis=1)
+            near = near[_least_cost(p, q) <= limit]
+    if not len(near):
+        return near, np.empty(0)
+    distance = np.sqrt(_least_cost(np.take(x, near, axis=1), np.take(y, near, axis=1), band))
+    within = distance <= radius
+    return near[within], distance[within]
+
+
 def add_alignments(cost: np.ndarray, members: np.ndarray, total: np.ndarray, count: np.ndarray) -> None:
     """Add every member's points to the centre positions that its best alignment gives them.
 
@@ -273,6 +323,22 @@ def add_alignments(cost: np.ndarray, members: np.ndarray, total: np.ndarray, cou
         pair, i, j = pair[live], i[live], j[live]
 
 
+def _by_length(lengths: np.ndarray, values: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Length -> numbers of the series of that length, and their points ([time, series])."""
+    starts, out = np.cumsum(lengths) - lengths, {}
+    for length in np.unique(lengths).tolist():
+        rows = np.flatnonzero(lengths == length)
+        out[length] = rows, values[starts[rows] + np.arange(length)[:, None]]
+    return out
+
+
+def _lists(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and points, one after the other, of a column of lists; a missing point is NaN."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    return lengths.astype(np.int64), column.flatten().to_numpy(zero_copy_only=False).astype(float)
+
+
 def dtw_distance(a: Column, b: Column, band: int | None = None, cutoff: float | None = None) -> Column:
     """Warping distance of two array columns; rows of equal lengths are computed together.
 
@@ -353,49 +419,134 @@ def dtw_within(
     """All pairs of series at most ``radius`` apart, of any lengths, for pairs that agree in ``within``.
 
     Any alignment pairs the two first and the two last points, so those may
-    differ by at most ``radius`` each.  A grid of that width over (first, last)
-    gives the candidates by an equi-join, which adaptive execution splits where
-    a cell is crowded.  Pairs left are measured if the range of one series does
-    not already put the other beyond the radius (see ``warp_bound``).  Empty
-    series have no partner.
+    differ by at most ``radius`` each: only series in the same or neighbouring
+    cells of a grid of that width over (first, last) meet.  Cells are cut into
+    blocks of at most about ``PAIR_SERIES`` series; a task holds two blocks, and
+    a series travels once per block that its own meets, not once per pair.
+    Pairs are aligned if the range of one series does not already put the other
+    beyond the radius (see :func:`warp_bound`).  Empty series have no partner.
+    Where all series are within a few radii the number of alignments is that of
+    all pairs.  The series are written first (a job).
     """
     within = list(within)
-    df = df.where(F.size("points") > 0)
-    first, last = F.element_at("points", 1), F.element_at("points", -1)
-    cells = df.select(
+    cell = [*within, "_cx", "_cy"]
+    points = F.col("points").cast("array<double>")
+    placed = df.where(F.size("points") > 0).select(
         "series_id",
-        "points",
+        points.alias("points"),
         *within,
-        F.floor(first / radius).alias("_cx"),
-        F.floor(last / radius).alias("_cy"),
+        F.floor(F.element_at(points, 1) / radius).alias("_cx"),
+        F.floor(F.element_at(points, -1) / radius).alias("_cy"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    shifts = F.array(*[F.struct(F.lit(dx).alias("x"), F.lit(dy).alias("y")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    left = cells.select(
-        F.col("series_id").alias("id_a"), F.col("points").alias("points_a"), *within, "_cx", "_cy"
+    placed = _written(placed.where(" AND ".join(f"`{c}` IS NOT NULL" for c in ["series_id", *cell])), "warping")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / PAIR_SERIES, F.sum(F.size("points")) / PAIR_POINTS))
+    cells = placed.groupBy(*cell).agg(blocks.cast("int").alias("_blocks"), F.count(F.lit(1)).alias("_series"))
+    cells = _written(cells.withColumn("_cell", F.monotonically_increasing_id()), "cells")
+
+    # Each two neighbours meet once: half of the cells around, and the cell itself.
+    ahead = F.array(*[F.struct(F.lit(dx).alias("x"), F.lit(dy).alias("y")) for dx, dy in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))])
+    left = cells.withColumn("_s", F.explode(ahead)).select(
+        *within,
+        (F.col("_cx") + F.col("_s.x")).alias("_cx"),
+        (F.col("_cy") + F.col("_s.y")).alias("_cy"),
+        F.col("_cell").alias("a"),
+        F.col("_blocks").alias("_a_blocks"),
+        F.col("_series").alias("_a_series"),
     )
-    right = (
-        cells.withColumn("_s", F.explode(shifts))
-        .select(
-            F.col("series_id").alias("id_b"),
-            F.col("points").alias("points_b"),
-            *within,
-            (F.col("_cx") + F.col("_s.x")).alias("_cx"),
-            (F.col("_cy") + F.col("_s.y")).alias("_cy"),
-        )
+    met = left.join(cells.withColumnRenamed("_cell", "b"), cell)
+    # Rows that travel: every block once per block it meets.
+    travels = (F.col("_a_series") * F.col("_blocks") + F.col("_series") * F.col("_a_blocks")).cast("double")
+    buckets = met.agg(F.ceil(F.sum(travels) / (2 * PAIR_SERIES)).cast("long")).first()[0] or 1
+    pairs = met.select("a", "b", "_blocks", F.explode(F.sequence(F.lit(0), F.col("_a_blocks") - 1)).alias("i"))
+    first = F.when(F.col("a") == F.col("b"), F.col("i")).otherwise(0)
+    pairs = pairs.select("a", "b", "i", F.explode(F.sequence(first, F.col("_blocks") - 1)).alias("j"))
+    one = F.struct(F.col("a").alias("_cell"), F.col("i").alias("_block"), F.lit(0).alias("side"))
+    other = F.struct(F.col("b").alias("_cell"), F.col("j").alias("_block"), F.lit(1).alias("side"))
+    alone = (F.col("a") == F.col("b")) & (F.col("i") == F.col("j"))
+    # Many small pairs of blocks share a call; a large one has it nearly to itself.
+    bucket = F.pmod(F.xxhash64("a", "i", "b", "j"), F.lit(buckets)).alias("_bucket")
+    members = pairs.select("a", "i", "b", "j", bucket, F.inline(F.when(alone, F.array(one)).otherwise(F.array(one, other))))
+    block = F.pmod(F.xxhash64("_row"), F.col("_blocks")).cast("int")
+    series = placed.join(cells, cell).select("series_id", "points", "_cell", block.alias("_block"))
+    spread = series.join(members, ["_cell", "_block"]).select("_bucket", "a", "i", "b", "j", "side", "series_id", "points")
+    kind = df.schema["series_id"].dataType
+    schema = StructType([StructField("id_a", kind), StructField("id_b", kind), StructField("distance", DoubleType())])
+    found = (
+        spread.repartition(min(buckets, PAIR_TASKS), "_bucket")
+        .groupBy("_bucket")
+        .applyInArrow(_meetings(radius, band), schema)
+    )
+    swap = F.col("id_a") > F.col("id_b")
+    return found.where("id_a <> id_b").select(
+        F.when(swap, F.col("id_b")).otherwise(F.col("id_a")).alias("id_a"),
+        F.when(swap, F.col("id_a")).otherwise(F.col("id_b")).alias("id_b"),
+        "distance",
     )
 
-    def gap(at: int) -> Column:
-        d = F.element_at("points_a", at) - F.element_at("points_b", at)
-        return d * d
 
-    near = left.join(right, [*within, "_cx", "_cy"]).where(
-        (F.col("id_a") < F.col("id_b")) & (gap(1) + gap(-1) <= radius * radius)
-    )
-    # Measuring costs far more than moving a pair: spread the pairs evenly.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = near.repartition(tasks, "id_a", "id_b")
-    measured = near.withColumn("distance", dtw_distance(F.col("points_a"), F.col("points_b"), band, radius))
-    return measured.where(F.col("distance") <= radius).select("id_a", "id_b", "distance")
+def _meetings(radius: float, band: int | None):
+    """Pairs of blocks -> pairs of their series at most ``radius`` apart."""
+
+    def run(part: pa.Table) -> pa.Table:
+        lengths, values = _lists(part.column("points"))
+        starts = np.cumsum(lengths) - lengths
+        first, last = values[starts], values[starts + lengths - 1]
+        place = np.empty(len(lengths), dtype=np.int64)
+        points = {}
+        for length, (rows, table) in _by_length(lengths, values).items():
+            place[rows], points[length] = np.arange(len(rows)), table
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        waiting: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        sizes: dict[tuple[int, int], int] = {}
+
+        def align(shape: tuple[int, int]) -> None:
+            a, b = (np.concatenate(c) for c in zip(*waiting.pop(shape)))
+            del sizes[shape]
+            size = max(1, ALIGNED_POINTS // max(shape))
+            for start in range(0, len(a), size):
+                p, q = a[start : start + size], b[start : start + size]
+                x, y = np.take(points[shape[0]], place[p], axis=1), np.take(points[shape[1]], place[q], axis=1)
+                near, distance = close_pairs(x, y, radius, band)
+                found.append((p[near], q[near], distance))
+
+        def meet(a: np.ndarray, b: np.ndarray, same: bool) -> None:
+            for n in np.unique(lengths[a]).tolist():
+                for m in np.unique(lengths[b]).tolist():
+                    if same and n > m:
+                        continue
+                    p, q = a[lengths[a] == n], b[lengths[b] == m]
+                    for start in range(0, len(p), 256):
+                        some = p[start : start + 256, None]
+                        ends = (first[some] - first[q]) ** 2 + (last[some] - last[q]) ** 2 <= radius * radius
+                        if same and n == m:
+                            ends &= some < q
+                        i, j = np.nonzero(ends)
+                        if len(i):
+                            waiting.setdefault((n, m), []).append((some[i, 0], q[j]))
+                            sizes[n, m] = sizes.get((n, m), 0) + len(i)
+                            if sizes[n, m] >= 4 * ALIGNED_POINTS // max(n, m):
+                                align((n, m))
+
+        keys = np.stack([part.column(c).to_numpy() for c in ("side", "j", "b", "i", "a")])
+        order = np.lexsort(keys)
+        keys = keys[:, order]
+        begins = np.flatnonzero(np.r_[True, (keys[1:, 1:] != keys[1:, :-1]).any(axis=0)])
+        for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(order)]):
+            side, rows = keys[0, begin:end], np.sort(order[begin:end])
+            _, j, b, i, a = keys[:, begin]
+            if a == b and i == j:
+                meet(rows, rows, True)
+            else:
+                cut = int(np.searchsorted(side, 1))
+                meet(order[begin : begin + cut], order[begin + cut : end], False)
+        for shape in list(waiting):
+            align(shape)
+        a, b, distance = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        ids = part.column("series_id")
+        return pa.table({"id_a": ids.take(pa.array(a)), "id_b": ids.take(pa.array(b)), "distance": distance})
+
+    return run
 
 
 def dtw_cluster(

@@ -246,3 +246,39 @@ def test_ramps_stop_at_gaps(spark):
     df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, value double, yhat double")
     found = anomaly.unexpected_ramps(df, HOUR, k=100.0).collect()
     assert [(r["ts"].hour, r["actual_ramp"]) for r in found] == [(6, 300.0)]
+
+
+def test_blocks_meet_without_pairs_of_arrays(spark, monkeypatch):
+    """A crowded cell is cut into blocks, every pair of series meets once, and arrays don't travel with each pair."""
+    monkeypatch.setattr(similarity, "PAIR_SERIES", 8, raising=False)
+    rng = np.random.default_rng(3)
+    rows = [(f"s{i:02d}", rng.normal(size=9 if i % 4 else 7).round(2).tolist(), "ab"[i % 2]) for i in range(70)]
+    rows += [("s01", rows[1][1], "b"), (None, rows[1][1], "b"), ("z", [], "b"), ("y", rows[1][1], None), ("x", [0.0, None, 1.0], "a")]
+    df = spark.createDataFrame(rows, "series_id string, points array<double>, category string")
+    for radius in (1.0, 30.0):
+        found = similarity.dtw_within(df, radius, within=["category"])
+        plan = found._jdf.queryExecution().toString()
+        assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+        want = {}
+        for i, (a, p, c) in enumerate(rows):
+            for b, q, d in rows[i + 1 :]:
+                if a and b and a != b and p and q and c == d and c and None not in p and None not in q:
+                    distance = warp_by_hand(p, q)
+                    if distance <= radius:
+                        want.setdefault((min(a, b), max(a, b)), []).append(pytest.approx(distance, abs=1e-9))
+        got = {}
+        for r in found.collect():
+            got.setdefault((r["id_a"], r["id_b"]), []).append(r["distance"])
+        assert got == want and len(want) >= (3 if radius == 1.0 else 1000)
+
+
+def test_half_precision_loses_no_pair():
+    rng = np.random.default_rng(4)
+    for scale, offset in ((1.0, 0.0), (1e-3, 1e6), (1e-9, 0.0), (1.0, 1e17), (1e-20, 0.0)):
+        x, y = rng.normal(size=(12, 400)) * scale + offset, rng.normal(size=(9, 400)) * scale + offset
+        x[3, 5] = np.nan
+        exact = similarity.warp_distance(x.T, y.T)
+        for radius in (*np.quantile(exact[~np.isnan(exact)], [0.02, 0.5]), 1.0):
+            if radius > 0:
+                near, distance = similarity.close_pairs(x, y, float(radius))
+                assert near.tolist() == np.flatnonzero(exact <= radius).tolist() and (distance == exact[near]).all()
