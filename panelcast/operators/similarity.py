@@ -29,8 +29,8 @@ BLOCK_STEPS = 1024
 PAIR_SERIES, PAIR_POINTS = 1024, 1 << 20
 # Points of each side that are aligned at a time: one diagonal of all pairs stays near the processor.
 ALIGNED_POINTS = 1 << 17
-# Cells of cost matrices held at a time: 128 MB.
-MATRIX_CELLS = 1 << 24
+# Cells of cost matrices held at a time: 32 MB.
+MATRIX_CELLS = 1 << 22
 # Tasks of a search within a radius, at most.
 PAIR_TASKS = 4096
 #: Cells of a cost matrix up to which an alignment is traced in it; above, it is found by halves.
@@ -323,6 +323,60 @@ def add_alignments(cost: np.ndarray, members: np.ndarray, total: np.ndarray, cou
         pair, i, j = pair[live], i[live], j[live]
 
 
+def alignment_sums(centre: np.ndarray, members: np.ndarray, band: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and number of the members' points ([time, member]) that best alignments give to each position of the centre.
+
+    All pairs are aligned together, diagonal by diagonal, and walked back together, by the rule of :func:`trace`.
+    """
+    n, (m, pairs) = len(centre), members.shape
+    y, x, reach = members[::-1], centre[:, None], n + m if band is None else max(band, abs(n - m))
+    # [d, i] is the cost of ending at (i - 1, d - i - 1); what lies beside a diagonal is infinite.
+    cost = np.empty((n + m + 1, n + 2, pairs))
+    cost[0, 0], cost[0, 1], cost[1, :2] = 0.0, np.inf, np.inf
+    for d in range(2, n + m + 1):
+        lo, hi = max(1, d - m, -((reach - d) // 2)), min(n, d - 1, (d + reach) // 2) + 1
+        cost[d, lo - 1], cost[d, hi] = np.inf, np.inf
+        if lo < hi:
+            best, last = cost[d, lo:hi], cost[d - 1]
+            gap = x[lo - 1 : hi - 1] - y[m - d + lo : m - d + hi]
+            np.multiply(gap, gap, out=gap)
+            np.minimum(last[lo - 1 : hi - 1], last[lo:hi], out=best)
+            np.minimum(best, cost[d - 2, lo - 1 : hi - 1], out=best)
+            np.add(best, gap, out=best)
+    flat, wide = cost.reshape(-1), (n + 2) * pairs
+    pair, i, j = np.arange(pairs), np.full(pairs, n), np.full(pairs, m)
+    places, values = [], []
+    while len(pair):
+        places.append(i - 1)
+        values.append(members[j - 1, pair])
+        at = (i + j - 1) * wide + i * pairs + pair
+        up, left, slant = flat[at - pairs], flat[at], flat[at - wide - pairs]
+        slants = (slant <= up) & (slant <= left)
+        ups = ~slants & (up <= left)
+        i, j = i - (slants | ups), j - ~ups
+        live = (i > 0) & (j > 0)
+        if not live.all():
+            pair, i, j = pair[live], i[live], j[live]
+    where, what = np.concatenate(places), np.concatenate(values)
+    return np.bincount(where, what, minlength=n), np.bincount(where, minlength=n).astype(float)
+
+
+def _add_alignments(centre: np.ndarray, members: np.ndarray, band: int | None, total: np.ndarray, count: np.ndarray) -> None:
+    """:func:`alignment_sums` in portions; series too long for a matrix are walked one by one."""
+    cells = (len(centre) + len(members) + 1) * (len(centre) + 2)
+    if len(centre) * len(members) > PATH_CELLS:
+        for member in members.T:
+            where, what = np.array(warp_path(centre, member, band)).T
+            total += np.bincount(where, member[what], minlength=len(centre))
+            count += np.bincount(where, minlength=len(centre))
+        return
+    size = max(1, MATRIX_CELLS // cells)
+    for start in range(0, members.shape[1], size):
+        s, c = alignment_sums(centre, np.ascontiguousarray(members[:, start : start + size]), band)
+        total += s
+        count += c
+
+
 def _by_length(lengths: np.ndarray, values: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Length -> numbers of the series of that length, and their points ([time, series])."""
     starts, out = np.cumsum(lengths) - lengths, {}
@@ -562,50 +616,46 @@ def dtw_cluster(
     did within ``max_iter`` rounds.
     """
     spark = df.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = _written(df.repartition(tasks, "series_id"), "warping")
+    # Each round reads every file: two a core spread the work, many small ones would cost more than the work.
+    df = _written(df.repartition(2 * spark.sparkContext.defaultParallelism, "series_id"), "warping")
     still, before = False, np.inf
     seeds = df.orderBy(F.xxhash64("series_id"), "series_id").limit(k).select("points").collect()
     centres = [np.asarray(r["points"], dtype=float) for r in seeds]
 
-    def assign(points: pd.Series, held) -> tuple[np.ndarray, np.ndarray]:
-        members = [np.asarray(p, dtype=float) for p in points]
-        table = np.full((len(members), len(held)), np.inf)
-        by_length: dict[int, list[int]] = {}
-        for r, p in enumerate(members):
-            by_length.setdefault(len(p), []).append(r)
-        for rows in by_length.values():
-            for start in range(0, len(rows), 1024):
-                some = rows[start : start + 1024]
-                x = np.stack([members[r] for r in some])
+    def assign(series: dict[int, tuple[np.ndarray, np.ndarray]], rows: int, held) -> tuple[np.ndarray, np.ndarray]:
+        table = np.full((rows, len(held)), np.inf)
+        for length, (numbers, points) in series.items():
+            size = max(1, ALIGNED_POINTS // (2 * max(1, length)))
+            for start in range(0, len(numbers), size):
+                x = np.ascontiguousarray(points[:, start : start + size])
                 for c, centre in enumerate(held):
-                    table[some, c] = warp_distance(x, np.tile(centre, (len(x), 1)), band)
+                    table[numbers[start : start + size], c] = np.sqrt(_least_cost(x, centre[:, None], band))
         return table.argmin(axis=1), table.min(axis=1)
 
     for _ in range(max_iter):
         shared = spark.sparkContext.broadcast(centres)
 
         def partial(batches):
-            for pdf in batches:
-                held = shared.value
-                owner, distance = assign(pdf["points"], held)
-                rows = [pd.DataFrame({"c": [-1], "i": [0], "s": [float((distance**2).sum())], "n": [1.0]})]
-                for c, centre in enumerate(held):
-                    total, count = np.zeros(len(centre)), np.zeros(len(centre))
-                    mine = pdf["points"][owner == c]
-                    for _, same in mine.groupby(mine.map(len)):
-                        x = np.stack(same.to_numpy())
-                        size = max(1, MATRIX_CELLS // ((len(centre) + 1) * (x.shape[1] + 1)))
-                        for start in range(0, len(x), size):
-                            some = x[start : start + size]
-                            costs = warp_cost(np.tile(centre, (len(some), 1)), some, band)
-                            add_alignments(costs, some, total, count)
-                    rows.append(pd.DataFrame({"c": c, "i": np.arange(len(centre)), "s": total, "n": count}))
-                yield pd.concat(rows)
+            held, spread = shared.value, 0.0
+            totals, counts = [np.zeros(len(c)) for c in held], [np.zeros(len(c)) for c in held]
+            for batch in batches:
+                lengths, values = _lists(batch.column(0))
+                series = _by_length(lengths, values)
+                owner, distance = assign(series, len(lengths), held)
+                spread += float((distance**2).sum())
+                for numbers, points in series.values():
+                    for c, centre in enumerate(held):
+                        mine = points[:, owner[numbers] == c]
+                        if mine.shape[1]:
+                            _add_alignments(centre, mine, band, totals[c], counts[c])
+            rows = [(-1, 0, spread, 1.0)]
+            rows += [(c, i, s, n) for c in range(len(held)) for i, (s, n) in enumerate(zip(totals[c].tolist(), counts[c].tolist()))]
+            kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["c", "i", "s", "n"])
 
         sums = (
             df.select("points")
-            .mapInPandas(partial, "c int, i int, s double, n double")
+            .mapInArrow(partial, "c int, i int, s double, n double")
             .groupBy("c", "i")
             .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
             .where(F.col("n") > 0)
@@ -628,7 +678,9 @@ def dtw_cluster(
 
     @F.pandas_udf("cluster int, distance double")
     def label(points: pd.Series) -> pd.DataFrame:
-        owner, distance = assign(points, final.value)
+        lengths = points.map(len).to_numpy(dtype=np.int64)
+        values = np.concatenate([np.asarray(p, dtype=float) for p in points]) if len(points) else np.empty(0)
+        owner, distance = assign(_by_length(lengths, values), len(points), final.value)
         return pd.DataFrame({"cluster": owner.astype("int32"), "distance": distance})
 
     labelled = df.withColumn("_l", label("points"))

@@ -282,3 +282,16 @@ def test_half_precision_loses_no_pair():
             if radius > 0:
                 near, distance = similarity.close_pairs(x, y, float(radius))
                 assert near.tolist() == np.flatnonzero(exact <= radius).tolist() and (distance == exact[near]).all()
+
+
+@pytest.mark.parametrize("band", [None, 0, 2])
+def test_alignment_sums_are_those_of_matrices(band):
+    """The same sums as from cost matrices filled at scattered places."""
+    rng = np.random.default_rng(6)
+    for n, m in ((7, 7), (5, 9), (9, 5), (1, 4), (4, 1)):
+        centre, members = rng.normal(size=n).round(1), rng.normal(size=(m, 30)).round(1)
+        total, count = np.zeros(n), np.zeros(n)
+        costs = similarity.warp_cost(np.tile(centre, (30, 1)), members.T, band)
+        similarity.add_alignments(costs, members.T, total, count)
+        s, c = similarity.alignment_sums(centre, members, band)
+        assert s == pytest.approx(total) and c.tolist() == count.tolist()
