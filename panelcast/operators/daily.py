@@ -60,12 +60,17 @@ def _tile_moments(df: DataFrame, tile_seconds: int) -> DataFrame:
     Rows shuffle once, on (series, tile); that serves the lag and the aggregate.
     The ramp into a tile's first row needs the last row of the series' previous
     tile, which the tile rows themselves supply.
+
+    First and last rows are found as least and largest structs, which Spark
+    aggregates along the order that the lag has sorted rows into: a task then
+    holds one tile's sums at a time, not a table of all its tiles.
     """
     require_columns(df, "series_id", "ts", "value")
     tiled = df.select("series_id", grid_index(F.col("ts"), tile_seconds).alias("_tile"), "ts", "value")
     inside = Window.partitionBy("series_id", "_tile").orderBy("ts")
     rows = tiled.withColumn("_ramp", F.col("value") - F.lag("value").over(inside))
     v, ramp = F.col("value"), F.col("_ramp")
+    placed = F.when(F.col("ts").isNotNull(), F.struct("ts", "value"))
     tiles = rows.groupBy("series_id", "_tile").agg(
         F.sum(v).alias("_sum"),
         F.max(v).alias("_max"),
@@ -80,19 +85,20 @@ def _tile_moments(df: DataFrame, tile_seconds: int) -> DataFrame:
         (F.var_pop(ramp) * F.count(ramp)).alias("_rq"),
         F.max(F.abs(ramp)).alias("_rmax"),
         F.sum(F.abs(ramp)).alias("_rabs"),
-        F.min("ts").alias("_start"),
-        F.min_by("value", "ts").alias("_first"),
-        F.max_by("value", "ts").alias("_last"),
+        F.min(placed).alias("_first"),
+        F.max(placed)["value"].alias("_last"),
     )
     order = Window.partitionBy("series_id").orderBy("_tile")
-    edge = F.col("_first") - F.lag("_last").over(order)
-    return tiles.withColumns({"date": F.to_date("_start"), "_edge": edge})
+    edge = F.col("_first.value") - F.lag("_last").over(order)
+    return tiles.withColumns({"date": F.to_date("_first.ts"), "_edge": edge})
 
 
 def _daily(df: DataFrame, tile_seconds: int) -> DataFrame:
     """Merge tiles to days: sums add, squares are taken around the day's mean (parallel variance formula)."""
     if DAY % tile_seconds:
         raise ValueError("a tile must divide the day")
+    if tile_seconds == DAY and df.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC":
+        return _whole_days(_tile_moments(df, tile_seconds))
     day = Window.partitionBy("series_id", "date")
     edge, has_edge = F.col("_edge"), F.when(F.col("_edge").isNotNull(), 1).otherwise(0)
     ramp_sum = F.coalesce(F.col("_rm") * F.col("_rn"), F.lit(0.0)) + F.coalesce(edge, F.lit(0.0))
@@ -125,6 +131,32 @@ def _daily(df: DataFrame, tile_seconds: int) -> DataFrame:
     )
 
 
+def _whole_days(tiles: DataFrame) -> DataFrame:
+    """As :func:`_daily`, for tiles that are the days: nothing is left to merge but the ramp into the day."""
+    zero, edge, vn = F.lit(0.0), F.col("_edge"), F.col("_vn")
+    rn = F.col("_rn") + F.when(edge.isNotNull(), 1).otherwise(0)
+    mean = F.try_divide(F.coalesce(F.col("_rm") * F.col("_rn"), zero) + F.coalesce(edge, zero), rn)
+    tiles = tiles.withColumns({"_vmean": F.try_divide("_sum", vn), "_rcount": rn, "_rmean": mean})
+    v_off, r_off, e_off = F.col("_vm") - F.col("_vmean"), F.col("_rm") - F.col("_rmean"), edge - F.col("_rmean")
+    v_square, rn = F.col("_vq") + vn * v_off * v_off, F.col("_rcount")
+    r_square = F.coalesce(F.col("_rq") + F.col("_rn") * r_off * r_off, zero) + F.coalesce(e_off * e_off, zero)
+    return tiles.select(
+        "series_id",
+        "date",
+        F.col("_sum").alias("daily_energy_kwh"),
+        F.col("_max").alias("daily_peak_kw"),
+        F.col("_min").alias("daily_min_kw"),
+        F.col("_vmean").alias("daily_avg_kw"),
+        F.when(vn > 1, F.sqrt(F.try_divide(v_square, vn - 1))).alias("daily_std_kw"),
+        vn.alias("n_samples"),
+        F.col("_rmean").alias("mean_ramp_kw"),
+        F.when(rn > 1, F.sqrt(F.try_divide(r_square, rn - 1))).alias("std_ramp_kw"),
+        F.greatest("_rmax", F.abs(edge)).alias("max_abs_ramp_kw"),
+        F.try_divide(F.coalesce("_rabs", zero) + F.coalesce(F.abs(edge), zero), rn).alias("mean_abs_ramp_kw"),
+        F.try_divide(F.col("_zeros").cast("double"), "_rows").alias("intermittency_ratio"),
+    )
+
+
 def daily_ramp_metrics(df: DataFrame, *, tile_seconds: int = DAY) -> DataFrame:
     """Signed mean, sample deviation, largest and mean absolute ramp per series and day."""
     return _daily(df, tile_seconds).select(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime, timedelta
 from statistics import NormalDist
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from panelcast.functions import box_cox, inv_box_cox, normal_cdf, normal_quantile
-from panelcast.operators import anomaly, stats, windows
+from panelcast.operators import anomaly, daily, stats, windows
 from panelcast.operators.daily import quantiles
 from panelcast.operators.ols import ols_fit
 from panelcast.plans.grid import HOUR
@@ -167,3 +168,18 @@ def test_stuck_and_outage(panel):
     assert [(r["n_steps"], r["value"]) for r in run] == [(4, 2.0)]
     down = anomaly.outages(df.withColumn("yhat", F.lit(5.0)), HOUR, eps=0.5, k=1.0).collect()
     assert [(r["n_steps"], (r["end_ts"] - r["start_ts"]).seconds) for r in down] == [(2, 7200)]
+
+
+def test_days_hold_no_table_of_their_tiles(spark):
+    """Rows sorted by tile are added up along that order, and a day that is one tile needs no further aggregate."""
+    rows = [(s, datetime(2024, 1, 1, 12) + timedelta(hours=h), v) for s, h, v in [("a", 0, 1.0), ("a", 3, 4.0), ("a", 24, 0.0), ("a", 30, None), ("a", 80, 5.0), ("b", 1, 2.0), (None, 2, 3.0)]]
+    df = spark.createDataFrame([*rows, ("c", None, 7.0)], "series_id string, ts timestamp_ntz, value double")
+    days = daily.daily_metrics(df)
+    assert "HashAggregate" not in days._jdf.queryExecution().executedPlan().toString()
+    by_hours = daily.daily_metrics(df, tile_seconds=3600)
+    key = lambda r: (str(r["series_id"]), str(r["date"]))
+    left, right = sorted(days.collect(), key=key), sorted(by_hours.collect(), key=key)
+    assert len(left) == len(right) == 6
+    for p, q in zip(left, right):
+        for name in days.columns:
+            assert p[name] == (pytest.approx(q[name]) if isinstance(q[name], float) else q[name]), (name, p, q)
