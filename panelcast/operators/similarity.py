@@ -7,6 +7,7 @@ blocks of series, whatever the number of series or the length of time.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -21,18 +22,19 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from panelcast.operators.stats import series_moments
 from panelcast.plans.grid import Step, grid_index
 from panelcast.plans.tiles import join_series
-from panelcast.session import shared_dir
+from panelcast.session import java_class, shared_dir
 
 BLOCK_SERIES = 256
 BLOCK_STEPS = 1024
 # Series of a block in the search within a radius, and their points (8 MB) at most.
-PAIR_SERIES, PAIR_POINTS = 1024, 1 << 20
+PAIR_SERIES, PAIR_POINTS = 4096, 1 << 20
 # Points of each side that are aligned at a time: one diagonal of all pairs stays near the processor.
 ALIGNED_POINTS = 1 << 17
 # Cells of cost matrices held at a time: 32 MB.
 MATRIX_CELLS = 1 << 22
 # Tasks of a search within a radius, at most.
 PAIR_TASKS = 4096
+WARPING = Path(__file__).with_name("Warping.java")
 #: Cells of a cost matrix up to which an alignment is traced in it; above, it is found by halves.
 PATH_CELLS = 1 << 22
 
@@ -477,15 +479,18 @@ def dtw_within(
     cells of a grid of that width over (first, last) meet.  Cells are cut into
     blocks of at most about ``PAIR_SERIES`` series; a task holds two blocks, and
     a series travels once per block that its own meets, not once per pair.
-    Pairs are aligned if the range of one series does not already put the other
-    beyond the radius (see :func:`warp_bound`).  Empty series have no partner.
+    Without a band, a task aligns them inside the JVM, one series with several
+    side by side (``Warping.java``); with one, pairs are aligned if the bound of
+    :func:`warp_bound` does not already put them beyond the radius.  Series that
+    are empty, or hold a missing or infinite point, have no partner.
     Where all series are within a few radii the number of alignments is that of
     all pairs.  The series are written first (a job).
     """
     within = list(within)
     cell = [*within, "_cx", "_cy"]
     points = F.col("points").cast("array<double>")
-    placed = df.where(F.size("points") > 0).select(
+    finite = F.forall(points, lambda p: F.abs(p) < float("inf"))
+    placed = df.where((F.size("points") > 0) & finite).select(
         "series_id",
         points.alias("points"),
         *within,
@@ -526,11 +531,12 @@ def dtw_within(
     spread = series.join(members, ["_cell", "_block"]).select("_bucket", "a", "i", "b", "j", "side", "series_id", "points")
     kind = df.schema["series_id"].dataType
     schema = StructType([StructField("id_a", kind), StructField("id_b", kind), StructField("distance", DoubleType())])
-    found = (
-        spread.repartition(min(buckets, PAIR_TASKS), "_bucket")
-        .groupBy("_bucket")
-        .applyInArrow(_meetings(radius, band), schema)
-    )
+    dealt = spread.repartition(min(buckets, PAIR_TASKS), "_bucket")
+    warping = java_class(df.sparkSession, WARPING, "panelcast.Warping") if band is None else None
+    if warping is None:
+        found = dealt.groupBy("_bucket").applyInArrow(_meetings(radius, band), schema)
+    else:
+        found = _meetings_in_jvm(dealt.drop("_bucket"), warping, radius, schema)
     swap = F.col("id_a") > F.col("id_b")
     return found.where("id_a <> id_b").select(
         F.when(swap, F.col("id_b")).otherwise(F.col("id_a")).alias("id_a"),
@@ -539,6 +545,18 @@ def dtw_within(
     )
 
 
+def _meetings_in_jvm(spread: DataFrame, warping, radius: float, schema: StructType) -> DataFrame:
+    """As :func:`_meetings` without a band, over rows (a, i, b, j, side, series_id, points)."""
+    spark = spread.sparkSession
+    jvm, session = spark.sparkContext._jvm, spark._jsparkSession
+    values = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 1)
+    values[0] = float(radius)
+    run = warping.getConstructors()[0].newInstance(values)
+    rows = spread.sortWithinPartitions("a", "i", "b", "j", "side")
+    encoder = jvm.org.apache.spark.sql.Encoders.row(session.parseDataType(schema.json()))
+    return DataFrame(rows._jdf.mapPartitions(run, encoder), spark)
+
+
 def _meetings(radius: float, band: int | None):
     """Pairs of blocks -> pairs of their series at most ``radius`` apart."""
 

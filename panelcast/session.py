@@ -6,8 +6,10 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -37,6 +39,33 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+_compiled: dict[tuple[str, str], object] = {}
+
+
+def java_class(spark: SparkSession, source: Path, name: str):
+    """A class of this package, compiled by Spark's own compiler and sent to executors as a jar, once per application.
+
+    None where it can't be compiled, as without ``jdk.incubator.vector``, which Spark adds to its JVMs by itself.
+    """
+    context = spark.sparkContext
+    key = context.applicationId, name
+    if key not in _compiled:
+        compiler = context._jvm.org.codehaus.janino.SimpleCompiler()
+        try:
+            compiler.cook(source.read_text())
+        except Py4JJavaError:
+            _compiled[key] = None
+            return None
+        jar = Path(tempfile.mkdtemp(prefix="panelcast-")) / f"{source.stem}-{uuid.uuid4().hex}.jar"
+        with zipfile.ZipFile(jar, "w") as z:
+            classes = compiler.getBytecodes()
+            for c in classes:
+                z.writestr(f"{c.replace('.', '/')}.class", bytes(classes[c]))
+        context._jsc.addJar(str(jar))
+        _compiled[key] = compiler.getClassLoader().loadClass(name)
+    return _compiled[key]
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path for intermediate files below the cluster's checkpoint folder.
 

@@ -295,3 +295,34 @@ def test_alignment_sums_are_those_of_matrices(band):
         similarity.add_alignments(costs, members.T, total, count)
         s, c = similarity.alignment_sums(centre, members, band)
         assert s == pytest.approx(total) and c.tolist() == count.tolist()
+
+
+def test_pairs_meet_in_the_jvm(spark, monkeypatch):
+    """No Python worker aligns pairs without a band, and the distances are those of doubles whatever the lengths and sizes."""
+    monkeypatch.setattr(similarity, "PAIR_SERIES", 25)
+    rng = np.random.default_rng(11)
+    kind = "series_id bigint, points array<double>, category string"
+    for scale, offset, radius in ((1.0, 0.0, 2.5), (1.0, 0.0, 0.9), (1e-3, 1e6, 2e-3), (1e-20, 0.0, 2e-20), (1.0, 1e17, 20.0), (1e9, 0.0, 1e-9)):
+        rows = [(i, (rng.normal(size=2 + int(rng.integers(8))) * scale + offset).tolist(), "ab"[i % 3 == 0]) for i in range(120)]
+        rows += [(120 + i, p, c) for i, (_, p, c) in enumerate(rows[:3])]
+        rows += [(130, [0.0, float("inf")], "a"), (131, [0.0, float("nan"), 0.0], "a"), (132, [0.0, None, 0.0], "a"), (133, [0.0, 0.0, float("-inf"), 0.0], "a")]
+        found = similarity.dtw_within(spark.createDataFrame(rows, kind), radius, within=["category"])
+        plan = found._jdf.queryExecution().toString()
+        assert "MapPartitions" in plan and "FlatMapGroupsInArrow" not in plan
+        want = {}
+        for i, (a, p, c) in enumerate(rows[:-4]):
+            for b, q, d in rows[i + 1 : -4]:
+                if c == d:
+                    distance = float(similarity.warp_distance(np.array([p]), np.array([q]))[0])
+                    if distance <= radius:
+                        want[a, b] = distance
+        assert {(r["id_a"], r["id_b"]): r["distance"] for r in found.collect()} == want and len(want) >= 3
+
+
+def test_lanes_fall_back_to_arrow(spark, monkeypatch):
+    """Where the class can't be compiled, pairs are found all the same."""
+    rng = np.random.default_rng(12)
+    df = spark.createDataFrame([(f"s{i}", rng.normal(size=6).tolist()) for i in range(40)], "series_id string, points array<double>")
+    want = {tuple(r) for r in similarity.dtw_within(df, 2.0).collect()}
+    monkeypatch.setattr(similarity, "java_class", lambda *_: None)
+    assert {tuple(r) for r in similarity.dtw_within(df, 2.0).collect()} == want and len(want) > 3
