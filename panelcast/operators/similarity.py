@@ -531,12 +531,14 @@ def dtw_within(
     spread = series.join(members, ["_cell", "_block"]).select("_bucket", "a", "i", "b", "j", "side", "series_id", "points")
     kind = df.schema["series_id"].dataType
     schema = StructType([StructField("id_a", kind), StructField("id_b", kind), StructField("distance", DoubleType())])
-    dealt = spread.repartition(min(buckets, PAIR_TASKS), "_bucket")
     warping = java_class(df.sparkSession, WARPING, "panelcast.Warping") if band is None else None
     if warping is None:
+        dealt = spread.repartition(min(buckets, PAIR_TASKS), "_bucket")
         found = dealt.groupBy("_bucket").applyInArrow(_meetings(radius, band), schema)
     else:
-        found = _meetings_in_jvm(dealt.drop("_bucket"), warping, radius, schema)
+        # Pairs of blocks are read one after the other; many parts leave few large ones to a task.
+        dealt = spread.drop("_bucket").repartition(min(8 * buckets, PAIR_TASKS), "a", "i", "b", "j")
+        found = _meetings_in_jvm(dealt, warping, radius, schema)
     swap = F.col("id_a") > F.col("id_b")
     return found.where("id_a <> id_b").select(
         F.when(swap, F.col("id_b")).otherwise(F.col("id_a")).alias("id_a"),
